@@ -203,6 +203,26 @@ def files(spark, sf_dir) -> DataFrame:
     )
 
 
+def job_log(spark, sf_dir, events_df: DataFrame | None = None) -> DataFrame:
+    """Closing messages of the process runner, one line per status event."""
+    e = events_df if events_df is not None else status_events(spark, sf_dir)
+    seq, job, st = F.col("seq"), F.col("job"), F.col("status")
+    s2 = F.lpad((seq % 60).cast("string"), 2, "0")
+    line = (F.when(st == "Complete", F.concat(F.lit("["), job, F.lit("] Completed with code 0 in 0:00:"), s2,
+                                              F.lit(".250000 seconds.")))
+            .when(st == "Failed", F.when(seq % 2 == 0, F.concat(F.lit("["), job, F.lit("] Completed with code "),
+                                                                 F.lit(1) + seq % 3, F.lit(" in 1 day, 2:03:"), s2,
+                                                                 F.lit(" seconds.")))
+                  .otherwise(F.concat(F.lit("Exception: step "), seq, F.lit(" ran out of memory"))))
+            .when(st == "Created", F.when(seq % 3 == 0, F.concat(F.lit("Dependency j-"), seq % 150,
+                                                                  F.lit(" failed. Skipping")))
+                  .when(seq % 3 == 1, F.lit("[JobCancelled]"))
+                  .otherwise(F.concat(F.lit("waiting for "), job)))
+            .otherwise(F.concat(F.lit("loss="), F.round(F.lit(1.0) / (F.lit(1) + seq % 97), 6),
+                                F.lit(" step="), seq)))
+    return e.select("job", "seq", "ts", line.alias("line"))
+
+
 # DuckDB twins, written as SQL text. Dependencies are listed so that a query's
 # WITH clause can pull in exactly what it needs.
 VIEW_SQL: dict[str, tuple[tuple[str, ...], str]] = {
@@ -281,6 +301,16 @@ SELECT page_id, url,
        CASE page_id % 7 WHEN 0 THEN concat(stem, '.bin') WHEN 1 THEN concat(stem, '.h5') WHEN 2 THEN concat(stem, '.pt')
             WHEN 3 THEN '.pt' WHEN 4 THEN concat(stem, '.msgpack') WHEN 5 THEN concat(stem, '.safetensors') ELSE stem END AS file_name
 FROM (SELECT page_id, url, regexp_extract(url, '([^/?#]*)([?#].*)?$', 1) AS stem FROM pages) x"""),
+    "v_job_log": (("v_status_events",), """
+SELECT job, seq, ts,
+  CASE status
+    WHEN 'Complete' THEN concat('[', job, '] Completed with code 0 in 0:00:', lpad(CAST(seq % 60 AS VARCHAR), 2, '0'), '.250000 seconds.')
+    WHEN 'Failed' THEN CASE WHEN seq % 2 = 0 THEN concat('[', job, '] Completed with code ', 1 + seq % 3, ' in 1 day, 2:03:', lpad(CAST(seq % 60 AS VARCHAR), 2, '0'), ' seconds.')
+                            ELSE concat('Exception: step ', seq, ' ran out of memory') END
+    WHEN 'Created' THEN CASE WHEN seq % 3 = 0 THEN concat('Dependency j-', seq % 150, ' failed. Skipping')
+                             WHEN seq % 3 = 1 THEN '[JobCancelled]' ELSE concat('waiting for ', job) END
+    ELSE concat('loss=', round(1.0 / (1 + seq % 97), 6), ' step=', seq) END AS line
+FROM v_status_events"""),
 }
 
 
@@ -309,5 +339,5 @@ SPARK_VIEWS = {
     "v_resources": resources, "v_metric_log": metric_log, "v_status_events": status_events,
     "v_catalog": catalog, "v_catalog_defaults": catalog_defaults, "v_req_all": req_all,
     "v_req_runtime": req_runtime, "v_req_job": req_job, "v_deps": deps, "v_pairs": pairs,
-    "v_files": files,
+    "v_files": files, "v_job_log": job_log,
 }
