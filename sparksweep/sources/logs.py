@@ -29,7 +29,7 @@ def split_lines(df: DataFrame, text_col: str, keep: list[str], line_col: str = "
 
 def read_text_logs(spark, paths, keep_path: bool = True) -> DataFrame:
     """Read whole log files (one row per file) and split them into lines."""
-    df = spark.read.option("wholetext", "true").text(paths)
+    df = spark.read.text(paths, wholetext=True)
     if keep_path:
         df = df.select(F.col("_metadata.file_path").alias("path"), "value")
     return split_lines(df, "value", ["path"] if keep_path else [])
