@@ -199,3 +199,27 @@ def with_network(containers: DataFrame, networks: DataFrame) -> DataFrame:
     """JON-4: container -> its network record (by the job label) for runtime and workdir."""
     n = networks.select(F.col("network").alias("_net"), "runtime", "workdir")
     return containers.join(n, containers.job == n._net, "left").drop("_net")
+
+
+# ---------------------------------------------------------------- trials (JON-3)
+
+def experiment_trials(trials: DataFrame, assignments: DataFrame, job_status: DataFrame) -> DataFrame:
+    """JON-3: experiment -> trials -> train jobs (trial name = job name), flat:
+    one row per (trial, parameter); assignments with a NULL name or value are
+    dropped; a trial without assignments keeps one row."""
+    a = assignments.filter(F.col("param").isNotNull() & F.col("value").isNotNull()).select(
+        F.col("trial").alias("_t"), "param", "value")
+    st = job_status.select(F.col("job").alias("_j"), F.col("status").alias("trial_status"))
+    x = trials.join(st, trials.trial == st._j, "left").drop("_j")
+    return x.join(a, x.trial == a._t, "left").drop("_t")
+
+
+def nested_parameters(flat: DataFrame, max_params: int = 10_000) -> DataFrame:
+    """The reference's shape: parameters as a MAP per trial. Parameter lists are
+    bounded by the search space; the bound is checked before collecting."""
+    big = flat.groupBy("trial").count().filter(F.col("count") > max_params).limit(1).collect()
+    if big:
+        raise ValueError(f"trial {big[0]['trial']} has more than {max_params} parameters")
+    return flat.groupBy("experiment", "trial", "trial_status").agg(
+        F.map_from_entries(F.filter(F.collect_list(F.struct("param", "value")),
+                                    lambda e: e["param"].isNotNull())).alias("parameters"))
