@@ -79,21 +79,23 @@ def dependency_status(deps: DataFrame, job: str = "job_no", depends_on: str = "d
     checkpoint_root(spark)
     edges = deps.select(F.col(job).alias("j"), F.col(depends_on).alias("d")).filter(F.col("d").isNotNull())
     jobs = deps.groupBy(F.col(job).alias("j")).agg(F.bool_and(F.col(ok)).alias("ok"))
-    bad = jobs.filter(~F.col("ok")).select("j")
-    frontier = bad
+    multi = edges.groupBy("j").count().filter(F.col("count") > 1).limit(1).count() > 0
+    if not multi:
+        return _chain_status(jobs, edges, job, max_rounds)
+    frontier = jobs.filter(~F.col("ok")).select("j")
     skipped = spark.createDataFrame([], "j " + dict(jobs.dtypes)["j"])
     for rnd in range(max_rounds):
+        # dependants of the frontier not yet known to be skipped; a failed job
+        # that is skipped too only re-marks jobs already skipped, so the new
+        # frontier is just the newly skipped jobs (the plan grows linearly)
         hit = edges.join(frontier.select(F.col("j").alias("d")), "d", "left_semi").select("j").distinct()
         new = hit.join(skipped, "j", "left_anti").checkpoint(eager=True)
         if new.limit(1).count() == 0:
             break
         skipped = skipped.unionByName(new)
-        # a failed job that is also skipped was already expanded
-        frontier = new.join(bad, "j", "left_anti")
-        bad = bad.unionByName(frontier)
         if (rnd + 1) % checkpoint_every == 0:
             skipped = skipped.checkpoint(eager=True)
-            bad = bad.checkpoint(eager=True)
+        frontier = new
     else:
         raise RuntimeError("dependency graph did not settle; is there a cycle?")
     sk = skipped.distinct().withColumn("skipped", F.lit(True))
@@ -101,3 +103,31 @@ def dependency_status(deps: DataFrame, job: str = "job_no", depends_on: str = "d
     status = (F.when(F.col("skipped"), F.lit("Skipped")).when(F.col("ok"), F.lit("Complete"))
               .otherwise(F.lit("Failed")))
     return x.select(F.col("j").alias(job), status.alias("status"))
+
+
+def _status(df: DataFrame, job: str) -> DataFrame:
+    st = (F.when(F.col("skipped"), F.lit("Skipped")).when(F.col("ok"), F.lit("Complete"))
+          .otherwise(F.lit("Failed")))
+    return df.select(F.col("j").alias(job), st.alias("status"))
+
+
+def _chain_status(jobs: DataFrame, edges: DataFrame, job: str, max_rounds: int) -> DataFrame:
+    """Pointer jumping when every job has at most one dependency (chains and
+    trees): after round k each job knows whether any of its 2^k nearest
+    ancestors failed, and points 2^k steps up. log2(depth) rounds of one
+    self-join each, so a single very long chain does not mean a long loop.
+    Each round's state is cut from its lineage with a reliable checkpoint."""
+    okf = jobs.select(F.col("j").alias("d"), F.col("ok").alias("dep_ok"))
+    state = (jobs.join(edges, "j", "left").join(okf, "d", "left")
+             .select("j", "ok", F.col("d").alias("anc"),
+                     F.coalesce(~F.col("dep_ok"), F.lit(False)).alias("skipped"))
+             .checkpoint(eager=True))
+    for _ in range(min(max_rounds, 64)):
+        if state.filter(F.col("anc").isNotNull()).limit(1).count() == 0:
+            return _status(state, job)
+        up = state.select(F.col("j").alias("anc"), F.col("anc").alias("anc2"), F.col("skipped").alias("sk2"))
+        state = (state.join(up, "anc", "left")
+                 .select("j", "ok", F.col("anc2").alias("anc"),
+                         (F.col("skipped") | F.coalesce(F.col("sk2"), F.lit(False))).alias("skipped"))
+                 .checkpoint(eager=True))
+    raise RuntimeError("dependency chains did not settle; is there a cycle?")
