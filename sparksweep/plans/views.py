@@ -102,8 +102,8 @@ def resources(spark, sf_dir, steps_df: DataFrame | None = None) -> DataFrame:
                     "quantity")
 
 
-def metric_log(spark, sf_dir) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+def metric_log(spark, sf_dir, events_df: DataFrame | None = None) -> DataFrame:
+    e = events_df if events_df is not None else table(spark, sf_dir, "events")
     return e.select(
         F.concat(F.lit("t-"), F.col("user_id")).alias("trial"),
         F.col("event_type").alias("metric"),
@@ -113,8 +113,8 @@ def metric_log(spark, sf_dir) -> DataFrame:
     )
 
 
-def status_events(spark, sf_dir) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+def status_events(spark, sf_dir, events_df: DataFrame | None = None) -> DataFrame:
+    e = events_df if events_df is not None else table(spark, sf_dir, "events")
     return e.select(
         F.concat(F.lit("j-"), F.col("user_id"), F.lit("-"), F.col("ts").cast("date")).alias("job"),
         "ts",
