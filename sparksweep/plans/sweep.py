@@ -1,12 +1,15 @@
 """Sweeps on Spark: search space -> trial table -> every trial scored in one
 pass over the data -> best trial (HPO-4..7, HPO-6, TOP-1, TOP-2, WIN-3).
 
-Plan shape of ``score``: the data is scanned once; the trial table (its size is
-declared by ``num_trials`` and checked here) is broadcast, so the join is a
-broadcast nested loop inside each scan task, and partial aggregation collapses
-rows x trials to trials per task before the only shuffle. The shuffle is
-``trials x tasks`` rows, independent of the data size. Trial tables larger than
-``max_broadcast_trials`` are scored in chunks, each chunk broadcast on its own.
+Plan shape of ``score``: the data is scanned once. The trial table (its size
+is declared by ``num_trials`` and checked here) is folded into ONE broadcast
+row holding an array of trial structs; every data row is joined to that row
+and the array is exploded with ``inline`` inside the scan stage (scan ->
+project -> broadcast join -> generate -> partial aggregate, one codegen
+pipeline, no per-pair hash join). Partial aggregation collapses rows x trials
+to trials per task before the only shuffle, which is ``trials x tasks`` rows,
+independent of the data size. Trial tables larger than ``max_broadcast_trials``
+are scored in chunks, each chunk broadcast on its own.
 """
 
 from __future__ import annotations
@@ -172,12 +175,15 @@ def trial_table_sql(space: dict, num_trials: int, algorithm, parallel_trials: in
 
 # ---------------------------------------------------------------- scoring
 
-def _broadcast_trials(trials: DataFrame, n_trials: int, limit: int) -> list[DataFrame]:
-    if n_trials <= limit:
-        return [F.broadcast(trials)]
-    chunks = math.ceil(n_trials / limit)
-    return [F.broadcast(trials.filter((F.col("trial_no") >= i * limit) & (F.col("trial_no") < (i + 1) * limit)))
-            for i in range(chunks)]
+def _trial_chunks(trials: DataFrame, n_trials: int, limit: int, cols: list[str]) -> list[DataFrame]:
+    """One-row DataFrames, each holding an array of at most ``limit`` trials."""
+    chunks = max(1, math.ceil(n_trials / limit))
+    out = []
+    for i in range(chunks):
+        part = trials if chunks == 1 else trials.filter(
+            (F.col("trial_no") >= i * limit) & (F.col("trial_no") < (i + 1) * limit))
+        out.append(F.broadcast(part.agg(F.collect_list(F.struct(*cols)).alias("_trials"))))
+    return out
 
 
 def score(data: DataFrame, trials: DataFrame, metrics: dict[str, Column], num_trials: int,
@@ -187,13 +193,14 @@ def score(data: DataFrame, trials: DataFrame, metrics: dict[str, Column], num_tr
 
     ``metrics`` maps a name to an aggregate Column over the joined rows (data
     columns and trial parameter columns both visible). ``num_trials`` is the
-    declared size of ``trials``; it decides broadcast versus chunks.
+    declared size of ``trials``; it decides the number of broadcast chunks.
     ``keep`` lists trial columns to carry into the result (default: all but the map).
     """
     keep = keep if keep is not None else [c for c in trials.columns if c not in ("parameters",)]
+    params = [c for c in trials.columns if c not in ("parameters", "trial") and c not in data.columns]
     aggs = [m.alias(k) for k, m in metrics.items()]
-    parts = [data.crossJoin(t).groupBy(trial_key).agg(*aggs)
-             for t in _broadcast_trials(trials, num_trials, max_broadcast_trials)]
+    parts = [data.crossJoin(one).select(*data.columns, F.inline("_trials")).groupBy(trial_key).agg(*aggs)
+             for one in _trial_chunks(trials, num_trials, max_broadcast_trials, params)]
     scored = reduce(DataFrame.unionByName, parts)
     # trial attributes are joined back by key: the aggregate keys stay one long
     side = trials.select(*keep)
@@ -236,8 +243,8 @@ def price_targets() -> dict[str, Column]:
 
 
 def price_target(kind: Column) -> Column:
-    tg = price_targets()
-    return F.when(kind == "a", tg["a"]).when(kind == "b", tg["b"]).otherwise(tg["c"])
+    """The target column chosen by the trial's kind (targets precomputed per row)."""
+    return F.when(kind == "a", F.col("y_a")).when(kind == "b", F.col("y_b")).otherwise(F.col("y_c"))
 
 
 def price_metrics() -> dict[str, Column]:
@@ -246,7 +253,8 @@ def price_metrics() -> dict[str, Column]:
 
 
 def price_data(lineitem: DataFrame) -> DataFrame:
-    return lineitem.select("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    """Feature and the three targets, computed once per row before the trials fan out."""
+    return lineitem.select("l_quantity", *[c.alias(f"y_{k}") for k, c in price_targets().items()])
 
 
 def sweep_price(spark: SparkSession, lineitem: DataFrame, num_trials: int = 64, algorithm=None,
@@ -302,5 +310,6 @@ def sweep_price_sufficient(spark: SparkSession, lineitem: DataFrame, num_trials:
                            algorithm=None, parallel_trials: int = 4) -> DataFrame:
     algorithm = algorithm or RandomSearch(PRICE_SEED)
     trials = trial_table(spark, PRICE_SPACE, num_trials, algorithm, parallel_trials)
-    stats = linear_sufficient_stats(price_data(lineitem), F.col("l_quantity"), price_targets())
+    stats = linear_sufficient_stats(price_data(lineitem), F.col("l_quantity"),
+                                    {k: F.col(f"y_{k}") for k in price_targets()})
     return linear_mse_from_stats(stats, trials, "slope", "shift", F.col("kind"), ["a", "b", "c"])
