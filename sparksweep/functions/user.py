@@ -202,7 +202,8 @@ def run_trials(trials: DataFrame, fn, params: list[str], metrics: list[str], par
     def per_part(batches):
         for pdf in batches:
             out = []
-            for _, r in pdf.iterrows():
+            # records keep each column's own type (iterrows would widen ints to floats)
+            for r in pdf.to_dict("records"):
                 kw = {p: None if pd.isna(r[p]) else str(r[p]) for p in params}
                 try:
                     res = fn(**kw)

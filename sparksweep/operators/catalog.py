@@ -55,7 +55,8 @@ def parse_runtime_documents(docs: DataFrame, doc_col: str = "doc", keep: list[st
         F.try_element_at(F.filter(containers, lambda c: (c["name"] == NODE) & _has_image(c)), F.lit(1))["image"],
         F.try_element_at(F.filter(containers, _has_image), F.lit(1))["image"])
     framework = F.col("d.metadata.labels")[FRAMEWORK_LABEL]
-    err = (F.when(F.col("d").isNull(), F.lit("malformed document"))
+    blank = F.col("d").isNull() | (F.col("d.kind").isNull() & F.col("d.metadata").isNull() & F.col("d.spec").isNull())
+    err = (F.when(blank, F.lit("malformed document"))
            .when(~F.coalesce(F.col("d.kind").isin(*RUNTIME_KINDS), F.lit(False)) | F.col("d.metadata").isNull(),
                  F.lit("not a runtime document"))
            .when(F.coalesce(F.col("d.metadata.name"), F.lit("")) == "", F.lit("missing name"))

@@ -24,8 +24,19 @@ def parsed_jobs(spark, sf_dir):
     return x.withColumn("num_nodes", J.effective_num_nodes(F.col("job_num_nodes"), F.col("rt_num_nodes")))
 
 
+def flat_jobs(spark, sf_dir):
+    """Job rows with conditions array, runtime and effective node count (no JSON round trip)."""
+    jobs = V.jobs(spark, sf_dir).select(
+        "job", "runtime_ref", F.col("num_nodes").alias("job_num_nodes"),
+        F.when(F.col("cond_type").isNull(), F.array().cast("array<struct<type:string,status:string>>"))
+        .otherwise(F.array(F.struct(F.col("cond_type").alias("type"), F.col("cond_status").alias("status"))))
+        .alias("conditions"))
+    x = J.with_runtime(jobs, V.runtimes(spark, sf_dir).select("name", "num_nodes"))
+    return x.withColumn("num_nodes", J.effective_num_nodes(F.col("job_num_nodes"), F.col("rt_num_nodes")))
+
+
 def job_statuses(spark, sf_dir):
-    return S.job_status(parsed_jobs(spark, sf_dir), V.steps(spark, sf_dir))
+    return S.job_status(flat_jobs(spark, sf_dir), V.steps(spark, sf_dir))
 
 
 _EFF = "coalesce(nullif(j.num_nodes, 0), r.num_nodes)"
@@ -316,5 +327,5 @@ JOIN v_jobs j ON j.job = r.job LEFT JOIN v_runtimes rt ON rt.name = j.runtime_re
 GROUP BY j.runtime_ref, r.resource""", "v_resources", "v_jobs", "v_runtimes"))
 def job5_resource_totals(spark, sf_dir):
     """Requested resources per node, times the node count, summed per runtime."""
-    jobs = parsed_jobs(spark, sf_dir).select("job", "runtime_ref", "num_nodes")
+    jobs = flat_jobs(spark, sf_dir).select("job", "runtime_ref", "num_nodes")
     return S.resource_totals(V.resources(spark, sf_dir), jobs)

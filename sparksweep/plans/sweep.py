@@ -222,7 +222,8 @@ def best_trial(scores: DataFrame, objectives, group_cols: list[str] | tuple = ()
     key = F.struct((m if objs[0].minimize else -m).alias("k"), F.col(order_key).alias("o"))
     cols = [c for c in scores.columns if c not in group_cols]
     best = valid.groupBy(*group_cols).agg(F.min_by(F.struct(*cols), key).alias("best"))
-    return best.select(*group_cols, "best.*")
+    # a global aggregate over no valid trial still yields one (NULL) row: drop it
+    return best.filter(F.col("best").isNotNull()).select(*group_cols, "best.*")
 
 
 # ---------------------------------------------------------------- the price model
