@@ -329,3 +329,34 @@ def job5_resource_totals(spark, sf_dir):
     """Requested resources per node, times the node count, summed per runtime."""
     jobs = flat_jobs(spark, sf_dir).select("job", "runtime_ref", "num_nodes")
     return S.resource_totals(V.resources(spark, sf_dir), jobs)
+
+
+WAVE_P, CAP = 3, 5
+
+
+def _trial_numbers(spark, sf_dir):
+    """Trials (jobs) numbered inside their experiment by job_no: skew-safe index."""
+    from sparksweep.operators.ordinal import with_row_index
+    jobs = V.jobs(spark, sf_dir).select("experiment", "job", "job_no")
+    return with_row_index(jobs, ["job_no"], "_g", group_cols=["experiment"], group_index_col="trial_no").drop("_g")
+
+
+@register("win3_parallel_waves", with_views(f"""
+SELECT experiment, job, trial_no, CAST(floor(trial_no / {WAVE_P}) + 1 AS BIGINT) AS wave FROM (
+  SELECT experiment, job, row_number() OVER (PARTITION BY experiment ORDER BY job_no) - 1 AS trial_no FROM v_jobs) x""",
+                                          "v_jobs"))
+def win3_parallel_waves(spark, sf_dir):
+    """Trials of every experiment in waves of at most 3 running together."""
+    x = _trial_numbers(spark, sf_dir)
+    return x.select("experiment", "job", "trial_no", (F.floor(F.col("trial_no") / WAVE_P) + 1).cast("bigint")
+                    .alias("wave"))
+
+
+@register("top2_trial_cap", with_views(f"""
+SELECT experiment, job, trial_no FROM (
+  SELECT experiment, job, row_number() OVER (PARTITION BY experiment ORDER BY job_no) - 1 AS trial_no FROM v_jobs) x
+WHERE trial_no < {CAP}""", "v_jobs"))
+def top2_trial_cap(spark, sf_dir):
+    """Each experiment capped at num_trials = 5 by trial number (a filter, not limit())."""
+    x = _trial_numbers(spark, sf_dir)
+    return x.filter(F.col("trial_no") < CAP).select("experiment", "job", "trial_no")
