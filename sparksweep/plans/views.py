@@ -144,20 +144,23 @@ def catalog_defaults(spark, sf_dir) -> DataFrame:
 
 
 def req_all(spark, sf_dir) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    """Requirement rows of every job (supplier). ``pos`` is a global ordinal in
+    (job, order, line, part, ship date) order: inside a job it is the list
+    order. It comes from the skew-safe row index, not a window per job, so a
+    job holding a third of all rows is still spread over many tasks."""
+    from sparksweep.operators.ordinal import with_row_index
+    li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_linestatus", "l_orderkey", "l_linenumber",
+                                                 "l_partkey", "l_shipdate")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
-    w = Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
     ln = F.col("l_linenumber") % 3
     name = (F.when(ln == 0, F.regexp_replace("p_name", " ", "_"))
             .when(ln == 1, F.upper(F.regexp_replace("p_name", " ", ".")))
             .otherwise(F.regexp_replace("p_name", " ", "-")))
-    return li.join(p, li.l_partkey == p.p_partkey).select(
-        F.col("l_suppkey").alias("job"),
-        F.col("l_linestatus").alias("side"),
-        "l_orderkey",
-        F.row_number().over(w).alias("pos"),
-        F.concat(name, F.lit("=="), F.col("p_size")).alias("requirement"),
-    )
+    x = li.join(p, li.l_partkey == p.p_partkey).select(
+        F.col("l_suppkey").alias("job"), F.col("l_linestatus").alias("side"), "l_orderkey", "l_linenumber",
+        "l_partkey", "l_shipdate", F.concat(name, F.lit("=="), F.col("p_size")).alias("requirement"))
+    x = with_row_index(x, ["job", "l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"], "row_idx")
+    return x.select("job", "side", "l_orderkey", (F.col("row_idx") + 1).alias("pos"), "requirement")
 
 
 def req_runtime(spark, sf_dir, all_df: DataFrame | None = None) -> DataFrame:
@@ -171,13 +174,20 @@ def req_job(spark, sf_dir, all_df: DataFrame | None = None) -> DataFrame:
 
 
 def deps(spark, sf_dir) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    return o.select(
+    """Each customer's orders as a chain: a job depends on the customer's
+    previous order (by date, then key). The previous row comes from a join on
+    the skew-safe global index (unique, so no hot key), not a window per customer."""
+    from sparksweep.operators.ordinal import with_row_index
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+    x = with_row_index(o, ["o_custkey", "o_orderdate", "o_orderkey"], "gi")
+    prev = x.select(F.col("o_custkey").alias("pc"), (F.col("gi") + 1).alias("pg"),
+                    F.col("o_orderkey").alias("depends_on"))
+    y = x.join(prev, (x.o_custkey == prev.pc) & (x.gi == prev.pg), "left")
+    return y.select(
         F.col("o_orderkey").alias("job_no"),
         F.col("o_custkey").alias("chain"),
         (F.col("o_orderstatus") != "P").alias("ok"),
-        F.lag("o_orderkey").over(w).alias("depends_on"),
+        "depends_on",
     )
 
 
@@ -282,7 +292,7 @@ FROM part"""),
 SELECT concat('default-', lower(r_name)) AS name FROM region UNION ALL SELECT 'red plate' AS name"""),
     "v_req_all": ((), """
 SELECT l_suppkey AS job, l_linestatus AS side, l_orderkey,
-       row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_shipdate) AS pos,
+       row_number() OVER (ORDER BY l_suppkey, l_orderkey, l_linenumber, l_partkey, l_shipdate) AS pos,
        concat(CASE l_linenumber % 3 WHEN 0 THEN replace(p_name, ' ', '_') WHEN 1 THEN upper(replace(p_name, ' ', '.')) ELSE replace(p_name, ' ', '-') END,
               '==', p_size) AS requirement
 FROM lineitem JOIN part ON l_partkey = p_partkey"""),
