@@ -185,9 +185,13 @@ def job_steps(jobs: DataFrame, steps: DataFrame, runtimes: DataFrame) -> DataFra
         .when(is_node, F.coalesce(F.col("_cnt"), F.lit(UNKNOWN))).otherwise(F.lit(UNKNOWN)).alias("device_count"))
 
 
-def nested_steps(flat: DataFrame) -> DataFrame:
+def nested_steps(flat: DataFrame, max_steps: int = 10_000) -> DataFrame:
     """The reference's nested shape: one row per job with its sorted step list.
-    Only for bounded step counts (a job's nodes); the flat form is the scalable one."""
+    Only for bounded step counts (a job's nodes; checked before collecting);
+    the flat form is the scalable one."""
+    big = flat.groupBy("job").count().filter(F.col("count") > max_steps).limit(1).collect()
+    if big:
+        raise ValueError(f"job {big[0]['job']} has more than {max_steps} steps; use the flat form")
     st = F.struct("step", "status", "device", "device_count")
     return flat.groupBy("job").agg(
         F.array_sort(F.filter(F.collect_list(st), lambda s: s["step"].isNotNull())).alias("steps"))

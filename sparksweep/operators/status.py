@@ -7,12 +7,12 @@ aggregated in every task before the shuffle; no per-group lists are built.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparksweep.operators.jobs import (COMPLETE, CREATED, FAILED, NODE, POD_SUCCEEDED, RUNNING, UNKNOWN,
                                        bounded_broadcast)
-from sparksweep.operators.ordinal import with_row_index
+from sparksweep.operators.ordinal import with_row_index, with_running_sum
 
 JOB_STATUSES = (CREATED, RUNNING, COMPLETE, FAILED)
 
@@ -190,12 +190,14 @@ def sweep_progress(trials: DataFrame, num_trials: int, max_failed_trials: int |
 def failure_budget(trials: DataFrame, max_failed_trials: int, experiment: str = "experiment",
                    order: str = "trial_no", failed: Column | None = None) -> DataFrame:
     """WIN-4 (our table semantics): a trial counts while the failures before it
-    are within the budget."""
+    in its experiment are within the budget. The count before each trial is a
+    skew-safe segmented prefix sum (``ordinal.with_running_sum``), so an
+    experiment with a third of all trials is still spread over many tasks."""
     f = failed if failed is not None else (F.col("status") == FAILED)
-    w = Window.partitionBy(experiment).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum(F.when(f, 1).otherwise(0)).over(w), F.lit(0))
-    return trials.withColumn("failed_before", before.cast("bigint")).withColumn(
-        "counts", F.col("failed_before") <= max_failed_trials)
+    x = trials.withColumn("_failed", F.when(f, 1).otherwise(0))
+    x = with_running_sum(x, [order], "_failed", "_before", group_cols=[experiment])
+    return (x.withColumn("failed_before", F.round(F.col("_before")).cast("bigint")).drop("_failed", "_before")
+            .withColumn("counts", F.col("failed_before") <= max_failed_trials))
 
 
 # ---------------------------------------------------------------- JOB-5

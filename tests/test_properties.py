@@ -201,3 +201,16 @@ def test_register_rows_keeps_existing(spark):
     assert SK.register_rows(spark, path, b, ["job", "name"]) == 1
     got = sorted((r["name"], r["v"]) for r in spark.read.parquet(path).collect())
     assert got == [("s1", "old"), ("s2", "old"), ("s3", "new")]
+
+
+def test_running_sum_with_skewed_groups(spark):
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") < 2500, F.lit("hot")).otherwise((F.col("id") % 5).cast("string")).alias("g"),
+        F.col("id"), ((F.col("id") * 7) % 3 == 0).cast("int").alias("v"))
+    x = O.with_running_sum(df, ["id"], "v", "before", group_cols=["g"], num_partitions=12)
+    got = {r["id"]: r["before"] for r in x.collect()}
+    exp, acc = {}, {}
+    for r in sorted(df.collect(), key=lambda r: (r["g"], r["id"])):
+        exp[r["id"]] = acc.get(r["g"], 0)
+        acc[r["g"]] = acc.get(r["g"], 0) + r["v"]
+    assert got == exp
