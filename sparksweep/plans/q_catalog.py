@@ -108,7 +108,8 @@ UNION ALL SELECT job, 1, pos, requirement FROM jb""", "v_req_runtime", "v_req_jo
         WHERE rn = 1"""}))
 def jon6_requirement_merge(spark, sf_dir):
     """Job requirement lists override runtime lists on canonical name, per job."""
-    return R.merge(V.req_runtime(spark, sf_dir), V.req_job(spark, sf_dir))
+    everything = V.req_all(spark, sf_dir)  # one index pass for both sides
+    return R.merge(V.req_runtime(spark, sf_dir, everything), V.req_job(spark, sf_dir, everything))
 
 
 @register("agg8_duplicate_requirements", with_views(f"""

@@ -188,19 +188,30 @@ def _trial_chunks(trials: DataFrame, n_trials: int, limit: int, cols: list[str])
 
 def score(data: DataFrame, trials: DataFrame, metrics: dict[str, Column], num_trials: int,
           trial_key: str = "trial_no", keep: list[str] | None = None,
-          max_broadcast_trials: int = MAX_BROADCAST_TRIALS) -> DataFrame:
+          max_broadcast_trials: int = MAX_BROADCAST_TRIALS, pair_cols: dict[str, Column] | None = None,
+          params: list[str] | None = None) -> DataFrame:
     """Score every trial over ``data`` in one pass (HPO-7).
 
-    ``metrics`` maps a name to an aggregate Column over the joined rows (data
-    columns and trial parameter columns both visible). ``num_trials`` is the
-    declared size of ``trials``; it decides the number of broadcast chunks.
-    ``keep`` lists trial columns to carry into the result (default: all but the map).
+    ``pair_cols`` (optional) are per (row, trial) expressions computed once in
+    a projection right after the trials fan out (e.g. the error); ``metrics``
+    maps a name to an aggregate Column over the joined rows or those pair
+    columns. ``num_trials`` is the declared size of ``trials``; it decides the
+    number of broadcast chunks. ``params`` are the trial columns shipped with
+    the array (default: all but the map); ``keep`` the trial columns carried
+    into the result.
     """
     keep = keep if keep is not None else [c for c in trials.columns if c not in ("parameters",)]
-    params = [c for c in trials.columns if c not in ("parameters", "trial") and c not in data.columns]
+    if params is None:
+        params = [c for c in trials.columns if c not in ("parameters", "trial") and c not in data.columns]
+    if trial_key not in params:
+        params = [trial_key] + params
     aggs = [m.alias(k) for k, m in metrics.items()]
-    parts = [data.crossJoin(one).select(*data.columns, F.inline("_trials")).groupBy(trial_key).agg(*aggs)
-             for one in _trial_chunks(trials, num_trials, max_broadcast_trials, params)]
+    parts = []
+    for one in _trial_chunks(trials, num_trials, max_broadcast_trials, params):
+        pairs = data.crossJoin(one).select(*data.columns, F.inline("_trials"))
+        if pair_cols:
+            pairs = pairs.select(trial_key, *[c.alias(k) for k, c in pair_cols.items()])
+        parts.append(pairs.groupBy(trial_key).agg(*aggs))
     scored = reduce(DataFrame.unionByName, parts)
     # trial attributes are joined back by key: the aggregate keys stay one long
     side = trials.select(*keep)
@@ -243,13 +254,26 @@ def price_targets() -> dict[str, Column]:
     return {"a": ep, "b": ep * (1 - d), "c": ep * (1 - d) * (1 + t)}
 
 
-def price_target(kind: Column) -> Column:
-    """The target column chosen by the trial's kind (targets precomputed per row)."""
-    return F.when(kind == "a", F.col("y_a")).when(kind == "b", F.col("y_b")).otherwise(F.col("y_c"))
+KIND_CODES = {"a": 0, "b": 1, "c": 2}
+
+
+def kind_code(kind: Column) -> Column:
+    """The categorical kind as a small integer, compared per pair instead of text."""
+    return F.when(kind == "a", F.lit(0)).when(kind == "b", F.lit(1)).otherwise(F.lit(2))
+
+
+def price_target(code: Column) -> Column:
+    """The target column chosen by the trial's kind code (targets precomputed per row)."""
+    return F.when(code == 0, F.col("y_a")).when(code == 1, F.col("y_b")).otherwise(F.col("y_c"))
+
+
+def price_pairs() -> dict[str, Column]:
+    """Per (row, trial): the error, computed once and shared by both metrics."""
+    return {"err": price_target(F.col("kind_code")) - (F.col("slope") * F.col("l_quantity") + F.col("shift"))}
 
 
 def price_metrics() -> dict[str, Column]:
-    err = price_target(F.col("kind")) - (F.col("slope") * F.col("l_quantity") + F.col("shift"))
+    err = F.col("err")
     return {"mae": F.round(F.avg(F.abs(err)), 4), "mse": F.round(F.avg(err * err), 2)}
 
 
@@ -262,9 +286,11 @@ def sweep_price(spark: SparkSession, lineitem: DataFrame, num_trials: int = 64,
                 parallel_trials: int = 4) -> DataFrame:
     algorithm = algorithm or RandomSearch(PRICE_SEED)
     trials = trial_table(spark, PRICE_SPACE, num_trials, algorithm, parallel_trials)
+    trials = trials.withColumn("kind_code", kind_code(F.col("kind")))
     n = min(num_trials, _space_size(algorithm))
     return score(price_data(lineitem), trials, price_metrics(), n,
-                 keep=["trial_no", "trial", "wave", "slope", "shift", "kind"])
+                 keep=["trial_no", "trial", "wave", "slope", "shift", "kind"], pair_cols=price_pairs(),
+                 params=["trial_no", "slope", "shift", "kind_code"])
 
 
 def _space_size(algorithm) -> int:
