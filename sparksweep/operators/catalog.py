@@ -14,14 +14,17 @@ from pyspark.sql import types as T
 # fixed values: document kinds and label keys
 RUNTIME_KINDS = ("ClusterTrainingRuntime", "TrainingRuntime")
 FRAMEWORK_LABEL = "trainer.kubeflow.org/framework"
+ANCESTOR_LABEL = "trainer.kubeflow.org/trainjob-ancestor-step"
 NODE = "node"
 
 _CONTAINER = T.StructType([T.StructField("name", T.StringType()), T.StructField("image", T.StringType())])
 _POD_SPEC = T.StructType([T.StructField("containers", T.ArrayType(_CONTAINER))])
 _RJOB = T.StructType([
     T.StructField("name", T.StringType()),
-    T.StructField("template", T.StructType([T.StructField("spec", T.StructType([
-        T.StructField("template", T.StructType([T.StructField("spec", _POD_SPEC)]))]))])),
+    T.StructField("template", T.StructType([
+        T.StructField("metadata", T.StructType([T.StructField("labels", T.MapType(T.StringType(), T.StringType()))])),
+        T.StructField("spec", T.StructType([
+            T.StructField("template", T.StructType([T.StructField("spec", _POD_SPEC)]))]))])),
 ])
 RUNTIME_DOC_SCHEMA = T.StructType([
     T.StructField("kind", T.StringType()),
@@ -41,29 +44,45 @@ def _has_image(c: Column) -> Column:
     return c["image"].isNotNull() & (c["image"] != "")
 
 
-def parse_runtime_documents(docs: DataFrame, doc_col: str = "doc", keep: list[str] | tuple = ()) -> DataFrame:
-    """Flatten runtime documents: name, framework, num_nodes (default 1) and
-    image (container ``node`` with an image, else the first container with one,
-    inside the replicated job ``node``). ``error`` names the first failed check;
-    malformed JSON parses to NULL and is rejected, never fatal."""
+def parse_runtime_documents(docs: DataFrame, doc_col: str = "doc", keep: list[str] | tuple = (),
+                            mode: str = "files") -> DataFrame:
+    """Flatten runtime documents: name, framework, num_nodes (default 1), image.
+
+    ``files`` (catalog files): the replicated job named ``node``; image of its
+    container ``node`` if it has one, else of the first container with one; the
+    document kind must be a runtime kind. ``cluster`` (objects read from the
+    cluster API): the replicated job carrying the ancestor label; image of its
+    container ``node`` only. ``error`` names the first failed check; malformed
+    JSON is rejected, never fatal."""
+    if mode not in ("files", "cluster"):
+        raise ValueError(f"mode must be files or cluster, got {mode!r}")
     d = F.from_json(F.col(doc_col), RUNTIME_DOC_SCHEMA)
     x = docs.select(*keep, d.alias("d"))
-    node_job = F.try_element_at(F.filter(F.col("d.spec.template.spec.replicatedJobs"),
-                                         lambda j: j["name"] == NODE), F.lit(1))
-    containers = node_job["template"]["spec"]["template"]["spec"]["containers"]
-    img = F.coalesce(
-        F.try_element_at(F.filter(containers, lambda c: (c["name"] == NODE) & _has_image(c)), F.lit(1))["image"],
-        F.try_element_at(F.filter(containers, _has_image), F.lit(1))["image"])
+    rjobs = F.col("d.spec.template.spec.replicatedJobs")
+    if mode == "files":
+        trainer_job = F.try_element_at(F.filter(rjobs, lambda j: j["name"] == NODE), F.lit(1))
+    else:
+        trainer_job = F.try_element_at(F.filter(
+            rjobs, lambda j: F.coalesce(F.map_contains_key(j["template"]["metadata"]["labels"], ANCESTOR_LABEL),
+                                        F.lit(False))), F.lit(1))
+    containers = trainer_job["template"]["spec"]["template"]["spec"]["containers"]
+    node_img = F.try_element_at(F.filter(containers, lambda c: (c["name"] == NODE) & _has_image(c)), F.lit(1))["image"]
+    if mode == "files":
+        img = F.coalesce(node_img, F.try_element_at(F.filter(containers, _has_image), F.lit(1))["image"])
+    else:
+        img = node_img
     framework = F.col("d.metadata.labels")[FRAMEWORK_LABEL]
     blank = F.col("d").isNull() | (F.col("d.kind").isNull() & F.col("d.metadata").isNull() & F.col("d.spec").isNull())
+    bad_kind = ~F.coalesce(F.col("d.kind").isin(*RUNTIME_KINDS), F.lit(False)) | F.col("d.metadata").isNull()
+    if mode == "cluster":
+        bad_kind = F.col("d.metadata").isNull()
     err = (F.when(blank, F.lit("malformed document"))
-           .when(~F.coalesce(F.col("d.kind").isin(*RUNTIME_KINDS), F.lit(False)) | F.col("d.metadata").isNull(),
-                 F.lit("not a runtime document"))
+           .when(bad_kind, F.lit("not a runtime document"))
            .when(F.coalesce(F.col("d.metadata.name"), F.lit("")) == "", F.lit("missing name"))
            .when(F.coalesce(framework, F.lit("")) == "", F.lit("missing framework"))
-           .when(node_job.isNull(), F.lit("no node job"))
+           .when(trainer_job.isNull(), F.lit("no node job" if mode == "files" else "no trainer job"))
            .when(F.coalesce(F.size(containers), F.lit(0)) <= 0, F.lit("no containers"))
-           .when(img.isNull(), F.lit("no image")))
+           .when(img.isNull(), F.lit("no image" if mode == "files" else "no trainer container")))
     return x.select(*keep,
                     F.col("d.metadata.name").alias("name"),
                     framework.alias("framework"),
@@ -76,12 +95,14 @@ def runtime_documents(catalog: DataFrame) -> DataFrame:
     """Render catalog rows (name, pos, framework, image, num_nodes) as runtime
     documents with three container layouts and some invalid kinds."""
     pos = F.col("pos")
-    init_job = F.struct(F.lit("initializer").alias("name"), F.struct(F.struct(F.struct(F.struct(F.array(
+    no_labels = F.struct(F.create_map().cast("map<string,string>").alias("labels")).alias("metadata")
+    ancestor = F.struct(F.create_map(F.lit(ANCESTOR_LABEL), F.lit("trainer")).alias("labels")).alias("metadata")
+    init_job = F.struct(F.lit("initializer").alias("name"), F.struct(no_labels, F.struct(F.struct(F.struct(F.array(
         F.struct(F.lit("init").alias("name"), F.lit("img/init").alias("image"))).alias("containers")).alias("spec"))
         .alias("template")).alias("spec")).alias("template"))
 
     def rjob(containers):
-        return F.struct(F.lit(NODE).alias("name"), F.struct(F.struct(F.struct(F.struct(
+        return F.struct(F.lit(NODE).alias("name"), F.struct(ancestor, F.struct(F.struct(F.struct(
             containers.alias("containers")).alias("spec")).alias("template")).alias("spec")).alias("template"))
 
     def cont(name, image):

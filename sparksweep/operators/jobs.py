@@ -163,26 +163,44 @@ def device_rollup(devices: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- steps (JON-2)
 
-def job_steps(jobs: DataFrame, steps: DataFrame, runtimes: DataFrame) -> DataFrame:
-    """JON-2 flat: one row per (job, step), a job without steps keeps one row
-    with NULL step. Node steps carry the runtime's per-node device and count;
-    initializer steps and jobs with an unknown runtime show ``Unknown``."""
+# fixed values: pod label values and the process-count environment variable
+LAUNCHER = "launcher"
+NPROC_ENV = "PET_NPROC_PER_NODE"
+
+
+def steps_from_pods(pods: DataFrame, runtimes: DataFrame) -> DataFrame:
+    """Steps from pods (job, rjob, job_index, env_nproc, status) and each job's
+    runtime (job, framework, gpu/tpu/cpu limits, procs_per_node).
+
+    Initializer pods keep their replicated-job name and an Unknown device;
+    node and launcher pods become ``node-<index>``, where MPI workers (not the
+    launcher, which is node-0) get index + 1; a node's device count is the
+    runtime's per-node count unless the pod sets PET_NPROC_PER_NODE to digits."""
+    gpu, tpu, cpu = F.col("gpu_limit"), F.col("tpu_limit"), F.col("cpu_limit")
     rd = runtimes.select(
-        F.col("name").alias("_rt"),
-        F.when(F.col("gpu_limit").isNotNull(), F.lit("gpu")).when(F.col("tpu_limit").isNotNull(), F.lit("tpu"))
-        .when(F.col("cpu_limit").isNotNull(), F.lit("cpu")).alias("_dev"),
-        F.coalesce(F.col("procs_per_node"), F.col("gpu_limit"), F.col("tpu_limit"),
-                   F.col("cpu_limit")).cast("string").alias("_cnt"))
-    j = jobs.select("job", "runtime_ref").join(bounded_broadcast(rd), F.col("runtime_ref") == F.col("_rt"), "left")
-    s = steps.select(F.col("job").alias("_sj"), F.col("name").alias("step"), "status")
-    x = j.join(s, F.col("job") == F.col("_sj"), "left")
-    is_node = F.col("step").startswith(NODE)
+        F.col("job").alias("_rj"), F.col("framework"),
+        F.when(gpu.isNotNull(), F.lit("gpu")).when(tpu.isNotNull(), F.lit("tpu"))
+        .when(cpu.isNotNull(), F.lit("cpu")).alias("_dev"),
+        F.coalesce(F.col("procs_per_node"), gpu, tpu, cpu).cast("string").alias("_cnt"))
+    x = pods.join(rd, pods.job == rd._rj, "left")
+    is_init = F.col("rjob").isin(*INITIALIZERS)
+    shift = F.when((F.col("framework") == "mpi") & (F.col("rjob") != LAUNCHER), F.lit(1)).otherwise(F.lit(0))
+    env = F.col("env_nproc")
     return x.select(
-        "job", "step", "status",
-        F.when(F.col("step").isNull(), F.lit(None).cast("string"))
-        .when(is_node, F.coalesce(F.col("_dev"), F.lit(UNKNOWN))).otherwise(F.lit(UNKNOWN)).alias("device"),
-        F.when(F.col("step").isNull(), F.lit(None).cast("string"))
-        .when(is_node, F.coalesce(F.col("_cnt"), F.lit(UNKNOWN))).otherwise(F.lit(UNKNOWN)).alias("device_count"))
+        "job",
+        F.when(is_init, F.col("rjob")).otherwise(F.concat(F.lit(NODE + "-"), F.col("job_index") + shift)).alias("step"),
+        "status",
+        F.when(is_init, F.lit(UNKNOWN)).otherwise(F.coalesce(F.col("_dev"), F.lit(UNKNOWN))).alias("device"),
+        F.when(is_init, F.lit(UNKNOWN)).when(env.rlike(r"^\d+$"), env)
+        .otherwise(F.coalesce(F.col("_cnt"), F.lit(UNKNOWN))).alias("device_count"))
+
+
+def job_steps(jobs: DataFrame, steps: DataFrame) -> DataFrame:
+    """JON-2 flat: one row per (job, step); a job without steps keeps one row
+    with NULL step (the reference's empty list)."""
+    s = steps.select(F.col("job").alias("_sj"), "step", "status", "device", "device_count")
+    x = jobs.select("job").join(s, F.col("job") == F.col("_sj"), "left")
+    return x.select("job", "step", "status", "device", "device_count")
 
 
 def nested_steps(flat: DataFrame, max_steps: int = 10_000) -> DataFrame:

@@ -217,3 +217,18 @@ def src2_source_uris(spark, sf_dir):
         F.lit("ignore_patterns"), F.when(pid % 2 == 0, F.array_join(F.array(F.lit("*.bin"), F.lit("*.h5")), ",")),
         F.lit("metadata_loc"), F.when(F.col("kind") == "cache", F.concat(F.lit("s3://meta/"), pid, F.lit(".json"))))
     return x.select("page_id", "kind", "uri", "scan", "error", U.options_text(U.option_map(raw)).alias("options"))
+
+
+@register("prj2_runtime_documents_cluster", with_views("""
+SELECT name, pos, framework, CASE WHEN pos % 4 <> 0 THEN num_nodes ELSE 1 END AS num_nodes,
+       CASE WHEN pos % 3 = 1 THEN NULL ELSE image END AS image,
+       CASE WHEN coalesce(name, '') = '' THEN 'missing name'
+            WHEN coalesce(framework, '') = '' THEN 'missing framework'
+            WHEN pos % 3 = 1 OR image IS NULL THEN 'no trainer container' END AS error
+FROM v_catalog""", "v_catalog"))
+def prj2_runtime_documents_cluster(spark, sf_dir):
+    """The same documents read the cluster way: the replicated job with the
+    ancestor label, its container ``node`` only (no fallback)."""
+    docs = C.runtime_documents(V.catalog(spark, sf_dir))
+    return C.parse_runtime_documents(docs, "doc", keep=["pos"], mode="cluster").select(
+        "name", "pos", "framework", "num_nodes", "image", "error")

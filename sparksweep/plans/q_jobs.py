@@ -74,7 +74,8 @@ def jon1_job_runtime(spark, sf_dir):
 @register("jon2_job_steps", with_views("""
 SELECT j.job, s.name AS step, s.status,
        CASE WHEN s.name IS NULL THEN NULL WHEN s.name LIKE 'node%' THEN coalesce(rd.dev, 'Unknown') ELSE 'Unknown' END AS device,
-       CASE WHEN s.name IS NULL THEN NULL WHEN s.name LIKE 'node%' THEN coalesce(rd.cnt, 'Unknown') ELSE 'Unknown' END AS device_count
+       CASE WHEN s.name IS NULL THEN NULL WHEN s.name NOT LIKE 'node%' THEN 'Unknown'
+            WHEN s.kind = 1 THEN '4' ELSE coalesce(rd.cnt, 'Unknown') END AS device_count
 FROM v_jobs j
 LEFT JOIN (SELECT name AS rt,
                   CASE WHEN gpu_limit IS NOT NULL THEN 'gpu' WHEN tpu_limit IS NOT NULL THEN 'tpu' WHEN cpu_limit IS NOT NULL THEN 'cpu' END AS dev,
@@ -82,8 +83,24 @@ LEFT JOIN (SELECT name AS rt,
   ON rd.rt = j.runtime_ref
 LEFT JOIN v_steps s ON s.job = j.job""", "v_jobs", "v_runtimes", "v_steps"))
 def jon2_job_steps(spark, sf_dir):
-    """Jobs with their steps (one-to-many, flat); jobs without steps keep one row."""
-    return J.job_steps(V.jobs(spark, sf_dir), V.steps(spark, sf_dir), V.runtimes(spark, sf_dir))
+    """Jobs with their steps built from pods (one-to-many, flat): step names
+    from pod labels (MPI workers shifted by one), devices from the runtime or
+    the pod's process count; jobs without steps keep one row."""
+    jobs = V.jobs(spark, sf_dir).select("job", "runtime_ref")
+    rts = V.runtimes(spark, sf_dir)
+    job_rt = jobs.join(J.bounded_broadcast(rts), jobs.runtime_ref == rts.name, "left").select(
+        "job", "framework", "gpu_limit", "tpu_limit", "cpu_limit", "procs_per_node")
+    st = V.steps(spark, sf_dir).join(job_rt.select("job", "framework"), "job", "left")
+    mpi = F.col("framework") == "mpi"
+    init = ~F.col("name").startswith("node")
+    pods = st.select(
+        "job", "status",
+        F.when(init, F.col("name")).when(mpi & (F.col("idx") == 0), F.lit("launcher")).otherwise(F.lit("node"))
+        .alias("rjob"),
+        F.when(init, F.lit(0)).when(mpi & (F.col("idx") > 0), F.col("idx") - 1).otherwise(F.col("idx"))
+        .alias("job_index"),
+        F.when(F.col("kind") == 1, F.lit("4")).when(F.col("kind") == 2, F.lit("four")).alias("env_nproc"))
+    return J.job_steps(jobs, J.steps_from_pods(pods, job_rt))
 
 
 _NET_SQL = """SELECT DISTINCT c.job AS network, j.runtime_ref AS runtime, concat('/workdir/', c.job) AS workdir

@@ -199,3 +199,25 @@ def test_unsupported_format():
     assert check_format("PARQUET") == "parquet"
     with pytest.raises(ValueError):
         check_format("avro")
+
+
+def test_mpi_workers_shift_and_env_process_count(spark):
+    pods = spark.createDataFrame([
+        ("m", "launcher", 0, None, "Running"), ("m", "node", 0, "8", "Running"), ("m", "node", 1, "x", "Running"),
+        ("t", "node", 0, None, "Running"), ("t", "dataset-initializer", 0, "3", "Succeeded")],
+        "job string, rjob string, job_index int, env_nproc string, status string")
+    rts = spark.createDataFrame([("m", "mpi", None, None, 8, 2), ("t", "torch", 2, None, None, None)],
+                                "job string, framework string, gpu_limit int, tpu_limit int, cpu_limit int, "
+                                "procs_per_node int")
+    got = rows(J.steps_from_pods(pods, rts), "job", "step", "device", "device_count")
+    assert got == [("m", "node-0", "cpu", "2"), ("m", "node-1", "cpu", "8"), ("m", "node-2", "cpu", "2"),
+                   ("t", "dataset-initializer", "Unknown", "Unknown"), ("t", "node-0", "gpu", "2")]
+
+
+def test_cluster_mode_needs_the_node_container(spark):
+    cat = spark.createDataFrame([("a", 12, "torch", "img/a", 2), ("b", 1, "torch", "img/b", 2),
+                                 ("c", 2, "torch", None, 2)],
+                                "name string, pos int, framework string, image string, num_nodes int")
+    got = {r["name"]: (r["image"], r["error"]) for r in
+           C.parse_runtime_documents(C.runtime_documents(cat), mode="cluster").collect()}
+    assert got == {"a": ("img/a", None), "b": (None, "no trainer container"), "c": (None, "no trainer container")}
