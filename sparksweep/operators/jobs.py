@@ -168,31 +168,28 @@ LAUNCHER = "launcher"
 NPROC_ENV = "PET_NPROC_PER_NODE"
 
 
-def steps_from_pods(pods: DataFrame, runtimes: DataFrame) -> DataFrame:
-    """Steps from pods (job, rjob, job_index, env_nproc, status) and each job's
-    runtime (job, framework, gpu/tpu/cpu limits, procs_per_node).
+def steps_from_pods(pods: DataFrame) -> DataFrame:
+    """Steps from pods that carry their job's runtime: job, rjob, job_index,
+    env_nproc, status, framework, gpu/tpu/cpu limits, procs_per_node.
 
     Initializer pods keep their replicated-job name and an Unknown device;
     node and launcher pods become ``node-<index>``, where MPI workers (not the
     launcher, which is node-0) get index + 1; a node's device count is the
     runtime's per-node count unless the pod sets PET_NPROC_PER_NODE to digits."""
     gpu, tpu, cpu = F.col("gpu_limit"), F.col("tpu_limit"), F.col("cpu_limit")
-    rd = runtimes.select(
-        F.col("job").alias("_rj"), F.col("framework"),
-        F.when(gpu.isNotNull(), F.lit("gpu")).when(tpu.isNotNull(), F.lit("tpu"))
-        .when(cpu.isNotNull(), F.lit("cpu")).alias("_dev"),
-        F.coalesce(F.col("procs_per_node"), gpu, tpu, cpu).cast("string").alias("_cnt"))
-    x = pods.join(rd, pods.job == rd._rj, "left")
+    dev = (F.when(gpu.isNotNull(), F.lit("gpu")).when(tpu.isNotNull(), F.lit("tpu"))
+           .when(cpu.isNotNull(), F.lit("cpu")))
+    cnt = F.coalesce(F.col("procs_per_node"), gpu, tpu, cpu).cast("string")
     is_init = F.col("rjob").isin(*INITIALIZERS)
     shift = F.when((F.col("framework") == "mpi") & (F.col("rjob") != LAUNCHER), F.lit(1)).otherwise(F.lit(0))
     env = F.col("env_nproc")
-    return x.select(
+    return pods.select(
         "job",
         F.when(is_init, F.col("rjob")).otherwise(F.concat(F.lit(NODE + "-"), F.col("job_index") + shift)).alias("step"),
         "status",
-        F.when(is_init, F.lit(UNKNOWN)).otherwise(F.coalesce(F.col("_dev"), F.lit(UNKNOWN))).alias("device"),
+        F.when(is_init, F.lit(UNKNOWN)).otherwise(F.coalesce(dev, F.lit(UNKNOWN))).alias("device"),
         F.when(is_init, F.lit(UNKNOWN)).when(env.rlike(r"^\d+$"), env)
-        .otherwise(F.coalesce(F.col("_cnt"), F.lit(UNKNOWN))).alias("device_count"))
+        .otherwise(F.coalesce(cnt, F.lit(UNKNOWN))).alias("device_count"))
 
 
 def job_steps(jobs: DataFrame, steps: DataFrame) -> DataFrame:

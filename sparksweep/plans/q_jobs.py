@@ -90,17 +90,17 @@ def jon2_job_steps(spark, sf_dir):
     rts = V.runtimes(spark, sf_dir)
     job_rt = jobs.join(J.bounded_broadcast(rts), jobs.runtime_ref == rts.name, "left").select(
         "job", "framework", "gpu_limit", "tpu_limit", "cpu_limit", "procs_per_node")
-    st = V.steps(spark, sf_dir).join(job_rt.select("job", "framework"), "job", "left")
+    st = V.steps(spark, sf_dir).join(job_rt, "job", "left")
     mpi = F.col("framework") == "mpi"
     init = ~F.col("name").startswith("node")
     pods = st.select(
-        "job", "status",
+        "job", "status", "framework", "gpu_limit", "tpu_limit", "cpu_limit", "procs_per_node",
         F.when(init, F.col("name")).when(mpi & (F.col("idx") == 0), F.lit("launcher")).otherwise(F.lit("node"))
         .alias("rjob"),
         F.when(init, F.lit(0)).when(mpi & (F.col("idx") > 0), F.col("idx") - 1).otherwise(F.col("idx"))
         .alias("job_index"),
         F.when(F.col("kind") == 1, F.lit("4")).when(F.col("kind") == 2, F.lit("four")).alias("env_nproc"))
-    return J.job_steps(jobs, J.steps_from_pods(pods, job_rt))
+    return J.job_steps(jobs, J.steps_from_pods(pods))
 
 
 _NET_SQL = """SELECT DISTINCT c.job AS network, j.runtime_ref AS runtime, concat('/workdir/', c.job) AS workdir

@@ -209,7 +209,7 @@ def test_mpi_workers_shift_and_env_process_count(spark):
     rts = spark.createDataFrame([("m", "mpi", None, None, 8, 2), ("t", "torch", 2, None, None, None)],
                                 "job string, framework string, gpu_limit int, tpu_limit int, cpu_limit int, "
                                 "procs_per_node int")
-    got = rows(J.steps_from_pods(pods, rts), "job", "step", "device", "device_count")
+    got = rows(J.steps_from_pods(pods.join(rts, "job", "left")), "job", "step", "device", "device_count")
     assert got == [("m", "node-0", "cpu", "2"), ("m", "node-1", "cpu", "8"), ("m", "node-2", "cpu", "2"),
                    ("t", "dataset-initializer", "Unknown", "Unknown"), ("t", "node-0", "gpu", "2")]
 
