@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparksweep.session import ship_package
+
 # fixed values: the environment a distributed trainer reads
 RANK_ENV = ("RANK", "WORLD_SIZE", "LOCAL_RANK", "NODE_RANK", "MASTER_ADDR", "MASTER_PORT")
 MASTER_PORT = "29500"
@@ -45,6 +47,7 @@ def run_on_nodes(df: DataFrame, fn, schema: T.StructType | str, num_nodes: int =
     kwargs = dict(kwargs or {})
     out_schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     out_schema = T.StructType([T.StructField("rank", T.IntegerType(), False)] + list(out_schema.fields))
+    ship_package(df.sparkSession)
     shards = df.repartition(world, shard_key) if shard_key else df.repartition(world)
 
     def per_rank(batches):
@@ -151,6 +154,7 @@ def sweep_by_function(data: DataFrame, trials: DataFrame, fn, partials: list[str
     The trial table is small by declaration (``num_trials``); its size is
     checked against ``max_trials`` before it is shipped to the tasks.
     """
+    ship_package(data.sparkSession)
     n = trials.limit(max_trials + 1).count()
     if n > max_trials:
         raise ValueError(f"{n} trials exceed max_trials={max_trials}; score them in chunks")
@@ -214,5 +218,6 @@ def run_trials(trials: DataFrame, fn, params: list[str], metrics: list[str], par
                                 "error": f"{type(e).__name__}: {e}"[:500], **dict.fromkeys(metrics)})
             yield pd.DataFrame(out, columns=[f.name for f in fields])
 
+    ship_package(trials.sparkSession)
     src = trials.select(trial_key, *[F.col(p) for p in params]).repartition(parallel_trials, trial_key)
     return src.mapInPandas(per_part, schema)

@@ -25,7 +25,7 @@ STATE_PARTITIONS = 4
 
 
 def _events_stream(spark, sf_dir, name, replay=False, files_per_trigger=1):
-    R.prepare(spark, STATE_PARTITIONS)
+    R.prepare(spark)
     events = table(spark, sf_dir, "events")
     landed = shared_dir(spark, f"{name}-landed")
     R.land_in_order(events, landed)
@@ -46,9 +46,9 @@ def str1_follow_log(spark, sf_dir):
     se = V.status_events(spark, sf_dir)
     req = se.groupBy("job").agg(F.min_by("status", F.struct("ts", "seq")).alias("first")).filter(
         F.col("first") == "Created").select("job")
-    stream = _events_stream(spark, sf_dir, "str1")
+    stream = _events_stream(spark, sf_dir, "str1", state_partitions=STATE_PARTITIONS)
     lines = V.job_log(spark, sf_dir, V.status_events(spark, sf_dir, stream))
-    out = R.run_to_parquet(SL.follow(lines, req).select("job", "seq", "line"), "str1")
+    out = R.run_to_parquet(SL.follow(lines, req).select("job", "seq", "line"), "str1", state_partitions=STATE_PARTITIONS)
     return spark.read.parquet(out)
 
 
@@ -58,7 +58,7 @@ def str2_deliver_once(spark, sf_dir):
     stream = _events_stream(spark, sf_dir, "str2", replay=True, files_per_trigger=2)
     lines = V.job_log(spark, sf_dir, V.status_events(spark, sf_dir, stream))
     once = SL.deliver_once(SL.event_time(lines), ["job", "seq"], "event_ts", "1 day")
-    out = R.run_to_parquet(once.select("job", "seq", "line"), "str2")
+    out = R.run_to_parquet(once.select("job", "seq", "line"), "str2", state_partitions=STATE_PARTITIONS)
     return spark.read.parquet(out)
 
 
@@ -69,7 +69,7 @@ def str3_live_observations(spark, sf_dir):
     stream = _events_stream(spark, sf_dir, "str3", files_per_trigger=2)
     log = SL.event_time(V.metric_log(spark, sf_dir, stream))
     obs = SL.live_observations(log, ["trial"])
-    path = R.run_to_changelog(obs, "str3")
+    path = R.run_to_changelog(obs, "str3", state_partitions=STATE_PARTITIONS)
     return R.latest_from_changelog(spark, path, ["trial", "metric"])
 
 
@@ -96,7 +96,7 @@ def str4_live_job_status(spark, sf_dir):
     the last emission per job equals the batch fold."""
     stream = _events_stream(spark, sf_dir, "str4", files_per_trigger=2)
     ev = step_events(V.status_events(spark, sf_dir, stream))
-    out = R.run_to_parquet(SS.live_job_status(ev), "str4")
+    out = R.run_to_parquet(SS.live_job_status(ev), "str4", state_partitions=STATE_PARTITIONS)
     changes = spark.read.parquet(out)
     return changes.groupBy("job").agg(F.max_by("status", "version").alias("status"))
 
@@ -114,5 +114,6 @@ def str5_wait_with_timeout(spark, sf_dir):
     time) are still waiting and not listed; the rest equal the batch AGG-9."""
     stream = _events_stream(spark, sf_dir, "str5")
     ev = V.status_events(spark, sf_dir, stream)
-    out = R.run_to_parquet(SS.wait_for_status(ev, ("Complete",), TIMEOUT_S), "str5")
+    out = R.run_to_parquet(SS.wait_for_status(ev, ("Complete",), TIMEOUT_S), "str5",
+                           state_partitions=STATE_PARTITIONS)
     return SS.wait_result(spark.read.parquet(out))

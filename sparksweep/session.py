@@ -41,6 +41,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -75,3 +76,37 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     root = checkpoint_root(spark)
     sep = "" if root.endswith("/") else "/"
     return f"{root}{sep}sparksweep/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``sparksweep`` importable in every Python worker (pandas functions,
+    Arrow sources, stateful processors) by shipping it with ``addPyFile``.
+    Done once per SparkContext; a no-op afterwards."""
+    import os
+    import zipfile
+
+    import sys
+
+    from pyspark import cloudpickle
+
+    # Code sent to Python processes the driver starts itself (stateful
+    # processors, data-source planning) does not see shipped files: pickle
+    # the package's functions and classes by value so they need no import.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__.rsplit(".", 1)[0]])
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="sparksweep-pkg-"), "sparksweep.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)

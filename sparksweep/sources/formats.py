@@ -12,6 +12,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from sparksweep.session import ship_package
+
 # fixed values: the reference's data formats
 FORMATS = ("json", "csv", "parquet", "arrow", "text", "xml")
 ARROW_SOURCE = "sparksweep_arrow"
@@ -93,6 +95,7 @@ def write_arrow(df: DataFrame, path: str) -> None:
         filesystem.move(tmp, final)
         yield pa.RecordBatch.from_pydict({"file": [final], "rows": [rows]})
 
+    ship_package(df.sparkSession)
     df.mapInArrow(write_part, "file string, rows long").collect()  # one small row per task
 
 
@@ -118,6 +121,7 @@ _registered: set = set()
 
 
 def register_arrow(spark: SparkSession) -> None:
+    ship_package(spark)
     key = id(spark)
     if key in _registered:
         return

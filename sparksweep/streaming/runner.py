@@ -15,12 +15,26 @@ from sparksweep.session import shared_dir
 STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def prepare(spark: SparkSession, state_partitions: int | None = None) -> None:
-    """Stateful processors need the RocksDB state store; small tests want few
-    state partitions (the 200 default makes every micro-batch slow)."""
+def prepare(spark: SparkSession) -> None:
+    """Stateful processors need the RocksDB state store."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_PROVIDER)
+
+
+def _start(df: DataFrame, writer_fn, state_partitions: int | None):
+    """Start a query with ``state_partitions`` state partitions (fixed in the
+    checkpoint at the first start) and put the session's setting back."""
+    spark = df.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
     if state_partitions:
-        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+        spark.conf.set(key, str(state_partitions))
+    try:
+        q = writer_fn()
+    finally:
+        spark.conf.set(key, old)
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
 
 
 def land_in_order(df: DataFrame, path: str, ts_col: str = "ts", buckets: int = 6) -> None:
@@ -44,19 +58,16 @@ def file_stream(spark: SparkSession, path: str, schema, files_per_trigger: int =
             .parquet(path))
 
 
-def run_to_parquet(df: DataFrame, name: str, mode: str = "append") -> str:
+def run_to_parquet(df: DataFrame, name: str, mode: str = "append", state_partitions: int | None = None) -> str:
     """Drain ``df`` into a parquet folder (exactly once via the checkpoint)."""
     spark = df.sparkSession
     out, ckpt = shared_dir(spark, f"{name}-out"), shared_dir(spark, f"{name}-ckpt")
-    q = (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
-         .outputMode(mode).trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
+    _start(df, lambda: (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+                        .outputMode(mode).trigger(availableNow=True).start()), state_partitions)
     return out
 
 
-def run_to_changelog(df: DataFrame, name: str, mode: str = "update") -> str:
+def run_to_changelog(df: DataFrame, name: str, mode: str = "update", state_partitions: int | None = None) -> str:
     """Drain an updating result into a changelog folder partitioned by batch id;
     a replayed batch overwrites its own folder, so the log stays exact."""
     spark = df.sparkSession
@@ -66,11 +77,8 @@ def run_to_changelog(df: DataFrame, name: str, mode: str = "update") -> str:
         (batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
          .write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}"))
 
-    q = (df.writeStream.foreachBatch(write).option("checkpointLocation", ckpt).outputMode(mode)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
+    _start(df, lambda: (df.writeStream.foreachBatch(write).option("checkpointLocation", ckpt).outputMode(mode)
+                        .trigger(availableNow=True).start()), state_partitions)
     return out
 
 

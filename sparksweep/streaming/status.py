@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from sparksweep.operators.jobs import COMPLETE, CREATED, FAILED, RUNNING
+from sparksweep.session import ship_package
 
 
 def fold_process_status(statuses) -> str:
@@ -56,6 +57,7 @@ class JobStatusProcessor(StatefulProcessor):
 
 def live_job_status(step_events: DataFrame) -> DataFrame:
     """``step_events``: job, step, ts (TIMESTAMP_NTZ or TIMESTAMP), seq, status."""
+    ship_package(step_events.sparkSession)
     x = step_events.select("job", "step", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"),
                            "seq", "status")
     return x.groupBy("job").transformWithStateInPandas(
@@ -120,6 +122,7 @@ class WaitProcessor(StatefulProcessor):
 def wait_for_status(events: DataFrame, wanted=(COMPLETE,), timeout_s: float = 600, delay: str = "0 seconds"):
     """``events``: job, ts, seq, status. Event time drives both the stream's
     watermark and the time-out timers."""
+    ship_package(events.sparkSession)
     x = events.select("job", F.col("ts").cast("timestamp").alias("event_ts"), "seq", "status")
     x = x.withColumn("ts_us", F.unix_micros("event_ts")).withWatermark("event_ts", delay)
     out = x.groupBy("job").transformWithStateInPandas(
