@@ -51,7 +51,7 @@ def suff_n(n):
     return q
 
 
-EXTRA = {"sweep_16": sweep_n(16), "sweep_256": sweep_n(256), "suffstats_256": suff_n(256)}
+EXTRA = {"sweep_16": sweep_n(16), "sweep_256": sweep_n(256), "sweep_1024": sweep_n(1024), "suffstats_256": suff_n(256)}
 
 
 def run(spark, fn, sf_dir) -> float:

@@ -187,7 +187,8 @@ def sweep_by_function(data: DataFrame, trials: DataFrame, fn, partials: list[str
                 out.append({trial_key: tn, "ok": True, "error": None, **sums[tn]})
         yield pd.DataFrame(out, columns=[f.name for f in fields])
 
-    parts = data.mapInPandas(per_task, schema)
+    from sparksweep.plans.sweep import spread
+    parts = spread(data).mapInPandas(per_task, schema)
     agg = parts.groupBy(trial_key).agg(
         F.bool_and("ok").alias("ok"), F.min("error").alias("error"), *[F.sum(p).alias(p) for p in partials])
     status = F.when(F.col("ok"), F.lit("Succeeded")).otherwise(F.lit("Failed"))

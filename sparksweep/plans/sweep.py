@@ -175,6 +175,17 @@ def trial_table_sql(space: dict, num_trials: int, algorithm, parallel_trials: in
 
 # ---------------------------------------------------------------- scoring
 
+def spread(data: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism) when the input has fewer splits than that. Used
+    before work that is multiplied per row (every trial), where a small input
+    read as one split would otherwise keep one core busy. On large inputs,
+    which already have more splits than cores, it adds nothing."""
+    want = min_partitions or data.sparkSession.sparkContext.defaultParallelism
+    have = data.rdd.getNumPartitions()
+    return data.repartition(want) if have < want else data
+
+
 def _trial_chunks(trials: DataFrame, n_trials: int, limit: int, cols: list[str]) -> list[DataFrame]:
     """One-row DataFrames, each holding an array of at most ``limit`` trials."""
     chunks = max(1, math.ceil(n_trials / limit))
@@ -206,6 +217,7 @@ def score(data: DataFrame, trials: DataFrame, metrics: dict[str, Column], num_tr
     if trial_key not in params:
         params = [trial_key] + params
     aggs = [m.alias(k) for k, m in metrics.items()]
+    data = spread(data)
     parts = []
     for one in _trial_chunks(trials, num_trials, max_broadcast_trials, params):
         pairs = data.crossJoin(one).select(*data.columns, F.inline("_trials"))
