@@ -24,14 +24,14 @@ from sparksweep.streaming import status as SS
 STATE_PARTITIONS = 4
 
 
-def _events_stream(spark, sf_dir, name, replay=False, files_per_trigger=1):
+def _events_stream(spark, sf_dir, name, replay=False, buckets_per_trigger=1):
     R.prepare(spark)
     events = table(spark, sf_dir, "events")
     landed = shared_dir(spark, f"{name}-landed")
-    R.land_in_order(events, landed)
+    k = R.land_in_order(events, landed)
     if replay:
-        R.land_in_order(events, landed)  # the source delivers every row a second time
-    return R.file_stream(spark, landed, events.schema, files_per_trigger)
+        R.land_in_order(events, landed, files_per_bucket=k)  # the source delivers every row a second time
+    return R.file_stream(spark, landed, events.schema, k * buckets_per_trigger)
 
 
 _FIRST_CREATED = """SELECT job FROM (SELECT job, status, row_number() OVER (PARTITION BY job ORDER BY ts, seq) AS rn
@@ -46,7 +46,7 @@ def str1_follow_log(spark, sf_dir):
     se = V.status_events(spark, sf_dir)
     req = se.groupBy("job").agg(F.min_by("status", F.struct("ts", "seq")).alias("first")).filter(
         F.col("first") == "Created").select("job")
-    stream = _events_stream(spark, sf_dir, "str1", state_partitions=STATE_PARTITIONS)
+    stream = _events_stream(spark, sf_dir, "str1")
     lines = V.job_log(spark, sf_dir, V.status_events(spark, sf_dir, stream))
     out = R.run_to_parquet(SL.follow(lines, req).select("job", "seq", "line"), "str1", state_partitions=STATE_PARTITIONS)
     return spark.read.parquet(out)
@@ -55,7 +55,7 @@ def str1_follow_log(spark, sf_dir):
 @register("str2_deliver_once", with_views("SELECT job, seq, line FROM v_job_log", "v_job_log"))
 def str2_deliver_once(spark, sf_dir):
     """Every log line delivered once although the source replays all of them."""
-    stream = _events_stream(spark, sf_dir, "str2", replay=True, files_per_trigger=2)
+    stream = _events_stream(spark, sf_dir, "str2", replay=True, buckets_per_trigger=2)
     lines = V.job_log(spark, sf_dir, V.status_events(spark, sf_dir, stream))
     once = SL.deliver_once(SL.event_time(lines), ["job", "seq"], "event_ts", "1 day")
     out = R.run_to_parquet(once.select("job", "seq", "line"), "str2", state_partitions=STATE_PARTITIONS)
@@ -66,7 +66,7 @@ def str2_deliver_once(spark, sf_dir):
 def str3_live_observations(spark, sf_dir):
     """min / max / latest per (trial, metric) kept up to date by a stream; the
     final state (last update of each key) equals the batch observations."""
-    stream = _events_stream(spark, sf_dir, "str3", files_per_trigger=2)
+    stream = _events_stream(spark, sf_dir, "str3", buckets_per_trigger=2)
     log = SL.event_time(V.metric_log(spark, sf_dir, stream))
     obs = SL.live_observations(log, ["trial"])
     path = R.run_to_changelog(obs, "str3", state_partitions=STATE_PARTITIONS)
@@ -94,7 +94,7 @@ GROUP BY job""", ctes={"se": _STEP_EVENTS_SQL}))
 def str4_live_job_status(spark, sf_dir):
     """Current status of every job from its step events, emitted on change;
     the last emission per job equals the batch fold."""
-    stream = _events_stream(spark, sf_dir, "str4", files_per_trigger=2)
+    stream = _events_stream(spark, sf_dir, "str4", buckets_per_trigger=2)
     ev = step_events(V.status_events(spark, sf_dir, stream))
     out = R.run_to_parquet(SS.live_job_status(ev), "str4", state_partitions=STATE_PARTITIONS)
     changes = spark.read.parquet(out)

@@ -37,20 +37,35 @@ def _start(df: DataFrame, writer_fn, state_partitions: int | None):
         raise q.exception()
 
 
-def land_in_order(df: DataFrame, path: str, ts_col: str = "ts", buckets: int = 6) -> None:
-    """Write ``df`` as ``buckets`` successive appends in event-time order, so a
-    file source sees older files first (as a followed log would arrive)."""
+def land_in_order(df: DataFrame, path: str, ts_col: str = "ts", buckets: int = 6,
+                  files_per_bucket: int | None = None) -> int:
+    """Write ``df`` as ``buckets`` successive appends in event-time order (as a
+    followed log would arrive), each spread over ``files_per_bucket`` files by
+    a round-robin repartition (no bucket is funnelled through one task).
+
+    Returns the files per bucket: a file stream reading that many files per
+    trigger takes exactly one bucket per micro-batch, because the file source
+    picks files oldest first and every bucket is written after the previous one.
+    """
+    spark = df.sparkSession
     b = df.agg(F.min(ts_col).alias("lo"), F.max(ts_col).alias("hi")).first()
+    k = files_per_bucket or max(1, spark.sparkContext.defaultParallelism // 2)
     if b["lo"] is None:
         df.limit(0).write.mode("append").parquet(path)
-        return
+        return k
     lo, hi = b["lo"], b["hi"]
     step = (hi - lo) / buckets
+    conds = []
     for i in range(buckets):
-        a = lo + step * i
-        z = lo + step * (i + 1)
-        cond = (F.col(ts_col) >= F.lit(a)) & ((F.col(ts_col) < F.lit(z)) if i < buckets - 1 else F.lit(True))
-        df.filter(cond).coalesce(1).write.mode("append").parquet(path)
+        a, z = lo + step * i, lo + step * (i + 1)
+        conds.append((F.col(ts_col) >= F.lit(a)) & ((F.col(ts_col) < F.lit(z)) if i < buckets - 1 else F.lit(True)))
+    # every bucket must fill all k files for the one-bucket-per-trigger rule
+    sizes = df.select(*[F.sum(F.when(c, 1).otherwise(0)).alias(f"b{i}") for i, c in enumerate(conds)]).first()
+    k = max(1, min([k] + [int(sizes[f"b{i}"] or 0) for i in range(buckets) if sizes[f"b{i}"]]))
+    for c in conds:
+        part = df.filter(c)
+        part.repartition(k).write.mode("append").parquet(path)
+    return k
 
 
 def file_stream(spark: SparkSession, path: str, schema, files_per_trigger: int = 1) -> DataFrame:
