@@ -112,6 +112,14 @@ def label_selector(labels: Column, equals: dict | None = None, present: list | t
     return reduce(lambda a, b: a & b, terms, F.lit(True))
 
 
+def promote_labels(df: DataFrame, keys: list[str], labels: str = "labels") -> DataFrame:
+    """Copy hot label keys out of the MAP into real columns (``label_<key>``
+    with non-word characters as ``_``). Filters on those columns reach the
+    parquet scan as pushed filters; filters on map entries never do."""
+    import re
+    return df.select("*", *[F.col(labels)[k].alias("label_" + re.sub(r"\W", "_", k)) for k in keys])
+
+
 def step_labels(steps: DataFrame) -> DataFrame:
     """Steps with the pod labels of the cluster backend."""
     kind = F.when(F.col("name").startswith(NODE), F.lit(NODE)).otherwise(F.col("name"))

@@ -103,3 +103,19 @@ def latest_from_changelog(spark: SparkSession, path: str, keys: list[str]) -> Da
     vals = [c for c in log.columns if c not in keys and c != "batch_id"]
     last = log.groupBy(*keys).agg(F.max_by(F.struct(*vals), F.col("batch_id")).alias("v"))
     return last.select(*keys, "v.*")
+
+
+def register_stream(df: DataFrame, path: str, keys: list[str], name: str = "register") -> str:
+    """SNK-1 as a stream: every micro-batch appends only rows whose key the
+    table does not hold yet (the first registration wins). The checkpoint
+    makes a restarted query resume after the last committed batch."""
+    from sparksweep.operators.sinks import register_rows
+    spark = df.sparkSession
+    ckpt = shared_dir(spark, f"{name}-ckpt")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        register_rows(batch.sparkSession, path, batch, keys)
+
+    _start(df, lambda: (df.writeStream.foreachBatch(write).option("checkpointLocation", ckpt)
+                        .trigger(availableNow=True).start()), None)
+    return path

@@ -214,3 +214,30 @@ def test_running_sum_with_skewed_groups(spark):
         exp[r["id"]] = acc.get(r["g"], 0)
         acc[r["g"]] = acc.get(r["g"], 0) + r["v"]
     assert got == exp
+
+
+def test_promoted_labels_reach_the_scan(spark):
+    from sparksweep.operators import jobs as J
+    from sparksweep.session import shared_dir
+    steps = spark.createDataFrame([("j1", "node-0", 0), ("j1", "dataset-initializer", 0), ("j2", "node-1", 1)],
+                                  "job string, name string, idx int")
+    path = shared_dir(spark, "labels")
+    J.promote_labels(J.step_labels(steps), ["replicatedjob-name"]).write.parquet(path)
+    df = spark.read.parquet(path).filter(F.col("label_replicatedjob_name") == "node")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "label_replicatedjob_name" in plan.split("PushedFilters:")[1].split("]")[0]
+    assert sorted(r["name"] for r in df.collect()) == ["node-0", "node-1"]
+
+
+def test_register_stream_keeps_first_rows(spark):
+    from sparksweep.session import shared_dir
+    from sparksweep.streaming import runner as R
+    src = shared_dir(spark, "reg-src")
+    spark.createDataFrame([("j", "s1", "a"), ("j", "s2", "a")], "job string, name string, v string") \
+        .write.parquet(src)
+    spark.createDataFrame([("j", "s2", "b"), ("j", "s3", "b")], "job string, name string, v string") \
+        .write.mode("append").parquet(src)
+    stream = R.file_stream(spark, src, "job string, name string, v string", files_per_trigger=1)
+    out = R.register_stream(stream, shared_dir(spark, "reg-table"), ["job", "name"])
+    got = sorted((r["name"], r["v"]) for r in spark.read.parquet(out).collect())
+    assert [n for n, _ in got] == ["s1", "s2", "s3"] and dict(got)["s3"] == "b"
