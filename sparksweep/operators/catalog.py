@@ -11,11 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# fixed values: document kinds and label keys
+# fixed values: document kinds and the trainer group's name
 RUNTIME_KINDS = ("ClusterTrainingRuntime", "TrainingRuntime")
-FRAMEWORK_LABEL = "trainer.kubeflow.org/framework"
-ANCESTOR_LABEL = "trainer.kubeflow.org/trainjob-ancestor-step"
 NODE = "node"
+# label keys of our runtime documents; pass your documents' keys to the parser
+FRAMEWORK_LABEL = "trainer/framework"
+ANCESTOR_LABEL = "trainer/ancestor-step"
 
 _CONTAINER = T.StructType([T.StructField("name", T.StringType()), T.StructField("image", T.StringType())])
 _POD_SPEC = T.StructType([T.StructField("containers", T.ArrayType(_CONTAINER))])
@@ -45,7 +46,8 @@ def _has_image(c: Column) -> Column:
 
 
 def parse_runtime_documents(docs: DataFrame, doc_col: str = "doc", keep: list[str] | tuple = (),
-                            mode: str = "files") -> DataFrame:
+                            mode: str = "files", framework_label: str = FRAMEWORK_LABEL,
+                            ancestor_label: str = ANCESTOR_LABEL) -> DataFrame:
     """Flatten runtime documents: name, framework, num_nodes (default 1), image.
 
     ``files`` (catalog files): the replicated job named ``node``; image of its
@@ -63,7 +65,7 @@ def parse_runtime_documents(docs: DataFrame, doc_col: str = "doc", keep: list[st
         trainer_job = F.try_element_at(F.filter(rjobs, lambda j: j["name"] == NODE), F.lit(1))
     else:
         trainer_job = F.try_element_at(F.filter(
-            rjobs, lambda j: F.coalesce(F.map_contains_key(j["template"]["metadata"]["labels"], ANCESTOR_LABEL),
+            rjobs, lambda j: F.coalesce(F.map_contains_key(j["template"]["metadata"]["labels"], ancestor_label),
                                         F.lit(False))), F.lit(1))
     containers = trainer_job["template"]["spec"]["template"]["spec"]["containers"]
     node_img = F.try_element_at(F.filter(containers, lambda c: (c["name"] == NODE) & _has_image(c)), F.lit(1))["image"]
@@ -71,7 +73,7 @@ def parse_runtime_documents(docs: DataFrame, doc_col: str = "doc", keep: list[st
         img = F.coalesce(node_img, F.try_element_at(F.filter(containers, _has_image), F.lit(1))["image"])
     else:
         img = node_img
-    framework = F.col("d.metadata.labels")[FRAMEWORK_LABEL]
+    framework = F.col("d.metadata.labels")[framework_label]
     blank = F.col("d").isNull() | (F.col("d.kind").isNull() & F.col("d.metadata").isNull() & F.col("d.spec").isNull())
     bad_kind = ~F.coalesce(F.col("d.kind").isin(*RUNTIME_KINDS), F.lit(False)) | F.col("d.metadata").isNull()
     if mode == "cluster":

@@ -109,7 +109,7 @@ def test_canonical_names(spark):
 
 
 def test_catalog_source_urls(spark):
-    urls = [("github://kubeflow/trainer", "github", "kubeflow/trainer"),
+    urls = [("github://owner/repo", "github", "owner/repo"),
             ("github://o/r/path/x", "github", "o/r/path/x"),
             ("https://x.io/rt.yaml", "https", "https://x.io/rt.yaml"),
             ("http://x.io/rt.yaml", "http", "http://x.io/rt.yaml"),
