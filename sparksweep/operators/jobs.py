@@ -91,11 +91,13 @@ def effective_num_nodes(job_nodes: Column, runtime_nodes: Column) -> Column:
 # ---------------------------------------------------------------- lookups and filters
 
 def lookup(df: DataFrame, names: DataFrame, key: str = "job", name_col: str = "name") -> DataFrame:
-    """FLT-1: every requested name with ``found``; the missing ones are the errors."""
+    """FLT-1: every requested name with ``found``; the missing ones are the
+    errors. One left join of the distinct names against the distinct keys
+    (both sides already hash partitioned on the name by their distinct)."""
     req = names.select(F.col(name_col).alias("_req")).distinct()
-    hit = req.join(df.select(F.col(key).alias("_req")), "_req", "left_semi").withColumn("found", F.lit(True))
-    miss = req.join(df.select(F.col(key).alias("_req")), "_req", "left_anti").withColumn("found", F.lit(False))
-    return hit.unionByName(miss).withColumnRenamed("_req", name_col)
+    have = df.select(F.col(key).alias("_req")).distinct().withColumn("_hit", F.lit(True))
+    x = req.join(have, "_req", "left")
+    return x.select(F.col("_req").alias(name_col), F.coalesce(F.col("_hit"), F.lit(False)).alias("found"))
 
 
 def jobs_of_runtime(jobs: DataFrame, runtime: str, ref: str = "runtime_ref") -> DataFrame:

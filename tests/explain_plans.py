@@ -26,15 +26,26 @@ def summary(plan: str) -> dict:
 
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.1"
-    names = [a for a in argv[1:] if not a.startswith("/")]
+    names = [a for a in argv[1:] if not a.startswith("/") and not a.startswith("--")]
+    markdown = "--md" in argv
     from sparksweep.plans import registry
     from sparksweep.session import local_session
     spark = local_session()
     registry.load_all()
+    if "--all" in argv:
+        names = [n for n in sorted(registry.QUERIES) if not n.startswith("str")]
+    if markdown:
+        print("| Query | Exchanges | Broadcasts | Scans (read schema) | Pushed filters |")
+        print("|---|---|---|---|---|")
     for n in names:
         df = registry.QUERIES[n](spark, sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
         s = summary(plan)
+        if markdown:
+            scans = "<br>".join(sorted(set(x.replace("struct<", "").rstrip(">")[:90] for x in s["scans"]))) or "(checkpoint)"
+            pushed = "<br>".join(sorted(set(p for p in s["pushed"] if p != "[]"))) or "-"
+            print(f"| `{n}` | {s['exchanges']} | {s['broadcasts']} | {scans} | {pushed[:160]} |", flush=True)
+            continue
         print(f"== {n}: {s['exchanges']} exchanges, {s['broadcasts']} broadcasts")
         for sc in s["scans"]:
             print("   scan", sc[:160])
