@@ -377,3 +377,29 @@ def top2_trial_cap(spark, sf_dir):
     """Each experiment capped at num_trials = 5 by trial number (a filter, not limit())."""
     x = _trial_numbers(spark, sf_dir)
     return x.filter(F.col("trial_no") < CAP).select("experiment", "job", "trial_no")
+
+
+POLL_TIMEOUT_S, POLL_S = 600, 120
+
+
+@register("agg9_wait_outcome_polled", with_views(f"""
+SELECT job, start,
+       CASE WHEN poll IS NULL THEN 'timed_out' WHEN d_status = 'Complete' THEN 'reached' ELSE 'failed' END AS outcome,
+       CASE WHEN poll IS NOT NULL THEN d_status END AS status,
+       start + to_seconds(coalesce(poll, {round(POLL_TIMEOUT_S / POLL_S)}) * {POLL_S}) AS decided_at
+FROM (SELECT job, start, arg_min(status, poll) AS d_status, min(poll) AS poll FROM (
+        SELECT job, start, status,
+               CASE WHEN first_poll <= last_poll AND status IN ('Complete', 'Failed') THEN first_poll END AS poll
+        FROM (SELECT job, start, status,
+                     CAST(ceil(CAST(datediff('microsecond', start, ts) AS DOUBLE) / {POLL_S * 1_000_000}) AS BIGINT) AS first_poll,
+                     CASE WHEN next_ts IS NULL THEN {round(POLL_TIMEOUT_S / POLL_S) - 1}
+                          ELSE least(CAST(ceil(CAST(datediff('microsecond', start, next_ts) AS DOUBLE) / {POLL_S * 1_000_000}) AS BIGINT) - 1,
+                                     {round(POLL_TIMEOUT_S / POLL_S) - 1}) END AS last_poll
+              FROM (SELECT job, ts, seq, status,
+                           lead(ts) OVER (PARTITION BY job ORDER BY ts, seq) AS next_ts,
+                           min(ts) OVER (PARTITION BY job) AS start
+                    FROM v_status_events) e) f) c
+      GROUP BY job, start) g""", "v_status_events"))
+def agg9_wait_outcome_polled(spark, sf_dir):
+    """Waiting for Complete as the cluster backend does it: 5 reads 120 s apart."""
+    return S.wait_outcome_polled(V.status_events(spark, sf_dir), ("Complete",), POLL_TIMEOUT_S, POLL_S)

@@ -221,3 +221,17 @@ def test_cluster_mode_needs_the_node_container(spark):
     got = {r["name"]: (r["image"], r["error"]) for r in
            C.parse_runtime_documents(C.runtime_documents(cat), mode="cluster").collect()}
     assert got == {"a": ("img/a", None), "b": (None, "no trainer container"), "c": (None, "no trainer container")}
+
+
+def test_polling_misses_a_status_between_reads(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    ev = spark.createDataFrame([
+        ("j", t0, 1, "Running"), ("j", t0 + dt.timedelta(seconds=30), 2, "Failed"),
+        ("j", t0 + dt.timedelta(seconds=60), 3, "Running"), ("j", t0 + dt.timedelta(seconds=130), 4, "Complete"),
+        ("k", t0, 5, "Running")], "job string, ts timestamp_ntz, seq long, status string")
+    polled = {r["job"]: (r["outcome"], r["decided_at"]) for r in
+              S.wait_outcome_polled(ev, ("Complete",), 600, 120).collect()}
+    assert polled["j"] == ("reached", t0 + dt.timedelta(seconds=240))
+    assert polled["k"] == ("timed_out", t0 + dt.timedelta(seconds=600))
+    continuous = {r["job"]: r["outcome"] for r in S.wait_outcome(ev, ("Complete",), 600, 120).collect()}
+    assert continuous["j"] == "failed"
