@@ -50,6 +50,11 @@ def ordered_distinct(df: DataFrame, keys: list[str], value: str, pos: str = "pos
     return df.groupBy(*keys, value).agg(F.min(pos).alias(pos))
 
 
+def ordered_distinct_array(values: Column) -> Column:
+    """SET-1 on an array column: distinct values in first-seen order."""
+    return F.array_distinct(values)
+
+
 def duplicate_names(reqs: DataFrame, job: str = "job") -> DataFrame:
     """AGG-8: every (job, canonical name) listed more than once; the reference
     raises on the first, we report them all."""

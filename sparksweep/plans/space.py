@@ -79,3 +79,23 @@ def settings_from_part(part: DataFrame) -> DataFrame:
                        kind.alias("kind"), lo.alias("min_text"), hi.alias("max_text"), dist.alias("distribution"),
                        choices.alias("choices_text"))
 
+
+
+def algorithm_settings(algorithm) -> list[tuple[str, str]]:
+    """The forward direction: an algorithm as stored (name, value) text
+    settings; ``random_state`` is written only when set."""
+    from sparksweep.plans.sweep import GridSearch, RandomSearch
+    if isinstance(algorithm, RandomSearch):
+        return [] if algorithm.random_state is None else [("random_state", str(algorithm.random_state))]
+    if isinstance(algorithm, GridSearch):
+        return []
+    raise ValueError(f"unknown algorithm {algorithm!r}")
+
+
+def algorithm_name(algorithm) -> str:
+    from sparksweep.plans.sweep import GridSearch, RandomSearch
+    if isinstance(algorithm, RandomSearch):
+        return "random"
+    if isinstance(algorithm, GridSearch):
+        return "grid"
+    raise ValueError(f"unknown algorithm {algorithm!r}")

@@ -235,3 +235,23 @@ def test_polling_misses_a_status_between_reads(spark):
     assert polled["k"] == ("timed_out", t0 + dt.timedelta(seconds=600))
     continuous = {r["job"]: r["outcome"] for r in S.wait_outcome(ev, ("Complete",), 600, 120).collect()}
     assert continuous["j"] == "failed"
+
+
+def test_numeric_step_order_and_array_distinct(spark):
+    s = spark.createDataFrame([("j", n) for n in ["node-2", "node-10", "node-1", "dataset-initializer"]],
+                              "job string, name string")
+    order = [n for _, n in sorted((r["step_rank"], r["name"]) for r in S.step_order(s, numeric=True).collect())]
+    assert order == ["dataset-initializer", "node-1", "node-2", "node-10"]
+    arr = spark.createDataFrame([(["b", "a", "b", "c", "a"],)], "v array<string>")
+    assert arr.select(R.ordered_distinct_array(F.col("v"))).first()[0] == ["b", "a", "c"]
+
+
+def test_algorithm_round_trip(spark):
+    from sparksweep.plans import sweep as SW
+    algo = SW.RandomSearch(7)
+    settings = dict(SP.algorithm_settings(algo))
+    df = spark.createDataFrame([("e", SP.algorithm_name(algo), settings["random_state"])],
+                               "experiment string, algorithm string, random_state string")
+    got = SP.read_back_algorithm(df).first()
+    assert (got["algorithm"], got["random_state"], got["error"]) == ("RandomSearch", 7, None)
+    assert SP.algorithm_settings(SW.GridSearch()) == []
