@@ -21,7 +21,7 @@ def extract_metrics(logs: DataFrame, line_col: str, keep: list[str]) -> DataFram
     pairs = F.arrays_zip(F.regexp_extract_all(line, F.lit(METRIC_PAIR), 1).alias("name"),
                          F.regexp_extract_all(line, F.lit(METRIC_PAIR), 2).alias("text"))
     x = logs.select(*keep, F.posexplode(pairs).alias("pair_no", "p"))
-    return x.select(*keep, "pair_no", F.col("p.name").alias("metric"),
+    return x.select(*keep, F.col("pair_no").cast("bigint").alias("pair_no"), F.col("p.name").alias("metric"),
                     F.col("p.text").try_cast("double").alias("value"))
 
 

@@ -15,7 +15,7 @@ from sparksweep.sources import catalog as SC
 from sparksweep.sources import uris as U
 
 _PRJ2_SQL = """
-SELECT name, pos, framework, CASE WHEN pos % 4 <> 0 THEN num_nodes ELSE 1 END AS num_nodes,
+SELECT name, pos, framework, CAST(CASE WHEN pos % 4 <> 0 THEN num_nodes ELSE 1 END AS BIGINT) AS num_nodes,
        CASE WHEN pos % 3 = 2 THEN coalesce(image, 'img/init') ELSE image END AS image,
        CASE WHEN pos % 11 = 0 THEN 'not a runtime document'
             WHEN coalesce(name, '') = '' THEN 'missing name'
@@ -220,7 +220,7 @@ def src2_source_uris(spark, sf_dir):
 
 
 @register("prj2_runtime_documents_cluster", with_views("""
-SELECT name, pos, framework, CASE WHEN pos % 4 <> 0 THEN num_nodes ELSE 1 END AS num_nodes,
+SELECT name, pos, framework, CAST(CASE WHEN pos % 4 <> 0 THEN num_nodes ELSE 1 END AS BIGINT) AS num_nodes,
        CASE WHEN pos % 3 = 1 THEN NULL ELSE image END AS image,
        CASE WHEN coalesce(name, '') = '' THEN 'missing name'
             WHEN coalesce(framework, '') = '' THEN 'missing framework'

@@ -25,7 +25,7 @@ def _round_trip(fmt):
         FM.write_dataset(docs, path, fmt)
         schema = "doc_id bigint, lang string, source string, n_chars bigint, text string"
         back = FM.read_dataset(spark, path, fmt, schema=None if fmt in ("parquet", "arrow") else schema)
-        return back.select("doc_id", "lang", "source", "n_chars", F.length("text").alias("text_len"),
+        return back.select("doc_id", "lang", "source", "n_chars", F.length("text").cast("bigint").alias("text_len"),
                            F.md5("text").alias("text_md5"))
     q.__doc__ = f"Documents written as {fmt} and read back by declared format."
     return q

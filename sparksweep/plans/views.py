@@ -66,7 +66,7 @@ def steps(spark, sf_dir) -> DataFrame:
     bounds (at most seven lines), so no window partition can grow with the data."""
     li = table(spark, sf_dir, "lineitem")
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
-    x = li.withColumn("idx", F.row_number().over(w) - 1)
+    x = li.withColumn("idx", (F.row_number().over(w) - 1).cast("bigint"))
     idx = F.col("idx")
     rf, ls = F.col("l_returnflag"), F.col("l_linestatus")
     return x.select(

@@ -24,7 +24,8 @@ def split_lines(df: DataFrame, text_col: str, keep: list[str], line_col: str = "
     """One row per line: ``keep`` columns, 0-based ``index_col``, ``line_col``."""
     t = F.col(text_col)
     body = df.filter(t.isNotNull() & (F.length(t) > 0))
-    return body.select(*keep, F.posexplode(F.split(normalized(t), "\n", -1)).alias(index_col, line_col))
+    x = body.select(*keep, F.posexplode(F.split(normalized(t), "\n", -1)).alias(index_col, line_col))
+    return x.withColumn(index_col, F.col(index_col).cast("bigint"))
 
 
 def read_text_logs(spark, paths, keep_path: bool = True) -> DataFrame:
