@@ -130,11 +130,15 @@ def step_labels(steps: DataFrame) -> DataFrame:
         F.lit("job-completion-index"), F.col("idx").cast("string")))
 
 
-def validate(df: DataFrame, required: dict[str, str], strict: bool = False):
+def validate(df: DataFrame, required: dict[str, str], strict: bool = False, cache: bool = False):
     """FLT-4: split rows into (valid, rejects). ``required`` maps a column to the
-    reason text used when it is NULL. Strict mode raises on the first reject."""
+    reason text used when it is NULL. Strict mode raises on the first reject.
+    ``cache`` keeps the tagged rows (memory, then disk) when both outputs are used,
+    so the input is read once."""
     reasons = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(r)) for c, r in required.items()]))
     tagged = df.withColumn("_reasons", reasons)
+    if cache:
+        tagged = tagged.persist()
     valid = tagged.filter(F.size("_reasons") == 0).drop("_reasons")
     rejects = tagged.filter(F.size("_reasons") > 0).withColumn("reason", F.array_join("_reasons", "; ")).drop(
         "_reasons")

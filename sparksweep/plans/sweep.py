@@ -181,8 +181,11 @@ def spread(data: DataFrame, min_partitions: int | None = None) -> DataFrame:
     before work that is multiplied per row (every trial), where a small input
     read as one split would otherwise keep one core busy. On large inputs,
     which already have more splits than cores, it adds nothing."""
-    want = min_partitions or data.sparkSession.sparkContext.defaultParallelism
-    have = data.rdd.getNumPartitions()
+    try:
+        want = min_partitions or data.sparkSession.sparkContext.defaultParallelism
+        have = data.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a remote session): leave the plan as it is
+        return data
     return data.repartition(want) if have < want else data
 
 

@@ -241,3 +241,25 @@ def test_register_stream_keeps_first_rows(spark):
     out = R.register_stream(stream, shared_dir(spark, "reg-table"), ["job", "name"])
     got = sorted((r["name"], r["v"]) for r in spark.read.parquet(out).collect())
     assert [n for n, _ in got] == ["s1", "s2", "s3"] and dict(got)["s3"] == "b"
+
+
+def test_requirement_merge_is_idempotent(spark):
+    from pyspark.sql import Window
+    from sparksweep.operators import requirements as R
+    rnd = random.Random(11)
+    names = ["torch", "Torch", "numpy", "NumPy", "pandas", "scipy", "a_b", "a-b", "A.B"]
+    rt = [(j, p, f"{rnd.choice(names)}=={p}") for j in range(4) for p in range(12)]
+    jb = [(j, p, f"{n}>=1") for j in range(3) for p, n in enumerate(rnd.sample(["torch", "pandas", "x-y"], 2))]
+    rt_df = spark.createDataFrame(rt, "job int, pos int, requirement string")
+    jb_df = spark.createDataFrame(jb, "job int, pos int, requirement string")
+    once = R.merge(rt_df, jb_df)
+    w = Window.partitionBy("job").orderBy("section", "pos")
+    as_runtime = once.select("job", F.row_number().over(w).alias("pos"), "requirement")
+    twice = R.merge(as_runtime, jb_df)
+
+    def seq(df):
+        out = {}
+        for r in sorted(df.collect(), key=lambda r: (r["job"], r["section"], r["pos"])):
+            out.setdefault(r["job"], []).append(r["requirement"])
+        return out
+    assert seq(once) == seq(twice)
