@@ -22,7 +22,6 @@ from sparksweep.session import checkpoint_root
 
 _PID = "_ss_pid"
 _LOCAL = "_ss_local"
-BROADCAST_GROUPS = 1_000_000
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
@@ -60,10 +59,10 @@ def with_row_index(df: DataFrame, order_cols: list[str], index_col: str = "row_i
     out = ranged.withColumn(index_col, (off + F.col(_LOCAL)).cast("bigint")).drop(_PID, _LOCAL)
     if group_index_col and group_cols:
         ren = {c: f"_ss_g{i}" for i, c in enumerate(group_cols)}
-        starts = out.groupBy(*[F.col(c).alias(ren[c]) for c in group_cols]).agg(
+        # one row per group; AQE measures it at run time and broadcasts it when
+        # small, else keeps a sort-merge join (with skew splitting for a hot group)
+        side = out.groupBy(*[F.col(c).alias(ren[c]) for c in group_cols]).agg(
             F.min(index_col).alias("_ss_start"))
-        n_groups = starts.limit(BROADCAST_GROUPS + 1).count()
-        side = F.broadcast(starts) if n_groups <= BROADCAST_GROUPS else starts
         cond = [out[c].eqNullSafe(side[ren[c]]) for c in group_cols]
         out = (out.join(side, cond)
                .withColumn(group_index_col, F.col(index_col) - F.col("_ss_start"))
@@ -102,9 +101,7 @@ def with_running_sum(df: DataFrame, order_cols: list[str], value_col: str, out_c
     x = ranged.withColumn("_ss_cum", off + F.coalesce(F.sum("_ss_v").over(w), F.lit(0.0)))
     if group_cols:
         ren = {c: f"_ss_g{i}" for i, c in enumerate(group_cols)}
-        starts = x.groupBy(*[F.col(c).alias(ren[c]) for c in group_cols]).agg(F.min("_ss_cum").alias("_ss_start"))
-        n_groups = starts.limit(BROADCAST_GROUPS + 1).count()
-        side = F.broadcast(starts) if n_groups <= BROADCAST_GROUPS else starts
+        side = x.groupBy(*[F.col(c).alias(ren[c]) for c in group_cols]).agg(F.min("_ss_cum").alias("_ss_start"))
         cond = [x[c].eqNullSafe(side[ren[c]]) for c in group_cols]
         x = x.join(side, cond).withColumn(out_col, F.col("_ss_cum") - F.col("_ss_start")).drop(
             "_ss_start", *ren.values())
