@@ -73,5 +73,12 @@ def write_catalog_sources(catalog_docs: DataFrame, base: str, files_per_source:
     (catalog_docs.select("prio", "pos", "doc")
      .repartitionByRange(files_per_source * 3, "prio", "pos").sortWithinPartitions("prio", "pos")
      .select("prio", "doc").write.partitionBy("prio").mode("overwrite").text(base))
-    prios = sorted(r["prio"] for r in catalog_docs.select("prio").distinct().collect())
+    # the source folders are read back from the file system listing (metadata,
+    # one entry per source), not collected from the data
+    spark = catalog_docs.sparkSession
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(base)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    prios = sorted(int(st.getPath().getName().split("=", 1)[1]) for st in fs.listStatus(root)
+                   if st.isDirectory() and st.getPath().getName().startswith("prio="))
     return [f"{base}/prio={p}" for p in prios]
