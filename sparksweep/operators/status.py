@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparksweep.operators.jobs import (COMPLETE, CREATED, FAILED, NODE, POD_SUCCEEDED, RUNNING, UNKNOWN,
-                                       bounded_broadcast)
+from sparksweep.operators.jobs import COMPLETE, CREATED, FAILED, NODE, POD_SUCCEEDED, RUNNING, UNKNOWN
 from sparksweep.operators.ordinal import with_row_index, with_running_sum
 
 JOB_STATUSES = (CREATED, RUNNING, COMPLETE, FAILED)
@@ -266,6 +265,3 @@ def resource_totals(resources: DataFrame, jobs: DataFrame) -> DataFrame:
     return x.groupBy("runtime_ref", "resource").agg(
         F.sum(F.col("per_node") * F.col("num_nodes")).alias("total"),
         F.count(F.lit(1)).alias("jobs"))
-
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["bounded_broadcast"]

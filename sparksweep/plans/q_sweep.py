@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from sparksweep.plans import sweep as S
 from sparksweep.plans.registry import register
 from sparksweep.plans.views import table, with_views
