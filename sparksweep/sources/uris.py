@@ -77,3 +77,25 @@ def resolve(uri: Column, num_data_nodes: Column | None = None, mounts: dict | No
             .when(kind == "s3", F.regexp_replace(uri, r"^s3://", "s3a://"))
             .when(kind == "cache", F.array_join(cache_parts, ".")))
     return kind, F.when(err.isNull(), scan), err
+
+
+def mount_paths(uris: DataFrame, mounts: DataFrame, uri_col: str = "uri") -> DataFrame:
+    """SRC-2 with a mount table: ``mounts`` (scheme, host, base), one row per
+    (scheme, host), says where the files of a scheme and host were landed; each
+    URI gets ``local_path`` = base + host + path. A host-specific mount wins over
+    the scheme-wide one (host NULL). Two left joins keep the URI rows one to
+    one; the mount table is small by nature and broadcast after a size check."""
+    from sparksweep.operators.jobs import bounded_broadcast
+    u = (uris.withColumn("_scheme", F.regexp_extract(F.col(uri_col), r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1))
+         .withColumn("_host", F.regexp_extract(F.col(uri_col), HOST_RE, 1))
+         .withColumn("_path", F.regexp_extract(F.col(uri_col), PATH_RE, 1)))
+    by_host = bounded_broadcast(mounts.filter(F.col("host").isNotNull()).select(
+        F.col("scheme").alias("_s1"), F.col("host").alias("_h1"), F.col("base").alias("_b1")))
+    by_scheme = bounded_broadcast(mounts.filter(F.col("host").isNull()).select(
+        F.col("scheme").alias("_s2"), F.col("base").alias("_b2")))
+    x = (u.join(by_host, (u["_scheme"] == by_host["_s1"]) & (u["_host"] == by_host["_h1"]), "left")
+         .join(by_scheme, u["_scheme"] == by_scheme["_s2"], "left"))
+    base = F.coalesce(F.col("_b1"), F.col("_b2"))
+    path = F.when(base.isNotNull(), F.concat(F.regexp_replace(base, "/+$", ""), F.lit("/"), F.col("_host"),
+                                              F.col("_path")))
+    return x.select(*uris.columns, path.alias("local_path"))

@@ -35,6 +35,18 @@ def _start(df: DataFrame, writer_fn, state_partitions: int | None):
     q.awaitTermination()
     if q.exception():
         raise q.exception()
+    return run_stats(q)
+
+
+def run_stats(q) -> dict:
+    """Rows read and rows a stateful operator dropped as late (behind the
+    watermark), summed over the query's recent progress reports."""
+    read = dropped = 0
+    for p in q.recentProgress:
+        read += int(p.numInputRows or 0)
+        for op in p.stateOperators or []:
+            dropped += int(op.numRowsDroppedByWatermark or 0)
+    return {"rows_read": read, "rows_dropped_late": dropped, "batches": len(q.recentProgress)}
 
 
 def land_in_order(df: DataFrame, path: str, ts_col: str = "ts", buckets: int = 6,
@@ -73,12 +85,17 @@ def file_stream(spark: SparkSession, path: str, schema, files_per_trigger: int =
             .parquet(path))
 
 
-def run_to_parquet(df: DataFrame, name: str, mode: str = "append", state_partitions: int | None = None) -> str:
-    """Drain ``df`` into a parquet folder (exactly once via the checkpoint)."""
+def run_to_parquet(df: DataFrame, name: str, mode: str = "append", state_partitions: int | None = None,
+                   stats: dict | None = None) -> str:
+    """Drain ``df`` into a parquet folder (exactly once via the checkpoint).
+    ``stats``, when given, receives rows read and rows dropped as late."""
     spark = df.sparkSession
     out, ckpt = shared_dir(spark, f"{name}-out"), shared_dir(spark, f"{name}-ckpt")
-    _start(df, lambda: (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
-                        .outputMode(mode).trigger(availableNow=True).start()), state_partitions)
+    got = _start(df, lambda: (df.writeStream.format("parquet").option("path", out)
+                              .option("checkpointLocation", ckpt).outputMode(mode)
+                              .trigger(availableNow=True).start()), state_partitions)
+    if stats is not None:
+        stats.update(got)
     return out
 
 

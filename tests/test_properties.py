@@ -263,3 +263,33 @@ def test_requirement_merge_is_idempotent(spark):
             out.setdefault(r["job"], []).append(r["requirement"])
         return out
     assert seq(once) == seq(twice)
+
+
+def test_mount_table_paths(spark):
+    from sparksweep.sources import uris as U
+    uris = spark.createDataFrame([("hf://org/data/x.json",), ("hf://other/set",), ("s3://b/k/v",), ("gs://z/y",)],
+                                 "uri string")
+    mounts = spark.createDataFrame([("hf", None, "/mnt/hf"), ("hf", "org", "/fast/hf-org/"), ("s3", None, "/mnt/s3")],
+                                   "scheme string, host string, base string")
+    got = {r["uri"]: r["local_path"] for r in U.mount_paths(uris, mounts).collect()}
+    assert got == {"hf://org/data/x.json": "/fast/hf-org/org/data/x.json", "hf://other/set": "/mnt/hf/other/set",
+                   "s3://b/k/v": "/mnt/s3/b/k/v", "gs://z/y": None}
+
+
+def test_replayed_rows_are_counted_as_late(spark, sf_dir):
+    from sparksweep.plans import views as V
+    from sparksweep.session import shared_dir
+    from sparksweep.streaming import logs as SL
+    from sparksweep.streaming import runner as R
+    events = V.table(spark, sf_dir, "events")
+    landed = shared_dir(spark, "late")
+    k = R.land_in_order(events, landed)
+    R.land_in_order(events, landed, files_per_bucket=k)
+    stream = R.file_stream(spark, landed, events.schema, 2 * k)
+    lines = V.job_log(spark, sf_dir, V.status_events(spark, sf_dir, stream))
+    stats = {}
+    out = R.run_to_parquet(SL.deliver_once(SL.event_time(lines), ["job", "seq"], "event_ts", "1 day")
+                           .select("job", "seq"), "late", state_partitions=4, stats=stats)
+    n = events.count()
+    assert spark.read.parquet(out).count() == n
+    assert stats["rows_read"] == 2 * n and 0 < stats["rows_dropped_late"] <= n
