@@ -219,6 +219,9 @@ def score(data: DataFrame, trials: DataFrame, metrics: dict[str, Column], num_tr
         params = [c for c in trials.columns if c not in ("parameters", "trial") and c not in data.columns]
     if trial_key not in params:
         params = [trial_key] + params
+    # the declared size decides the broadcast: check it (reads at most n + 1 trial rows)
+    if trials.limit(num_trials + 1).count() > num_trials:
+        raise ValueError(f"the trial table has more than the declared num_trials={num_trials} rows")
     aggs = [m.alias(k) for k, m in metrics.items()]
     data = spread(data)
     parts = []
