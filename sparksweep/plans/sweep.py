@@ -2,14 +2,15 @@
 pass over the data -> best trial (HPO-4..7, HPO-6, TOP-1, TOP-2, WIN-3).
 
 Plan shape of ``score``: the data is scanned once. The trial table (its size
-is declared by ``num_trials`` and checked here) is folded into ONE broadcast
-row holding an array of trial structs; every data row is joined to that row
-and the array is exploded with ``inline`` inside the scan stage (scan ->
-project -> broadcast join -> generate -> partial aggregate, one codegen
-pipeline, no per-pair hash join). Partial aggregation collapses rows x trials
-to trials per task before the only shuffle, which is ``trials x tasks`` rows,
-independent of the data size. Trial tables larger than ``max_broadcast_trials``
-are scored in chunks, each chunk broadcast on its own.
+is declared by ``num_trials`` and checked) is folded, inside Spark, into ONE
+row per pass holding the array of its trial structs, keyed by a sweep-set
+key. Every data row looks that row up with a broadcast hash join on the key
+(one build row) and explodes the array with ``inline`` inside the scan stage:
+scan -> project -> broadcast hash join -> generate -> per-pair projection ->
+partial aggregate, one codegen pipeline. Partial aggregation collapses
+rows x trials to trials per task before the only shuffle, which is
+``trials x tasks`` rows, independent of the data size. Sweeps larger than
+``TRIALS_PER_PASS`` are split by hash into passes of about that size.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ from pyspark.sql import functions as F
 
 from sparksweep.functions.search import Choice, LogUniform, Uniform, unit_draw, unit_draw_sql
 
-MAX_BROADCAST_TRIALS = 50_000
+MAX_BROADCAST_TRIALS = 50_000   # join-back of trial attributes is broadcast up to this size
+TRIALS_PER_PASS = 50_000        # trials carried in one broadcast row per pass over the data
 TRIALS_PER_PARTITION = 100_000
 
 
@@ -189,44 +191,46 @@ def spread(data: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return data.repartition(want) if have < want else data
 
 
-def _trial_chunks(trials: DataFrame, n_trials: int, limit: int, cols: list[str]) -> list[DataFrame]:
-    """One-row DataFrames, each holding an array of at most ``limit`` trials."""
-    chunks = max(1, math.ceil(n_trials / limit))
+def _trial_sets(trials: DataFrame, n_trials: int, per_pass: int, cols: list[str]) -> list[DataFrame]:
+    """One broadcast row per pass: (_set, _trials ARRAY<STRUCT>), built in Spark.
+    Passes split the trials by a hash of the trial key, so any trial numbering works."""
+    passes = max(1, math.ceil(n_trials / per_pass))
     out = []
-    for i in range(chunks):
-        part = trials if chunks == 1 else trials.filter(
-            (F.col("trial_no") >= i * limit) & (F.col("trial_no") < (i + 1) * limit))
-        out.append(F.broadcast(part.agg(F.collect_list(F.struct(*cols)).alias("_trials"))))
+    for i in range(passes):
+        part = trials if passes == 1 else trials.filter(
+            F.pmod(F.xxhash64(F.col(cols[0])), F.lit(passes)) == i)
+        row = part.agg(F.collect_list(F.struct(*cols)).alias("_trials")).withColumn("_set", F.lit(0))
+        out.append(F.broadcast(row))
     return out
 
 
 def score(data: DataFrame, trials: DataFrame, metrics: dict[str, Column], num_trials: int,
           trial_key: str = "trial_no", keep: list[str] | None = None,
           max_broadcast_trials: int = MAX_BROADCAST_TRIALS, pair_cols: dict[str, Column] | None = None,
-          params: list[str] | None = None) -> DataFrame:
+          params: list[str] | None = None, trials_per_pass: int = TRIALS_PER_PASS) -> DataFrame:
     """Score every trial over ``data`` in one pass (HPO-7).
 
     ``pair_cols`` (optional) are per (row, trial) expressions computed once in
     a projection right after the trials fan out (e.g. the error); ``metrics``
     maps a name to an aggregate Column over the joined rows or those pair
-    columns. ``num_trials`` is the declared size of ``trials``; it decides the
-    number of broadcast chunks. ``params`` are the trial columns shipped with
-    the array (default: all but the map); ``keep`` the trial columns carried
-    into the result.
+    columns. ``num_trials`` is the declared size of ``trials`` (checked).
+    ``params`` are the trial columns carried in the array (default: all but the
+    map); ``keep`` the trial columns carried into the result.
     """
     keep = keep if keep is not None else [c for c in trials.columns if c not in ("parameters",)]
     if params is None:
         params = [c for c in trials.columns if c not in ("parameters", "trial") and c not in data.columns]
     if trial_key not in params:
         params = [trial_key] + params
-    # the declared size decides the broadcast: check it (reads at most n + 1 trial rows)
+    # the declared size bounds what is broadcast: check it (reads at most n + 1 rows)
     if trials.limit(num_trials + 1).count() > num_trials:
         raise ValueError(f"the trial table has more than the declared num_trials={num_trials} rows")
     aggs = [m.alias(k) for k, m in metrics.items()]
     data = spread(data)
     parts = []
-    for one in _trial_chunks(trials, num_trials, max_broadcast_trials, params):
-        pairs = data.crossJoin(one).select(*data.columns, F.inline("_trials"))
+    keyed = data.withColumn("_set", F.lit(0))
+    for one in _trial_sets(trials, num_trials, trials_per_pass, params):
+        pairs = keyed.join(one, "_set").select(*data.columns, F.inline("_trials"))
         if pair_cols:
             pairs = pairs.select(trial_key, *[c.alias(k) for k, c in pair_cols.items()])
         parts.append(pairs.groupBy(trial_key).agg(*aggs))
@@ -334,21 +338,22 @@ def linear_sufficient_stats(data: DataFrame, x: Column, targets: dict[str, Colum
 def linear_mse_from_stats(stats: DataFrame, trials: DataFrame, slope: str, shift: str,
                           target_of: Column, target_keys: list[str]) -> DataFrame:
     """Mean squared error of ``y ~ slope*x + shift`` for every trial from the
-    one-row statistics: (Syy - 2a Sxy - 2b Sy + a^2 Sxx + 2ab Sx + b^2 n) / n."""
+    one-row statistics: (Syy - 2a Sxy - 2b Sy + a^2 Sxx + 2ab Sx + b^2 n) / n.
+    The statistics row is read once and enters the trial projection as literals."""
+    st = stats.first().asDict()
+
     def pick(prefix):
         out = None
         for k in target_keys:
-            c = F.col(f"{prefix}_{k}")
+            c = F.lit(st[f"{prefix}_{k}"]).cast("double")
             out = F.when(target_of == k, c) if out is None else out.when(target_of == k, c)
         return out
 
     a, b = F.col(slope), F.col(shift)
-    n = F.col("n").cast("double")
+    n = F.lit(float(st["n"]))
     sse = (pick("syy") - 2 * a * pick("sxy") - 2 * b * pick("sy")
-           + a * a * F.col("sxx") + 2 * a * b * F.col("sx") + b * b * n)
-    # stats is one row: broadcasting it makes the join a map-only step
-    return trials.crossJoin(F.broadcast(stats)).select(
-        *[c for c in trials.columns if c != "parameters"], F.round(sse / n, 2).alias("mse"))
+           + a * a * F.lit(st["sxx"]).cast("double") + 2 * a * b * F.lit(st["sx"]).cast("double") + b * b * n)
+    return trials.select(*[c for c in trials.columns if c != "parameters"], F.round(sse / n, 2).alias("mse"))
 
 
 def sweep_price_sufficient(spark: SparkSession, lineitem: DataFrame, num_trials: int = 64,

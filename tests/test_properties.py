@@ -56,7 +56,7 @@ def test_sweep_chunks_equal_one_broadcast(spark):
     err = F.col("y") - (F.col("a") * F.col("x") + F.col("b"))
     m = {"mae": F.round(F.avg(F.abs(err)), 6)}
     one = S.score(data, trials, m, 40)
-    chunked = S.score(data, trials, m, 40, max_broadcast_trials=7)
+    chunked = S.score(data, trials, m, 40, trials_per_pass=7)
     assert sorted(map(tuple, one.select("trial_no", "mae").collect())) == \
         sorted(map(tuple, chunked.select("trial_no", "mae").collect()))
 
