@@ -30,3 +30,15 @@ def live_observations(log: DataFrame, keys: list[str], ts_col: str = "event_ts",
     """STR-3: min, max and latest per (keys, metric), updated every micro-batch
     (the batch AGG-1 applied to a stream; run in update mode)."""
     return observations(log.withWatermark(ts_col, delay), keys)
+
+
+def windowed_observations(log: DataFrame, keys: list[str], window: str, ts_col: str = "event_ts",
+                          delay: str = "1 hour", metric: str = "metric", value: str = "value") -> DataFrame:
+    """STR-3, append form: min, max and latest per (keys, metric, event-time
+    window), each window emitted once when the watermark closes it; its state
+    is dropped then, so state stays bounded by the open windows."""
+    v = F.col(value)
+    clean = log.withWatermark(ts_col, delay).filter(v.isNotNull() & ~F.isnan(v))
+    return clean.groupBy(F.window(ts_col, window).alias("window"), *keys, metric).agg(
+        F.min(v).alias("min"), F.max(v).alias("max"),
+        F.max_by(v, F.struct(F.col(ts_col), F.col("seq"))).alias("latest"))

@@ -50,3 +50,26 @@ def test_timer_fires_when_the_watermark_passes_the_deadline(spark):
     out = R.run_to_parquet(SS.wait_for_status(stream, ("Complete",), 600), "timer", state_partitions=2)
     got = {r["job"]: r["outcome"] for r in SS.wait_result(spark.read.parquet(out)).collect()}
     assert got == {"quiet": "timed_out", "busy": "timed_out"}
+
+
+def test_windowed_observations_emit_closed_windows(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from sparksweep.plans import views as V
+    from sparksweep.streaming import logs as SL
+    R.prepare(spark)
+    events = V.table(spark, sf_dir, "events")
+    landed = shared_dir(spark, "win-obs")
+    k = R.land_in_order(events, landed)
+    stream = R.file_stream(spark, landed, events.schema, k)
+    log = SL.event_time(V.metric_log(spark, sf_dir, stream))
+    out = R.run_to_parquet(SL.windowed_observations(log, ["trial"], "1 day", delay="1 hour"), "win-obs",
+                           state_partitions=2)
+    got = {(r["window"]["start"], r["trial"], r["metric"]): (r["min"], r["max"], r["latest"])
+           for r in spark.read.parquet(out).collect()}
+    batch = SL.windowed_observations(SL.event_time(V.metric_log(spark, sf_dir)), ["trial"], "1 day")
+    last = events.agg(F.max(F.col("ts").cast("timestamp"))).first()[0]
+    closed = {(r["window"]["start"], r["trial"], r["metric"]): (r["min"], r["max"], r["latest"])
+              for r in batch.collect() if r["window"]["end"] <= last - dt.timedelta(hours=1)}
+    assert got and set(closed) <= set(got)
+    assert all(got[key] == closed[key] for key in closed)
