@@ -111,6 +111,7 @@ def test_split_bounds_match_python_slices(spec, n):
     assert list(range(n))[lo:hi] == list(range(n))[conv(a):conv(b)]
 
 
+@pytest.mark.filterwarnings("ignore::FutureWarning")  # Python's re warns about "[[" sets
 @settings(max_examples=60, deadline=None)
 @given(st.text(alphabet="ab.*?[]!-_", min_size=1, max_size=6), st.text(alphabet="ab.-_", max_size=6))
 def test_glob_regex_matches_fnmatch(pattern, name):
