@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparksweep.llm import quality_rules
+from sparksweep.llm import mixing, quality_rules, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -64,3 +64,50 @@ def op3_quality_rules(spark, sf_dir):
     led = quality_rules.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return quality_rules.apply_policy(led).select(
         "doc_id", *quality_rules.MEASURES, "fail_bits", "base_failed", "kept", "policy")
+
+
+URL_SQL = r"""
+WITH u AS (SELECT page_id, coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+                  coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+s AS (SELECT *, '.' || host AS h FROM u)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN contains(host, 'cheap-pills.') OR contains(host, 'spam-farm.') OR regexp_matches(h, 'casino[^/]*\.')
+              OR regexp_matches(h || path, '/wp-login\.php$') OR contains(path, '/cgi-bin/') THEN 'block'
+            ELSE 'allow' END AS verdict
+FROM (SELECT *, CASE WHEN ends_with(h, '.www.example.com') AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+                     WHEN ends_with(h, '.example.com') AND starts_with(path, '/en/') THEN 'example.com/en/'
+                     WHEN ends_with(h, '.net') AND starts_with(path, '/es/') THEN 'net/es/'
+                     WHEN ends_with(h, '.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
+                     WHEN ends_with(h, '.com') AND starts_with(path, '/') THEN 'com/' END AS rule FROM s)
+"""
+
+
+@query("op5_url_filters", URL_SQL)
+def op5_url_filters(spark, sf_dir):
+    return url_filters.judge(table(spark, sf_dir, "pages").select("page_id", "url")).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
+MIX_SQL = r"""
+WITH z AS (SELECT source, coalesce(sum(length(text)), 0)::BIGINT AS size FROM documents GROUP BY source),
+tot AS (SELECT sum(size)::DOUBLE AS a, sum(CASE WHEN size > 0 THEN sqrt(size::DOUBLE) ELSE 0 END) AS w FROM z),
+rates AS (SELECT source, round(CASE WHEN size > 0 THEN sqrt(size::DOUBLE) * (a / w) / size ELSE 1.0 END, 9) AS rate FROM z, tot),
+cdf AS (SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS c
+        FROM (SELECT source, k, CASE WHEN rate = 0 THEN 1.0 ELSE exp(k * ln(rate) - rate - lgamma(k + 1)) END AS p
+              FROM (SELECT source, rate, unnest(range(0, ceil(rate + 12 * sqrt(rate) + 31)::BIGINT)) AS k FROM rates))),
+d AS (SELECT row_number() OVER () AS rid, *, coalesce(doc_id::VARCHAR, 'text:' || md5(coalesce(text, ''))) AS key FROM documents),
+n AS (SELECT rid, count(c) AS copies
+      FROM (SELECT *, ('0x' || substr(md5('mix-1:' || key), 1, 13))::BIGINT / 4503599627370496.0 AS u FROM d) d
+      LEFT JOIN cdf ON cdf.source IS NOT DISTINCT FROM d.source AND cdf.c <= d.u GROUP BY rid)
+SELECT doc_id, text, lang, e.source, n_chars, rate, copy_no::INTEGER AS copy_no,
+       md5('mix-1:order:' || key || ':' || copy_no) AS shuffle_key
+FROM (SELECT d.*, unnest(range(1, copies + 1)) AS copy_no FROM d JOIN n USING (rid) WHERE copies > 0) e
+JOIN rates ON rates.source IS NOT DISTINCT FROM e.source
+"""
+
+
+@query("op6_mixing", MIX_SQL)
+def op6_mixing(spark, sf_dir):
+    return mixing.mix_sources(table(spark, sf_dir, "documents"))
