@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparksweep.llm import mixing, quality_rules, url_filters
+from sparksweep.llm import decontamination, line_dedup, mixing, quality_rules, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -111,3 +111,52 @@ JOIN rates ON rates.source IS NOT DISTINCT FROM e.source
 @query("op6_mixing", MIX_SQL)
 def op6_mixing(spark, sf_dir):
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
+LINE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, text, string_split(text, chr(10)) AS ls FROM documents),
+x AS (SELECT rid, doc_id, source, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS pos FROM d),
+y AS (SELECT *, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[ \t\r\f\v]+', ' ', 'g'), ' ') AS norm FROM x),
+bad AS (SELECT norm, min(doc_id) AS first FROM y WHERE length(norm) >= 12
+        GROUP BY norm HAVING count(DISTINCT coalesce('s' || source, 'null')) >= 8),
+k AS (SELECT rid, count(*) FILTER (first IS DISTINCT FROM doc_id AND bad.norm IS NOT NULL) AS n_removed,
+             coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (bad.norm IS NULL OR first = doc_id), '') AS clean_text
+      FROM y LEFT JOIN bad USING (norm) GROUP BY rid)
+SELECT doc_id, coalesce(len(ls), 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, clean_text
+FROM d LEFT JOIN k USING (rid)
+"""
+
+
+@query("op1_line_dedup", LINE_SQL)
+def op1_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return line_dedup.remove_boilerplate(docs).select("doc_id", "n_lines", "n_removed", "clean_text")
+
+
+LEAK_SQL = r"""
+WITH b AS (SELECT DISTINCT coalesce(item_id::VARCHAR, 'null') AS item, regexp_extract_all(translate(text,
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS ws FROM benchmark),
+bs AS (SELECT item, ws, least(len(ws), 10) AS n FROM b WHERE len(ws) > 0),
+p AS (SELECT DISTINCT item, n, array_to_string(ws[i: i + n - 1], ' ') AS w
+      FROM (SELECT item, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM bs)),
+d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(regexp_extract_all(translate(text,
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+'), []) AS ws FROM documents),
+s AS (SELECT DISTINCT n FROM p),
+dw AS (SELECT rid, n, i, array_to_string(ws[i: i + n - 1], ' ') AS w
+       FROM (SELECT rid, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, s)),
+h AS (SELECT rid, i, n, item FROM dw JOIN p USING (n, w)),
+c AS (SELECT rid, count(DISTINCT pos) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS pos FROM h) GROUP BY rid),
+t AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM h) GROUP BY rid)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN c USING (rid) LEFT JOIN t USING (rid)
+"""
+
+
+@query("op2_decontamination", LEAK_SQL)
+def op2_decontamination(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.find_items(docs, table(spark, sf_dir, "benchmark"))
+    return decontamination.digest(found).select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
