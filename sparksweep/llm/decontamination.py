@@ -36,7 +36,7 @@ from sparksweep.session import checkpoint_root
 
 WORDS = 10
 BLOCK_BYTES = 1 << 18
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")  # before A-Z are lower-cased
 # Lower-cases A-Z and makes every separator a space; bytes from 0x80 stay.
 NORMAL = bytes(0x20 if NOT_ALNUM[LOWER[b]] else LOWER[b] for b in range(256))
 ADDED = ("n_words", "n_hit", "items", "spans")
