@@ -8,8 +8,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from sparksweep.llm import decontamination, line_dedup, mixing, quality_rules, url_filters
+from pyspark.sql import functions as F
+
+from sparksweep.llm import (
+    decontamination,
+    language_id,
+    language_model,
+    line_dedup,
+    mixing,
+    quality_rules,
+    url_filters,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -160,3 +169,19 @@ def op2_decontamination(spark, sf_dir):
     found = decontamination.find_items(docs, table(spark, sf_dir, "benchmark"))
     return decontamination.digest(found).select(
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@query("op7_language_id")
+def op7_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", "lang", (language_id.remainder(F.col("doc_id"), 3) == 1).alias("held_out"))
+    model = language_id.fit(docs.where("not held_out"))
+    return language_id.predict(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
+@query("op9_language_model")
+def op9_language_model(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", (language_id.remainder(F.col("doc_id"), 5) == 1).alias("held_out"), "text")
+    model = language_model.train(docs.where("not held_out"))
+    return language_model.score(docs, model)
