@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from sparksweep.llm import (
     decontamination,
+    html_extraction,
     language_id,
     language_model,
     line_dedup,
@@ -185,3 +186,9 @@ def op9_language_model(spark, sf_dir):
         "doc_id", (language_id.remainder(F.col("doc_id"), 5) == 1).alias("held_out"), "text")
     model = language_model.train(docs.where("not held_out"))
     return language_model.score(docs, model)
+
+
+@query("op8_html_extraction")
+def op8_html_extraction(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extraction.extract_pages(pages, html_extraction.fit(pages))
