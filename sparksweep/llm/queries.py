@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from sparksweep.llm import (
     decontamination,
     html_extraction,
+    jaccard_join,
     language_id,
     language_model,
     line_dedup,
@@ -192,3 +193,8 @@ def op9_language_model(spark, sf_dir):
 def op8_html_extraction(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_extraction.extract_pages(pages, html_extraction.fit(pages))
+
+
+@query("op4_jaccard_join")
+def op4_jaccard_join(spark, sf_dir):
+    return jaccard_join.link(table(spark, sf_dir, "documents").select("doc_id", "text"))
