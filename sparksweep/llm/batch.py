@@ -106,7 +106,8 @@ class RollingHash:
         self.up = powers(self.CHUNK)
         self.down = powers(self.CHUNK, pow(_BASE, -1, 1 << 64))
 
-    def _tables(self, n: int):
+    def tables(self, n: int):
+        """Powers of the base and of its inverse, n of each at least."""
         if n > len(self.up):
             self.up, self.down = powers(n), powers(n, pow(_BASE, -1, 1 << 64))
         return self.up, self.down
@@ -118,7 +119,7 @@ class RollingHash:
         while i < len(starts):
             j = max(i + 1, int(np.searchsorted(ends, starts[i] + self.CHUNK, "right")))
             a, b = int(starts[i]), int(ends[j - 1])
-            up, down = self._tables(b - a + 1)
+            up, down = self.tables(b - a + 1)
             pre = np.zeros(b - a + 1, np.uint64)
             np.cumsum(self.values[buf[a:b]] * up[: b - a], out=pre[1:])
             s, e = starts[i:j] - a, ends[i:j] - a

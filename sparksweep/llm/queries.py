@@ -19,6 +19,7 @@ from sparksweep.llm import (
     line_dedup,
     mixing,
     quality_rules,
+    substring_dedup,
     url_filters,
 )
 
@@ -198,3 +199,9 @@ def op8_html_extraction(spark, sf_dir):
 @query("op4_jaccard_join")
 def op4_jaccard_join(spark, sf_dir):
     return jaccard_join.link(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op10_substring_dedup")
+def op10_substring_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeats(docs, keep_text=False).drop("removed")
