@@ -24,7 +24,7 @@ words are runs of letters, digits and non-ASCII) have a Jaccard similarity of
 
 The result has a row per input row: class_id (smallest id in the connected
 group), n_links (linked documents, copies included) and first (true for one
-id of each group).
+row of each group and its identical rows). ``one_of_each`` keeps that row.
 
 Defined results: texts without words (null, empty) are linked to nothing; a
 text of fewer than 5 words has one shingle of all its words; rows without id
@@ -162,7 +162,7 @@ def compare(group: list[dict], pivot: int, same: bool, a: int, threshold: float,
 
 
 def _classes(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows (_doc, _id, fp) and classes (node, fp, first_id, size, bands), both written."""
+    """Rows (_doc, _id, _th, fp) and classes (node, fp, first, first_doc, size, bands), both written."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, minhash = RollingHash(), MinHash()
         for batch in slices(batches, "_text"):
@@ -171,15 +171,15 @@ def _classes(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame
             sh, bounds = shingles(words, rows, WORDS)
             keys = band_keys(minhash.signatures(sh, bounds)).view(np.int64)
             flat = pa.ListArray.from_arrays(pa.array(np.arange(len(fp) + 1, dtype=np.int32) * BANDS), pa.array(keys.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([batch.column("_doc"), batch.column("_id"), pa.array(fp, pa.binary()), flat],
-                                             ["_doc", "_id", "fp", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column("_doc"), batch.column("_id"), batch.column("_th"), pa.array(fp, pa.binary()), flat],
+                                             ["_doc", "_id", "_th", "fp", "bands"])
 
     path = shared_dir(spark, "jaccard-rows")
-    docs.mapInArrow(run, "_doc long, _id long, fp binary, bands array<long>").write.parquet(path)
+    docs.mapInArrow(run, "_doc long, _id long, _th long, fp binary, bands array<long>").write.parquet(path)
     rows = spark.read.parquet(path)
     path = shared_dir(spark, "jaccard-classes")
     rows.where("fp is not null").groupBy("fp").agg(
-        F.min("_id").alias("first_id"), F.min("_doc").alias("first_doc"), F.count(F.lit(1)).alias("size"),
+        F.min(F.struct("_id", "_th")).alias("first"), F.min("_doc").alias("first_doc"), F.count(F.lit(1)).alias("size"),
         F.first("bands").alias("bands")).withColumn("node", F.monotonically_increasing_id()).write.parquet(path)
     return rows.drop("bands"), spark.read.parquet(path)
 
@@ -199,7 +199,7 @@ def _units(spark: SparkSession, docs: DataFrame, classes: DataFrame, groups: Dat
     path = shared_dir(spark, "jaccard-members")
     known.join(classes.drop("bands", "first_doc"), "node").write.parquet(path)
     members = spark.read.parquet(path)
-    wanted = members.select(F.col("first_id").alias("_id"), F.col("fp").alias("want"), "node")
+    wanted = members.select(F.col("first._id").alias("_id"), F.col("fp").alias("want"), "node")
     if members.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
 
@@ -274,11 +274,16 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     return now
 
 
+def _keyed(docs: DataFrame, text: str, doc_id: str) -> dict:
+    th = F.xxhash64(F.col(text))
+    return {"_id": F.coalesce(F.col(doc_id).cast("long"), -F.shiftrightunsigned(th, 1) - 1), "_th": th}
+
+
 def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
-    """A row per input row: doc_id, class_id, n_links, first."""
+    """A row per input row: doc_id, class_id, n_links, first, _id and _th (the row's key)."""
     spark = docs.sparkSession
-    own = F.coalesce(F.col(doc_id).cast("long"), -F.shiftrightunsigned(F.xxhash64(F.col(text)), 1) - 1)
-    docs = docs.select(F.col(doc_id).cast("long").alias("_doc"), own.alias("_id"), F.col(text).alias("_text"))
+    docs = docs.select(F.col(doc_id).cast("long").alias("_doc"), F.col(text).alias("_text"),
+                       *[c.alias(k) for k, c in _keyed(docs, text, doc_id).items()])
     rows, classes = _classes(spark, docs)
     groups = _groups(spark, classes)
     path = shared_dir(spark, "jaccard-links")
@@ -286,11 +291,21 @@ def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold:
     links = spark.read.parquet(path)
     stars = components(spark, links.select(F.col("node").alias("u"), F.col("root").alias("v")))
     counts = links.groupBy("node").agg(F.sum("links").alias("links"))
-    nodes = (classes.select("node", "fp", "first_id", "first_doc", "size")
+    nodes = (classes.select("node", "fp", "first", "first_doc", "size")
              .join(stars.withColumnsRenamed({"u": "node", "v": "top"}), "node", "left").join(counts, "node", "left")
              .withColumn("top", F.coalesce("top", "node")))
-    label = nodes.groupBy("top").agg(F.coalesce(F.min("first_doc"), F.min("first_id")).alias("class_id"))
-    nodes = nodes.join(label, "top").select("fp", "class_id", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    out = rows.join(nodes, "fp", "left").withColumn("class_id", F.coalesce("class_id", "_id"))
-    return out.select(F.col("_doc").alias("doc_id"), "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                      (F.col("_id") == F.col("class_id")).alias("first"))
+    label = nodes.groupBy("top").agg(F.min("first").alias("chosen"), F.min("first_doc").alias("first_doc")).select(
+        "top", "chosen", F.coalesce("first_doc", "chosen._id").alias("class_id"))
+    nodes = nodes.drop("first_doc").join(label, "top").select(
+        "fp", "class_id", "chosen", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    out = rows.join(nodes, "fp", "left")
+    return out.select(F.col("_doc").alias("doc_id"), F.coalesce("class_id", "_id").alias("class_id"),
+                      F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+                      F.coalesce(F.col("chosen") == F.struct("_id", "_th"), F.lit(True)).alias("first"), "_id", "_th")
+
+
+def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
+    """The input's columns for one row of each group: the one with the smallest id."""
+    firsts = link(docs, text, doc_id, threshold).where("first").select("_id", "_th").distinct()
+    keyed = docs.withColumns(_keyed(docs, text, doc_id))
+    return keyed.join(firsts, ["_id", "_th"], "left_semi").dropDuplicates(["_id", "_th"]).select(*docs.columns)

@@ -107,6 +107,17 @@ def apply_policy(led: DataFrame, policy: str = DEFAULT_POLICY) -> DataFrame:
                             "policy": F.lit(policy)})
 
 
+def keep(docs: DataFrame, text: str = "text", policy: str = DEFAULT_POLICY) -> DataFrame:
+    """The input's rows that the policy keeps.
+
+    The optimiser moves a filter below the columns that it reads by repeating
+    their expressions in it; with measurements built on measurements, that copy
+    is far larger than the plan. A column of random numbers, which a filter
+    can't pass, holds it above them."""
+    led = apply_policy(ledger(docs, text), policy).withColumn("_guard", F.rand())
+    return led.where(F.col("kept") & (F.col("_guard") >= 0)).select(*docs.columns)
+
+
 def ablation(led: DataFrame, policies: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
     """Per policy and rule: n_docs, n_failed, n_only (documents that only this
     rule of the policy rejects, so that it alone decides) and n_kept_without."""

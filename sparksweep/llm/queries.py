@@ -23,6 +23,7 @@ from sparksweep.llm import (
     url_filters,
 )
 
+# In SQL texts DOCS stands for the table of documents, as the pipeline applies them to its stages.
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -31,7 +32,7 @@ def query(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = sql
+            ORACLE[name] = sql.replace("DOCS", "documents")
         return fn
     return deco
 
@@ -42,7 +43,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # The measurements of the quality ledger of a CTE ``docs(doc_id, text)``.
 QUALITY_CTES = r"""
-d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM DOCS),
 w AS (SELECT rid, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
 g AS (SELECT rid, i, k, count(*) OVER (PARTITION BY rid, k) AS c
       FROM (SELECT rid, unnest(range(1, len(ws) - 1)) AS i,
@@ -103,13 +104,13 @@ def op5_url_filters(spark, sf_dir):
 
 
 MIX_SQL = r"""
-WITH z AS (SELECT source, coalesce(sum(length(text)), 0)::BIGINT AS size FROM documents GROUP BY source),
+WITH z AS (SELECT source, coalesce(sum(length(text)), 0)::BIGINT AS size FROM DOCS GROUP BY source),
 tot AS (SELECT sum(size)::DOUBLE AS a, sum(CASE WHEN size > 0 THEN sqrt(size::DOUBLE) ELSE 0 END) AS w FROM z),
 rates AS (SELECT source, round(CASE WHEN size > 0 THEN sqrt(size::DOUBLE) * (a / w) / size ELSE 1.0 END, 9) AS rate FROM z, tot),
 cdf AS (SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS c
         FROM (SELECT source, k, CASE WHEN rate = 0 THEN 1.0 ELSE exp(k * ln(rate) - rate - lgamma(k + 1)) END AS p
               FROM (SELECT source, rate, unnest(range(0, ceil(rate + 12 * sqrt(rate) + 31)::BIGINT)) AS k FROM rates))),
-d AS (SELECT row_number() OVER () AS rid, *, coalesce(doc_id::VARCHAR, 'text:' || md5(coalesce(text, ''))) AS key FROM documents),
+d AS (SELECT row_number() OVER () AS rid, *, coalesce(doc_id::VARCHAR, 'text:' || md5(coalesce(text, ''))) AS key FROM DOCS),
 n AS (SELECT rid, count(c) AS copies
       FROM (SELECT *, ('0x' || substr(md5('mix-1:' || key), 1, 13))::BIGINT / 4503599627370496.0 AS u FROM d) d
       LEFT JOIN cdf ON cdf.source IS NOT DISTINCT FROM d.source AND cdf.c <= d.u GROUP BY rid)
@@ -125,8 +126,8 @@ def op6_mixing(spark, sf_dir):
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
-LINE_SQL = r"""
-WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, text, string_split(text, chr(10)) AS ls FROM documents),
+LINE_CTES = r"""
+d AS (SELECT row_number() OVER () AS rid, *, string_split(text, chr(10)) AS ls FROM DOCS),
 x AS (SELECT rid, doc_id, source, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS pos FROM d),
 y AS (SELECT *, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                     '[ \t\r\f\v]+', ' ', 'g'), ' ') AS norm FROM x),
@@ -135,6 +136,8 @@ bad AS (SELECT norm, min(doc_id) AS first FROM y WHERE length(norm) >= 12
 k AS (SELECT rid, count(*) FILTER (first IS DISTINCT FROM doc_id AND bad.norm IS NOT NULL) AS n_removed,
              coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (bad.norm IS NULL OR first = doc_id), '') AS clean_text
       FROM y LEFT JOIN bad USING (norm) GROUP BY rid)
+"""
+LINE_SQL = "WITH " + LINE_CTES + """
 SELECT doc_id, coalesce(len(ls), 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, clean_text
 FROM d LEFT JOIN k USING (rid)
 """
@@ -146,20 +149,22 @@ def op1_line_dedup(spark, sf_dir):
     return line_dedup.remove_boilerplate(docs).select("doc_id", "n_lines", "n_removed", "clean_text")
 
 
-LEAK_SQL = r"""
-WITH b AS (SELECT DISTINCT coalesce(item_id::VARCHAR, 'null') AS item, regexp_extract_all(translate(text,
+LEAK_CTES = r"""
+b AS (SELECT DISTINCT coalesce(item_id::VARCHAR, 'null') AS item, regexp_extract_all(translate(text,
              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS ws FROM benchmark),
 bs AS (SELECT item, ws, least(len(ws), 10) AS n FROM b WHERE len(ws) > 0),
 p AS (SELECT DISTINCT item, n, array_to_string(ws[i: i + n - 1], ' ') AS w
       FROM (SELECT item, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM bs)),
-d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(regexp_extract_all(translate(text,
-        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+'), []) AS ws FROM documents),
+d AS (SELECT row_number() OVER () AS rid, *, coalesce(regexp_extract_all(translate(text,
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+'), []) AS ws FROM DOCS),
 s AS (SELECT DISTINCT n FROM p),
 dw AS (SELECT rid, n, i, array_to_string(ws[i: i + n - 1], ' ') AS w
        FROM (SELECT rid, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, s)),
 h AS (SELECT rid, i, n, item FROM dw JOIN p USING (n, w)),
 c AS (SELECT rid, count(DISTINCT pos) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS pos FROM h) GROUP BY rid),
 t AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM h) GROUP BY rid)
+"""
+LEAK_SQL = "WITH " + LEAK_CTES + """
 SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN c USING (rid) LEFT JOIN t USING (rid)
@@ -196,9 +201,27 @@ def op8_html_extraction(spark, sf_dir):
     return html_extraction.extract_pages(pages, html_extraction.fit(pages))
 
 
-@query("op4_jaccard_join")
+NEAR_CTES = r"""
+d AS (SELECT row_number() OVER () AS rid, doc_id, text, lang, source, n_chars, regexp_extract_all(translate(text,
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS ws FROM DOCS),
+sh AS (SELECT DISTINCT rid, array_to_string(ws[i: i + 4], ' ') AS s
+       FROM (SELECT rid, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT rid, count(*) AS n FROM sh GROUP BY rid),
+pairs AS (SELECT p.a, p.b FROM (SELECT x.rid AS a, y.rid AS b, count(*) AS c FROM sh x JOIN sh y USING (s)
+                                WHERE x.rid != y.rid GROUP BY 1, 2) p
+          JOIN n na ON na.rid = a JOIN n nb ON nb.rid = b WHERE 10 * c >= 8 * (na.n + nb.n - c)),
+reach AS (SELECT rid AS a, rid AS b FROM d UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON p.a = r.b),
+cls AS (SELECT a AS rid, min(doc_id) AS class_id FROM reach JOIN d ON d.rid = b GROUP BY a),
+lnk AS (SELECT a AS rid, count(*) AS n_links FROM pairs GROUP BY a)
+"""
+NEAR_SQL = "WITH RECURSIVE " + NEAR_CTES + """
+SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links FROM d JOIN cls USING (rid) LEFT JOIN lnk USING (rid)
+"""
+
+
+@query("op4_jaccard_join", NEAR_SQL)
 def op4_jaccard_join(spark, sf_dir):
-    return jaccard_join.link(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return jaccard_join.link(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "class_id", "n_links")
 
 
 @query("op10_substring_dedup")
