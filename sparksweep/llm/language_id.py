@@ -153,7 +153,7 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
         raise ValueError(f"{n} centroids make a model above {MODEL_BYTES} bytes; lower k")
     got = found.orderBy("lang", "near", "centroid").collect()
     return Model([r["lang"] for r in got], np.array([np.frombuffer(r["centroid"], np.float32) for r in got]).reshape(-1, DIMS),
-                 np.array([(1 - r["near"]) * SLACK for r in got]), idf)
+                 np.array([(1 - r["near"]) * SLACK + 1e-3 for r in got]), idf)
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

@@ -134,14 +134,10 @@ def repeated_windows(strings: list[bytes], rel: np.ndarray, size: int = SIZE) ->
         perm = np.argsort(symbol, kind="stable")
         bwt = symbol[perm]
         common = np.zeros(len(perm), np.int64)
-        if len(perm) > 1:
-            # Between neighbours with one symbol: 1 + the least bound between their old places.
-            between = np.minimum.reduceat(lcp, np.minimum(perm[:-1] + 1, len(lcp) - 1))
-            tail = np.flatnonzero((bwt[1:] == bwt[:-1]))
-            common[tail + 1] = between[tail] + 1
-            # reduceat runs to the end after the last entry: cut it at the old place of the last neighbour
-            if bwt[-1] == bwt[-2]:
-                common[-1] = lcp[perm[-2] + 1: perm[-1] + 1].min() + 1
+        # Between neighbours with one symbol: 1 + the least bound between their old places.
+        between = np.minimum.reduceat(np.append(lcp, 0), perm + 1)
+        same = np.flatnonzero(bwt[1:] == bwt[:-1])
+        common[same + 1] = between[same] + 1
         order, lcp = order[perm], common
         equal = lcp >= size
         if equal.any():
