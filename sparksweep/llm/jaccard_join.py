@@ -217,8 +217,9 @@ def _units(spark: SparkSession, docs: DataFrame, classes: DataFrame, groups: Dat
 
     texts = docs.select("_id", "_text").join(wanted, "_id")
     found = texts.mapInArrow(run, "node long, signature binary, shingles binary")
-    size = groups.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    mine = groups.join(size, "pivot").withColumn("block", F.pmod(F.xxhash64("node", "pivot"), "blocks").cast("int"))
+    path = shared_dir(spark, "jaccard-blocks")  # a table of its own, so that the join with a hot pivot can be split
+    groups.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")).write.parquet(path)
+    mine = groups.join(spark.read.parquet(path), "pivot").withColumn("block", F.pmod(F.xxhash64("node", "pivot"), "blocks").cast("int"))
     mine = mine.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     mine = mine.select("pivot", "node", "block", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"))
     return mine.join(members.select("node", "size", "pivots"), "node").join(found, "node")

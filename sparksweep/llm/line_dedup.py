@@ -76,7 +76,9 @@ def remove_boilerplate(docs: DataFrame, text: str = "text", site: str = "source"
     as one array, keyed by its id and the hash of its text."""
     docs = drop_columns(docs, ADDED)
     lines = line_table(docs, text, site, doc_id, min_chars)
-    bad = boilerplate(lines, min_sites, lg_k, sigmas)
+    path = shared_dir(docs.sparkSession, "boilerplate")  # a table of known size: the join with hot lines can be split
+    boilerplate(lines, min_sites, lg_k, sigmas).write.parquet(path)
+    bad = docs.sparkSession.read.parquet(path)
     own = lines.select("_id", "_th", F.posexplode("hashes").alias("place", "h")).where("h is not null")
     cut = own.join(bad, "h")
     if keep_first:

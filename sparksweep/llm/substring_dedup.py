@@ -310,7 +310,9 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     whole = F.array(F.struct(F.lit(0).cast("long").alias("from"), F.col("windows").alias("to")))
     several = places.where("mixed").groupBy("anchor", "piece").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
         "anchor", "piece", F.lit(True).alias("several"))
-    verdict = ranges.join(several, ["anchor", "piece"], "full")
+    path = shared_dir(spark, "substring-verdicts")  # a table of its own, so that the join with a hot piece can be split
+    ranges.join(several, ["anchor", "piece"], "full").write.parquet(path)
+    verdict = spark.read.parquet(path)
     mixed = places.where("mixed").join(verdict, ["anchor", "piece"]).withColumn(
         "ranges", F.when(F.col("several"), whole).otherwise(F.col("ranges")))
     plain = places.where("not mixed").withColumn("ranges", whole)
