@@ -88,7 +88,8 @@ def pieces(buf: np.ndarray, offs: np.ndarray, hasher: RollingHash, size: int = S
             new = np.concatenate([[True], (q[1:] != q[:-1]) | (r[1:] != r[:-1])])
             begin = np.flatnonzero(new)
             end = np.concatenate([begin[1:], [len(p)]]) - 1
-            out.append((r[begin], at + p[begin], at + p[end] + 1, at + q[begin], g[q[begin]]))
+            # Anchors are the smallest of many hashes: mixed again, they are spread evenly.
+            out.append((r[begin], at + p[begin], at + p[end] + 1, at + q[begin], mix(g[q[begin]])))
     return [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 4 + [np.zeros(0, np.uint64)]
 
 
