@@ -307,16 +307,16 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     anchors = _anchors(spark, source)
     found = _instances(spark, source, anchors)
     ranges = _mixed_ranges(spark, found, anchors, hot)
-    places = found.select("_id", "_th", "anchor", "piece", "start", "windows").join(anchors, "anchor")
+    places = found.select("_id", "_th", "anchor", "piece", "start", "windows")
     whole = F.array(F.struct(F.lit(0).cast("long").alias("from"), F.col("windows").alias("to")))
-    several = places.where("mixed").groupBy("anchor", "piece").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
-        "anchor", "piece", F.lit(True).alias("several"))
+    several = places.groupBy("anchor", "piece").agg(F.count(F.lit(1)).alias("n")).where("n > 1").join(
+        anchors.where("mixed"), "anchor", "left_semi").select("anchor", "piece", F.lit(True).alias("several"))
     path = shared_dir(spark, "substring-verdicts")  # a table of its own, so that the join with a hot piece can be split
     ranges.join(several, ["anchor", "piece"], "full").write.parquet(path)
     verdict = spark.read.parquet(path)
-    mixed = places.where("mixed").join(verdict, ["anchor", "piece"]).withColumn(
+    mixed = places.join(verdict, ["anchor", "piece"]).withColumn(
         "ranges", F.when(F.col("several"), whole).otherwise(F.col("ranges")))
-    plain = places.where("not mixed").withColumn("ranges", whole)
+    plain = places.join(anchors.where("not mixed"), "anchor", "left_semi").withColumn("ranges", whole)
     parts = plain.select("_id", "_th", "start", "ranges").unionByName(mixed.select("_id", "_th", "start", "ranges"))
     cuts = parts.groupBy("_id", "_th").agg(F.flatten(F.collect_set(F.transform("ranges", lambda r: F.struct(
         (F.col("start") + r["from"]).alias("a"), (F.col("start") + r["to"] + (SIZE - 1)).alias("b"))))).alias("_cuts"))
