@@ -14,6 +14,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparksweep.sources.uris import dataset_arg
+
 # fixed values: trainer argument names, in the order they are emitted
 TRAINER_FIELDS = [
     ("dtype", "dtype"), ("batch_size", "batch_size"), ("epochs", "epochs"), ("loss", "loss"),
@@ -39,6 +41,9 @@ PLACEHOLDER = "${trialParameters.%s}"
 def _text(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.BooleanType):
         return F.when(c, F.lit("True")).otherwise(F.lit("False"))
+    if isinstance(dtype, T.MapType):  # as Python prints a dict of texts
+        quoted = F.transform(F.map_entries(c), lambda e: F.concat(F.lit("'"), e["key"], F.lit("': '"), e["value"], F.lit("'")))
+        return F.concat(F.lit("{"), F.array_join(quoted, ", "), F.lit("}"))
     if isinstance(dtype, T.ArrayType):
         return F.concat(F.lit("["), F.array_join(c, ","), F.lit("]"))
     return c.cast("string")
@@ -70,10 +75,12 @@ def render_args(schema: T.StructType, fields: list[tuple[str, str]], dataset: st
     return F.array_compact(F.array(*items)) if items else F.array().cast("array<string>")
 
 
-def trainer_args(schema: T.StructType, with_dataset: bool = False) -> Column:
-    """Trainer, PEFT and (optionally) instruct-dataset overrides in the
-    reference's emission order, joined with spaces."""
-    parts = [render_args(schema, TRAINER_FIELDS), render_args(schema, PEFT_FIELDS, modules_col="lora_attn_modules")]
+def trainer_args(schema: T.StructType, with_dataset: bool = False, source: Column | None = None) -> Column:
+    """Trainer, data path (of the ``source`` URI, where it isn't NULL), PEFT and
+    (optionally) instruct-dataset overrides in the reference's emission order,
+    joined with spaces."""
+    path = F.array() if source is None else F.array_compact(F.array(F.when(source.isNotNull(), dataset_arg(source))))
+    parts = [render_args(schema, TRAINER_FIELDS), path.cast("array<string>"), render_args(schema, PEFT_FIELDS, modules_col="lora_attn_modules")]
     if with_dataset:
         ds = [f"dataset_{c}" for c, _ in DATASET_FIELDS]
         types = {f.name: f.dataType for f in schema.fields}

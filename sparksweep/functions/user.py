@@ -13,7 +13,6 @@
 from __future__ import annotations
 
 import os
-import traceback
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -25,8 +24,7 @@ from pyspark.sql import types as T
 from sparksweep.session import ship_package
 
 # fixed values: the environment a distributed trainer reads
-RANK_ENV = ("RANK", "WORLD_SIZE", "LOCAL_RANK", "NODE_RANK", "MASTER_ADDR", "MASTER_PORT")
-MASTER_PORT = "29500"
+RANK_ENV = ("RANK", "WORLD_SIZE", "NODE_RANK")
 
 
 # ---------------------------------------------------------------- UDF-1
@@ -37,8 +35,8 @@ def run_on_nodes(df: DataFrame, fn, schema: T.StructType | str, num_nodes: int =
 
     ``batches`` is the rank's shard as an iterator of pandas DataFrames; ``fn``
     yields pandas DataFrames matching ``schema`` (without the ``rank`` column,
-    which is added). Ranks see RANK, WORLD_SIZE, LOCAL_RANK, NODE_RANK,
-    MASTER_ADDR and MASTER_PORT plus ``env`` in their environment.
+    which is added). Ranks see RANK, WORLD_SIZE and NODE_RANK plus ``env`` in
+    their environment while ``fn`` runs.
     """
     if num_nodes < 1 or procs_per_node < 1:
         raise ValueError("num_nodes and procs_per_node must be >= 1")
@@ -54,18 +52,19 @@ def run_on_nodes(df: DataFrame, fn, schema: T.StructType | str, num_nodes: int =
         from pyspark import BarrierTaskContext
         ctx = BarrierTaskContext.get()
         rank = ctx.partitionId()
-        infos = ctx.getTaskInfos()
-        master = infos[0].address.split(":")[0] if infos else "localhost"
+        before = dict(os.environ)
         os.environ.update({k: str(v) for k, v in env.items()})
-        os.environ.update({"RANK": str(rank), "WORLD_SIZE": str(world), "LOCAL_RANK": str(rank % procs_per_node),
-                           "NODE_RANK": str(rank // procs_per_node), "MASTER_ADDR": master,
-                           "MASTER_PORT": MASTER_PORT})
-        ctx.barrier()  # rendezvous: every rank is up
-        for out in fn(batches, rank=rank, world_size=world, **kwargs):
-            out = out.copy()
-            out.insert(0, "rank", rank)
-            yield out
-        ctx.barrier()  # every rank finished
+        os.environ.update({"RANK": str(rank), "WORLD_SIZE": str(world), "NODE_RANK": str(rank // procs_per_node)})
+        try:
+            ctx.barrier()  # rendezvous: every rank is up
+            for out in fn(batches, rank=rank, world_size=world, **kwargs):
+                out = out.copy()
+                out.insert(0, "rank", rank)
+                yield out
+            ctx.barrier()  # every rank finished
+        finally:  # the worker process runs other tasks later
+            os.environ.clear()
+            os.environ.update(before)
 
     return shards.mapInPandas(per_rank, out_schema, barrier=True)
 
@@ -81,8 +80,7 @@ class JobOption:
 
     def check(self, backend: str) -> None:
         if backend not in self.backends:
-            raise ValueError(f"{type(self).__name__} option is not compatible with {backend}; "
-                             f"supported: {', '.join(self.backends)}")
+            raise ValueError(f"the backend {backend!r} has no option {type(self).__name__}; it works on {list(self.backends)}")
 
     def apply(self, jobs: DataFrame) -> DataFrame:  # pragma: no cover - abstract
         raise NotImplementedError
@@ -141,65 +139,72 @@ def apply_options(jobs: DataFrame, options: list, backend: str = "kubernetes") -
 
 # ---------------------------------------------------------------- HPO-8
 
+TRIALS_PER_PASS = 20_000  # trials whose parameters are shipped to the tasks at once
+
+
 def sweep_by_function(data: DataFrame, trials: DataFrame, fn, partials: list[str], finalize: dict[str, Column],
-                      params: list[str], trial_key: str = "trial_no", max_trials: int = 100_000) -> DataFrame:
-    """Score ``fn`` for every trial in one pass over ``data``.
+                      params: list[str], trial_key: str = "trial_no", trials_per_pass: int = TRIALS_PER_PASS) -> DataFrame:
+    """Score ``fn`` for every trial in one pass over ``data`` per ``trials_per_pass`` trials.
 
     ``fn(pdf, **params)`` gets one Arrow batch of the data and the trial's
     parameters as strings (as the reference passes them) and returns a dict of
     additive partial sums named in ``partials``. ``finalize`` turns the summed
-    partials into metrics. A trial whose function raises anywhere is
-    ``Failed`` with the first error text and NULL metrics.
-
-    The trial table is small by declaration (``num_trials``); its size is
-    checked against ``max_trials`` before it is shipped to the tasks.
+    partials into metrics. A trial whose function raises anywhere is ``Failed``
+    with NULL metrics and the whole text of its first error (that of the lowest
+    partition, then batch).
     """
     ship_package(data.sparkSession)
-    n = trials.limit(max_trials + 1).count()
-    if n > max_trials:
-        raise ValueError(f"{n} trials exceed max_trials={max_trials}; score them in chunks")
-    rows = trials.select(trial_key, *[F.col(p).cast("string").alias(p) for p in params]).collect()
-    spec = [(r[trial_key], {p: r[p] for p in params}) for r in rows]
+    passes = max(1, -(-trials.count() // trials_per_pass))
     fields = [T.StructField(trial_key, T.LongType()), T.StructField("ok", T.BooleanType()),
-              T.StructField("error", T.StringType())]
+              T.StructField("error", T.StringType()), T.StructField("at", T.LongType())]
     fields += [T.StructField(p, T.DoubleType()) for p in partials]
     schema = T.StructType(fields)
 
-    def per_task(batches):
-        sums = {tn: dict.fromkeys(partials, 0.0) for tn, _ in spec}
-        errors: dict = {}
-        for pdf in batches:
-            for tn, kw in spec:
+    def task(spec):
+        def per_task(batches):
+            from pyspark import TaskContext
+            part = TaskContext.get().partitionId() << 32
+            sums = {tn: dict.fromkeys(partials, 0.0) for tn, _ in spec}
+            errors: dict = {}
+            for no, pdf in enumerate(batches):
+                for tn, kw in spec:
+                    if tn in errors:
+                        continue
+                    try:
+                        got = fn(pdf, **kw)
+                        for p in partials:
+                            sums[tn][p] += float(got[p])
+                    except Exception as e:  # noqa: BLE001 - a failing trial is recorded
+                        errors[tn] = (f"{type(e).__name__}: {e}", part + no)
+            out = []
+            for tn, _ in spec:
                 if tn in errors:
-                    continue
-                try:
-                    part = fn(pdf, **kw)
-                    acc = sums[tn]
-                    for p in partials:
-                        acc[p] += float(part[p])
-                except Exception as e:  # noqa: BLE001 - a failing trial is recorded
-                    errors[tn] = f"{type(e).__name__}: {e}"[:500] or traceback.format_exc(limit=1)
-        out = []
-        for tn, _ in spec:
-            if tn in errors:
-                out.append({trial_key: tn, "ok": False, "error": errors[tn], **dict.fromkeys(partials, None)})
-            else:
-                out.append({trial_key: tn, "ok": True, "error": None, **sums[tn]})
-        yield pd.DataFrame(out, columns=[f.name for f in fields])
+                    text, at = errors[tn]
+                    out.append({trial_key: tn, "ok": False, "error": text, "at": at, **dict.fromkeys(partials, None)})
+                else:
+                    out.append({trial_key: tn, "ok": True, "error": None, "at": None, **sums[tn]})
+            yield pd.DataFrame(out, columns=[f.name for f in fields])
+        return per_task
 
     from sparksweep.plans.sweep import spread
-    parts = spread(data).mapInPandas(per_task, schema)
-    agg = parts.groupBy(trial_key).agg(
-        F.bool_and("ok").alias("ok"), F.min("error").alias("error"), *[F.sum(p).alias(p) for p in partials])
+    data = spread(data)
+    parts = []
+    for i in range(passes):
+        some = trials if passes == 1 else trials.filter(F.pmod(F.xxhash64(trial_key), F.lit(passes)) == i)
+        rows = some.select(trial_key, *[F.col(p).cast("string").alias(p) for p in params]).collect()
+        parts.append(data.mapInPandas(task([(r[trial_key], {p: r[p] for p in params}) for r in rows]), schema))
+    agg = reduce(DataFrame.unionByName, parts).groupBy(trial_key).agg(
+        F.bool_and("ok").alias("ok"), F.min_by("error", "at").alias("error"), *[F.sum(p).alias(p) for p in partials])
     status = F.when(F.col("ok"), F.lit("Succeeded")).otherwise(F.lit("Failed"))
     metrics = [F.when(F.col("ok"), m).alias(k) for k, m in finalize.items()]
     return agg.select(trial_key, status.alias("status"), "error", *metrics)
 
 
-def run_trials(trials: DataFrame, fn, params: list[str], metrics: list[str], parallel_trials: int = 1,
+def run_trials(trials: DataFrame, fn, params: list[str], metrics: list[str], parallel_trials: int | None = None,
                trial_key: str = "trial_no") -> DataFrame:
     """Small-data form: ``fn(**params)`` once per trial, ``parallel_trials``
-    at a time (one partition each); returns metrics or the error."""
+    at a time (one partition each; default: as many as the cluster has cores);
+    returns metrics or the whole error text."""
     fields = [T.StructField(trial_key, T.LongType()), T.StructField("status", T.StringType()),
               T.StructField("error", T.StringType())] + [T.StructField(m, T.DoubleType()) for m in metrics]
     schema = T.StructType(fields)
@@ -216,9 +221,10 @@ def run_trials(trials: DataFrame, fn, params: list[str], metrics: list[str], par
                                 **{m: float(res[m]) for m in metrics}})
                 except Exception as e:  # noqa: BLE001
                     out.append({trial_key: int(r[trial_key]), "status": "Failed",
-                                "error": f"{type(e).__name__}: {e}"[:500], **dict.fromkeys(metrics)})
+                                "error": f"{type(e).__name__}: {e}", **dict.fromkeys(metrics)})
             yield pd.DataFrame(out, columns=[f.name for f in fields])
 
     ship_package(trials.sparkSession)
-    src = trials.select(trial_key, *[F.col(p) for p in params]).repartition(parallel_trials, trial_key)
+    src = trials.select(trial_key, *[F.col(p) for p in params]).repartition(
+        parallel_trials or trials.sparkSession.sparkContext.defaultParallelism, trial_key)
     return src.mapInPandas(per_part, schema)

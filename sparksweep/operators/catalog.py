@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 # fixed values: document kinds and the trainer group's name
 RUNTIME_KINDS = ("ClusterTrainingRuntime", "TrainingRuntime")
 NODE = "node"
+TORCHTUNE = "torchtune"
 # label keys of our runtime documents; pass your documents' keys to the parser
 FRAMEWORK_LABEL = "trainer/framework"
 ANCESTOR_LABEL = "trainer/ancestor-step"
@@ -34,7 +35,10 @@ RUNTIME_DOC_SCHEMA = T.StructType([
         T.StructField("labels", T.MapType(T.StringType(), T.StringType())),
     ])),
     T.StructField("spec", T.StructType([
-        T.StructField("mlPolicy", T.StructType([T.StructField("numNodes", T.LongType())])),
+        T.StructField("mlPolicy", T.StructType([
+            T.StructField("numNodes", T.StringType()),  # a number, quoted or not
+            T.StructField("torch", T.MapType(T.StringType(), T.StringType())),
+            T.StructField("mpi", T.MapType(T.StringType(), T.StringType()))])),
         T.StructField("template", T.StructType([T.StructField("spec", T.StructType([
             T.StructField("replicatedJobs", T.ArrayType(_RJOB))]))])),
     ])),
@@ -53,8 +57,8 @@ def parse_runtime_documents(docs: DataFrame, doc_col: str = "doc", keep: list[st
     ``files`` (catalog files): the replicated job named ``node``; image of its
     container ``node`` if it has one, else of the first container with one; the
     document kind must be a runtime kind. ``cluster`` (objects read from the
-    cluster API): the replicated job carrying the ancestor label; image of its
-    container ``node`` only. ``error`` names the first failed check; malformed
+    cluster API): of all replicated jobs that carry the ancestor label the first
+    container ``node``. ``error`` names the first failed check; malformed
     JSON is rejected, never fatal."""
     if mode not in ("files", "cluster"):
         raise ValueError(f"mode must be files or cluster, got {mode!r}")
@@ -64,15 +68,19 @@ def parse_runtime_documents(docs: DataFrame, doc_col: str = "doc", keep: list[st
     if mode == "files":
         trainer_job = F.try_element_at(F.filter(rjobs, lambda j: j["name"] == NODE), F.lit(1))
     else:
-        trainer_job = F.try_element_at(F.filter(
-            rjobs, lambda j: F.coalesce(F.map_contains_key(j["template"]["metadata"]["labels"], ancestor_label),
-                                        F.lit(False))), F.lit(1))
-    containers = trainer_job["template"]["spec"]["template"]["spec"]["containers"]
+        trainer_job = F.filter(rjobs, lambda j: F.coalesce(
+            F.map_contains_key(j["template"]["metadata"]["labels"], ancestor_label), F.lit(False)))
+        trainer_job = F.when(F.size(trainer_job) > 0, trainer_job)  # all labelled jobs; the first container ``node`` counts
+    if mode == "files":
+        containers = trainer_job["template"]["spec"]["template"]["spec"]["containers"]
+    else:
+        containers = F.flatten(F.transform(trainer_job, lambda j: F.coalesce(
+            j["template"]["spec"]["template"]["spec"]["containers"], F.array().cast(_POD_SPEC["containers"].dataType))))
     node_img = F.try_element_at(F.filter(containers, lambda c: (c["name"] == NODE) & _has_image(c)), F.lit(1))["image"]
     if mode == "files":
         img = F.coalesce(node_img, F.try_element_at(F.filter(containers, _has_image), F.lit(1))["image"])
     else:
-        img = node_img
+        img = F.nullif(F.try_element_at(F.filter(containers, lambda c: c["name"] == NODE), F.lit(1))["image"], F.lit(""))
     framework = F.col("d.metadata.labels")[framework_label]
     blank = F.col("d").isNull() | (F.col("d.kind").isNull() & F.col("d.metadata").isNull() & F.col("d.spec").isNull())
     bad_kind = ~F.coalesce(F.col("d.kind").isin(*RUNTIME_KINDS), F.lit(False)) | F.col("d.metadata").isNull()
@@ -88,18 +96,28 @@ def parse_runtime_documents(docs: DataFrame, doc_col: str = "doc", keep: list[st
     return x.select(*keep,
                     F.col("d.metadata.name").alias("name"),
                     framework.alias("framework"),
-                    F.coalesce(F.col("d.spec.mlPolicy.numNodes"), F.lit(1)).alias("num_nodes"),
+                    F.coalesce(F.col("d.spec.mlPolicy.numNodes").try_cast("bigint"), F.lit(1)).alias("num_nodes"),
                     img.alias("image"),
+                    F.when(framework == TORCHTUNE, F.lit("BuiltinTrainer")).otherwise(F.lit("CustomTrainer")).alias("trainer_type"),
+                    trainer_command(framework, F.col("d.spec.mlPolicy.torch").isNotNull(),
+                                    F.col("d.spec.mlPolicy.mpi").isNotNull()).alias("command"),
                     err.alias("error"))
 
 
+def trainer_command(framework: Column, torch: Column, mpi: Column) -> Column:
+    """The trainer's entry point by framework and policy, as its first words
+    (the script that embeds a function's source is not part of it)."""
+    return (F.when(framework == TORCHTUNE, F.lit("tune run")).when(torch, F.lit("torchrun"))
+            .when(mpi, F.lit("mpirun")).otherwise(F.lit("python")))
+
+
 def runtime_documents(catalog: DataFrame) -> DataFrame:
     """Render catalog rows (name, pos, framework, image, num_nodes) as runtime
     documents with three container layouts and some invalid kinds."""
     pos = F.col("pos")
-    no_labels = F.struct(F.create_map().cast("map<string,string>").alias("labels")).alias("metadata")
     ancestor = F.struct(F.create_map(F.lit(ANCESTOR_LABEL), F.lit("trainer")).alias("labels")).alias("metadata")
-    init_job = F.struct(F.lit("initializer").alias("name"), F.struct(no_labels, F.struct(F.struct(F.struct(F.array(
+    init_label = F.struct(F.create_map(F.lit(ANCESTOR_LABEL), F.lit("dataset-initializer")).alias("labels")).alias("metadata")
+    init_job = F.struct(F.lit("initializer").alias("name"), F.struct(init_label, F.struct(F.struct(F.struct(F.array(
         F.struct(F.lit("init").alias("name"), F.lit("img/init").alias("image"))).alias("containers")).alias("spec"))
         .alias("template")).alias("spec")).alias("template"))
 
@@ -110,17 +128,22 @@ def runtime_documents(catalog: DataFrame) -> DataFrame:
     def cont(name, image):
         return F.struct(F.lit(name).alias("name"), image.alias("image"))
 
+    none_map = F.lit(None).cast("map<string,string>")
     img = F.col("image")
     none = F.lit(None).cast("string")
     jobs = (F.when(pos % 3 == 0, F.array(rjob(F.array(cont("node", img)))))
-            .when(pos % 3 == 1, F.array(init_job, rjob(F.array(cont("sidecar", none), cont("trainer", img)))))
+            .when(pos % 6 == 1, F.array(init_job, rjob(F.array(cont("sidecar", none), cont("node", img)))))
+            .when(pos % 6 == 4, F.array(init_job, rjob(F.array(cont("sidecar", none), cont("trainer", img)))))
             .otherwise(F.array(rjob(F.array(cont("init", F.lit("img/init")), cont("node", img))))))
     labels = F.when(F.col("framework").isNull(), F.create_map().cast("map<string,string>")).otherwise(
         F.create_map(F.lit(FRAMEWORK_LABEL), F.col("framework")))
     doc = F.struct(
         F.when(pos % 11 == 0, F.lit("Deployment")).otherwise(F.lit(RUNTIME_KINDS[0])).alias("kind"),
         F.struct(F.col("name").alias("name"), labels.alias("labels")).alias("metadata"),
-        F.struct(F.struct(F.when(pos % 4 != 0, F.col("num_nodes").cast("bigint")).alias("numNodes")).alias("mlPolicy"),
+        F.struct(F.struct(F.when(pos % 4 != 0, F.col("num_nodes").cast("string")).alias("numNodes"),
+                          F.when(pos % 5 == 1, F.create_map(F.lit("numProcPerNode"), F.lit("2"))).otherwise(none_map).alias("torch"),
+                          F.when(pos % 5 == 2, F.create_map(F.lit("numProcPerNode"), F.lit("4"))).otherwise(none_map).alias("mpi"))
+                 .alias("mlPolicy"),
                  F.struct(F.struct(jobs.alias("replicatedJobs")).alias("spec")).alias("template")).alias("spec"))
     return catalog.select("*", F.to_json(doc).alias("doc"))
 

@@ -1,8 +1,7 @@
 """Job documents, runtimes and steps (PRJ-1, JON-1, JON-2, JON-4, FLT-1..4, AGG-11).
 
-Runtime catalogs are small by nature (one row per runtime) but their size is
-checked before broadcasting: ``bounded_broadcast`` counts at most
-``max_rows + 1`` rows and falls back to a shuffle join beyond that.
+Joins carry no broadcast hints: Spark broadcasts a side that its own byte
+threshold allows and splits skewed partitions otherwise.
 """
 
 from __future__ import annotations
@@ -13,8 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_BROADCAST_ROWS = 1_000_000
-
 # fixed values: status vocabulary and step names
 CREATED, RUNNING, COMPLETE, FAILED, UNKNOWN = "Created", "Running", "Complete", "Failed", "Unknown"
 POD_PENDING, POD_SUCCEEDED = "Pending", "Succeeded"
@@ -22,12 +19,6 @@ NODE = "node"
 INITIALIZERS = ("dataset-initializer", "model-initializer")
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows (checked)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 # ---------------------------------------------------------------- documents (PRJ-1)
 
 JOB_DOC_SCHEMA = T.StructType([
@@ -60,27 +51,45 @@ def job_documents(jobs: DataFrame) -> DataFrame:
     return jobs.select(F.to_json(doc).alias("doc"))
 
 
+DOC_TIMES = ("yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'",
+             "yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
+
+
 def parse_job_documents(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
-    """Flatten job documents: name, runtime_ref, num_nodes (0 means unset), created, conditions."""
+    """Flatten job documents: job, runtime_ref, num_nodes (0 means unset),
+    created, conditions, error (the first required field that is missing or
+    unreadable; the reference raises there)."""
     d = F.from_json(F.col(doc_col), JOB_DOC_SCHEMA).alias("d")
     x = docs.select(d)
+    text = F.col("d.metadata.creationTimestamp")
+    created = F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in DOC_TIMES])
     return x.select(
         F.col("d.metadata.name").alias("job"),
         F.col("d.spec.runtimeRef.name").alias("runtime_ref"),
         F.nullif(F.col("d.spec.trainer.numNodes"), F.lit(0)).alias("job_num_nodes"),
-        F.to_timestamp(F.col("d.metadata.creationTimestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("created"),
+        created.alias("created"),
         F.coalesce(F.col("d.status.conditions"),
                    F.array().cast("array<struct<type:string,status:string>>")).alias("conditions"),
+        F.when(F.col("d.metadata.name").isNull(), F.lit("missing name"))
+        .when(F.col("d.spec").isNull(), F.lit("missing spec"))
+        .when(text.isNull(), F.lit("missing creation time"))
+        .when(created.isNull(), F.lit("unreadable creation time")).alias("error"),
     )
 
 
-def with_runtime(jobs: DataFrame, runtimes: DataFrame, ref: str = "runtime_ref") -> DataFrame:
+def spread_nulls(key: Column, *by: Column) -> Column:
+    """A join key whose nulls, which match nothing, are dealt over all partitions."""
+    return F.coalesce(key, F.concat(F.lit("\u0000"), F.xxhash64(*by).cast("string")))
+
+
+def with_runtime(jobs: DataFrame, runtimes: DataFrame, ref: str = "runtime_ref", job: str = "job") -> DataFrame:
     """JON-1: attach the runtime by name. A job whose runtime is missing keeps
     its row with ``runtime_found = false`` (the reference raises)."""
     rt = runtimes.select(F.col("name").alias("_rt_name"), *[F.col(c).alias(f"rt_{c}")
                                                              for c in runtimes.columns if c != "name"])
-    out = jobs.join(bounded_broadcast(rt), jobs[ref] == F.col("_rt_name"), "left")
-    return out.withColumn("runtime_found", F.col("_rt_name").isNotNull()).drop("_rt_name")
+    keyed = jobs.withColumn("_key", spread_nulls(F.col(ref), F.col(job)))
+    out = keyed.join(rt, F.col("_key") == F.col("_rt_name"), "left")
+    return out.withColumn("runtime_found", F.col("_rt_name").isNotNull()).drop("_rt_name", "_key")
 
 
 def effective_num_nodes(job_nodes: Column, runtime_nodes: Column) -> Column:
@@ -151,21 +160,31 @@ def validate(df: DataFrame, required: dict[str, str], strict: bool = False, cach
 
 # ---------------------------------------------------------------- devices (AGG-11)
 
+# fixed values: resource names of the devices, in order of precedence
+DEVICES = {"gpu": "nvidia.com/gpu", "tpu": "google.com/tpu", "cpu": "cpu"}
+
+
+def container_device(limits: Column) -> tuple[Column, Column, Column]:
+    """(device, count, error) of a container from its limits MAP: gpu before tpu
+    before cpu. No limits at all: unknown, no error; limits without a known
+    device: an error."""
+    keys = DEVICES.items()
+    device = F.coalesce(*[F.when(F.map_contains_key(limits, k), F.lit(d)) for d, k in keys])
+    count = F.coalesce(*[F.when(F.map_contains_key(limits, k), F.try_element_at(limits, F.lit(k))) for _, k in keys])
+    return device, count, F.when(limits.isNotNull() & device.isNull(), F.lit("no known device in the limits"))
+
+
 def runtime_devices(runtimes: DataFrame) -> DataFrame:
-    """Device by precedence gpu > tpu > cpu from the limits; per-node count
-    overridden by the process count (torch / MPI); times num_nodes when numeric.
-    A runtime with no known device gets ``error``."""
-    gpu, tpu, cpu = F.col("gpu_limit"), F.col("tpu_limit"), F.col("cpu_limit")
-    device = (F.when(gpu.isNotNull(), F.lit("gpu")).when(tpu.isNotNull(), F.lit("tpu"))
-              .when(cpu.isNotNull(), F.lit("cpu")))
-    per_node = F.coalesce(F.col("procs_per_node"), gpu, tpu, cpu).cast("string")
-    total = F.when(per_node.rlike(r"^\d+$") & F.col("num_nodes").isNotNull(),
+    """Device from the ``limits`` MAP of the trainer container; per-node count
+    overridden by the process count (torch / MPI); times num_nodes when numeric."""
+    device, count, error = container_device(F.col("limits"))
+    per_node = F.coalesce(F.col("procs_per_node").cast("string"), count)
+    total = F.when(per_node.rlike(r"^\d+$") & (F.coalesce(F.col("num_nodes"), F.lit(0)) != 0),
                    (per_node.cast("bigint") * F.col("num_nodes")).cast("string")).otherwise(per_node)
     return runtimes.select(
         "name", "framework", "num_nodes",
         F.coalesce(device, F.lit(UNKNOWN)).alias("device"),
-        F.coalesce(total, F.lit(UNKNOWN)).alias("device_count"),
-        F.when(device.isNull(), F.lit("unknown device type")).alias("error"))
+        F.coalesce(total, F.lit(UNKNOWN)).alias("device_count"), error.alias("error"))
 
 
 def device_rollup(devices: DataFrame) -> DataFrame:
@@ -180,50 +199,58 @@ def device_rollup(devices: DataFrame) -> DataFrame:
 # fixed values: pod label values and the process-count environment variable
 LAUNCHER = "launcher"
 NPROC_ENV = "PET_NPROC_PER_NODE"
+MPI_COMMAND = "mpirun"
+
+
+STEP_COLUMNS = ("step", "pod_name", "status", "device", "device_count")
 
 
-def steps_from_pods(pods: DataFrame) -> DataFrame:
-    """Steps from pods that carry their job's runtime: job, rjob, job_index,
-    env_nproc, status, framework, gpu/tpu/cpu limits, procs_per_node.
-
-    Initializer pods keep their replicated-job name and an Unknown device;
-    node and launcher pods become ``node-<index>``, where MPI workers (not the
-    launcher, which is node-0) get index + 1; a node's device count is the
-    runtime's per-node count unless the pod sets PET_NPROC_PER_NODE to digits."""
-    gpu, tpu, cpu = F.col("gpu_limit"), F.col("tpu_limit"), F.col("cpu_limit")
-    dev = (F.when(gpu.isNotNull(), F.lit("gpu")).when(tpu.isNotNull(), F.lit("tpu"))
-           .when(cpu.isNotNull(), F.lit("cpu")))
-    cnt = F.coalesce(F.col("procs_per_node"), gpu, tpu, cpu).cast("string")
-    is_init = F.col("rjob").isin(*INITIALIZERS)
-    shift = F.when((F.col("framework") == "mpi") & (F.col("rjob") != LAUNCHER), F.lit(1)).otherwise(F.lit(0))
-    env = F.col("env_nproc")
-    return pods.select(
-        "job",
-        F.when(is_init, F.col("rjob")).otherwise(F.concat(F.lit(NODE + "-"), F.col("job_index") + shift)).alias("step"),
-        "status",
-        F.when(is_init, F.lit(UNKNOWN)).otherwise(F.coalesce(dev, F.lit(UNKNOWN))).alias("device"),
-        F.when(is_init, F.lit(UNKNOWN)).when(env.rlike(r"^\d+$"), env)
-        .otherwise(F.coalesce(cnt, F.lit(UNKNOWN))).alias("device_count"))
-
-
-def job_steps(jobs: DataFrame, steps: DataFrame) -> DataFrame:
+def job_steps(jobs: DataFrame, pods: DataFrame, launcher_first: bool = False) -> DataFrame:
     """JON-2 flat: one row per (job, step); a job without steps keeps one row
-    with NULL step (the reference's empty list)."""
-    s = steps.select(F.col("job").alias("_sj"), "step", "status", "device", "device_count")
-    x = jobs.select("job").join(s, F.col("job") == F.col("_sj"), "left")
-    return x.select("job", "step", "status", "device", "device_count")
+    with NULL step (the reference's empty list). One join.
+
+    ``jobs``: job, command (the trainer's first word). ``pods``: job, pod_name,
+    rjob (replicated job), job_index, limits (MAP, of the pod's own container),
+    env_nproc, status. Initializer pods keep their replicated-job name; node and
+    launcher pods become ``node-<index>``, where the workers of an ``mpirun``
+    trainer get index + 1 (its launcher is node-0). Pods of other replicated jobs
+    are no steps. Device and count come from the container's limits; a node's
+    count is PET_NPROC_PER_NODE if the pod sets it to digits. With
+    ``launcher_first`` job_index numbers all pods of an ``mpirun`` job, its
+    launcher first, and is taken apart here."""
+    mpi, index, rjob = F.col("command") == MPI_COMMAND, F.col("job_index"), F.col("rjob")
+    known = pods.filter(rjob.isin(*INITIALIZERS, NODE, LAUNCHER)).withColumn("_has", F.lit(True))
+    x = jobs.select("job", "command").join(known, "job", "left")
+    if launcher_first:
+        worker = mpi & (rjob == NODE)
+        x = x.withColumns({"rjob": F.when(worker & (index == 0), F.lit(LAUNCHER)).otherwise(rjob),
+                           "job_index": F.when(worker & (index > 0), index - 1).otherwise(index)})
+    device, count, _ = container_device(F.col("limits"))
+    is_init = rjob.isin(*INITIALIZERS)
+    shift = F.when(mpi & (rjob != LAUNCHER), F.lit(1)).otherwise(F.lit(0))
+    env, has = F.col("env_nproc"), F.col("_has")
+    return x.select(
+        "job", F.when(has, F.when(is_init, rjob).otherwise(F.concat(F.lit(NODE + "-"), index + shift))).alias("step"),
+        "pod_name", "status", F.when(has, F.coalesce(device, F.lit(UNKNOWN))).alias("device"),
+        F.when(has, F.when(~is_init & env.rlike(r"^\d+$"), env).otherwise(F.coalesce(count, F.lit(UNKNOWN)))).alias("device_count"))
+
 
+LIST_BUCKETS = 64
 
-def nested_steps(flat: DataFrame, max_steps: int = 10_000) -> DataFrame:
-    """The reference's nested shape: one row per job with its sorted step list.
-    Only for bounded step counts (a job's nodes; checked before collecting);
-    the flat form is the scalable one."""
-    big = flat.groupBy("job").count().filter(F.col("count") > max_steps).limit(1).collect()
-    if big:
-        raise ValueError(f"job {big[0]['job']} has more than {max_steps} steps; use the flat form")
-    st = F.struct("step", "status", "device", "device_count")
-    return flat.groupBy("job").agg(
-        F.array_sort(F.filter(F.collect_list(st), lambda s: s["step"].isNotNull())).alias("steps"))
+
+def nested_list(flat: DataFrame, keys: list[str], item: Column, present: Column, out: str) -> DataFrame:
+    """One row per ``keys`` with the sorted list of its items. A long list is
+    gathered in two levels, by (keys, bucket) and then by keys, so that only the
+    finished list itself meets in one task."""
+    bucket = F.pmod(F.xxhash64(item), F.lit(LIST_BUCKETS))
+    parts = flat.withColumn("_item", F.when(present, item)).groupBy(*keys, bucket.alias("_bucket")).agg(
+        F.collect_list("_item").alias("_part"))  # nulls are left out
+    return parts.groupBy(*keys).agg(F.array_sort(F.flatten(F.collect_list("_part"))).alias(out))
+
+
+def nested_steps(flat: DataFrame) -> DataFrame:
+    """The reference's nested shape: one row per job with its sorted step list."""
+    return nested_list(flat, ["job"], F.struct(*STEP_COLUMNS), F.col("step").isNotNull(), "steps")
 
 
 # ---------------------------------------------------------------- networks (JON-4)
@@ -247,12 +274,16 @@ def experiment_trials(trials: DataFrame, assignments: DataFrame, job_status: Dat
     return x.join(a, x.trial == a._t, "left").drop("_t")
 
 
-def nested_parameters(flat: DataFrame, max_params: int = 10_000) -> DataFrame:
-    """The reference's shape: parameters as a MAP per trial. Parameter lists are
-    bounded by the search space; the bound is checked before collecting."""
-    big = flat.groupBy("trial").count().filter(F.col("count") > max_params).limit(1).collect()
-    if big:
-        raise ValueError(f"trial {big[0]['trial']} has more than {max_params} parameters")
-    return flat.groupBy("experiment", "trial", "trial_status").agg(
-        F.map_from_entries(F.filter(F.collect_list(F.struct("param", "value")),
-                                    lambda e: e["param"].isNotNull())).alias("parameters"))
+def nested_parameters(flat: DataFrame) -> DataFrame:
+    """The reference's shape: parameters as a MAP per trial."""
+    lists = nested_list(flat, ["experiment", "trial", "trial_status"], F.struct("param", "value"),
+                        F.col("param").isNotNull(), "_items")
+    return lists.select("experiment", "trial", "trial_status", F.map_from_entries("_items").alias("parameters"))
+
+
+def with_metrics(trials: DataFrame, observations: DataFrame) -> DataFrame:
+    """Trials (one row each) with their metrics as a sorted list of (metric, min, max, latest)."""
+    item = F.struct("metric", "min", "max", "latest")
+    lists = nested_list(observations.withColumnRenamed("trial", "_t"), ["_t"], item, F.col("metric").isNotNull(), "metrics")
+    empty = F.array().cast(lists.schema["metrics"].dataType)
+    return trials.join(lists, F.col("trial") == F.col("_t"), "left").withColumn("metrics", F.coalesce("metrics", empty)).drop("_t")

@@ -45,6 +45,20 @@ def last_wins(reqs: DataFrame, job: str = "job") -> DataFrame:
                                       F.max_by("requirement", "pos").alias("requirement"))
 
 
+def merge_rejects(runtime_reqs: DataFrame, job_reqs: DataFrame, job: str = "job") -> DataFrame:
+    """What makes the reference refuse a merge, as rows (job, section, pos,
+    requirement, reason): text without a name in either list, and every
+    occurrence but the first of a name that a job lists twice."""
+    both = runtime_reqs.select(job, F.lit(0).alias("section"), "pos", "requirement").unionByName(
+        job_reqs.select(job, F.lit(1).alias("section"), "pos", "requirement"))
+    bad = both.withColumn("reason", reject_reason(F.col("requirement"))).filter(F.col("reason").isNotNull())
+    named = with_names(job_reqs).filter(F.col("name").isNotNull()).select(job, "pos", "requirement", "name")
+    first = named.groupBy(job, "name").agg(F.min("pos").alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    twice = named.join(first, [job, "name"]).filter(F.col("pos") > F.col("_first")).select(
+        job, F.lit(1).alias("section"), "pos", "requirement", F.lit("listed twice").alias("reason"))
+    return bad.unionByName(twice)
+
+
 def ordered_distinct(df: DataFrame, keys: list[str], value: str, pos: str = "pos") -> DataFrame:
     """SET-1: distinct values, each at its first position."""
     return df.groupBy(*keys, value).agg(F.min(pos).alias(pos))
@@ -67,7 +81,9 @@ def merge(runtime_reqs: DataFrame, job_reqs: DataFrame, job: str = "job") -> Dat
 
     Runtime-only names first (last duplicate wins, at its position), then the
     job's rows verbatim; a job with no job list keeps the runtime list as it is
-    (duplicates included). Output: job, section (0 runtime, 1 job), pos, requirement.
+    (duplicates included). Output: job, section (0 runtime, 1 job), pos,
+    requirement. A runtime row without a readable name can't be overridden: it
+    stays, at its position, and is listed by ``merge_rejects``.
     """
     jr = with_names(job_reqs)
     has_list = jr.select(job).distinct()
@@ -75,8 +91,10 @@ def merge(runtime_reqs: DataFrame, job_reqs: DataFrame, job: str = "job") -> Dat
     overridden = jr.filter(F.col("name").isNotNull()).select(job, "name").distinct()
     kept = (rt_dedup.join(has_list, job, "left_semi").join(overridden, [job, "name"], "left_anti")
             .select(job, "pos", "requirement"))
+    unnamed = (with_names(runtime_reqs).filter(F.col("name").isNull()).join(has_list, job, "left_semi")
+               .select(job, "pos", "requirement"))
     verbatim = runtime_reqs.join(has_list, job, "left_anti").select(job, "pos", "requirement")
-    runtime_part = kept.unionByName(verbatim).withColumn("section", F.lit(0))
+    runtime_part = kept.unionByName(unnamed).unionByName(verbatim).withColumn("section", F.lit(0))
     job_part = job_reqs.select(job, "pos", "requirement").withColumn("section", F.lit(1))
     return runtime_part.unionByName(job_part).select(job, "section", "pos", "requirement")
 

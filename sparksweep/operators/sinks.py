@@ -8,11 +8,12 @@ everything hanging off them; the old copy is left for readers in flight.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparksweep.operators.jobs import bounded_broadcast
-from sparksweep.session import checkpoint_root
+from sparksweep.session import shared_dir
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -21,18 +22,27 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
-def register_rows(spark: SparkSession, path: str, rows: DataFrame, keys: list[str]) -> int:
-    """SNK-1: append ``rows`` whose ``keys`` are not in the table yet (the
-    first of several new rows with one key wins). Returns how many rows of the
-    batch were ignored because the table already holds their key."""
+def first_rows(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Per key the row with the smallest ``order`` (ties: the smallest of the
+    other atomic columns), the same on every run: one mergeable ``min_by``."""
+    kinds = dict(rows.dtypes)
+    rest = [c for c in rows.columns if c not in keys]
+    ties = [c for c in rest if c not in order and not kinds[c].startswith(("map", "array", "struct"))]
+    best = rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order, *ties)).alias("_first"))
+    return best.select(*keys, "_first.*").select(*rows.columns)
+
+
+def register_rows(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], order: list[str]) -> int:
+    """SNK-1: append ``rows`` whose ``keys`` are not in the table yet; of several
+    new rows with one key the first by ``order`` is taken. Returns how many rows
+    of the batch were ignored because the table already holds their key."""
     ignored = 0
+    fresh = rows
     if _exists(spark, path):
         existing = spark.read.parquet(path).select(*keys).distinct()
         ignored = rows.join(existing, keys, "left_semi").count()
         fresh = rows.join(existing, keys, "left_anti")
-    else:
-        fresh = rows
-    fresh.dropDuplicates(keys).write.mode("append").parquet(path)
+    first_rows(fresh, keys, order).write.mode("append").parquet(path)
     return ignored
 
 
@@ -52,7 +62,6 @@ def delete_jobs(tables: dict[str, DataFrame], tombstones: DataFrame, key: str =
         unknown = t.join(known.select(key), key, "left_anti").limit(1).collect()
         if unknown:
             raise ValueError(f"no job named {unknown[0][key]!r}")
-    t = bounded_broadcast(t)
     return {name: df.join(t, key, "left_anti") for name, df in tables.items()}
 
 
@@ -65,69 +74,73 @@ def compact(df: DataFrame, path: str, partition_by: list[str] | None = None) ->
     return df.sparkSession.read.parquet(path)
 
 
-def dependency_status(deps: DataFrame, job: str = "job_no", depends_on: str = "depends_on", ok: str = "ok",
-                      max_rounds: int = 10_000, checkpoint_every: int = 8) -> DataFrame:
+def _settled(df: DataFrame, name: str) -> DataFrame:
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def dependency_status(deps: DataFrame, job: str = "job_no", depends_on: str = "depends_on", ok: str = "ok") -> DataFrame:
     """JON-8: a job runs only when every dependency succeeded; otherwise it is
     Skipped, and so are its dependants. ``deps`` has one row per (job,
     dependency) edge (NULL dependency = none) and the job's own outcome ``ok``.
 
-    Semi-join loop: the frontier of failed or skipped jobs marks its direct
-    dependants, until the frontier is empty. Lineage is cut with a reliable
-    checkpoint every few rounds; a cycle cannot loop forever (``max_rounds``).
+    Chains are contracted first: a job with one dependency follows it up to the
+    nearest job with none or several (pointer jumping, log2(depth) rounds). What
+    is left is the graph of the jobs with several dependencies, where the newly
+    skipped ones mark their dependants until nothing is new.
     """
-    spark = deps.sparkSession
-    checkpoint_root(spark)
-    edges = deps.select(F.col(job).alias("j"), F.col(depends_on).alias("d")).filter(F.col("d").isNotNull())
+    edges = deps.select(F.col(job).alias("j"), F.col(depends_on).alias("d")).filter(F.col("d").isNotNull()).distinct()
+    degree = edges.groupBy("j").agg(F.count(F.lit(1)).alias("n"), F.min("d").alias("d"))
     jobs = deps.groupBy(F.col(job).alias("j")).agg(F.bool_and(F.col(ok)).alias("ok"))
-    multi = edges.groupBy("j").count().filter(F.col("count") > 1).limit(1).count() > 0
-    if not multi:
-        return _chain_status(jobs, edges, job, max_rounds)
-    frontier = jobs.filter(~F.col("ok")).select("j")
-    skipped = spark.createDataFrame([], "j " + dict(jobs.dtypes)["j"])
-    for rnd in range(max_rounds):
-        # dependants of the frontier not yet known to be skipped; a failed job
-        # that is skipped too only re-marks jobs already skipped, so the new
-        # frontier is just the newly skipped jobs (the plan grows linearly)
-        hit = edges.join(frontier.select(F.col("j").alias("d")), "d", "left_semi").select("j").distinct()
-        new = hit.join(skipped, "j", "left_anti").checkpoint(eager=True)
-        if new.limit(1).count() == 0:
-            break
-        skipped = skipped.unionByName(new)
-        if (rnd + 1) % checkpoint_every == 0:
-            skipped = skipped.checkpoint(eager=True)
-        frontier = new
-    else:
-        raise RuntimeError("dependency graph did not settle; is there a cycle?")
-    sk = skipped.distinct().withColumn("skipped", F.lit(True))
-    x = jobs.join(sk, "j", "left")
-    status = (F.when(F.col("skipped"), F.lit("Skipped")).when(F.col("ok"), F.lit("Complete"))
-              .otherwise(F.lit("Failed")))
-    return x.select(F.col("j").alias(job), status.alias("status"))
-
-
-def _status(df: DataFrame, job: str) -> DataFrame:
-    st = (F.when(F.col("skipped"), F.lit("Skipped")).when(F.col("ok"), F.lit("Complete"))
-          .otherwise(F.lit("Failed")))
-    return df.select(F.col("j").alias(job), st.alias("status"))
-
-
-def _chain_status(jobs: DataFrame, edges: DataFrame, job: str, max_rounds: int) -> DataFrame:
-    """Pointer jumping when every job has at most one dependency (chains and
-    trees): after round k each job knows whether any of its 2^k nearest
-    ancestors failed, and points 2^k steps up. log2(depth) rounds of one
-    self-join each, so a single very long chain does not mean a long loop.
-    Each round's state is cut from its lineage with a reliable checkpoint."""
-    okf = jobs.select(F.col("j").alias("d"), F.col("ok").alias("dep_ok"))
-    state = (jobs.join(edges, "j", "left").join(okf, "d", "left")
-             .select("j", "ok", F.col("d").alias("anc"),
-                     F.coalesce(~F.col("dep_ok"), F.lit(False)).alias("skipped"))
-             .checkpoint(eager=True))
-    for _ in range(min(max_rounds, 64)):
-        if state.filter(F.col("anc").isNotNull()).limit(1).count() == 0:
-            return _status(state, job)
-        up = state.select(F.col("j").alias("anc"), F.col("anc").alias("anc2"), F.col("skipped").alias("sk2"))
-        state = (state.join(up, "anc", "left")
-                 .select("j", "ok", F.col("anc2").alias("anc"),
-                         (F.col("skipped") | F.coalesce(F.col("sk2"), F.lit(False))).alias("skipped"))
-                 .checkpoint(eager=True))
-    raise RuntimeError("dependency chains did not settle; is there a cycle?")
+    jobs = _settled(jobs.join(degree, "j", "left"), "deps-jobs")
+    several = jobs.filter("n > 1").select(F.col("j").alias("d"), F.lit(True).alias("many"))
+    fine = jobs.select(F.col("j").alias("d"), F.col("ok").alias("d_ok"))
+    # up: the next job to look at; stop: the job with several dependencies that was reached
+    single = jobs.filter("n = 1").select("j", "d").join(fine, "d", "left").join(several, "d", "left").select(
+        "j", F.when(F.col("many").isNull() & F.col("d_ok").isNotNull(), F.col("d")).alias("up"),
+        F.when(F.col("many"), F.col("d")).alias("stop"), F.coalesce(~F.col("d_ok"), F.lit(False)).alias("skipped"))
+    chains = _chains(jobs.filter("n is null").select("j"), single)
+    state = chains.select(F.col("j").alias("d"), "stop", F.col("skipped").alias("above"))
+    links = (edges.join(jobs.filter("n > 1").select("j"), "j", "left_semi").join(fine, "d", "left").join(state, "d", "left")
+             .join(several, "d", "left").select(
+                 "j", F.when(F.col("many"), F.col("d")).otherwise(F.col("stop")).alias("stop"),
+                 (~F.coalesce("d_ok", F.lit(True)) | F.coalesce("above", F.lit(False))).alias("bad")))
+    links = _settled(links, "deps-links")
+    failed = jobs.filter("n > 1 and not ok").select(F.col("j").alias("stop"))
+    hit = links.filter("bad").select("j").union(links.join(failed, "stop", "left_semi").select("j")).distinct()
+    hit = frontier = _settled(hit, "deps-skipped")
+    while frontier.limit(1).count():
+        new = links.join(frontier.select(F.col("j").alias("stop")), "stop", "left_semi").select("j").distinct()
+        frontier = _settled(new.join(hit, "j", "left_anti"), "deps-skipped")
+        hit = hit.union(frontier)
+    bad_stop = hit.select(F.col("j").alias("stop")).union(failed).distinct().withColumn("stop_bad", F.lit(True))
+    rows = (chains.join(bad_stop, "stop", "left").select("j", (F.col("skipped") | F.coalesce("stop_bad", F.lit(False))).alias("skipped"))
+            .union(jobs.filter("n > 1").select("j").join(hit.withColumn("skipped", F.lit(True)), "j", "left")
+                   .select("j", F.coalesce("skipped", F.lit(False)))))
+    status = F.when(F.col("skipped"), F.lit("Skipped")).when(F.col("ok"), F.lit("Complete")).otherwise(F.lit("Failed"))
+    return jobs.select("j", "ok").join(rows, "j").select(F.col("j").alias(job), status.alias("status"))
+
+
+def _chains(roots: DataFrame, single: DataFrame) -> DataFrame:
+    """(j, stop, skipped) of the jobs with at most one dependency. After round k
+    a job knows whether one of its 2^k nearest ancestors failed. Rows that have
+    arrived leave the loop; only the open ones are joined and written again. In a
+    cycle no row ever arrives, which is an error."""
+    done = [roots.select("j", F.lit(None).cast(dict(single.dtypes)["stop"]).alias("stop"), F.lit(False).alias("skipped"))]
+    rows = _settled(single, "deps-chains")
+    left = rows.filter("up is not null").count()
+    done.append(rows.filter("up is null").select("j", "stop", "skipped"))
+    now = rows.filter("up is not null")
+    while left:
+        arrived = reduce(DataFrame.unionByName, done)
+        above = arrived.withColumn("up", F.lit(None).cast(dict(now.dtypes)["up"])).unionByName(now).select(
+            F.col("j").alias("up"), F.col("up").alias("up2"), F.col("stop").alias("stop2"), F.col("skipped").alias("more"))
+        rows = _settled(now.drop("stop").join(above, "up").select(
+            "j", F.col("up2").alias("up"), F.col("stop2").alias("stop"), (F.col("skipped") | F.col("more")).alias("skipped")), "deps-chains")
+        done.append(rows.filter("up is null").select("j", "stop", "skipped"))
+        now = rows.filter("up is not null")
+        before, left = left, now.count()
+        if left == before:
+            raise ValueError("dependency graph has a cycle")
+    return reduce(DataFrame.unionByName, done)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparksweep.operators.jobs import COMPLETE, CREATED, FAILED, NODE, POD_SUCCEEDED, RUNNING, UNKNOWN
+from sparksweep.operators.jobs import LIST_BUCKETS, COMPLETE, CREATED, FAILED, NODE, POD_SUCCEEDED, RUNNING, UNKNOWN
 from sparksweep.operators.ordinal import with_row_index, with_running_sum
 
 JOB_STATUSES = (CREATED, RUNNING, COMPLETE, FAILED)
@@ -56,14 +56,24 @@ def container_status(state: Column, exit_code: Column) -> Column:
 def containers_job_status(containers: DataFrame, group: str = "job") -> DataFrame:
     """AGG-4: Failed > Running > all non-Unknown Complete > any Created > Unknown.
     Quirk kept: a job whose containers are all Unknown is Complete."""
-    s = container_status(F.col("state"), F.col("exit_code")).alias("s")
-    x = containers.select(group, s)
-    agg = x.groupBy(group).agg(
-        F.bool_or(F.col("s") == FAILED).alias("f"), F.bool_or(F.col("s") == RUNNING).alias("r"),
-        F.bool_and(F.col("s").isin(COMPLETE, UNKNOWN)).alias("c"), F.bool_or(F.col("s") == CREATED).alias("n"))
-    st = (F.when(F.col("f"), F.lit(FAILED)).when(F.col("r"), F.lit(RUNNING)).when(F.col("c"), F.lit(COMPLETE))
-          .when(F.col("n"), F.lit(CREATED)).otherwise(F.lit(UNKNOWN)))
-    return agg.select(group, st.alias("status"))
+    s = container_status(F.col("state"), F.col("exit_code")).alias("status")
+    return containers.select(group, s).groupBy(group).agg(*_fold_flags()).select(group, _fold_status().alias("status"))
+
+
+def _fold_flags() -> list[Column]:
+    """The mergeable parts of the AGG-4 fold over ``status``."""
+    s = F.col("status")
+    return [F.bool_or(s == FAILED).alias("f"), F.bool_or(s == RUNNING).alias("r"),
+            F.bool_and(s.isin(COMPLETE, UNKNOWN)).alias("c"), F.bool_or(s == CREATED).alias("m")]
+
+
+def _merge_flags() -> list[Column]:
+    return [(F.bool_and if c == "c" else F.bool_or)(c).alias(c) for c in "frcm"]
+
+
+def _fold_status() -> Column:
+    return (F.when(F.col("f"), F.lit(FAILED)).when(F.col("r"), F.lit(RUNNING)).when(F.col("c"), F.lit(COMPLETE))
+            .when(F.col("m"), F.lit(CREATED)).otherwise(F.lit(UNKNOWN)))
 
 
 def process_job_status(steps: DataFrame, status_col: str = "job_status", group: str = "job") -> DataFrame:
@@ -113,17 +123,22 @@ def experiment_status(conditions: DataFrame, trial_status: DataFrame, experiment
 # ---------------------------------------------------------------- AGG-7 / TOP-3
 
 def containers_to_jobs(containers: DataFrame, list_pos: str = "idx") -> DataFrame:
-    """AGG-7: containers grouped by job label: node count, creation time of the
-    first listed container (a failed parse gives NULL, not "now"), the first
-    step by name, and the AGG-4 status."""
+    """AGG-7: containers grouped by job label in one pass: node count, creation
+    time of the first listed container (a failed parse gives NULL, not "now"),
+    the AGG-4 status and the steps (name, status) sorted by name."""
     created = F.col("created")
     if dict(containers.dtypes).get("created") == "string":
         created = F.try_to_timestamp(created)
-    base = containers.groupBy("job").agg(
-        F.count(F.lit(1)).alias("num_nodes"),
-        F.min_by(created, F.col(list_pos)).alias("created"),
-        F.min("name").alias("first_step"))
-    return base.join(containers_job_status(containers), "job")
+    s = container_status(F.col("state"), F.col("exit_code"))
+    x = containers.select("job", "name", list_pos, created.alias("created"), s.alias("status"))
+    step = F.struct("name", "status")
+    part = x.groupBy("job", F.pmod(F.xxhash64("name"), F.lit(LIST_BUCKETS)).alias("_bucket")).agg(
+        F.count(F.lit(1)).alias("n"), F.min_by("created", list_pos).alias("created"), F.min(list_pos).alias("first"),
+        *_fold_flags(), F.collect_list(step).alias("part"))
+    whole = part.groupBy("job").agg(
+        F.sum("n").alias("num_nodes"), F.min_by("created", "first").alias("created"), *_merge_flags(),
+        F.array_sort(F.flatten(F.collect_list("part"))).alias("steps"))
+    return whole.select("job", "num_nodes", "created", _fold_status().alias("status"), "steps")
 
 
 def step_order(steps: DataFrame, name: str = "name", group: str = "job", numeric: bool = False) -> DataFrame:
@@ -142,6 +157,15 @@ def step_order(steps: DataFrame, name: str = "name", group: str = "job", numeric
 
 # ---------------------------------------------------------------- AGG-9
 
+def check_wait(wanted, timeout_s: float, polling_s: float) -> None:
+    """The argument checks of a wait on a cluster."""
+    unknown = sorted(set(wanted) - set(JOB_STATUSES))
+    if unknown:
+        raise ValueError(f"can't wait for {unknown}; a job is one of {sorted(JOB_STATUSES)}")
+    if timeout_s < polling_s:
+        raise ValueError(f"a wait of {timeout_s} s ends before the first poll after {polling_s} s")
+
+
 def wait_outcome(events: DataFrame, wanted=(COMPLETE,), timeout_s: int = 600, polling_s: int = 2,
                  check: bool = True, job: str = "job") -> DataFrame:
     """AGG-9 over a status history (job, ts, seq, status).
@@ -153,10 +177,7 @@ def wait_outcome(events: DataFrame, wanted=(COMPLETE,), timeout_s: int = 600, po
     """
     wanted = tuple(wanted)
     if check:
-        if not set(wanted) <= set(JOB_STATUSES):
-            raise ValueError(f"Expected status {set(wanted)} must be a subset of {set(JOB_STATUSES)}")
-        if polling_s > timeout_s:
-            raise ValueError(f"Polling interval {polling_s} must be less than timeout: {timeout_s}")
+        check_wait(wanted, timeout_s, polling_s)
     st = F.col("status")
     deciding = st.isin(*wanted) | (st == FAILED)
     key = F.when(deciding, F.struct("ts", "seq"))
@@ -172,47 +193,6 @@ def wait_outcome(events: DataFrame, wanted=(COMPLETE,), timeout_s: int = 600, po
                     F.when(hit, F.col("d.ts")).otherwise(deadline).alias("decided_at"))
 
 
-def wait_outcome_polled(events: DataFrame, wanted=(COMPLETE,), timeout_s: int = 600, polling_s: int = 2,
-                        job: str = "job") -> DataFrame:
-    """AGG-9 with the cluster backend's polling: the status is read at
-    start + i * polling for i < round(timeout / polling); a status that comes
-    and goes between two reads is never seen. The first read that sees a
-    wanted status or Failed decides; none -> timed_out at start + polls * polling.
-
-    Each change's successor comes from the skew-safe row index (a join on the
-    unique index, not a window per job), so a job with a third of all changes
-    is still spread over many tasks.
-    """
-    if not set(wanted) <= set(JOB_STATUSES):
-        raise ValueError(f"Expected status {set(wanted)} must be a subset of {set(JOB_STATUSES)}")
-    if polling_s > timeout_s:
-        raise ValueError(f"Polling interval {polling_s} must be less than timeout: {timeout_s}")
-    polls = int(round(timeout_s / polling_s))
-    p_us = int(polling_s * 1_000_000)
-    x = with_row_index(events.select(job, "ts", "seq", "status"), ["ts", "seq"], "_gi", group_cols=[job])
-    nxt = x.select(F.col(job).alias("_nj"), (F.col("_gi") - 1).alias("_ngi"), F.col("ts").alias("next_ts"))
-    x = x.join(nxt, (x[job] == nxt["_nj"]) & (x["_gi"] == nxt["_ngi"]), "left").drop("_nj", "_ngi")
-    starts = x.groupBy(job).agg(F.min("ts").alias("start"))
-    x = x.join(starts, job)
-
-    def diff_us(a, b):
-        return F.timestamp_diff("MICROSECOND", a, b)
-
-    first = F.ceil(diff_us(F.col("start"), F.col("ts")).cast("double") / p_us)
-    last = F.when(F.col("next_ts").isNull(), F.lit(polls - 1)).otherwise(
-        F.least(F.ceil(diff_us(F.col("start"), F.col("next_ts")).cast("double") / p_us) - 1, F.lit(polls - 1)))
-    seen = (first <= last) & (F.col("status").isin(*wanted) | (F.col("status") == FAILED))
-    cand = x.select(job, "start", F.when(seen, first).alias("poll"), "status")
-    g = cand.groupBy(job, "start").agg(F.min_by(F.col("status"), F.col("poll")).alias("d_status"),
-                                       F.min("poll").alias("poll"))
-    hit = F.col("poll").isNotNull()
-    at = F.col("start") + F.make_dt_interval(secs=(F.coalesce(F.col("poll"), F.lit(polls)) * polling_s).cast("double"))
-    outcome = (F.when(hit & F.col("d_status").isin(*wanted), F.lit("reached"))
-               .when(hit, F.lit("failed")).otherwise(F.lit("timed_out")))
-    return g.select(job, "start", outcome.alias("outcome"), F.when(hit, F.col("d_status")).alias("status"),
-                    at.alias("decided_at"))
-
-
 # ---------------------------------------------------------------- AGG-10 / WIN-4
 
 def sweep_progress(trials: DataFrame, num_trials: int, max_failed_trials: int | None,

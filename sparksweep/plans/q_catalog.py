@@ -21,18 +21,19 @@ SELECT name, pos, framework, CAST(CASE WHEN pos % 4 <> 0 THEN num_nodes ELSE 1 E
             WHEN coalesce(name, '') = '' THEN 'missing name'
             WHEN coalesce(framework, '') = '' THEN 'missing framework'
             WHEN (CASE WHEN pos % 3 = 2 THEN coalesce(image, 'img/init') ELSE image END) IS NULL THEN 'no image'
-       END AS error, prio
+       END AS error, prio, CASE WHEN framework = 'torchtune' THEN 'BuiltinTrainer' ELSE 'CustomTrainer' END AS trainer_type,
+       CASE WHEN framework = 'torchtune' THEN 'tune run' WHEN pos % 5 = 1 THEN 'torchrun' WHEN pos % 5 = 2 THEN 'mpirun' ELSE 'python' END AS command
 FROM v_catalog"""
 
 
 @register("prj2_runtime_documents", with_views(
-    "SELECT name, pos, framework, num_nodes, image, error FROM prj2", "v_catalog", ctes={"prj2": _PRJ2_SQL}))
+    "SELECT name, pos, framework, num_nodes, image, trainer_type, command, error FROM prj2", "v_catalog", ctes={"prj2": _PRJ2_SQL}))
 def prj2_runtime_documents(spark, sf_dir):
     """Runtime documents (JSON) flattened: framework label, node count default 1,
     image from the ``node`` container else the first with an image."""
     docs = C.runtime_documents(V.catalog(spark, sf_dir))
     return C.parse_runtime_documents(docs, "doc", keep=["pos"]).select(
-        "name", "pos", "framework", "num_nodes", "image", "error")
+        "name", "pos", "framework", "num_nodes", "image", "trainer_type", "command", "error")
 
 
 @register("win1_first_wins", with_views("""
@@ -76,31 +77,38 @@ def src6_catalog_from_files(spark, sf_dir):
     return runtimes.select("name", "framework", "num_nodes", "image", "prio")
 
 
+def _shown(df):
+    """Positions are long decimals: shown as text."""
+    return df.withColumn("pos", F.col("pos").cast("string"))
+
+
+_BAD_SQL = "CASE WHEN ends_with(requirement, '7') THEN concat('@@', requirement) ELSE requirement END"
 _NAME_SQL = f"lower(regexp_replace(regexp_extract(requirement, '{R.NAME_RE}', 1), '[-_.]+', '-', 'g'))"
 
 
 @register("win2_last_wins", with_views(f"""
-SELECT job, name, pos, requirement FROM (
+SELECT job, name, CAST(pos AS VARCHAR) AS pos, requirement FROM (
   SELECT job, pos, requirement, {_NAME_SQL} AS name,
          row_number() OVER (PARTITION BY job, {_NAME_SQL} ORDER BY pos DESC) AS rn
   FROM v_req_runtime) x WHERE rn = 1 AND name <> ''""", "v_req_runtime"))
 def win2_last_wins(spark, sf_dir):
     """Last-wins dedup of each runtime requirement list on canonical name."""
-    return R.last_wins(V.req_runtime(spark, sf_dir))
+    return _shown(R.last_wins(V.req_runtime(spark, sf_dir)))
 
 
 @register("set1_ordered_distinct", with_views("""
-SELECT job, requirement, min(pos) AS pos FROM v_req_runtime GROUP BY job, requirement""", "v_req_runtime"))
+SELECT job, requirement, CAST(min(pos) AS VARCHAR) AS pos FROM v_req_runtime GROUP BY job, requirement""", "v_req_runtime"))
 def set1_ordered_distinct(spark, sf_dir):
     """Order-preserving distinct of each list: every value at its first position."""
-    return R.ordered_distinct(V.req_runtime(spark, sf_dir), ["job"], "requirement")
+    return _shown(R.ordered_distinct(V.req_runtime(spark, sf_dir), ["job"], "requirement"))
 
 
 @register("jon6_requirement_merge", with_views(f"""
+SELECT job, section, CAST(pos AS VARCHAR) AS pos, requirement FROM (
 SELECT job, 0 AS section, pos, requirement FROM rt_last r
 WHERE job IN (SELECT job FROM jb) AND NOT EXISTS (SELECT 1 FROM jb WHERE jb.job = r.job AND jb.name = r.name)
 UNION ALL SELECT job, 0, pos, requirement FROM rt WHERE job NOT IN (SELECT job FROM jb)
-UNION ALL SELECT job, 1, pos, requirement FROM jb""", "v_req_runtime", "v_req_job", ctes={
+UNION ALL SELECT job, 1, pos, requirement FROM jb) u""", "v_req_runtime", "v_req_job", ctes={
     "rt": f"SELECT job, pos, requirement, {_NAME_SQL} AS name FROM v_req_runtime",
     "jb": f"SELECT job, pos, requirement, {_NAME_SQL} AS name FROM v_req_job",
     "rt_last": """SELECT job, name, pos, requirement FROM (
@@ -108,8 +116,23 @@ UNION ALL SELECT job, 1, pos, requirement FROM jb""", "v_req_runtime", "v_req_jo
         WHERE rn = 1"""}))
 def jon6_requirement_merge(spark, sf_dir):
     """Job requirement lists override runtime lists on canonical name, per job."""
-    everything = V.req_all(spark, sf_dir)  # one index pass for both sides
-    return R.merge(V.req_runtime(spark, sf_dir, everything), V.req_job(spark, sf_dir, everything))
+    return _shown(R.merge(V.req_runtime(spark, sf_dir), V.req_job(spark, sf_dir)))
+
+
+@register("jon6_requirement_rejects", with_views(f"""
+SELECT job, section, CAST(pos AS VARCHAR) AS pos, requirement, reason FROM (
+  SELECT job, 1 AS section, pos, requirement, 'listed twice' AS reason FROM (
+    SELECT *, rank() OVER (PARTITION BY job, name ORDER BY pos) AS rk FROM jb WHERE name <> '') x WHERE rk > 1
+  UNION ALL SELECT job, 0, pos, requirement, 'unparsable requirement' FROM rt WHERE name = ''
+  UNION ALL SELECT job, 1, pos, requirement, 'unparsable requirement' FROM jb WHERE name = '') u""",
+                                                "v_req_runtime", "v_req_job", ctes={
+    "rt": f"SELECT job, pos, requirement, {_NAME_SQL} AS name FROM (SELECT job, pos, {_BAD_SQL} AS requirement FROM v_req_runtime) b",
+    "jb": f"SELECT job, pos, requirement, {_NAME_SQL} AS name FROM (SELECT job, pos, {_BAD_SQL} AS requirement FROM v_req_job) b"}))
+def jon6_requirement_rejects(spark, sf_dir):
+    """What the merge refuses: text without a name, names a job lists twice."""
+    bad = F.when(F.col("requirement").endswith("7"), F.concat(F.lit("@@"), F.col("requirement"))).otherwise(F.col("requirement"))
+    rt, jb = (v(spark, sf_dir).withColumn("requirement", bad) for v in (V.req_runtime, V.req_job))
+    return _shown(R.merge_rejects(rt, jb))
 
 
 @register("agg8_duplicate_requirements", with_views(f"""
@@ -140,11 +163,11 @@ def _src_urls(spark, sf_dir):
     m = F.col("page_id") % 5
     src = (F.when(m == 0, F.col("url")).when(m == 1, F.concat(F.lit("github://"), host, path))
            .when(m == 2, F.concat(F.lit("file://"), path)).when(m == 3, path)
-           .otherwise(F.concat(F.lit("ftp://"), host)))
+           .when(F.col("page_id") % 2 == 0, F.concat(F.lit("ftp://"), host)).otherwise(F.concat(F.lit("owner"), path)))
     return pg.select("page_id", src.alias("src"))
 
 
-@register("job2_uri_inventory", with_views(f"""
+@register("job2_source_uris", with_views(f"""
 SELECT page_id, src, source_type, path,
        CASE WHEN rel <> '.' AND contains(rel, '.') THEN concat('dataset.data_files=/workspace/dataset/', rel)
             ELSE concat('dataset.data_dir=/workspace/dataset/', rel) END AS dataset_arg
@@ -156,17 +179,27 @@ FROM (SELECT page_id, src,
              WHEN starts_with(src, 'https://') OR starts_with(src, 'http://') OR starts_with(src, '/') THEN src END AS path,
         CASE WHEN len(parts) > 1 THEN array_to_string(parts[2:], '/') ELSE '.' END AS rel
       FROM (SELECT page_id, src,
-              string_split(regexp_replace(regexp_extract(src, '{U.PATH_RE}', 1), '^/+|/+$', '', 'g'), '/') AS parts
+              string_split(regexp_replace(regexp_extract(CASE WHEN regexp_matches(src, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN src ELSE 'hf://' || src END, '{U.PATH_RE}', 1), '^/+|/+$', '', 'g'), '/') AS parts
             FROM (SELECT page_id,
                     CASE page_id % 5 WHEN 0 THEN url WHEN 1 THEN concat('github://', {_HOST}, {_PATH})
                          WHEN 2 THEN concat('file://', {_PATH}) WHEN 3 THEN {_PATH}
-                         ELSE concat('ftp://', {_HOST}) END AS src FROM pages) a) b) c"""))
-def job2_uri_inventory(spark, sf_dir):
+                         ELSE CASE WHEN page_id % 2 = 0 THEN concat('ftp://', {_HOST}) ELSE concat('owner', {_PATH}) END
+                         END AS src FROM pages) a) b) c"""))
+def job2_source_uris(spark, sf_dir):
     """Source URIs classified (github / https / http / file / rejected) with the dataset path rule."""
     x = U.classify_sources(_src_urls(spark, sf_dir), "src")
     return x.select("page_id", "src", "source_type", "path", U.dataset_arg(F.col("src")).alias("dataset_arg"))
 
 
+@register("job2_uri_inventory", with_views(f"""
+SELECT scheme, host, count(*) AS uris, count(DISTINCT path) AS paths
+FROM (SELECT lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) AS scheme, lower({_HOST}) AS host, {_PATH} AS path FROM pages) x
+GROUP BY scheme, host"""))
+def job2_uri_inventory(spark, sf_dir):
+    """URIs by scheme and host."""
+    return U.inventory(table(spark, sf_dir, "pages"), "url")
+
+
 @register("src2_source_uris", with_views(f"""
 SELECT page_id, kind, uri, CASE WHEN error IS NULL THEN scan END AS scan, error,
        concat_ws(';', CASE WHEN access_token IS NOT NULL THEN 'ACCESS_TOKEN=' || access_token END,
@@ -221,14 +254,15 @@ def src2_source_uris(spark, sf_dir):
 
 @register("prj2_runtime_documents_cluster", with_views("""
 SELECT name, pos, framework, CAST(CASE WHEN pos % 4 <> 0 THEN num_nodes ELSE 1 END AS BIGINT) AS num_nodes,
-       CASE WHEN pos % 3 = 1 THEN NULL ELSE image END AS image,
+       CASE WHEN pos % 6 = 4 THEN NULL ELSE image END AS image, CASE WHEN framework = 'torchtune' THEN 'BuiltinTrainer' ELSE 'CustomTrainer' END AS trainer_type,
+       CASE WHEN framework = 'torchtune' THEN 'tune run' WHEN pos % 5 = 1 THEN 'torchrun' WHEN pos % 5 = 2 THEN 'mpirun' ELSE 'python' END AS command,
        CASE WHEN coalesce(name, '') = '' THEN 'missing name'
             WHEN coalesce(framework, '') = '' THEN 'missing framework'
-            WHEN pos % 3 = 1 OR image IS NULL THEN 'no trainer container' END AS error
+            WHEN pos % 6 = 4 OR image IS NULL THEN 'no trainer container' END AS error
 FROM v_catalog""", "v_catalog"))
 def prj2_runtime_documents_cluster(spark, sf_dir):
-    """The same documents read the cluster way: the replicated job with the
-    ancestor label, its container ``node`` only (no fallback)."""
+    """The same documents read the cluster way: the first container ``node`` of
+    the replicated jobs with the ancestor label, initializers included (no fallback)."""
     docs = C.runtime_documents(V.catalog(spark, sf_dir))
     return C.parse_runtime_documents(docs, "doc", keep=["pos"], mode="cluster").select(
-        "name", "pos", "framework", "num_nodes", "image", "error")
+        "name", "pos", "framework", "num_nodes", "image", "trainer_type", "command", "error")

@@ -22,9 +22,10 @@ def _round_trip(fmt):
     def q(spark, sf_dir):
         docs = table(spark, sf_dir, "documents").select(*DOC_COLS)
         path = shared_dir(spark, f"docs-{fmt}")
+        options = {"multiLine": "true"} if fmt == "csv" else {}  # texts hold line breaks
         FM.write_dataset(docs, path, fmt)
         schema = "doc_id bigint, lang string, source string, n_chars bigint, text string"
-        back = FM.read_dataset(spark, path, fmt, schema=None if fmt in ("parquet", "arrow") else schema)
+        back = FM.read_dataset(spark, path, fmt, schema=None if fmt in ("parquet", "arrow") else schema, options=options)
         return back.select("doc_id", "lang", "source", "n_chars", F.length("text").cast("bigint").alias("text_len"),
                            F.md5("text").alias("text_md5"))
     q.__doc__ = f"Documents written as {fmt} and read back by declared format."
@@ -78,7 +79,7 @@ SPLIT = "train[5%:-10%]"
 @register("dat2_split_slice", with_views("""
 SELECT doc_id, row_idx FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_idx,
                                     count(*) OVER () AS n FROM documents) x
-WHERE row_idx >= CAST(round(5 * n / 100.0) AS BIGINT) AND row_idx < n - CAST(round(10 * n / 100.0) AS BIGINT)"""))
+WHERE row_idx >= CAST(round_even(5 * n / 100.0, 0) AS BIGINT) AND row_idx < n - CAST(round_even(10 * n / 100.0, 0) AS BIGINT)"""))
 def dat2_split_slice(spark, sf_dir):
     """``train[5%:-10%]`` of the documents ordered by doc_id, scalable row index."""
     return D.split_slice(table(spark, sf_dir, "documents").select("doc_id"), SPLIT, ["doc_id"])
@@ -127,6 +128,9 @@ def _configs(spark, sf_dir):
         .otherwise(F.array(F.lit("q_proj"), F.lit("v_proj"), F.lit("output_proj"))).alias("lora_attn_modules"),
         F.when(j % 4 == 0, F.lit("train[:10%]")).alias("dataset_split"),
         (j % 6 == 0).alias("dataset_train_on_input"),
+        F.when(j % 9 == 0, F.create_map(F.lit("input"), F.lit("question"), F.lit("output"), F.lit("answer"))).alias("dataset_column_map"),
+        F.when(j % 4 == 0, F.lit("hf://owner/name/data/part.parquet")).when(j % 4 == 1, F.lit("owner/name"))
+        .when(j % 4 == 2, F.lit("owner/name/sub")).alias("source"),
     )
 
 
@@ -136,6 +140,8 @@ SELECT job, concat_ws(' ',
   CASE WHEN job_no % 8 <> 0 THEN 'batch_size=' || (job_no % 8) END,
   'epochs=' || (1 + job_no % 3),
   CASE WHEN job_no % 2 = 0 THEN 'loss=torchtune.modules.loss.CEWithChunkedOutputLoss' END,
+  CASE job_no % 4 WHEN 0 THEN 'dataset.data_files=/workspace/dataset/data/part.parquet' WHEN 1 THEN 'dataset.data_dir=/workspace/dataset/.'
+                  WHEN 2 THEN 'dataset.data_dir=/workspace/dataset/sub' END,
   CASE WHEN job_no % 5 = 0 THEN 'model.apply_lora_to_mlp=True' END,
   CASE WHEN job_no % 16 <> 0 THEN 'model.lora_rank=' || (job_no % 16) END,
   CASE WHEN job_no % 16 <> 0 THEN 'model.lora_alpha=' || (2 * (job_no % 16)) END,
@@ -144,12 +150,13 @@ SELECT job, concat_ws(' ',
        WHEN job_no % 3 = 2 THEN 'model.lora_attn_modules=[q_proj,v_proj,output_proj]' END,
   'dataset=torchtune.datasets.instruct_dataset',
   CASE WHEN job_no % 4 = 0 THEN 'dataset.split=train[:10%]' END,
-  CASE WHEN job_no % 6 = 0 THEN 'dataset.train_on_input=True' END) AS args
+  CASE WHEN job_no % 6 = 0 THEN 'dataset.train_on_input=True' END,
+  CASE WHEN job_no % 9 = 0 THEN 'dataset.column_map={''input'': ''question'', ''output'': ''answer''}' END) AS args
 FROM v_jobs""", "v_jobs"))
 def prj3_trainer_args(spark, sf_dir):
     """Every job's fine-tuning config rendered as ``key=value`` overrides, falsy values dropped."""
     cfg = _configs(spark, sf_dir)
-    return cfg.select("job", RD.trainer_args(cfg.schema, with_dataset=True).alias("args"))
+    return cfg.select("job", RD.trainer_args(cfg.schema, with_dataset=True, source=F.col("source")).alias("args"))
 
 
 TEMPLATE = "python train.py --lr ${trialParameters.lr} --epochs ${trialParameters.epochs}"
@@ -181,14 +188,11 @@ SELECT experiment, param, kind,
        CASE WHEN continuous THEN lo END AS "min", CASE WHEN continuous THEN hi END AS "max",
        CASE WHEN continuous THEN distribution END AS distribution,
        CASE WHEN NOT continuous THEN array_to_string(string_split(choices_text, ','), '|') END AS choices,
-       CASE WHEN kind IS NULL OR kind NOT IN ('double', 'int', 'categorical', 'discrete') THEN 'unknown parameter type'
-            WHEN continuous AND (min_text IS NULL OR max_text IS NULL) THEN 'missing bound'
+       CASE WHEN NOT continuous AND choices_text IS NULL THEN 'no choices'
+            WHEN continuous AND (min_text IS NULL OR max_text IS NULL OR distribution IS NULL) THEN 'bounds or distribution missing'
             WHEN continuous AND (lo IS NULL OR hi IS NULL) THEN 'bound is not a number'
-            WHEN continuous AND lo >= hi THEN 'min must be below max'
-            WHEN continuous AND NOT coalesce(distribution IN ('uniform', 'logUniform'), false) THEN 'unknown distribution'
-            WHEN continuous AND distribution = 'logUniform' AND lo <= 0 THEN 'logUniform needs min > 0'
-            WHEN NOT continuous AND choices_text IS NULL THEN 'no choices' END AS error
-FROM (SELECT *, kind IN ('double', 'int') AS continuous,
+            WHEN continuous AND distribution NOT IN ('uniform', 'logUniform') THEN 'unknown distribution' END AS error
+FROM (SELECT *, kind <> 'categorical' AS continuous,
              TRY_CAST(trim(min_text) AS DOUBLE) AS lo, TRY_CAST(trim(max_text) AS DOUBLE) AS hi
       FROM (SELECT p_brand AS experiment, concat('param_', p_partkey) AS param,
                    CASE WHEN p_partkey % 13 = 0 THEN 'float16' WHEN p_size % 4 = 0 THEN 'double'
@@ -207,11 +211,12 @@ def hpo9_search_space_readback(spark, sf_dir):
 
 @register("hpo9_algorithm_readback", with_views("""
 SELECT experiment,
-       CASE WHEN lower(algorithm) = 'random' THEN 'RandomSearch' WHEN lower(algorithm) = 'grid' THEN 'GridSearch' END AS algorithm,
-       CASE WHEN lower(algorithm) = 'random' THEN TRY_CAST(trim(random_state) AS BIGINT) END AS random_state,
-       CASE WHEN lower(algorithm) NOT IN ('random', 'grid') THEN 'unknown algorithm: ' || algorithm END AS error
+       CASE algorithm WHEN 'random' THEN 'RandomSearch' WHEN 'grid' THEN 'GridSearch' END AS algorithm,
+       CASE WHEN algorithm = 'random' THEN TRY_CAST(trim(random_state) AS BIGINT) END AS random_state,
+       CASE WHEN algorithm IS NULL OR algorithm NOT IN ('random', 'grid') THEN 'unknown algorithm: ' || coalesce(algorithm, 'none')
+            WHEN algorithm = 'random' AND TRY_CAST(trim(random_state) AS BIGINT) IS NULL THEN 'random_state is not an integer' END AS error
 FROM (SELECT DISTINCT p_brand AS experiment,
-             CASE right(p_brand, 1) WHEN '1' THEN 'grid' WHEN '2' THEN 'bayesianoptimization' ELSE 'Random' END AS algorithm,
+             CASE right(p_brand, 1) WHEN '1' THEN 'grid' WHEN '2' THEN 'Random' WHEN '4' THEN NULL ELSE 'random' END AS algorithm,
              CASE WHEN right(p_brand, 1) = '3' THEN 'x7' ELSE right(p_brand, 2) END AS random_state
       FROM part) a"""))
 def hpo9_algorithm_readback(spark, sf_dir):
@@ -220,7 +225,6 @@ def hpo9_algorithm_readback(spark, sf_dir):
     last = F.substring(b, -1, 1)
     algos = table(spark, sf_dir, "part").select(
         b.alias("experiment"),
-        F.when(last == "1", F.lit("grid")).when(last == "2", F.lit("bayesianoptimization"))
-        .otherwise(F.lit("Random")).alias("algorithm"),
+        F.when(last == "1", F.lit("grid")).when(last == "2", F.lit("Random")).when(last != "4", F.lit("random")).alias("algorithm"),
         F.when(last == "3", F.lit("x7")).otherwise(F.substring(b, -2, 2)).alias("random_state")).distinct()
     return SP.read_back_algorithm(algos)

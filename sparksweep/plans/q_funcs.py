@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sparksweep.functions import user as UF
 from sparksweep.operators import jobs as J
 from sparksweep.operators import sinks as SK
+from sparksweep.operators.metrics import observations
 from sparksweep.plans import sweep as S
 from sparksweep.plans import views as V
 from sparksweep.plans.q_jobs import _STATUS_CTES, job_statuses
@@ -131,8 +132,8 @@ def snk1_register_steps(spark, sf_dir):
     b2 = steps.filter(F.col("ts") >= F.lit(T1)).select("job", "name", F.lit("Updated").alias("status"),
                                                        F.lit(2).alias("batch"))
     path = shared_dir(spark, "steps-table")
-    SK.register_rows(spark, path, b1, ["job", "name"])
-    SK.register_rows(spark, path, b2, ["job", "name"])
+    SK.register_rows(spark, path, b1, ["job", "name"], ["status"])
+    SK.register_rows(spark, path, b2, ["job", "name"], ["status"])
     return spark.read.parquet(path)
 
 
@@ -169,6 +170,52 @@ def jon3_experiment_trials(spark, sf_dir):
     return J.experiment_trials(trials, assign, job_statuses(spark, sf_dir))
 
 
+_ASSIGN_SQL = """SELECT job, concat('p', idx) AS param, CAST(quantity AS VARCHAR) AS value FROM v_steps
+WHERE idx % 4 <> 3 AND NOT (kind = 2 AND idx % 5 = 0)"""
+_TRIAL_OBS_SQL = """SELECT job, concat('m', kind) AS metric, min(quantity) AS mn, max(quantity) AS mx, arg_max(quantity, idx) AS latest
+FROM v_steps GROUP BY job, kind"""
+
+
+@register("jon3_nested_trials", with_views("""
+SELECT j.experiment, j.job AS trial, js.status AS trial_status, coalesce(p.parameters, '') AS parameters, m.metric_no,
+       m.metric, m.mn AS min, m.mx AS max, m.latest
+FROM v_jobs j LEFT JOIN js ON js.job = j.job
+LEFT JOIN (SELECT job, string_agg(concat(param, '=', value), ';' ORDER BY concat(param, '=', value)) AS parameters FROM asg GROUP BY job) p ON p.job = j.job
+LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY job ORDER BY metric) - 1 AS metric_no FROM obs) m ON m.job = j.job""",
+                                           "v_jobs", "v_runtimes", "v_steps",
+                                           ctes={**_STATUS_CTES, "asg": _ASSIGN_SQL, "obs": _TRIAL_OBS_SQL}))
+def jon3_nested_trials(spark, sf_dir):
+    """One row per trial with its parameter map and metrics list, shown exploded by metric."""
+    nested = J.nested_parameters(jon3_experiment_trials(spark, sf_dir))
+    log = V.steps(spark, sf_dir).select(F.col("job").alias("trial"), F.concat(F.lit("m"), F.col("kind")).alias("metric"),
+                                        F.col("quantity").alias("value"), F.col("idx").alias("seq"))
+    x = J.with_metrics(nested, observations(log, ["trial"], order=("seq",)))
+    x = x.select("experiment", "trial", "trial_status", options_text(F.col("parameters")).alias("parameters"),
+                 F.posexplode_outer("metrics").alias("metric_no", "m"))
+    return x.select("experiment", "trial", "trial_status", "parameters", F.col("metric_no").cast("bigint").alias("metric_no"), "m.*")
+
+
+@register("jon8_dependency_graph", with_views("""
+WITH RECURSIVE edges AS (SELECT e.job_no, e.depends_on FROM (SELECT o.o_orderkey AS job_no, p.o_orderkey AS depends_on
+    FROM orders o JOIN orders p ON p.o_orderkey = o.o_orderkey - 7 WHERE o.o_orderkey % 3 = 0) e
+  UNION ALL SELECT job_no, depends_on FROM v_deps WHERE depends_on IS NOT NULL AND depends_on < job_no),
+bad(job_no) AS (
+  SELECT job_no FROM v_deps WHERE NOT ok
+  UNION
+  SELECT d.job_no FROM edges d JOIN bad b ON d.depends_on = b.job_no)
+SELECT job_no, CASE WHEN job_no IN (SELECT d.job_no FROM edges d JOIN bad b ON d.depends_on = b.job_no) THEN 'Skipped'
+                    WHEN ok THEN 'Complete' ELSE 'Failed' END AS status
+FROM v_deps""", "v_deps").replace("WITH v_deps AS", "WITH RECURSIVE v_deps AS").replace(
+    ")\nWITH RECURSIVE edges AS", "),\nedges AS"))
+def jon8_dependency_graph(spark, sf_dir):
+    """Jobs with several dependencies: the customer's previous order (if its key
+    is smaller) and, for every third key, the order seven keys before."""
+    d = V.deps(spark, sf_dir).select("job_no", "ok", F.when(F.col("depends_on") < F.col("job_no"), F.col("depends_on")).alias("depends_on"))
+    keys = d.select(F.col("job_no").alias("k"))
+    more = d.filter("job_no % 3 = 0").join(keys, F.col("k") == F.col("job_no") - 7).select("job_no", "ok", F.col("k").alias("depends_on"))
+    return SK.dependency_status(d.unionByName(more))
+
+
 @register("jon8_dependency_skip", with_views("""
 WITH RECURSIVE bad(job_no) AS (
   SELECT job_no FROM v_deps WHERE NOT ok

@@ -3,6 +3,7 @@ AGG-2..7, AGG-9..11, TOP-3, WIN-4, JOB-5)."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sparksweep.operators import jobs as J
@@ -71,36 +72,48 @@ def jon1_job_runtime(spark, sf_dir):
     return x.select("job", "runtime_ref", F.col("rt_framework").alias("framework"), "runtime_found")
 
 
-@register("jon2_job_steps", with_views("""
-SELECT j.job, s.name AS step, s.status,
-       CASE WHEN s.name IS NULL THEN NULL WHEN s.name LIKE 'node%' THEN coalesce(rd.dev, 'Unknown') ELSE 'Unknown' END AS device,
-       CASE WHEN s.name IS NULL THEN NULL WHEN s.name NOT LIKE 'node%' THEN 'Unknown'
-            WHEN s.kind = 1 THEN '4' ELSE coalesce(rd.cnt, 'Unknown') END AS device_count
-FROM v_jobs j
-LEFT JOIN (SELECT name AS rt,
-                  CASE WHEN gpu_limit IS NOT NULL THEN 'gpu' WHEN tpu_limit IS NOT NULL THEN 'tpu' WHEN cpu_limit IS NOT NULL THEN 'cpu' END AS dev,
-                  CAST(coalesce(procs_per_node, gpu_limit, tpu_limit, cpu_limit) AS VARCHAR) AS cnt FROM v_runtimes) rd
-  ON rd.rt = j.runtime_ref
-LEFT JOIN v_steps s ON s.job = j.job""", "v_jobs", "v_runtimes", "v_steps"))
+_PODS_SQL = """
+SELECT job, step, pod_name, status, CASE lim WHEN 0 THEN 'gpu' WHEN 1 THEN 'cpu' ELSE 'Unknown' END AS device,
+       CASE WHEN NOT init AND kind = 1 THEN '4' ELSE CASE lim WHEN 0 THEN '2' WHEN 1 THEN '8' ELSE 'Unknown' END END AS device_count
+FROM (SELECT s.job, s.name NOT LIKE 'node%' AS init, s.kind, s.status, concat(s.job, '-', s.name) AS pod_name,
+             CASE WHEN s.idx % 3 = 0 AND s.kind = 2 THEN 3 ELSE s.idx % 3 END AS lim,
+             CASE WHEN s.name NOT LIKE 'node%' THEN s.name ELSE concat('node-', s.idx) END AS step
+      FROM v_steps s WHERE s.name NOT LIKE 'node%' OR s.idx % 6 <> 5) p"""
+_STEPS_SQL = "SELECT j.job, p.step, p.pod_name, p.status, p.device, p.device_count FROM v_jobs j LEFT JOIN pods p ON p.job = j.job"
+
+
+def _job_steps(spark, sf_dir):
+    """Pods of every step, with limits of their own; some belong to a replicated job that is no step."""
+    st = V.steps(spark, sf_dir)
+    job = J.with_runtime(V.jobs(spark, sf_dir).select("job", "runtime_ref"), V.runtimes(spark, sf_dir).select("name", "framework"))
+    jobs = job.select("job", F.when(F.col("rt_framework") == "mpi", F.lit("mpirun")).otherwise(F.lit("python")).alias("command"))
+    init, idx, kind = ~F.col("name").startswith("node"), F.col("idx"), F.col("kind")
+    limits = V.limits_map({"nvidia.com/gpu": F.when((idx % 3 == 0) & (kind != 2), F.lit("2")), "cpu": F.when(idx % 3 == 1, F.lit("8")),
+                           "example.com/npu": F.when((idx % 3 == 0) & (kind == 2), F.lit("1"))})
+    pods = st.select(
+        "job", F.concat_ws("-", "job", "name").alias("pod_name"), "status", limits.alias("limits"), idx.cast("long").alias("job_index"),
+        F.when(init, F.col("name")).when(idx % 6 == 5, F.lit("exporter")).otherwise(F.lit("node")).alias("rjob"),
+        F.when(kind == 1, F.lit("4")).when(kind == 2, F.lit("four")).alias("env_nproc"))
+    # an mpi job's first pod is its launcher, the others count from 0
+    return J.job_steps(jobs, pods, launcher_first=True)
+
+
+@register("jon2_job_steps", with_views(_STEPS_SQL, "v_jobs", "v_steps", ctes={"pods": _PODS_SQL}))
 def jon2_job_steps(spark, sf_dir):
     """Jobs with their steps built from pods (one-to-many, flat): step names
-    from pod labels (MPI workers shifted by one), devices from the runtime or
-    the pod's process count; jobs without steps keep one row."""
-    jobs = V.jobs(spark, sf_dir).select("job", "runtime_ref")
-    rts = V.runtimes(spark, sf_dir)
-    job_rt = jobs.join(J.bounded_broadcast(rts), jobs.runtime_ref == rts.name, "left").select(
-        "job", "framework", "gpu_limit", "tpu_limit", "cpu_limit", "procs_per_node")
-    st = V.steps(spark, sf_dir).join(job_rt, "job", "left")
-    mpi = F.col("framework") == "mpi"
-    init = ~F.col("name").startswith("node")
-    pods = st.select(
-        "job", "status", "framework", "gpu_limit", "tpu_limit", "cpu_limit", "procs_per_node",
-        F.when(init, F.col("name")).when(mpi & (F.col("idx") == 0), F.lit("launcher")).otherwise(F.lit("node"))
-        .alias("rjob"),
-        F.when(init, F.lit(0)).when(mpi & (F.col("idx") > 0), F.col("idx") - 1).otherwise(F.col("idx"))
-        .alias("job_index"),
-        F.when(F.col("kind") == 1, F.lit("4")).when(F.col("kind") == 2, F.lit("four")).alias("env_nproc"))
-    return J.job_steps(jobs, J.steps_from_pods(pods))
+    from pod labels (MPI workers shifted by one), device and count from the
+    pod's own limits or process count; jobs without steps keep one row."""
+    return _job_steps(spark, sf_dir)
+
+
+@register("jon2_nested_steps", with_views(f"""
+SELECT job, CASE WHEN step IS NOT NULL THEN row_number() OVER (PARTITION BY job ORDER BY step) - 1 END AS step_no,
+       step, pod_name, status, device, device_count FROM ({_STEPS_SQL}) f""", "v_jobs", "v_steps", ctes={"pods": _PODS_SQL}))
+def jon2_nested_steps(spark, sf_dir):
+    """One row per job with its sorted step list, shown exploded with positions."""
+    nested = J.nested_steps(_job_steps(spark, sf_dir))
+    x = nested.select("job", F.posexplode_outer("steps").alias("step_no", "s"))
+    return x.select("job", F.col("step_no").cast("bigint").alias("step_no"), "s.*")
 
 
 _NET_SQL = """SELECT DISTINCT c.job AS network, j.runtime_ref AS runtime, concat('/workdir/', c.job) AS workdir
@@ -244,12 +257,15 @@ def agg6_experiment_status(spark, sf_dir):
 
 
 @register("agg7_containers_to_jobs", with_views(f"""
-SELECT c.job, c.num_nodes, c.created, c.first_step, s.status FROM (
-  SELECT job, count(*) AS num_nodes, arg_min(created, idx) AS created, min(name) AS first_step
+SELECT c.job, c.num_nodes, c.created, s.status, c.steps FROM (
+  SELECT job, count(*) AS num_nodes, arg_min(created, idx) AS created,
+         string_agg(concat(name, '=', {_CSTAT}), ',' ORDER BY name) AS steps
   FROM v_containers GROUP BY job) c JOIN cj s ON s.job = c.job""", "v_containers", ctes={"cj": _CJOB_SQL}))
 def agg7_containers_to_jobs(spark, sf_dir):
-    """Containers grouped into jobs: node count, first container's creation, status."""
-    return S.containers_to_jobs(V.containers(spark, sf_dir))
+    """Containers grouped into jobs: node count, first container's creation,
+    status, sorted step list (shown as text)."""
+    x = S.containers_to_jobs(V.containers(spark, sf_dir))
+    return x.withColumn("steps", F.array_join(F.transform("steps", lambda s: F.concat(s["name"], F.lit("="), s["status"])), ","))
 
 
 @register("top3_step_order", with_views("""
@@ -313,8 +329,8 @@ _DEV_SQL = """
 SELECT name, framework, num_nodes, coalesce(device, 'Unknown') AS device,
        coalesce(CASE WHEN regexp_matches(per_node, '^\\d+$') AND num_nodes IS NOT NULL
                      THEN CAST(CAST(per_node AS BIGINT) * num_nodes AS VARCHAR) ELSE per_node END, 'Unknown') AS device_count,
-       CASE WHEN device IS NULL THEN 'unknown device type' END AS error
-FROM (SELECT name, framework, num_nodes,
+       CASE WHEN device IS NULL AND npu_limit IS NOT NULL THEN 'no known device in the limits' END AS error
+FROM (SELECT name, framework, num_nodes, npu_limit,
              CASE WHEN gpu_limit IS NOT NULL THEN 'gpu' WHEN tpu_limit IS NOT NULL THEN 'tpu' WHEN cpu_limit IS NOT NULL THEN 'cpu' END AS device,
              CAST(coalesce(procs_per_node, gpu_limit, tpu_limit, cpu_limit) AS VARCHAR) AS per_node
       FROM v_runtimes) x"""
@@ -322,7 +338,7 @@ FROM (SELECT name, framework, num_nodes,
 
 @register("agg11_runtime_devices", with_views(_DEV_SQL, "v_runtimes"))
 def agg11_runtime_devices(spark, sf_dir):
-    """Device type and total device count per runtime; no device -> error row."""
+    """Device type and total device count per runtime; limits without a known device -> error row."""
     return J.runtime_devices(V.runtimes(spark, sf_dir))
 
 
@@ -348,25 +364,7 @@ def job5_resource_totals(spark, sf_dir):
     return S.resource_totals(V.resources(spark, sf_dir), jobs)
 
 
-WAVE_P, CAP = 3, 5
-
-
-def _trial_numbers(spark, sf_dir):
-    """Trials (jobs) numbered inside their experiment by job_no: skew-safe index."""
-    from sparksweep.operators.ordinal import with_row_index
-    jobs = V.jobs(spark, sf_dir).select("experiment", "job", "job_no")
-    return with_row_index(jobs, ["job_no"], "_g", group_cols=["experiment"], group_index_col="trial_no").drop("_g")
-
-
-@register("win3_parallel_waves", with_views(f"""
-SELECT experiment, job, trial_no, CAST(floor(trial_no / {WAVE_P}) + 1 AS BIGINT) AS wave FROM (
-  SELECT experiment, job, row_number() OVER (PARTITION BY experiment ORDER BY job_no) - 1 AS trial_no FROM v_jobs) x""",
-                                          "v_jobs"))
-def win3_parallel_waves(spark, sf_dir):
-    """Trials of every experiment in waves of at most 3 running together."""
-    x = _trial_numbers(spark, sf_dir)
-    return x.select("experiment", "job", "trial_no", (F.floor(F.col("trial_no") / WAVE_P) + 1).cast("bigint")
-                    .alias("wave"))
+CAP = 5
 
 
 @register("top2_trial_cap", with_views(f"""
@@ -374,32 +372,11 @@ SELECT experiment, job, trial_no FROM (
   SELECT experiment, job, row_number() OVER (PARTITION BY experiment ORDER BY job_no) - 1 AS trial_no FROM v_jobs) x
 WHERE trial_no < {CAP}""", "v_jobs"))
 def top2_trial_cap(spark, sf_dir):
-    """Each experiment capped at num_trials = 5 by trial number (a filter, not limit())."""
-    x = _trial_numbers(spark, sf_dir)
+    """Each experiment capped at num_trials = 5 by trial number. Spark keeps the
+    first rows of each group in every task before the shuffle (WindowGroupLimit),
+    so a hot experiment sends a few rows per task."""
+    number = F.row_number().over(Window.partitionBy("experiment").orderBy("job_no")) - 1
+    x = V.jobs(spark, sf_dir).select("experiment", "job", "job_no").withColumn("trial_no", number)
     return x.filter(F.col("trial_no") < CAP).select("experiment", "job", "trial_no")
 
 
-POLL_TIMEOUT_S, POLL_S = 600, 120
-
-
-@register("agg9_wait_outcome_polled", with_views(f"""
-SELECT job, start,
-       CASE WHEN poll IS NULL THEN 'timed_out' WHEN d_status = 'Complete' THEN 'reached' ELSE 'failed' END AS outcome,
-       CASE WHEN poll IS NOT NULL THEN d_status END AS status,
-       start + to_seconds(coalesce(poll, {round(POLL_TIMEOUT_S / POLL_S)}) * {POLL_S}) AS decided_at
-FROM (SELECT job, start, arg_min(status, poll) AS d_status, min(poll) AS poll FROM (
-        SELECT job, start, status,
-               CASE WHEN first_poll <= last_poll AND status IN ('Complete', 'Failed') THEN first_poll END AS poll
-        FROM (SELECT job, start, status,
-                     CAST(ceil(CAST(datediff('microsecond', start, ts) AS DOUBLE) / {POLL_S * 1_000_000}) AS BIGINT) AS first_poll,
-                     CASE WHEN next_ts IS NULL THEN {round(POLL_TIMEOUT_S / POLL_S) - 1}
-                          ELSE least(CAST(ceil(CAST(datediff('microsecond', start, next_ts) AS DOUBLE) / {POLL_S * 1_000_000}) AS BIGINT) - 1,
-                                     {round(POLL_TIMEOUT_S / POLL_S) - 1}) END AS last_poll
-              FROM (SELECT job, ts, seq, status,
-                           lead(ts) OVER (PARTITION BY job ORDER BY ts, seq) AS next_ts,
-                           min(ts) OVER (PARTITION BY job) AS start
-                    FROM v_status_events) e) f) c
-      GROUP BY job, start) g""", "v_status_events"))
-def agg9_wait_outcome_polled(spark, sf_dir):
-    """Waiting for Complete as the cluster backend does it: 5 reads 120 s apart."""
-    return S.wait_outcome_polled(V.status_events(spark, sf_dir), ("Complete",), POLL_TIMEOUT_S, POLL_S)

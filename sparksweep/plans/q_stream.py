@@ -21,17 +21,16 @@ from sparksweep.streaming import logs as SL
 from sparksweep.streaming import runner as R
 from sparksweep.streaming import status as SS
 
-STATE_PARTITIONS = 4
+STATE_PARTITIONS = 4  # of these small fixtures; a stream's own parameter, as the checkpoint keeps it
+DELAY_S = 3600
 
 
-def _events_stream(spark, sf_dir, name, replay=False, buckets_per_trigger=1):
+def _events_stream(spark, sf_dir, name, copies=1, buckets_per_trigger=1):
     R.prepare(spark)
     events = table(spark, sf_dir, "events")
-    landed = shared_dir(spark, f"{name}-landed")
-    k = R.land_in_order(events, landed)
-    if replay:
-        R.land_in_order(events, landed, files_per_bucket=k)  # the source delivers every row a second time
-    return R.file_stream(spark, landed, events.schema, k * buckets_per_trigger)
+    path = shared_dir(spark, f"{name}-landed")
+    landed = R.land_in_order(events, path, copies=copies)
+    return R.file_stream(spark, path, events.schema, landed.files * buckets_per_trigger)
 
 
 _FIRST_CREATED = """SELECT job FROM (SELECT job, status, row_number() OVER (PARTITION BY job ORDER BY ts, seq) AS rn
@@ -46,6 +45,9 @@ def str1_follow_log(spark, sf_dir):
     se = V.status_events(spark, sf_dir)
     req = se.groupBy("job").agg(F.min_by("status", F.struct("ts", "seq")).alias("first")).filter(
         F.col("first") == "Created").select("job")
+    path = shared_dir(spark, "str1-requests")
+    req.write.parquet(path)  # once, not in every micro-batch
+    req = spark.read.parquet(path)
     stream = _events_stream(spark, sf_dir, "str1")
     lines = V.job_log(spark, sf_dir, V.status_events(spark, sf_dir, stream))
     out = R.run_to_parquet(SL.follow(lines, req).select("job", "seq", "line"), "str1", state_partitions=STATE_PARTITIONS)
@@ -54,11 +56,16 @@ def str1_follow_log(spark, sf_dir):
 
 @register("str2_deliver_once", with_views("SELECT job, seq, line FROM v_job_log", "v_job_log"))
 def str2_deliver_once(spark, sf_dir):
-    """Every log line delivered once although the source replays all of them."""
-    stream = _events_stream(spark, sf_dir, "str2", replay=True, buckets_per_trigger=2)
+    """Every log line delivered once although the source delivers each bucket of
+    them twice. Nothing is late: the delay spans all event times."""
+    stream = _events_stream(spark, sf_dir, "str2", copies=2)
+    span = table(spark, sf_dir, "events").agg(F.unix_micros(F.max("ts").cast("timestamp")) - F.unix_micros(F.min("ts").cast("timestamp"))).first()[0] or 0
     lines = V.job_log(spark, sf_dir, V.status_events(spark, sf_dir, stream))
-    once = SL.deliver_once(SL.event_time(lines), ["job", "seq"], "event_ts", "1 day")
-    out = R.run_to_parquet(once.select("job", "seq", "line"), "str2", state_partitions=STATE_PARTITIONS)
+    once = SL.deliver_once(SL.event_time(lines), ["job", "seq"], "event_ts", f"{int(span) // 1_000_000 + 1} seconds")
+    stats: dict = {}
+    out = R.run_to_parquet(once.select("job", "seq", "line"), "str2", state_partitions=STATE_PARTITIONS, stats=stats)
+    if stats["rows_dropped_late"]:
+        raise RuntimeError(f"{stats['rows_dropped_late']} rows came behind the watermark")
     return spark.read.parquet(out)
 
 
@@ -103,17 +110,18 @@ def str4_live_job_status(spark, sf_dir):
 
 def _str5_sql():
     from sparksweep.plans.registry import ORACLE
-    return f"""SELECT * FROM ({ORACLE['agg9_wait_outcome']}) a
-WHERE outcome <> 'timed_out' OR decided_at <= (SELECT max(ts) FROM events)"""
+    return f"""SELECT job, start, CASE WHEN open THEN 'waiting' ELSE outcome END AS outcome,
+       CASE WHEN NOT open THEN status END AS status, CASE WHEN NOT open THEN decided_at END AS decided_at
+FROM (SELECT *, outcome = 'timed_out' AND decided_at > (SELECT max(ts) FROM events) - INTERVAL {DELAY_S} SECOND AS open
+      FROM ({ORACLE['agg9_wait_outcome']}) a) b"""
 
 
 @register("str5_wait_with_timeout", _str5_sql())
 def str5_wait_with_timeout(spark, sf_dir):
-    """Waiting for Complete with a 6 h event-time timeout, one result per job.
-    Jobs whose deadline lies past the stream's final watermark (the last event
-    time) are still waiting and not listed; the rest equal the batch AGG-9."""
+    """Waiting for Complete with a 6 h event-time timeout, one row per job; a
+    job whose deadline lies past the stream's final watermark is still waiting."""
     stream = _events_stream(spark, sf_dir, "str5")
     ev = V.status_events(spark, sf_dir, stream)
-    out = R.run_to_parquet(SS.wait_for_status(ev, ("Complete",), TIMEOUT_S), "str5",
+    out = R.run_to_parquet(SS.wait_for_status(ev, ("Complete",), TIMEOUT_S, f"{DELAY_S} seconds"), "str5",
                            state_partitions=STATE_PARTITIONS)
     return SS.wait_result(spark.read.parquet(out))

@@ -4,8 +4,8 @@ Stored settings are text (as in the experiment documents). A long table
 (experiment, param, kind, min_text, max_text, distribution, choices_text) is
 converted to typed columns with ``try_cast``; every problem becomes a row of
 a rejects table instead of an exception, so a million stored experiments are
-read back in one pass. Booleans compare case-insensitively with "true" and
-optional integers become integers (the reference's two bugs, not kept).
+read back in one pass. Booleans are true for "1" and "true" in any case and
+optional integers become integers (the reference misses both by mistake).
 """
 
 from __future__ import annotations
@@ -16,14 +16,13 @@ from pyspark.sql import functions as F
 # fixed values: the algorithm names and distributions the read-back knows
 ALGORITHMS = {"random": "RandomSearch", "grid": "GridSearch"}
 DISTRIBUTIONS = ("uniform", "logUniform")
-KINDS = ("double", "int", "categorical", "discrete")
+CATEGORICAL = "categorical"  # every other kind is a continuous parameter
 
 
 def convert_value(text: Column, kind: str) -> Column:
     """Text setting to a typed value: bool (case-insensitive), int, double or string."""
     if kind == "bool":
-        return F.when(F.lower(F.trim(text)) == "true", F.lit(True)).when(
-            F.lower(F.trim(text)) == "false", F.lit(False))
+        return F.when(text.isNotNull(), F.lower(F.trim(text)).isin("true", "1"))
     if kind == "int":
         return F.trim(text).try_cast("bigint")
     if kind == "double":
@@ -34,32 +33,32 @@ def convert_value(text: Column, kind: str) -> Column:
 def read_back_space(settings: DataFrame) -> DataFrame:
     """Typed search-space rows with ``error`` (NULL when valid)."""
     lo, hi = convert_value(F.col("min_text"), "double"), convert_value(F.col("max_text"), "double")
-    kind, dist = F.col("kind"), F.col("distribution")
-    choices = F.when(F.col("choices_text").isNotNull(), F.split(F.col("choices_text"), ","))
-    continuous = kind.isin("double", "int")
-    err = (F.when(~kind.isin(*KINDS) | kind.isNull(), F.lit("unknown parameter type"))
-           .when(continuous & (F.col("min_text").isNull() | F.col("max_text").isNull()), F.lit("missing bound"))
-           .when(continuous & (lo.isNull() | hi.isNull()), F.lit("bound is not a number"))
-           .when(continuous & (lo >= hi), F.lit("min must be below max"))
-           .when(continuous & ~F.coalesce(dist.isin(*DISTRIBUTIONS), F.lit(False)), F.lit("unknown distribution"))
-           .when(continuous & (dist == "logUniform") & (lo <= 0), F.lit("logUniform needs min > 0"))
-           .when(~continuous & F.coalesce(F.size(choices) <= 0, F.lit(True)), F.lit("no choices")))
+    given = lambda c: F.coalesce(F.col(c) != "", F.lit(False))
+    dist = F.col("distribution")
+    choices = F.when(given("choices_text"), F.split(F.col("choices_text"), ","))
+    listed = F.coalesce(F.col("kind") == CATEGORICAL, F.lit(False))
+    err = (F.when(listed & choices.isNull(), F.lit("no choices"))
+           .when(~listed & ~(given("min_text") & given("max_text") & given("distribution")), F.lit("bounds or distribution missing"))
+           .when(~listed & (lo.isNull() | hi.isNull()), F.lit("bound is not a number"))
+           .when(~listed & ~dist.isin(*DISTRIBUTIONS), F.lit("unknown distribution")))
     return settings.select(
         "experiment", "param", "kind",
-        F.when(continuous, lo).alias("min"), F.when(continuous, hi).alias("max"),
-        F.when(continuous, dist).alias("distribution"),
-        F.when(~continuous, F.array_join(choices, "|")).alias("choices"),
+        F.when(~listed, lo).alias("min"), F.when(~listed, hi).alias("max"),
+        F.when(~listed, dist).alias("distribution"),
+        F.when(listed, F.array_join(choices, "|")).alias("choices"),
         err.alias("error"))
 
 
 def read_back_algorithm(algos: DataFrame, name_col: str = "algorithm") -> DataFrame:
-    """Algorithm name -> class name, unknown -> error; ``random_state`` as an integer."""
-    n = F.lower(F.trim(F.col(name_col)))
-    mapped = F.when(n == "random", F.lit(ALGORITHMS["random"])).when(n == "grid", F.lit(ALGORITHMS["grid"]))
+    """Algorithm name (matched exactly) -> class name; ``random_state`` as an
+    integer. An unknown or missing name and a state that is no integer are errors."""
+    n, text = F.col(name_col), F.col("random_state")
+    mapped = F.coalesce(*[F.when(n == k, F.lit(v)) for k, v in ALGORITHMS.items()])
+    state = F.when(n == "random", convert_value(text, "int"))
     return algos.select(
-        "experiment", mapped.alias("algorithm"),
-        F.when(n == "random", convert_value(F.col("random_state"), "int")).alias("random_state"),
-        F.when(mapped.isNull(), F.concat(F.lit("unknown algorithm: "), F.col(name_col))).alias("error"))
+        "experiment", mapped.alias("algorithm"), state.alias("random_state"),
+        F.when(mapped.isNull(), F.concat(F.lit("unknown algorithm: "), F.coalesce(n, F.lit("none"))))
+        .when((n == "random") & text.isNotNull() & state.isNull(), F.lit("random_state is not an integer")).alias("error"))
 
 
 def settings_from_part(part: DataFrame) -> DataFrame:

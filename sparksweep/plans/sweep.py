@@ -1,16 +1,12 @@
 """Sweeps on Spark: search space -> trial table -> every trial scored in one
 pass over the data -> best trial (HPO-4..7, HPO-6, TOP-1, TOP-2, WIN-3).
 
-Plan shape of ``score``: the data is scanned once. The trial table (its size
-is declared by ``num_trials`` and checked) is folded, inside Spark, into ONE
-row per pass holding the array of its trial structs, keyed by a sweep-set
-key. Every data row looks that row up with a broadcast hash join on the key
-(one build row) and explodes the array with ``inline`` inside the scan stage:
-scan -> project -> broadcast hash join -> generate -> per-pair projection ->
-partial aggregate, one codegen pipeline. Partial aggregation collapses
-rows x trials to trials per task before the only shuffle, which is
-``trials x tasks`` rows, independent of the data size. Sweeps larger than
-``TRIALS_PER_PASS`` are split by hash into passes of about that size.
+Plan shape of ``score``: the data is scanned once. The trials' parameters (a
+declared number of trials, checked) go to the tasks as arrays; a task computes
+the additive partial sums of all trials on each Arrow batch and emits one row
+per trial. No (row, trial) pair ever becomes a row: the only shuffle is
+``trials x tasks`` rows, independent of the data size. More than
+``TRIALS_PER_PASS`` trials are split by hash into passes of about that size.
 """
 
 from __future__ import annotations
@@ -20,13 +16,15 @@ import random
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparksweep.functions.search import Choice, LogUniform, Uniform, unit_draw, unit_draw_sql
+from sparksweep.session import ship_package
 
-MAX_BROADCAST_TRIALS = 50_000   # join-back of trial attributes is broadcast up to this size
-TRIALS_PER_PASS = 50_000        # trials carried in one broadcast row per pass over the data
+TRIALS_PER_PASS = 50_000        # trials whose parameters are shipped to the tasks at once
 TRIALS_PER_PARTITION = 100_000
 
 
@@ -142,7 +140,8 @@ def trial_table(spark: SparkSession, space: dict, num_trials: int = 10, algorith
         stride = 1
         decoded = {}
         for (name, spec), size in reversed(list(zip(space.items(), sizes))):
-            digit = F.pmod(F.floor(tn / stride), F.lit(size))
+            # whole numbers only; past the cap's last trial every digit is 0
+            digit = F.expr(f"(trial_no div {stride}) % {size}") if stride < n else F.lit(0).cast("long")
             decoded[name] = spec.grid_point(digit, size).alias(name)
             stride *= size
         cols += [decoded[name] for name in space]
@@ -163,7 +162,7 @@ def trial_table_sql(space: dict, num_trials: int, algorithm, parallel_trials: in
         stride = 1
         decoded = {}
         for (name, spec), size in reversed(list(zip(space.items(), sizes))):
-            digit = f"(CAST(floor(range / {stride}) AS BIGINT) % {size})"
+            digit = f"((range // {stride}) % {size})" if stride < n else "0"
             decoded[name] = f"{spec.grid_point_sql(digit, size)} AS {name}"
             stride *= size
         cols += [decoded[name] for name in space]
@@ -183,62 +182,56 @@ def spread(data: DataFrame, min_partitions: int | None = None) -> DataFrame:
     before work that is multiplied per row (every trial), where a small input
     read as one split would otherwise keep one core busy. On large inputs,
     which already have more splits than cores, it adds nothing."""
-    try:
-        want = min_partitions or data.sparkSession.sparkContext.defaultParallelism
-        have = data.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a remote session): leave the plan as it is
-        return data
-    return data.repartition(want) if have < want else data
-
-
-def _trial_sets(trials: DataFrame, n_trials: int, per_pass: int, cols: list[str]) -> list[DataFrame]:
-    """One broadcast row per pass: (_set, _trials ARRAY<STRUCT>), built in Spark.
-    Passes split the trials by a hash of the trial key, so any trial numbering works."""
-    passes = max(1, math.ceil(n_trials / per_pass))
-    out = []
-    for i in range(passes):
-        part = trials if passes == 1 else trials.filter(
-            F.pmod(F.xxhash64(F.col(cols[0])), F.lit(passes)) == i)
-        row = part.agg(F.collect_list(F.struct(*cols)).alias("_trials")).withColumn("_set", F.lit(0))
-        out.append(F.broadcast(row))
-    return out
+    want = min_partitions or data.sparkSession.sparkContext.defaultParallelism
+    return data.repartition(want) if data.rdd.getNumPartitions() < want else data
+
 
+TRIALS_AT_ONCE = 128  # rows of the error matrix that a task holds: this many x the rows of a batch
 
-def score(data: DataFrame, trials: DataFrame, metrics: dict[str, Column], num_trials: int,
-          trial_key: str = "trial_no", keep: list[str] | None = None,
-          max_broadcast_trials: int = MAX_BROADCAST_TRIALS, pair_cols: dict[str, Column] | None = None,
-          params: list[str] | None = None, trials_per_pass: int = TRIALS_PER_PASS) -> DataFrame:
+
+def score(data: DataFrame, trials: DataFrame, partials, names: list[str], metrics: dict[str, Column], num_trials: int,
+          params: list[str], trial_key: str = "trial_no", keep: list[str] | None = None,
+          trials_per_pass: int = TRIALS_PER_PASS) -> DataFrame:
     """Score every trial over ``data`` in one pass (HPO-7).
 
-    ``pair_cols`` (optional) are per (row, trial) expressions computed once in
-    a projection right after the trials fan out (e.g. the error); ``metrics``
-    maps a name to an aggregate Column over the joined rows or those pair
-    columns. ``num_trials`` is the declared size of ``trials`` (checked).
-    ``params`` are the trial columns carried in the array (default: all but the
-    map); ``keep`` the trial columns carried into the result.
+    ``partials(batch, params)`` gets one batch of the data as a dict of numpy
+    arrays and up to ``TRIALS_AT_ONCE`` trials as a dict of arrays (``params``)
+    and returns, for each of ``names``, the additive partial sums of these
+    trials. ``metrics`` maps a name to a Column over the summed partials.
+    ``num_trials`` is the declared size of ``trials`` (checked); ``keep`` the
+    trial columns carried into the result.
     """
-    keep = keep if keep is not None else [c for c in trials.columns if c not in ("parameters",)]
-    if params is None:
-        params = [c for c in trials.columns if c not in ("parameters", "trial") and c not in data.columns]
-    if trial_key not in params:
-        params = [trial_key] + params
-    # the declared size bounds what is broadcast: check it (reads at most n + 1 rows)
+    keep = keep if keep is not None else [c for c in trials.columns if c != "parameters"]
+    # the declared size bounds what is shipped: check it (reads at most n + 1 rows)
     if trials.limit(num_trials + 1).count() > num_trials:
         raise ValueError(f"the trial table has more than the declared num_trials={num_trials} rows")
-    aggs = [m.alias(k) for k, m in metrics.items()]
+    ship_package(data.sparkSession)
+    schema = f"{trial_key} long, " + ", ".join(f"{n} double" for n in names)
+    passes = max(1, math.ceil(num_trials / trials_per_pass))
+
+    def task(spec: dict):
+        def run(batches):
+            keys = spec[trial_key]
+            sums = {n: np.zeros(len(keys)) for n in names}
+            for batch in batches:
+                cols = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names}
+                for at in range(0, len(keys), TRIALS_AT_ONCE):
+                    part = slice(at, at + TRIALS_AT_ONCE)
+                    for n, s in partials(cols, {p: spec[p][part] for p in params}).items():
+                        sums[n][part] += s
+            yield pa.RecordBatch.from_arrays([pa.array(keys), *[pa.array(sums[n]) for n in names]], [trial_key, *names])
+        return run
+
     data = spread(data)
     parts = []
-    keyed = data.withColumn("_set", F.lit(0))
-    for one in _trial_sets(trials, num_trials, trials_per_pass, params):
-        pairs = keyed.join(one, "_set").select(*data.columns, F.inline("_trials"))
-        if pair_cols:
-            pairs = pairs.select(trial_key, *[c.alias(k) for k, c in pair_cols.items()])
-        parts.append(pairs.groupBy(trial_key).agg(*aggs))
-    scored = reduce(DataFrame.unionByName, parts)
-    # trial attributes are joined back by key: the aggregate keys stay one long
-    side = trials.select(*keep)
-    side = F.broadcast(side) if num_trials <= max_broadcast_trials else side
-    return side.join(scored, trial_key)
+    for i in range(passes):
+        some = trials if passes == 1 else trials.filter(F.pmod(F.xxhash64(trial_key), F.lit(passes)) == i)
+        rows = some.select(trial_key, *params).toArrow()  # about trials_per_pass rows
+        spec = {c: rows.column(c).to_numpy() for c in rows.column_names}
+        parts.append(data.mapInArrow(task(spec), schema))
+    summed = reduce(DataFrame.unionByName, parts).groupBy(trial_key).agg(*[F.sum(n).alias(n) for n in names])
+    scored = summed.select(trial_key, *[m.alias(k) for k, m in metrics.items()])
+    return trials.select(*keep).join(scored, trial_key)
 
 
 def best_trial(scores: DataFrame, objectives, group_cols: list[str] | tuple = (),
@@ -284,19 +277,22 @@ def kind_code(kind: Column) -> Column:
     return F.when(kind == "a", F.lit(0)).when(kind == "b", F.lit(1)).otherwise(F.lit(2))
 
 
-def price_target(code: Column) -> Column:
-    """The target column chosen by the trial's kind code (targets precomputed per row)."""
-    return F.when(code == 0, F.col("y_a")).when(code == 1, F.col("y_b")).otherwise(F.col("y_c"))
-
-
-def price_pairs() -> dict[str, Column]:
-    """Per (row, trial): the error, computed once and shared by both metrics."""
-    return {"err": price_target(F.col("kind_code")) - (F.col("slope") * F.col("l_quantity") + F.col("shift"))}
+def price_partials(batch: dict, p: dict) -> dict:
+    """Sums of |error|, error^2 and rows for some trials, one block of trials of a kind at a time."""
+    x = batch["l_quantity"].astype(float)
+    out = {n: np.zeros(len(p["slope"])) for n in ("abs_err", "sq_err", "n")}
+    for code, kind in enumerate(("a", "b", "c")):
+        mine = np.flatnonzero(p["kind_code"] == code)
+        if len(mine):
+            err = batch[f"y_{kind}"].astype(float) - p["shift"][mine, None] - p["slope"][mine, None] * x
+            out["abs_err"][mine] = np.abs(err).sum(axis=1)
+            out["sq_err"][mine] = np.einsum("ij,ij->i", err, err)
+            out["n"][mine] = len(x)
+    return out
 
 
 def price_metrics() -> dict[str, Column]:
-    err = F.col("err")
-    return {"mae": F.round(F.avg(F.abs(err)), 4), "mse": F.round(F.avg(err * err), 2)}
+    return {"mae": F.round(F.col("abs_err") / F.col("n"), 4), "mse": F.round(F.col("sq_err") / F.col("n"), 2)}
 
 
 def price_data(lineitem: DataFrame) -> DataFrame:
@@ -310,9 +306,8 @@ def sweep_price(spark: SparkSession, lineitem: DataFrame, num_trials: int = 64,
     trials = trial_table(spark, PRICE_SPACE, num_trials, algorithm, parallel_trials)
     trials = trials.withColumn("kind_code", kind_code(F.col("kind")))
     n = min(num_trials, _space_size(algorithm))
-    return score(price_data(lineitem), trials, price_metrics(), n,
-                 keep=["trial_no", "trial", "wave", "slope", "shift", "kind"], pair_cols=price_pairs(),
-                 params=["trial_no", "slope", "shift", "kind_code"])
+    return score(price_data(lineitem), trials, price_partials, ["abs_err", "sq_err", "n"], price_metrics(), n,
+                 params=["slope", "shift", "kind_code"], keep=["trial_no", "trial", "wave", "slope", "shift", "kind"])
 
 
 def _space_size(algorithm) -> int:
@@ -324,36 +319,29 @@ def _space_size(algorithm) -> int:
 # ---------------------------------------------------------------- sufficient statistics
 
 def linear_sufficient_stats(data: DataFrame, x: Column, targets: dict[str, Column]) -> DataFrame:
-    """One pass, one row: n, sums of x and x^2, and per target y, y^2, x*y.
-
-    Everything is a plain sum, so the plan is a partial aggregate per task and
-    a single-row final aggregate: no per-trial row work at all.
-    """
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(x).alias("sx"), F.sum(x * x).alias("sxx")]
+    """One pass, one row: mean and variance of x and, per target, of y, with
+    their covariance. The moments are centred and merged as such, so nothing
+    cancels however many rows there are."""
+    aggs = [F.avg(x).alias("mx"), F.var_pop(x).alias("vx")]
     for k, y in targets.items():
-        aggs += [F.sum(y).alias(f"sy_{k}"), F.sum(y * y).alias(f"syy_{k}"), F.sum(x * y).alias(f"sxy_{k}")]
+        aggs += [F.avg(y).alias(f"my_{k}"), F.var_pop(y).alias(f"vy_{k}"), F.covar_pop(x, y).alias(f"cxy_{k}")]
     return data.agg(*aggs)
 
 
 def linear_mse_from_stats(stats: DataFrame, trials: DataFrame, slope: str, shift: str,
                           target_of: Column, target_keys: list[str]) -> DataFrame:
     """Mean squared error of ``y ~ slope*x + shift`` for every trial from the
-    one-row statistics: (Syy - 2a Sxy - 2b Sy + a^2 Sxx + 2ab Sx + b^2 n) / n.
-    The statistics row is read once and enters the trial projection as literals."""
+    one-row statistics: Vy - 2a Cxy + a^2 Vx + (My - a Mx - b)^2. The
+    statistics row is read once and enters the trial projection as literals."""
     st = stats.first().asDict()
 
     def pick(prefix):
-        out = None
-        for k in target_keys:
-            c = F.lit(st[f"{prefix}_{k}"]).cast("double")
-            out = F.when(target_of == k, c) if out is None else out.when(target_of == k, c)
-        return out
+        return F.coalesce(*[F.when(target_of == k, F.lit(st[f"{prefix}_{k}"]).cast("double")) for k in target_keys])
 
     a, b = F.col(slope), F.col(shift)
-    n = F.lit(float(st["n"]))
-    sse = (pick("syy") - 2 * a * pick("sxy") - 2 * b * pick("sy")
-           + a * a * F.lit(st["sxx"]).cast("double") + 2 * a * b * F.lit(st["sx"]).cast("double") + b * b * n)
-    return trials.select(*[c for c in trials.columns if c != "parameters"], F.round(sse / n, 2).alias("mse"))
+    off = pick("my") - a * F.lit(st["mx"]).cast("double") - b
+    mse = pick("vy") - 2 * a * pick("cxy") + a * a * F.lit(st["vx"]).cast("double") + off * off
+    return trials.select(*[c for c in trials.columns if c != "parameters"], F.round(mse, 2).alias("mse"))
 
 
 def sweep_price_sufficient(spark: SparkSession, lineitem: DataFrame, num_trials: int = 64,

@@ -2,13 +2,15 @@
 
 Each view exists twice: as a DataFrame built with the DataFrame API (what the
 Spark queries read) and as SQL text for the DuckDB twin (``VIEW_SQL``). The
-two are written separately; ``tests/test_views.py`` checks they agree.
+two are written separately; the queries that read them compare both.
 
 Every view reads whole tables; nothing is sampled or cut by id.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +26,13 @@ def _case(col: Column, mapping: dict, default=None) -> Column:
     return out if default is None else out.otherwise(default)
 
 
+def limits_map(limits: dict):
+    """MAP of the limits that aren't NULL; NULL if there are none."""
+    entries = F.filter(F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in limits.items()]),
+                       lambda e: e["value"].isNotNull())
+    return F.when(F.size(entries) > 0, F.map_from_entries(entries))
+
+
 def runtimes(spark, sf_dir) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     k = F.col("n_nationkey")
@@ -31,9 +40,8 @@ def runtimes(spark, sf_dir) -> DataFrame:
         F.concat(F.lit("rt-"), k).alias("name"),
         _case(F.col("n_regionkey"), {0: "torch", 1: "mpi", 2: "torchtune", 3: "deepspeed"}).alias("framework"),
         (F.lit(1) + k % 4).alias("num_nodes"),
-        F.when(k % 3 == 0, F.lit(2)).alias("gpu_limit"),
-        F.when(k % 3 == 1, F.lit(4)).alias("tpu_limit"),
-        F.when(k % 5 != 0, F.lit(8)).alias("cpu_limit"),
+        limits_map({"nvidia.com/gpu": F.when(k % 3 == 0, F.lit("2")), "google.com/tpu": F.when(k % 3 == 1, F.lit("4")),
+                    "cpu": F.when(k % 5 != 0, F.lit("8")), "example.com/npu": F.when(k == 5, F.lit("1"))}).alias("limits"),
         F.when(F.col("n_regionkey") < 2, F.lit(2)).alias("procs_per_node"),
     )
 
@@ -146,11 +154,9 @@ def catalog_defaults(spark, sf_dir) -> DataFrame:
 
 
 def req_all(spark, sf_dir) -> DataFrame:
-    """Requirement rows of every job (supplier). ``pos`` is a global ordinal in
-    (job, order, line, part, ship date) order: inside a job it is the list
-    order. It comes from the skew-safe row index, not a window per job, so a
-    job holding a third of all rows is still spread over many tasks."""
-    from sparksweep.operators.ordinal import with_row_index
+    """Requirement rows of every job (supplier). ``pos`` orders a job's list by
+    (order, line, part, ship date): these numbers side by side in one decimal,
+    made row by row, without a sort or a shuffle."""
     li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_linestatus", "l_orderkey", "l_linenumber",
                                                  "l_partkey", "l_shipdate")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
@@ -160,9 +166,17 @@ def req_all(spark, sf_dir) -> DataFrame:
             .otherwise(F.regexp_replace("p_name", " ", "-")))
     x = li.join(p, li.l_partkey == p.p_partkey).select(
         F.col("l_suppkey").alias("job"), F.col("l_linestatus").alias("side"), "l_orderkey", "l_linenumber",
-        "l_partkey", "l_shipdate", F.concat(name, F.lit("=="), F.col("p_size")).alias("requirement"))
-    x = with_row_index(x, ["job", "l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"], "row_idx")
-    return x.select("job", "side", "l_orderkey", (F.col("row_idx") + 1).alias("pos"), "requirement")
+        req_position().alias("pos"), F.concat(name, F.lit("=="), F.col("p_size")).alias("requirement"))
+    return x.select("job", "side", "l_orderkey", "pos", "requirement")
+
+
+def req_position():
+    """Order (12 digits), line (3), part (12), days since 1970 (5) as one whole number."""
+    n = lambda c: F.col(c).cast("decimal(12,0)")
+    days = F.unix_date(F.col("l_shipdate").cast("date")).cast("decimal(5,0)")
+    part = n("l_partkey") * F.lit(Decimal(10 ** 5)) + days
+    line = n("l_linenumber") * F.lit(Decimal(10 ** 17)) + part
+    return (F.col("l_orderkey").cast("decimal(16,0)") * F.lit(Decimal(10 ** 20)) + line).cast("decimal(38,0)")
 
 
 def req_runtime(spark, sf_dir, all_df: DataFrame | None = None) -> DataFrame:
@@ -245,6 +259,7 @@ SELECT concat('rt-', n_nationkey) AS name,
        CASE WHEN n_nationkey % 3 = 0 THEN 2 END AS gpu_limit,
        CASE WHEN n_nationkey % 3 = 1 THEN 4 END AS tpu_limit,
        CASE WHEN n_nationkey % 5 <> 0 THEN 8 END AS cpu_limit,
+       CASE WHEN n_nationkey = 5 THEN 1 END AS npu_limit,
        CASE WHEN n_regionkey < 2 THEN 2 END AS procs_per_node
 FROM nation"""),
     "v_jobs": ((), """
@@ -294,7 +309,8 @@ FROM part"""),
 SELECT concat('default-', lower(r_name)) AS name FROM region UNION ALL SELECT 'red plate' AS name"""),
     "v_req_all": ((), """
 SELECT l_suppkey AS job, l_linestatus AS side, l_orderkey,
-       row_number() OVER (ORDER BY l_suppkey, l_orderkey, l_linenumber, l_partkey, l_shipdate) AS pos,
+       l_orderkey::HUGEINT * 100000000000000000000 + l_linenumber::HUGEINT * 100000000000000000
+         + l_partkey::HUGEINT * 100000 + date_diff('day', DATE '1970-01-01', l_shipdate::DATE) AS pos,
        concat(CASE l_linenumber % 3 WHEN 0 THEN replace(p_name, ' ', '_') WHEN 1 THEN upper(replace(p_name, ' ', '.')) ELSE replace(p_name, ' ', '-') END,
               '==', p_size) AS requirement
 FROM lineitem JOIN part ON l_partkey = p_partkey"""),

@@ -9,6 +9,7 @@ made when the setting is unset and Spark runs in local mode.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -49,8 +50,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Falls back to the SparkContext checkpoint folder; when neither is set and
-    the master is local (tests), a folder of our own is created and set.
+    Falls back to the SparkContext checkpoint folder; with neither set, a folder
+    of our own is set in local mode (one process, as in tests), and on any cluster it raises.
     """
     root = spark.sparkContext.getConf().get(_CHECKPOINT_KEY, None)
     if not root:
@@ -63,9 +64,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = jdir.get() if jdir.isDefined() else None
     if not root:
         master = spark.sparkContext.master
-        if not master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; point it at a folder every executor shares")
+        if not re.fullmatch(r"local(\[[^-]*\])?", master):  # local-cluster has executors of its own
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at a folder every executor shares")
         root = tempfile.mkdtemp(prefix="sparksweep-ckpt-")
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(root)

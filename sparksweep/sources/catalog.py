@@ -1,11 +1,10 @@
 """Runtime catalog from many sources in priority order (SRC-6).
 
-One ``read.text(wholetext)`` over every source folder (file path from
-``_metadata``), lines split as in SRC-5, documents parsed with PERMISSIVE
-``from_json`` (a bad document becomes a reject, never an error), source
-priority from the declared source list, first-wins per name (WIN-1), then the
-built-in defaults (JON-5). A source that does not exist is skipped. Remote
-sources (github, http) are not fetched here: land their files first.
+Each source folder is read line by line and carries its own priority, documents
+are parsed with PERMISSIVE ``from_json`` (a bad document becomes a reject, never
+an error), first-wins per name (WIN-1), then the built-in defaults (JON-5). A
+source that can't be read is a reject too. Remote sources (github, http) are
+not fetched here: land their files first.
 """
 
 from __future__ import annotations
@@ -16,7 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparksweep.operators.catalog import first_wins, parse_runtime_documents, with_defaults
-from sparksweep.sources.logs import split_lines
+
+
+# fixed values: schemes of landed folders
+LANDED = ("file://", "hdfs://", "s3a://", "abfs://", "abfss://", "gs://", "viewfs://")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -26,52 +28,60 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def _local(path: str) -> str:
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    return path
+def _folder(spark: SparkSession, path: str) -> str:
+    """The folder's full URI as the file system writes it."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(p).toString().rstrip("/")
+
+
+REMOTE = ("github://", "http://", "https://")
+NOTHING = "name string, framework string, num_nodes bigint, image string, prio int"
 
 
 def load_catalog(spark: SparkSession, sources: list[str], defaults: DataFrame | None = None,
                  glob: str | None = None):
-    """Returns (runtimes, rejects). ``sources`` are folders in priority order."""
-    usable = []
+    """Returns (runtimes, rejects). ``sources`` are folders in priority order,
+    each read on its own, line by line (a document is a line, so a large file is
+    split over many tasks). ``rejects`` (prio, source, file_path, doc, error) has
+    the documents that fail a check and the sources that can't be read: remote
+    ones (land their files first), unknown schemes and missing folders."""
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    parts, skipped = [], []
     for prio, src in enumerate(sources):
-        if src.startswith(("github://", "http://", "https://")):
-            continue  # remote fetch is not built; skipped like a failing source
-        if not (src.startswith("/") or src.startswith("file://")):
-            continue  # unsupported scheme: skipped, not fatal
-        if _exists(spark, src):
-            usable.append((prio, src))
-    if not usable:
-        empty = spark.createDataFrame([], "name string, framework string, num_nodes bigint, image string")
-        return (with_defaults(empty, defaults) if defaults is not None else empty), None
-    reader = spark.read
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    raw = (reader.text([s for _, s in usable], wholetext=True)
-           .select(F.col("_metadata.file_path").alias("file_path"), "value"))
-    fp = F.col("file_path")
-    prio = reduce(lambda acc, ps: acc.when(fp.contains(_local(ps[1]).rstrip("/") + "/"), F.lit(ps[0])),
-                  usable[1:], F.when(fp.contains(_local(usable[0][1]).rstrip("/") + "/"), F.lit(usable[0][0])))
-    lines = split_lines(raw.withColumn("prio", prio), "value", ["prio", "file_path"], "doc", "line_no")
-    lines = lines.filter(F.trim("doc") != "")
-    parsed = parse_runtime_documents(lines, "doc", keep=["prio", "file_path", "line_no"])
+        if src.startswith(REMOTE):
+            skipped.append((prio, src, "remote source is not fetched"))
+        elif "://" in src and not src.startswith(LANDED):
+            skipped.append((prio, src, "unsupported scheme"))
+        elif not _exists(spark, src):
+            skipped.append((prio, src, "no such folder"))
+        else:
+            parts.append(reader.text(_folder(spark, src)).select(
+                F.lit(prio).alias("prio"), F.lit(src).alias("source"), F.col("_metadata.file_path").alias("file_path"),
+                F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("line_no"), F.col("value").alias("doc")))
+    lost = spark.createDataFrame(skipped, "prio int, source string, error string").select(
+        "prio", "source", F.lit(None).cast("string").alias("file_path"), F.lit(None).cast("string").alias("doc"), "error")
+    if not parts:
+        empty = spark.createDataFrame([], NOTHING)
+        return (with_defaults(empty, defaults) if defaults is not None else empty), lost
+    lines = reduce(DataFrame.unionByName, parts).filter(F.trim("doc") != "")
+    order = ["prio", "file_path", "at", "line_no"]
+    parsed = parse_runtime_documents(lines, "doc", keep=[*order, "source", "doc"])
     valid = parsed.filter(F.col("error").isNull())
-    rejects = parsed.filter(F.col("error").isNotNull())
-    winners = first_wins(valid.select("name", "prio", "file_path", "line_no", "framework", "num_nodes", "image"),
-                         "name", ["prio", "file_path", "line_no"])
+    rejects = parsed.filter(F.col("error").isNotNull()).select("prio", "source", "file_path", "doc", "error").unionByName(lost)
+    winners = first_wins(valid.select("name", *order, "framework", "num_nodes", "image"), "name", order)
     runtimes = winners.select("name", "framework", "num_nodes", "image", "prio")
     if defaults is not None:
         runtimes = with_defaults(runtimes, defaults)
     return runtimes, rejects
 
 
-def write_catalog_sources(catalog_docs: DataFrame, base: str, files_per_source: int = 2) -> list[str]:
+def write_catalog_sources(catalog_docs: DataFrame, base: str) -> list[str]:
     """Land documents as JSON-lines files, one folder per priority, rows in
     position order across the sorted file names."""
     (catalog_docs.select("prio", "pos", "doc")
-     .repartitionByRange(files_per_source * 3, "prio", "pos").sortWithinPartitions("prio", "pos")
+     .repartitionByRange("prio", "pos").sortWithinPartitions("prio", "pos")
      .select("prio", "doc").write.partitionBy("prio").mode("overwrite").text(base))
     # the source folders are read back from the file system listing (metadata,
     # one entry per source), not collected from the data

@@ -1,12 +1,13 @@
 """Read and write a data set by declared format (SRC-1).
 
 json, csv, parquet, text and xml are Spark's own readers; ``arrow`` (Arrow IPC
-files) is a Python data source with one partition per file, written by
-``write_arrow`` from every task in parallel. Any other format is an error.
+files) is read through Spark's ``binaryFile`` source and written by every task
+in parallel. Any other format is an error.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,6 @@ from sparksweep.session import ship_package
 
 # fixed values: the reference's data formats
 FORMATS = ("json", "csv", "parquet", "arrow", "text", "xml")
-ARROW_SOURCE = "sparksweep_arrow"
 
 
 def check_format(fmt: str) -> str:
@@ -28,7 +28,8 @@ def check_format(fmt: str) -> str:
 
 def _default_options(fmt: str) -> dict:
     if fmt == "csv":
-        return {"header": "true", "multiLine": "true", "escape": '"',
+        # without line breaks inside fields a file is split over many tasks; pass multiLine where there are some
+        return {"header": "true", "escape": '"',
                 "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     if fmt == "json":
         return {"mode": "PERMISSIVE"}
@@ -42,11 +43,7 @@ def read_dataset(spark: SparkSession, path: str, fmt: str, schema: T.StructType
     f = check_format(fmt)
     opts = {**_default_options(f), **(options or {})}
     if f == "arrow":
-        register_arrow(spark)
-        r = spark.read.format(ARROW_SOURCE).option("path", path)
-        if schema is not None:
-            r = r.schema(schema)
-        return r.load()
+        return read_arrow(spark, path, schema)
     r = spark.read.format(f).options(**opts)
     if schema is not None and f != "text":
         r = r.schema(schema)
@@ -67,20 +64,40 @@ def write_dataset(df: DataFrame, path: str, fmt: str, options: dict | None = Non
 
 # ---------------------------------------------------------------- Arrow IPC
 
+def _qualified(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as a full URI on it."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs, fs.makeQualified(p)
+
+
+def _arrow_parts(fs, folder) -> list:
+    return [f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().endswith(".arrow")] if fs.exists(folder) else []
+
+
 def write_arrow(df: DataFrame, path: str) -> None:
-    """Every task writes its rows to ``part-<partition>.arrow`` through
-    ``pyarrow.fs`` (local, HDFS or object store). A retried or speculative task
-    rewrites the same name by an atomic move, so no file is duplicated."""
+    """Every task writes its rows to a file of this run through ``pyarrow.fs``;
+    a retried task moves its file over the same name, so none is doubled. When all
+    are written, the files of earlier runs go. Partition 0 always writes, so an
+    empty set keeps its schema. ``s3a://`` is pyarrow's ``s3://``."""
+    spark = df.sparkSession
+    fs, folder = _qualified(spark, path)
+    fs.mkdirs(folder)
+    before = _arrow_parts(fs, folder)
+    target = re.sub(r"^s3a:", "s3:", folder.toUri().toString())
+    target = re.sub(r"^file:/+", "file:///", target)
+    run = uuid.uuid4().hex[:12]
+    empty = df.limit(0).toArrow().schema
 
     def write_part(batches):
         import pyarrow as pa
         from pyarrow import fs as pafs
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
-        filesystem, root = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
-        filesystem.create_dir(root, recursive=True)
-        final = f"{root.rstrip('/')}/part-{pid:05d}.arrow"
-        tmp = f"{root.rstrip('/')}/.tmp-{pid:05d}-{uuid.uuid4().hex}"
+        filesystem, root = pafs.FileSystem.from_uri(target)
+        final = f"{root.rstrip('/')}/part-{run}-{pid:05d}.arrow"
+        tmp = f"{root.rstrip('/')}/.tmp-{uuid.uuid4().hex}"
         writer, sink, rows = None, None, 0
         for b in batches:
             if writer is None:
@@ -88,82 +105,50 @@ def write_arrow(df: DataFrame, path: str) -> None:
                 writer = pa.ipc.new_file(sink, b.schema)
             writer.write_batch(b)
             rows += b.num_rows
-        if writer is None:
-            return
-        writer.close()
-        sink.close()
-        filesystem.move(tmp, final)
+        if writer is None and pid == 0:
+            sink = filesystem.open_output_stream(tmp)
+            writer = pa.ipc.new_file(sink, empty)
+        if writer is not None:
+            writer.close()
+            sink.close()
+            filesystem.move(tmp, final)
         yield pa.RecordBatch.from_pydict({"file": [final], "rows": [rows]})
 
-    ship_package(df.sparkSession)
+    ship_package(spark)
+    df = df if df.rdd.getNumPartitions() else df.repartition(1)
     df.mapInArrow(write_part, "file string, rows long").collect()  # one small row per task
+    for old in before:
+        fs.delete(old, False)
 
 
-def _fs(path: str):
-    from pyarrow import fs as pafs
-    return pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
-
-
-def _arrow_files(path: str) -> list[str]:
-    from pyarrow import fs as pafs
-    filesystem, root = _fs(path)
-    info = filesystem.get_file_info(root)
-    if info.type == pafs.FileType.File:
-        return [path]
-    sel = filesystem.get_file_info(pafs.FileSelector(root))
-    names = sorted(i.path for i in sel if i.type == pafs.FileType.File and i.base_name.endswith(".arrow")
-                   and not i.base_name.startswith((".", "_")))
-    prefix = path[: len(path) - len(root)] if "://" in path else ""
-    return [prefix + n if prefix and not n.startswith(prefix) else n for n in names]
-
+def read_arrow(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """The Arrow files of a folder (or one file), read through Spark's
+    ``binaryFile`` source, so on any file system that Spark knows; a file is one
+    unit of work. Without a schema, that of one file is taken, in a task."""
+    from pyspark.sql.pandas.types import from_arrow_schema
+    ship_package(spark)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.arrow").load(path).select("content")
 
-_registered: set = set()
+    def schema_of(batches):
+        import pyarrow as pa
+        for b in batches:
+            for content in b.column(0):
+                found = pa.ipc.open_file(content.as_buffer()).schema
+                yield pa.RecordBatch.from_pydict({"schema": [found.serialize().to_pybytes()]})
 
+    if schema is None:
+        import pyarrow as pa
+        one = files.limit(1).mapInArrow(schema_of, "schema binary").collect()
+        if not one:
+            raise ValueError(f"no arrow files under {path}")
+        schema = from_arrow_schema(pa.ipc.read_schema(pa.py_buffer(bytes(one[0]["schema"]))))
 
-def register_arrow(spark: SparkSession) -> None:
-    ship_package(spark)
-    key = id(spark)
-    if key in _registered:
-        return
-    from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-
-    class _FilePartition(InputPartition):
-        def __init__(self, file):
-            super().__init__(file)
-            self.file = file
-
-    class _Reader(DataSourceReader):
-        def __init__(self, path):
-            self.path = path
-
-        def partitions(self):
-            return [_FilePartition(f) for f in _arrow_files(self.path)]
-
-        def read(self, partition):
-            import pyarrow as pa
-            filesystem, p = _fs(partition.file)
-            with filesystem.open_input_file(p) as src:
-                reader = pa.ipc.open_file(src)
+    def read(batches):
+        import pyarrow as pa
+        for b in batches:
+            for content in b.column(0):
+                reader = pa.ipc.open_file(content.as_buffer())
                 for i in range(reader.num_record_batches):
                     yield reader.get_batch(i)
 
-    class ArrowIPCSource(DataSource):
-        @classmethod
-        def name(cls):
-            return ARROW_SOURCE
-
-        def schema(self):
-            import pyarrow as pa
-            from pyspark.sql.pandas.types import from_arrow_schema
-            files = _arrow_files(self.options["path"])
-            if not files:
-                raise ValueError(f"no arrow files under {self.options['path']}")
-            filesystem, p = _fs(files[0])
-            with filesystem.open_input_file(p) as src:
-                return from_arrow_schema(pa.ipc.open_file(src).schema)
-
-        def reader(self, schema):
-            return _Reader(self.options["path"])
-
-    spark.dataSource.register(ArrowIPCSource)
-    _registered.add(key)
+    return files.mapInArrow(read, schema)

@@ -1,6 +1,6 @@
 """Batch log scan (SRC-5): text -> ordered lines with ``str.splitlines`` rules.
 
-CRLF and lone CR end a line like LF; one trailing line end adds no empty last
+CRLF, CR, VT, FF, FS, GS, RS, NEL, U+2028 and U+2029 end a line like LF; one trailing line end adds no empty last
 line; an empty text gives no rows, a text of just a line end gives one empty
 line. Runs as a generator (posexplode) inside the scan stage: no shuffle, and
 every text is processed whole.
@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LINE_END = r"\r\n|\r"
+# fixed values: what ends a line for ``str.splitlines`` besides LF
+LINE_END = r"\r\n|[\r\x0B\x0C\x1C\x1D\x1E\x85\u2028\u2029]"
 
 
 def normalized(text: Column) -> Column:

@@ -34,15 +34,28 @@ def classify_sources(df: DataFrame, url_col: str) -> DataFrame:
         "error", F.when(F.col("source_type").isNull(), F.lit("unsupported source scheme")))
 
 
+def inventory(df: DataFrame, url_col: str) -> DataFrame:
+    """JOB-2: per scheme and host the URIs and their distinct paths. Paths are
+    made distinct before they are counted, so a host with a third of all URIs
+    is spread over many tasks."""
+    url = F.col(url_col)
+    parts = df.select(F.lower(F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1)).alias("scheme"),
+                      F.lower(F.regexp_extract(url, HOST_RE, 1)).alias("host"), F.regexp_extract(url, PATH_RE, 1).alias("path"))
+    return parts.groupBy("scheme", "host", "path").agg(F.count(F.lit(1)).alias("n")).groupBy("scheme", "host").agg(
+        F.sum("n").alias("uris"), F.count("path").alias("paths"))
+
+
 def dataset_arg(url: Column) -> Column:
     """The dataset path rule: the path after the first segment is a file when it
-    contains a dot (``dataset.data_files``), else a directory (``dataset.data_dir``)."""
-    parts = F.split(F.regexp_replace(F.regexp_extract(url, PATH_RE, 1), r"^/+|/+$", ""), "/")
+    contains a dot (``dataset.data_files``), else a directory
+    (``dataset.data_dir``). A source without a scheme is a hub name (hf://)."""
+    full = F.when(url.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), url).otherwise(F.concat(F.lit("hf://"), url))
+    parts = F.split(F.regexp_replace(F.regexp_extract(full, PATH_RE, 1), r"^/+|/+$", ""), "/")
     rel = F.when(F.size(parts) > 1, F.array_join(F.slice(parts, 2, 1 << 30), "/")).otherwise(F.lit("."))
     is_file = (rel != ".") & rel.contains(".")
-    full = F.concat(F.lit(DATASET_PATH + "/"), rel)
-    return F.when(is_file, F.concat(F.lit("dataset.data_files="), full)).otherwise(
-        F.concat(F.lit("dataset.data_dir="), full))
+    target = F.concat(F.lit(DATASET_PATH + "/"), rel)
+    return F.when(is_file, F.concat(F.lit("dataset.data_files="), target)).otherwise(
+        F.concat(F.lit("dataset.data_dir="), target))
 
 
 def options_text(m: Column) -> Column:
@@ -84,14 +97,13 @@ def mount_paths(uris: DataFrame, mounts: DataFrame, uri_col: str = "uri") -> Dat
     (scheme, host), says where the files of a scheme and host were landed; each
     URI gets ``local_path`` = base + host + path. A host-specific mount wins over
     the scheme-wide one (host NULL). Two left joins keep the URI rows one to
-    one; the mount table is small by nature and broadcast after a size check."""
-    from sparksweep.operators.jobs import bounded_broadcast
+    one; Spark broadcasts the mount table if its byte threshold allows."""
     u = (uris.withColumn("_scheme", F.regexp_extract(F.col(uri_col), r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1))
          .withColumn("_host", F.regexp_extract(F.col(uri_col), HOST_RE, 1))
          .withColumn("_path", F.regexp_extract(F.col(uri_col), PATH_RE, 1)))
-    by_host = bounded_broadcast(mounts.filter(F.col("host").isNotNull()).select(
+    by_host = (mounts.filter(F.col("host").isNotNull()).select(
         F.col("scheme").alias("_s1"), F.col("host").alias("_h1"), F.col("base").alias("_b1")))
-    by_scheme = bounded_broadcast(mounts.filter(F.col("host").isNull()).select(
+    by_scheme = (mounts.filter(F.col("host").isNull()).select(
         F.col("scheme").alias("_s2"), F.col("base").alias("_b2")))
     x = (u.join(by_host, (u["_scheme"] == by_host["_s1"]) & (u["_host"] == by_host["_h1"]), "left")
          .join(by_scheme, u["_scheme"] == by_scheme["_s2"], "left"))

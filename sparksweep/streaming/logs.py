@@ -9,14 +9,15 @@ from sparksweep.operators.metrics import observations
 
 
 def follow(lines: DataFrame, requests: DataFrame, job: str = "job") -> DataFrame:
-    """STR-1: new lines of the chosen jobs as they arrive (stream-static join;
-    the request table is small and static, so each micro-batch joins locally)."""
-    return lines.join(requests.select(job).distinct(), job, "left_semi")
+    """STR-1: new lines of the chosen jobs as they arrive (stream-static join).
+    ``requests`` is a written table, so a micro-batch reads it and computes nothing."""
+    return lines.join(requests.select(job), job, "left_semi")
 
 
-def deliver_once(lines: DataFrame, keys: list[str], ts_col: str = "ts", delay: str = "1 day") -> DataFrame:
+def deliver_once(lines: DataFrame, keys: list[str], ts_col: str, delay: str) -> DataFrame:
     """STR-2: each (job, seq) delivered once even when the source replays it;
-    state for a key is kept only while it can still be duplicated."""
+    state for a key is kept only while it can still be duplicated. ``delay`` is
+    how late a row may come; later ones are listed by ``runner.late_rows``."""
     return lines.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(keys)
 
 

@@ -7,6 +7,8 @@ here run with ``availableNow``: they drain what has landed and stop.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,35 +51,75 @@ def run_stats(q) -> dict:
     return {"rows_read": read, "rows_dropped_late": dropped, "batches": len(q.recentProgress)}
 
 
-def land_in_order(df: DataFrame, path: str, ts_col: str = "ts", buckets: int = 6,
-                  files_per_bucket: int | None = None) -> int:
-    """Write ``df`` as ``buckets`` successive appends in event-time order (as a
-    followed log would arrive), each spread over ``files_per_bucket`` files by
-    a round-robin repartition (no bucket is funnelled through one task).
+@dataclass(frozen=True)
+class Landed:
+    """Where a followed source landed: files per bucket, the folder of the rows
+    without an event time, and how many these are."""
+    files: int
+    rejects: str
+    rejected: int
+
+
+def land_in_order(df: DataFrame, path: str, ts_col: str = "ts", buckets: int = 6, files_per_bucket: int | None = None,
+                  copies: int = 1) -> Landed:
+    """Write ``df`` as successive appends in event-time order (as a followed log
+    would arrive), each spread over several files by a round-robin repartition.
 
-    Returns the files per bucket: a file stream reading that many files per
-    trigger takes exactly one bucket per micro-batch, because the file source
-    picks files oldest first and every bucket is written after the previous one.
+    Buckets hold about equal numbers of rows (their bounds are quantiles of the
+    event time), so a few early rows don't make a bucket of their own. A file
+    stream reading ``files`` files per trigger takes exactly one bucket per
+    micro-batch: every bucket fills all of its files and is written after the
+    one before. With ``copies`` each bucket is delivered that many times in a row.
+    Rows without an event time belong to no bucket: they go to ``rejects``.
     """
     spark = df.sparkSession
-    b = df.agg(F.min(ts_col).alias("lo"), F.max(ts_col).alias("hi")).first()
+    rejects = path + "-rejects"
+    df.filter(F.col(ts_col).isNull()).write.mode("append").parquet(rejects)
+    rejected = spark.read.schema(df.schema).parquet(rejects).count()
+    us = F.unix_micros(F.col(ts_col).cast("timestamp"))
+    marks = [i / buckets for i in range(1, buckets)]
+    got = df.agg(F.percentile_approx(us, marks).alias("q")).first()["q"] or []
+    bounds = sorted(set(got))
+    bucket = F.lit(0)
+    for b in bounds:
+        bucket = bucket + F.when(us > b, 1).otherwise(0)
+    rows = df.filter(F.col(ts_col).isNotNull()).withColumn("_bucket", bucket)
+    sizes = {r["_bucket"]: r["n"] for r in rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
     k = files_per_bucket or max(1, spark.sparkContext.defaultParallelism // 2)
-    if b["lo"] is None:
+    if not sizes:
         df.limit(0).write.mode("append").parquet(path)
-        return k
-    lo, hi = b["lo"], b["hi"]
-    step = (hi - lo) / buckets
-    conds = []
-    for i in range(buckets):
-        a, z = lo + step * i, lo + step * (i + 1)
-        conds.append((F.col(ts_col) >= F.lit(a)) & ((F.col(ts_col) < F.lit(z)) if i < buckets - 1 else F.lit(True)))
-    # every bucket must fill all k files for the one-bucket-per-trigger rule
-    sizes = df.select(*[F.sum(F.when(c, 1).otherwise(0)).alias(f"b{i}") for i, c in enumerate(conds)]).first()
-    k = max(1, min([k] + [int(sizes[f"b{i}"] or 0) for i in range(buckets) if sizes[f"b{i}"]]))
-    for c in conds:
-        part = df.filter(c)
-        part.repartition(k).write.mode("append").parquet(path)
-    return k
+        return Landed(k, rejects, rejected)
+    k = max(1, min(k, *sizes.values()))
+    for i in sorted(sizes):
+        for _ in range(copies):
+            rows.filter(F.col("_bucket") == i).drop("_bucket").repartition(k).write.mode("append").parquet(path)
+    return Landed(k, rejects, rejected)
+
+
+def late_rows(df: DataFrame, name: str, ts_col: str, delay: str) -> str:
+    """Drain a stream into a table of the rows that a stateful operator with
+    this watermark drops: behind the largest event time of all earlier
+    micro-batches less ``delay``. Run it on the same source with the same
+    triggers. Each batch writes its own folder (rows, and its largest event
+    time), so a replayed batch changes nothing."""
+    spark = df.sparkSession
+    out, ckpt = shared_dir(spark, f"{name}-late"), shared_dir(spark, f"{name}-late-ckpt")
+    marks = out + "-marks"
+    schema = "top timestamp, batch_id bigint"
+    spark.createDataFrame([], schema).write.parquet(f"{marks}/batch_id=-1")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        s = batch.sparkSession
+        seen = s.read.schema("top timestamp").parquet(*[f"{marks}/batch_id={b}" for b in range(-1, batch_id)])
+        top = seen.agg(F.max("top").alias("t")).first()["t"]
+        ts = F.col(ts_col).cast("timestamp")
+        late = batch.filter(F.lit(False) if top is None else ts < F.lit(top) - F.expr(f"INTERVAL {delay}"))
+        late.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        batch.agg(F.max(ts).alias("top")).write.mode("overwrite").parquet(f"{marks}/batch_id={batch_id}")
+
+    _start(df, lambda: (df.writeStream.foreachBatch(write).option("checkpointLocation", ckpt)
+                        .trigger(availableNow=True).start()), None)
+    return out
 
 
 def file_stream(spark: SparkSession, path: str, schema, files_per_trigger: int = 1) -> DataFrame:
@@ -122,7 +164,7 @@ def latest_from_changelog(spark: SparkSession, path: str, keys: list[str]) -> Da
     return last.select(*keys, "v.*")
 
 
-def register_stream(df: DataFrame, path: str, keys: list[str], name: str = "register") -> str:
+def register_stream(df: DataFrame, path: str, keys: list[str], order: list[str], name: str = "register") -> str:
     """SNK-1 as a stream: every micro-batch appends only rows whose key the
     table does not hold yet (the first registration wins). The checkpoint
     makes a restarted query resume after the last committed batch."""
@@ -131,7 +173,7 @@ def register_stream(df: DataFrame, path: str, keys: list[str], name: str = "regi
     ckpt = shared_dir(spark, f"{name}-ckpt")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        register_rows(batch.sparkSession, path, batch, keys)
+        register_rows(batch.sparkSession, path, batch, keys, order)
 
     _start(df, lambda: (df.writeStream.foreachBatch(write).option("checkpointLocation", ckpt)
                         .trigger(availableNow=True).start()), None)

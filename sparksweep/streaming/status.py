@@ -39,11 +39,17 @@ class JobStatusProcessor(StatefulProcessor):
         self.last = handle.getValueState("last", "status string, version long")
 
     def handleInputRows(self, key, rows, timerValues):
+        newest: dict = {}  # one state access per step and batch, not per row
         for pdf in rows:
-            for step, ts, seq, status in zip(pdf["step"], pdf["ts_us"], pdf["seq"], pdf["status"]):
-                cur = self.steps.getValue((step,))
-                if cur is None or (int(ts), int(seq)) > (cur[0], cur[1]):
-                    self.steps.updateValue((step,), (int(ts), int(seq), status))
+            last = pdf.sort_values(["ts_us", "seq"]).drop_duplicates("step", keep="last")
+            for step, ts, seq, status in zip(last["step"], last["ts_us"], last["seq"], last["status"]):
+                new = (int(ts), int(seq), status)
+                if step not in newest or new[:2] > newest[step][:2]:
+                    newest[step] = new
+        for step, new in newest.items():
+            cur = self.steps.getValue((step,))
+            if cur is None or new[:2] > (cur[0], cur[1]):
+                self.steps.updateValue((step,), new)
         st = fold_process_status(v[2] for v in self.steps.values())
         prev = self.last.get()
         if prev is None or prev[0] != st:
@@ -65,10 +71,13 @@ def live_job_status(step_events: DataFrame) -> DataFrame:
         outputMode="Append", timeMode="None")
 
 
+WAITING = "waiting"
+
+
 class WaitProcessor(StatefulProcessor):
-    """STR-5: per job, the first change into a wanted status or Failed before
+    """STR-5: a job is ``waiting`` from its first row on; the first change into a wanted status or Failed before
     start + timeout decides (reached / failed); else an event-time timer at the
-    deadline emits timed_out. Each job is emitted once."""
+    deadline emits timed_out. Each job is decided once."""
 
     def __init__(self, wanted, timeout_s: float):
         self.wanted = set(wanted)
@@ -80,33 +89,36 @@ class WaitProcessor(StatefulProcessor):
 
     def _emit(self, job, start, outcome, status, at):
         return pd.DataFrame({"job": [job], "start_us": [start], "outcome": [outcome], "status": [status],
-                             "decided_us": [at]})
+                             "decided_us": pd.array([at], dtype="Int64")})
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["ts_us", "seq"])
+        # Of a batch only the first row and the first deciding one matter.
+        start_key = decision = None
+        for pdf in rows:
+            pdf = pdf.sort_values(["ts_us", "seq"])
+            top = (int(pdf["ts_us"].iloc[0]), int(pdf["seq"].iloc[0]))
+            start_key = top if start_key is None else min(start_key, top)
+            hits = pdf[pdf["status"].isin(self.wanted) | (pdf["status"] == FAILED)]
+            if len(hits):
+                h = hits.iloc[0]
+                d = (int(h["ts_us"]), int(h["seq"]), h["status"])
+                decision = d if decision is None else min(decision, d)
         st = self.state.get()
         if st is None:
-            start = int(pdf["ts_us"].iloc[0])
-            deadline = start + self.timeout_us
-            st = (start, deadline, False)
+            start = start_key[0]
+            st = (start, start + self.timeout_us, False)
             self.state.update(st)
-            self.handle.registerTimer(-(-deadline // 1000))  # ceil to ms
+            self.handle.registerTimer(-(-st[1] // 1000))  # ceil to ms
+            yield self._emit(key[0], start, WAITING, None, None)
         start, deadline, decided = st
-        if decided:
+        if decided or decision is None:
             return
-        hits = pdf[pdf["status"].isin(self.wanted) | (pdf["status"] == FAILED)]
-        if len(hits):
-            h = hits.iloc[0]
-            ts = int(h["ts_us"])
-            if ts <= deadline:
-                outcome = "reached" if h["status"] in self.wanted else "failed"
-                self.state.update((start, deadline, True))
-                self.handle.deleteTimer(-(-deadline // 1000))
-                yield self._emit(key[0], start, outcome, h["status"], ts)
-                return
-            # the first deciding change came after the deadline: a time-out
-            self.state.update((start, deadline, True))
-            self.handle.deleteTimer(-(-deadline // 1000))
+        ts, _, status = decision
+        self.state.update((start, deadline, True))
+        self.handle.deleteTimer(-(-deadline // 1000))
+        if ts <= deadline:
+            yield self._emit(key[0], start, "reached" if status in self.wanted else "failed", status, ts)
+        else:  # the first deciding change came after the deadline
             yield self._emit(key[0], start, "timed_out", None, deadline)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
@@ -119,7 +131,7 @@ class WaitProcessor(StatefulProcessor):
         pass
 
 
-def wait_for_status(events: DataFrame, wanted=(COMPLETE,), timeout_s: float = 600, delay: str = "0 seconds"):
+def wait_for_status(events: DataFrame, wanted=(COMPLETE,), timeout_s: float = 600, delay: str = "1 hour"):
     """``events``: job, ts, seq, status. Event time drives both the stream's
     watermark and the time-out timers."""
     ship_package(events.sparkSession)
@@ -133,6 +145,8 @@ def wait_for_status(events: DataFrame, wanted=(COMPLETE,), timeout_s: float = 60
 
 
 def wait_result(out: DataFrame) -> DataFrame:
-    """Timestamps back to the tables' TIMESTAMP_NTZ."""
-    return out.select("job", F.timestamp_micros("start_us").cast("timestamp_ntz").alias("start"), "outcome",
-                      "status", F.timestamp_micros("decided_us").cast("timestamp_ntz").alias("decided_at"))
+    """Every job once: its decision, or ``waiting``. Timestamps back to the tables' TIMESTAMP_NTZ."""
+    last = out.groupBy("job").agg(F.min("start_us").alias("start_us"), F.max_by(
+        F.struct("outcome", "status", "decided_us"), F.when(F.col("outcome") == WAITING, 0).otherwise(1)).alias("d"))
+    return last.select("job", F.timestamp_micros("start_us").cast("timestamp_ntz").alias("start"), "d.outcome",
+                       "d.status", F.timestamp_micros("d.decided_us").cast("timestamp_ntz").alias("decided_at"))

@@ -53,10 +53,17 @@ def test_sweep_chunks_equal_one_broadcast(spark):
     data = spark.range(0, 2000).select((F.col("id") % 37).cast("double").alias("x"),
                                        (F.col("id") * 1.5).alias("y"))
     trials = S.trial_table(spark, {"a": SR.Uniform(0, 3), "b": SR.Uniform(-5, 5)}, 40, S.RandomSearch(1))
-    err = F.col("y") - (F.col("a") * F.col("x") + F.col("b"))
-    m = {"mae": F.round(F.avg(F.abs(err)), 6)}
-    one = S.score(data, trials, m, 40)
-    chunked = S.score(data, trials, m, 40, trials_per_pass=7)
+    def errors(batch, p):
+        err = batch["y"] - p["a"][:, None] * batch["x"] - p["b"][:, None]
+        return {"abs_err": abs(err).sum(axis=1), "n": [err.shape[1]] * len(err)}
+
+    m = {"mae": F.round(F.col("abs_err") / F.col("n"), 6)}
+    one = S.score(data, trials, errors, ["abs_err", "n"], m, 40, ["a", "b"])
+    chunked = S.score(data, trials, errors, ["abs_err", "n"], m, 40, ["a", "b"], trials_per_pass=7)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("BroadcastNestedLoopJoin", "CartesianProduct", "Generate"))
+    with pytest.raises(ValueError):
+        S.score(data, trials, errors, ["abs_err", "n"], m, 39, ["a", "b"])
     assert sorted(map(tuple, one.select("trial_no", "mae").collect())) == \
         sorted(map(tuple, chunked.select("trial_no", "mae").collect()))
 
@@ -198,8 +205,8 @@ def test_register_rows_keeps_existing(spark):
     path = shared_dir(spark, "reg-test")
     a = spark.createDataFrame([("j", "s1", "old"), ("j", "s2", "old")], "job string, name string, v string")
     b = spark.createDataFrame([("j", "s2", "new"), ("j", "s3", "new")], "job string, name string, v string")
-    assert SK.register_rows(spark, path, a, ["job", "name"]) == 0
-    assert SK.register_rows(spark, path, b, ["job", "name"]) == 1
+    assert SK.register_rows(spark, path, a, ["job", "name"], ["v"]) == 0
+    assert SK.register_rows(spark, path, b, ["job", "name"], ["v"]) == 1
     got = sorted((r["name"], r["v"]) for r in spark.read.parquet(path).collect())
     assert got == [("s1", "old"), ("s2", "old"), ("s3", "new")]
 
@@ -239,7 +246,7 @@ def test_register_stream_keeps_first_rows(spark):
     spark.createDataFrame([("j", "s2", "b"), ("j", "s3", "b")], "job string, name string, v string") \
         .write.mode("append").parquet(src)
     stream = R.file_stream(spark, src, "job string, name string, v string", files_per_trigger=1)
-    out = R.register_stream(stream, shared_dir(spark, "reg-table"), ["job", "name"])
+    out = R.register_stream(stream, shared_dir(spark, "reg-table"), ["job", "name"], ["v"])
     got = sorted((r["name"], r["v"]) for r in spark.read.parquet(out).collect())
     assert [n for n, _ in got] == ["s1", "s2", "s3"] and dict(got)["s3"] == "b"
 
@@ -284,7 +291,7 @@ def test_replayed_rows_are_counted_as_late(spark, sf_dir):
     from sparksweep.streaming import runner as R
     events = V.table(spark, sf_dir, "events")
     landed = shared_dir(spark, "late")
-    k = R.land_in_order(events, landed)
+    k = R.land_in_order(events, landed).files
     R.land_in_order(events, landed, files_per_bucket=k)
     stream = R.file_stream(spark, landed, events.schema, 2 * k)
     lines = V.job_log(spark, sf_dir, V.status_events(spark, sf_dir, stream))
@@ -294,3 +301,114 @@ def test_replayed_rows_are_counted_as_late(spark, sf_dir):
     n = events.count()
     assert spark.read.parquet(out).count() == n
     assert stats["rows_read"] == 2 * n and 0 < stats["rows_dropped_late"] <= n
+    late = R.late_rows(SL.event_time(lines), "late", "event_ts", "1 day")
+    assert spark.read.parquet(late).count() == stats["rows_dropped_late"]
+
+
+def test_rows_without_time_are_kept_as_rejects(spark):
+    import datetime as dt
+
+    from sparksweep.session import shared_dir
+    from sparksweep.streaming import runner as R
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(i, t0 + dt.timedelta(days=30, seconds=i)) for i in range(2000)] + [(5000, t0), (6000, None), (6001, None)]
+    df = spark.createDataFrame(rows, "id long, ts timestamp_ntz")
+    path = shared_dir(spark, "null-times")
+    got = R.land_in_order(df, path, files_per_bucket=4)
+    assert got.files == 4 and got.rejected == 2  # one early row makes no bucket of its own
+    assert spark.read.parquet(path).count() == 2001
+    assert sorted(r["id"] for r in spark.read.schema(df.schema).parquet(got.rejects).collect()) == [6000, 6001]
+
+
+def test_grid_past_64_bits(spark):
+    space = {f"p{i}": SR.Uniform(0, 1) for i in range(25)}
+    t = S.trial_table(spark, space, 5, S.GridSearch(points=10)).orderBy("trial_no").collect()
+    assert [round(r["p24"] * 9) for r in t] == [0, 1, 2, 3, 4] and all(r["p0"] == 0 for r in t)
+
+
+def test_whole_error_text_of_the_first_failure(spark):
+    from sparksweep.functions import user as UF
+
+    def fails(pdf, a):
+        raise ValueError("x" * 3000)
+
+    trials = spark.createDataFrame([(0, 1.0), (1, 2.0)], "trial_no long, a double")
+    got = UF.sweep_by_function(spark.range(10), trials, fails, ["s"], {"m": F.col("s")}, ["a"], trials_per_pass=1)
+    assert [len(r["error"]) for r in got.collect()] == [3012, 3012]
+
+
+def test_environment_of_a_rank_is_put_back(spark):
+    import os
+
+    from sparksweep.functions import user as UF
+
+    def fn(batches, rank, world_size):
+        import pandas as pd
+        for _ in batches:
+            pass
+        yield pd.DataFrame({"x": [os.environ["MINE"]]})
+
+    assert {r["x"] for r in UF.run_on_nodes(spark.range(4), fn, "x string", 2, env={"MINE": "1"}).collect()} == {"1"}
+    left = spark.range(8).mapInPandas(lambda it: (p.assign(id=int("MINE" in os.environ)) for p in it), "id long")
+    assert {r["id"] for r in left.collect()} == {0}
+
+
+def test_arrow_overwrite_and_empty_set(spark):
+    from sparksweep.session import shared_dir
+    from sparksweep.sources import formats as FM
+    path = shared_dir(spark, "arrow")
+    FM.write_dataset(spark.range(100).repartition(7), path, "arrow")
+    assert FM.read_dataset(spark, path, "arrow").count() == 100
+    FM.write_dataset(spark.range(10).repartition(2), path, "arrow")
+    assert sorted(r["id"] for r in FM.read_dataset(spark, path, "arrow").collect()) == list(range(10))
+    FM.write_dataset(spark.range(0), path, "arrow")
+    back = FM.read_dataset(spark, path, "arrow")
+    assert back.columns == ["id"] and back.count() == 0
+
+
+def test_dependency_graph_against_a_plain_walk(spark):
+    rnd = random.Random(5)
+    deps = {j: sorted(rnd.sample(range(j), min(j, rnd.choice([0, 1, 1, 1, 2, 3])))) for j in range(120)}
+    ok = {j: rnd.random() > 0.05 for j in deps}
+    rows = [(j, d, ok[j]) for j, ds in deps.items() for d in (ds or [None])]
+    got = {r["job_no"]: r["status"] for r in SK.dependency_status(spark.createDataFrame(rows, "job_no long, depends_on long, ok boolean")).collect()}
+    status = {}
+    for j in sorted(deps):
+        status[j] = "Skipped" if any(status[d] != "Complete" for d in deps[j]) else "Complete" if ok[j] else "Failed"
+    assert got == status
+    with pytest.raises(ValueError, match="cycle"):
+        SK.dependency_status(spark.createDataFrame([(1, 2, True), (2, 1, True)], "job_no long, depends_on long, ok boolean"))
+
+
+def test_glob_tokens_match_fnmatch():
+    import fnmatch
+    import re
+
+    from sparksweep.operators.datasets import glob_to_regex
+    rnd = random.Random(3)
+    names = ["".join(rnd.choice("ab.[]!-^\\*?x") for _ in range(rnd.randrange(6))) for _ in range(400)]
+    for pattern in ["*", "a*", "?b", "[ab]*", "[!a]*", "*.x", "a[b", "[]a]", "a.b", "[a-b]x", "**", "[^a]", "\\*"]:
+        rule = re.compile(glob_to_regex(pattern).replace("\\z", "\\Z"))
+        assert [bool(rule.match(n)) for n in names] == [fnmatch.fnmatchcase(n, pattern) for n in names], pattern
+
+
+def test_catalog_sources_by_exact_folder_with_rejects(spark):
+    import json
+
+    from sparksweep.operators.catalog import FRAMEWORK_LABEL
+    from sparksweep.session import shared_dir
+    from sparksweep.sources.catalog import load_catalog
+    base = shared_dir(spark, "catalog-test")
+
+    def doc(name, image):
+        spec = {"template": {"spec": {"template": {"spec": {"containers": [{"name": "node", "image": image}]}}}}}
+        return json.dumps({"kind": "TrainingRuntime", "metadata": {"name": name, "labels": {FRAMEWORK_LABEL: "torch"}},
+                           "spec": {"template": {"spec": {"replicatedJobs": [{"name": "node", "template": spec["template"]}]}}}})
+
+    for folder, docs in (("x y/a", [doc("r", "first"), "broken"]), ("data/x y/a", [doc("r", "second"), doc("s", "only")])):
+        spark.createDataFrame([(d,) for d in docs], "value string").coalesce(1).write.text(f"{base}/{folder}")
+    got, rejects = load_catalog(spark, ["github://o/r", f"{base}/x y/a", f"{base}/data/x y/a", "ftp://h/p", f"{base}/none"])
+    assert {(r["name"], r["image"], r["prio"]) for r in got.collect()} == {("r", "first", 1), ("s", "only", 2)}
+    assert sorted((r["prio"], r["error"]) for r in rejects.collect()) == [
+        (0, "remote source is not fetched"), (1, "malformed document"), (3, "unsupported scheme"), (4, "no such folder")]
+

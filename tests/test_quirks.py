@@ -17,7 +17,7 @@ from sparksweep.sources import uris as U
 
 
 def rows(df, *cols):
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=lambda t: [(x is not None, x) for x in t])
 
 
 def test_all_unknown_containers_are_complete(spark):
@@ -185,7 +185,7 @@ def test_log_steps_modes(spark):
 def test_bool_read_back_is_case_insensitive(spark):
     df = spark.createDataFrame([("True",), ("true",), ("FALSE",), ("x",)], "t string")
     got = [r[0] for r in df.select(SP.convert_value(F.col("t"), "bool")).collect()]
-    assert got == [True, True, False, None]
+    assert got == [True, True, False, False]
 
 
 def test_strict_validation_raises(spark):
@@ -201,40 +201,73 @@ def test_unsupported_format():
         check_format("avro")
 
 
-def test_mpi_workers_shift_and_env_process_count(spark):
+def test_steps_from_pods(spark):
+    gpu, cpu, npu = {"nvidia.com/gpu": "2", "cpu": "8"}, {"cpu": "8"}, {"example.com/npu": "1"}
     pods = spark.createDataFrame([
-        ("m", "launcher", 0, None, "Running"), ("m", "node", 0, "8", "Running"), ("m", "node", 1, "x", "Running"),
-        ("t", "node", 0, None, "Running"), ("t", "dataset-initializer", 0, "3", "Succeeded")],
-        "job string, rjob string, job_index int, env_nproc string, status string")
-    rts = spark.createDataFrame([("m", "mpi", None, None, 8, 2), ("t", "torch", 2, None, None, None)],
-                                "job string, framework string, gpu_limit int, tpu_limit int, cpu_limit int, "
-                                "procs_per_node int")
-    got = rows(J.steps_from_pods(pods.join(rts, "job", "left")), "job", "step", "device", "device_count")
-    assert got == [("m", "node-0", "cpu", "2"), ("m", "node-1", "cpu", "8"), ("m", "node-2", "cpu", "2"),
-                   ("t", "dataset-initializer", "Unknown", "Unknown"), ("t", "node-0", "gpu", "2")]
+        ("m", "p0", "launcher", 0, cpu, None, "Running"), ("m", "p1", "node", 0, gpu, "8", "Running"),
+        ("m", "p2", "node", 1, None, "x", None), ("m", "p3", "exporter", 0, cpu, None, "Running"),
+        ("t", "p4", "node", 0, npu, None, "Running"), ("t", "p5", "dataset-initializer", 0, cpu, "3", "Succeeded")],
+        "job string, pod_name string, rjob string, job_index long, limits map<string,string>, env_nproc string, status string")
+    jobs = spark.createDataFrame([("m", "mpirun"), ("t", "torchrun"), ("none", "python")], "job string, command string")
+    flat = J.job_steps(jobs, pods)
+    assert rows(flat, "job", "step", "pod_name", "device", "device_count") == [
+        ("m", "node-0", "p0", "cpu", "8"), ("m", "node-1", "p1", "gpu", "8"), ("m", "node-2", "p2", "Unknown", "Unknown"),
+        ("none", None, None, None, None), ("t", "dataset-initializer", "p5", "cpu", "8"),
+        ("t", "node-0", "p4", "Unknown", "Unknown")]
+    nested = {r["job"]: [s["step"] for s in r["steps"]] for r in J.nested_steps(flat).collect()}
+    assert nested == {"m": ["node-0", "node-1", "node-2"], "t": ["dataset-initializer", "node-0"], "none": []}
+
+
+def test_devices_from_the_limits_map(spark):
+    rts = spark.createDataFrame([("a", None, 2, None), ("b", {"example.com/npu": "1"}, 2, None), ("c", {"cpu": "4"}, 3, None),
+                                 ("d", {"cpu": "4", "google.com/tpu": "2"}, 2, 5), ("e", {"cpu": "500m"}, 2, None)],
+                                "name string, limits map<string,string>, num_nodes int, procs_per_node int")
+    got = J.runtime_devices(rts.withColumn("framework", F.lit("torch")))
+    assert rows(got, "name", "device", "device_count", "error") == [
+        ("a", "Unknown", "Unknown", None), ("b", "Unknown", "Unknown", "no known device in the limits"),
+        ("c", "cpu", "12", None), ("d", "tpu", "10", None), ("e", "cpu", "500m", None)]
+
+
+def test_job_documents_with_odd_times_are_rejects(spark):
+    docs = spark.createDataFrame([(x,) for x in (
+        '{"metadata":{"name":"a","creationTimestamp":"2024-01-02T03:04:05.123Z"},"spec":{"runtimeRef":{"name":"r"}}}',
+        '{"metadata":{"name":"b","creationTimestamp":"yesterday"},"spec":{"runtimeRef":{"name":"r"}}}',
+        '{"metadata":{"creationTimestamp":"2024-01-02T03:04:05Z"},"spec":{"runtimeRef":{"name":"r"}}}',
+        '{"metadata":{"name":"d","creationTimestamp":"2024-01-02T03:04:05Z"}}', "nonsense")], "doc string")
+    got = J.parse_job_documents(docs).select("job", F.col("created").cast("string").alias("t"), "error").collect()
+    assert [(r["job"], r["t"], r["error"]) for r in got] == [
+        ("a", "2024-01-02 03:04:05.123", None), ("b", None, "unreadable creation time"),
+        (None, "2024-01-02 03:04:05", "missing name"), ("d", "2024-01-02 03:04:05", "missing spec"), (None, None, "missing name")]
+
+
+def test_lines_end_as_in_splitlines(spark):
+    from sparksweep.sources.logs import split_lines
+    texts = ["a\x0bb\x0cc\x85d\u2028e", "x\x1cy\x1dz\x1e", "p\r\nq\rr\n", "\u2029", "", "no end"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = {}
+    for r in split_lines(df, "text", ["id"]).orderBy("id", "line_no").collect():
+        got.setdefault(r["id"], []).append(r["line"])
+    assert [got.get(i, []) for i in range(len(texts))] == [t.splitlines() for t in texts]
+
+
+def test_merge_keeps_unreadable_rows_and_lists_them(spark):
+    from sparksweep.operators import requirements as R
+    rt = spark.createDataFrame([(1, 1, "torch==1"), (1, 2, "@@bad"), (1, 3, "numpy")], "job int, pos int, requirement string")
+    jb = spark.createDataFrame([(1, 1, "Torch==2"), (1, 2, "torch==3"), (1, 3, None)], "job int, pos int, requirement string")
+    assert rows(R.merge(rt, jb), "section", "requirement") == [
+        (0, "@@bad"), (0, "numpy"), (1, None), (1, "Torch==2"), (1, "torch==3")]
+    assert rows(R.merge_rejects(rt, jb), "section", "pos", "reason") == [
+        (0, 2, "unparsable requirement"), (1, 2, "listed twice"), (1, 3, "null requirement")]
 
 
 def test_cluster_mode_needs_the_node_container(spark):
     cat = spark.createDataFrame([("a", 12, "torch", "img/a", 2), ("b", 1, "torch", "img/b", 2),
-                                 ("c", 2, "torch", None, 2)],
+                                 ("c", 2, "torch", None, 2), ("d", 4, "torch", "img/d", 2)],
                                 "name string, pos int, framework string, image string, num_nodes int")
     got = {r["name"]: (r["image"], r["error"]) for r in
            C.parse_runtime_documents(C.runtime_documents(cat), mode="cluster").collect()}
-    assert got == {"a": ("img/a", None), "b": (None, "no trainer container"), "c": (None, "no trainer container")}
-
-
-def test_polling_misses_a_status_between_reads(spark):
-    t0 = dt.datetime(2024, 1, 1)
-    ev = spark.createDataFrame([
-        ("j", t0, 1, "Running"), ("j", t0 + dt.timedelta(seconds=30), 2, "Failed"),
-        ("j", t0 + dt.timedelta(seconds=60), 3, "Running"), ("j", t0 + dt.timedelta(seconds=130), 4, "Complete"),
-        ("k", t0, 5, "Running")], "job string, ts timestamp_ntz, seq long, status string")
-    polled = {r["job"]: (r["outcome"], r["decided_at"]) for r in
-              S.wait_outcome_polled(ev, ("Complete",), 600, 120).collect()}
-    assert polled["j"] == ("reached", t0 + dt.timedelta(seconds=240))
-    assert polled["k"] == ("timed_out", t0 + dt.timedelta(seconds=600))
-    continuous = {r["job"]: r["outcome"] for r in S.wait_outcome(ev, ("Complete",), 600, 120).collect()}
-    assert continuous["j"] == "failed"
+    # b: the labelled initializer comes first and has no container ``node``; the next labelled job has one
+    assert got == {"a": ("img/a", None), "b": ("img/b", None), "c": (None, "no trainer container"), "d": (None, "no trainer container")}
 
 
 def test_numeric_step_order_and_array_distinct(spark):

@@ -47,7 +47,7 @@ def test_timer_fires_when_the_watermark_passes_the_deadline(spark):
     first = [("quiet", T0, 1, "Running"), ("busy", T0, 2, "Running")]
     second = [("busy", T0 + dt.timedelta(seconds=900), 3, "Running")]  # moves the watermark past 600 s
     stream = _land(spark, [first, second], EVENT_SCHEMA, "timer")
-    out = R.run_to_parquet(SS.wait_for_status(stream, ("Complete",), 600), "timer", state_partitions=2)
+    out = R.run_to_parquet(SS.wait_for_status(stream, ("Complete",), 600, "0 seconds"), "timer", state_partitions=2)
     got = {r["job"]: r["outcome"] for r in SS.wait_result(spark.read.parquet(out)).collect()}
     assert got == {"quiet": "timed_out", "busy": "timed_out"}
 
@@ -60,7 +60,7 @@ def test_windowed_observations_emit_closed_windows(spark, sf_dir):
     R.prepare(spark)
     events = V.table(spark, sf_dir, "events")
     landed = shared_dir(spark, "win-obs")
-    k = R.land_in_order(events, landed)
+    k = R.land_in_order(events, landed).files
     stream = R.file_stream(spark, landed, events.schema, k)
     log = SL.event_time(V.metric_log(spark, sf_dir, stream))
     out = R.run_to_parquet(SL.windowed_observations(log, ["trial"], "1 day", delay="1 hour"), "win-obs",
