@@ -18,17 +18,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparksweep.session import checkpoint_root
+from sparksweep.session import checkpoint_root, shared_dir
 
 _PID = "_ss_pid"
 _LOCAL = "_ss_local"
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
+    """At least as many as the session shuffles to and as the input has splits,
+    which follow its size: the partitions of the index can't be split later."""
     if num_partitions:
         return num_partitions
-    spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions(), 1)
+
+
+def _written(df: DataFrame) -> DataFrame:
+    path = shared_dir(df.sparkSession, "group-starts")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def with_row_index(df: DataFrame, order_cols: list[str], index_col: str = "row_idx",
@@ -59,10 +66,10 @@ def with_row_index(df: DataFrame, order_cols: list[str], index_col: str = "row_i
     out = ranged.withColumn(index_col, (off + F.col(_LOCAL)).cast("bigint")).drop(_PID, _LOCAL)
     if group_index_col and group_cols:
         ren = {c: f"_ss_g{i}" for i, c in enumerate(group_cols)}
-        # one row per group; AQE measures it at run time and broadcasts it when
-        # small, else keeps a sort-merge join (with skew splitting for a hot group)
-        side = out.groupBy(*[F.col(c).alias(ren[c]) for c in group_cols]).agg(
-            F.min(index_col).alias("_ss_start"))
+        # one row per group, written: Spark knows its size and broadcasts it when
+        # small, else the join's hot partitions can be split
+        side = _written(out.groupBy(*[F.col(c).alias(ren[c]) for c in group_cols]).agg(
+            F.min(index_col).alias("_ss_start")))
         cond = [out[c].eqNullSafe(side[ren[c]]) for c in group_cols]
         out = (out.join(side, cond)
                .withColumn(group_index_col, F.col(index_col) - F.col("_ss_start"))
@@ -101,7 +108,7 @@ def with_running_sum(df: DataFrame, order_cols: list[str], value_col: str, out_c
     x = ranged.withColumn("_ss_cum", off + F.coalesce(F.sum("_ss_v").over(w), F.lit(0.0)))
     if group_cols:
         ren = {c: f"_ss_g{i}" for i, c in enumerate(group_cols)}
-        side = x.groupBy(*[F.col(c).alias(ren[c]) for c in group_cols]).agg(F.min("_ss_cum").alias("_ss_start"))
+        side = _written(x.groupBy(*[F.col(c).alias(ren[c]) for c in group_cols]).agg(F.min("_ss_cum").alias("_ss_start")))
         cond = [x[c].eqNullSafe(side[ren[c]]) for c in group_cols]
         x = x.join(side, cond).withColumn(out_col, F.col("_ss_cum") - F.col("_ss_start")).drop(
             "_ss_start", *ren.values())

@@ -4,9 +4,11 @@ SNK-1, SNK-2, JON-3, JON-8)."""
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparksweep.functions import user as UF
@@ -137,16 +139,50 @@ def snk1_register_steps(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@register("snk2_delete_jobs", with_views("""
-SELECT job, name, status FROM v_steps WHERE job NOT IN (SELECT job FROM v_jobs WHERE priority = '5-LOW')""",
-                                         "v_steps", "v_jobs"))
+_GONE = "(SELECT job FROM v_jobs WHERE priority = '5-LOW')"
+
+
+@register("snk2_delete_jobs", with_views(f"""
+SELECT 'jobs' AS tbl, job, count(*) AS n FROM v_jobs WHERE job NOT IN {_GONE} GROUP BY job
+UNION ALL SELECT 'steps', job, count(*) FROM v_steps WHERE job NOT IN {_GONE} GROUP BY job
+UNION ALL SELECT 'logs', job, count(*) FROM v_containers WHERE job NOT IN {_GONE} GROUP BY job
+UNION ALL SELECT 'trials', job, count(*) FROM v_resources WHERE job NOT IN {_GONE} GROUP BY job""",
+                                         "v_steps", "v_jobs", "v_containers", "v_resources"))
 def snk2_delete_jobs(spark, sf_dir):
-    """Jobs of priority 5-LOW deleted with their steps; the steps table is compacted."""
+    """Jobs of priority 5-LOW deleted with all that hangs off them: every table
+    is compacted and read back, shown as rows per table and job."""
+    steps = V.steps(spark, sf_dir)
     jobs = V.jobs(spark, sf_dir).select("job", "priority")
-    steps = V.steps(spark, sf_dir).select("job", "name", "status")
+    tables = {"jobs": jobs, "steps": steps.select("job", "name", "status"),
+              "logs": V.containers(spark, sf_dir, steps).select("job", "name", "state"),
+              "trials": V.resources(spark, sf_dir, steps).select("job", "res_key", "quantity")}
     tomb = jobs.filter(F.col("priority") == "5-LOW").select("job")
-    kept = SK.delete_jobs({"jobs": jobs, "steps": steps}, tomb, known=jobs)
-    return SK.compact(kept["steps"], shared_dir(spark, "steps-compacted"))
+    kept = SK.delete_jobs(tables, tomb, known=jobs)
+    parts = [SK.compact(df, shared_dir(spark, f"{name}-compacted")).groupBy("job").agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit(name).alias("tbl"), "job", "n") for name, df in kept.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def shop_objective(balance, nation):
+    """A user objective on parameters given as texts."""
+    if nation == "3":
+        raise ValueError("no model for nation 3")
+    x = float(balance) / 1000
+    return {"loss": (x - 1) ** 2, "size": abs(x)}
+
+
+@register("hpo8_run_trials", """
+SELECT s_suppkey AS trial_no, CASE WHEN s_nationkey = 3 THEN 'Failed' ELSE 'Succeeded' END AS status,
+       CASE WHEN s_nationkey = 3 THEN 'ValueError: no model for nation 3' END AS error,
+       CASE WHEN s_nationkey <> 3 THEN round((s_acctbal / 1000 - 1) * (s_acctbal / 1000 - 1), 6) END AS loss,
+       CASE WHEN s_nationkey <> 3 THEN round(abs(s_acctbal / 1000), 6) END AS size
+FROM supplier""")
+def hpo8_run_trials(spark, sf_dir):
+    """A Python function called once per trial (a trial per supplier), many at a time."""
+    trials = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("long").alias("trial_no"),
+                                                     F.col("s_acctbal").cast("double").alias("balance"), F.col("s_nationkey").alias("nation"))
+    got = UF.run_trials(trials, shop_objective, ["balance", "nation"], ["loss", "size"])
+    return got.select("trial_no", "status", "error", F.round("loss", 6).alias("loss"), F.round("size", 6).alias("size"))
 
 
 @register("jon3_experiment_trials", with_views("""

@@ -80,6 +80,30 @@ def str3_live_observations(spark, sf_dir):
     return R.latest_from_changelog(spark, path, ["trial", "metric"])
 
 
+@register("str3_windowed_observations", with_views(f"""
+SELECT trial, metric, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, min(value) AS min, max(value) AS max, arg_max(value, ROW(ts, seq)) AS latest
+FROM v_metric_log WHERE value IS NOT NULL AND NOT isnan(value)
+  AND date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL {DELAY_S} SECOND
+GROUP BY trial, metric, date_trunc('day', ts)""", "v_metric_log"))
+def str3_windowed_observations(spark, sf_dir):
+    """min / max / latest per (trial, metric, day), each day appended once when the watermark closes it."""
+    stream = _events_stream(spark, sf_dir, "str3w")
+    log = SL.event_time(V.metric_log(spark, sf_dir, stream))
+    obs = SL.windowed_observations(log, ["trial"], "1 day", delay=f"{DELAY_S} seconds")
+    got = spark.read.parquet(R.run_to_parquet(obs, "str3w", state_partitions=STATE_PARTITIONS))
+    return got.select("trial", "metric", F.col("window.start").cast("timestamp_ntz").alias("day"), "min", "max", "latest")
+
+
+@register("snk1_register_stream", with_views("""
+SELECT job, arg_min(status, ROW(ts, seq)) AS status, min(ts) AS ts FROM v_status_events GROUP BY job""", "v_status_events"))
+def snk1_register_stream(spark, sf_dir):
+    """Jobs registered by a stream of status events: the first event of a job is kept."""
+    stream = _events_stream(spark, sf_dir, "snk1")
+    ev = V.status_events(spark, sf_dir, stream).select("job", "status", "ts", "seq")
+    out = R.register_stream(ev, shared_dir(spark, "registered"), ["job"], ["ts", "seq"])
+    return spark.read.parquet(out).select("job", "status", "ts")
+
+
 _STEP_EVENTS_SQL = """
 SELECT concat('j-', user_id, '-', CAST(ts AS DATE)) AS job, concat('node-', event_id % 3) AS step, ts, event_id AS seq,
        CASE event_type WHEN 'click' THEN 'Created' WHEN 'purchase' THEN 'Complete' WHEN 'error' THEN 'Failed'

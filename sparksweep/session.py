@@ -76,7 +76,15 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder below the shared checkpoint folder."""
     root = checkpoint_root(spark)
     sep = "" if root.endswith("/") else "/"
-    return f"{root}{sep}sparksweep/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{root}{sep}sparksweep/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete everything that this application wrote with ``shared_dir``; results
+    that read from there can't be read afterwards."""
+    path = shared_dir(spark, "none").rsplit("/", 1)[0]
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 _SHIPPED: set = set()

@@ -11,6 +11,8 @@ def spark():
     from sparksweep.session import local_session
     s = local_session(cpus="*", shuffle_partitions=8, app="sparksweep-tests")
     yield s
+    from sparksweep.session import remove_scratch
+    remove_scratch(s)
     s.stop()
 
 
