@@ -277,8 +277,8 @@ def _mixed_ranges(spark: SparkSession, found: DataFrame, anchors: DataFrame, hot
     """Ranges of repeated windows of the pieces of mixed anchors: anchor, piece, ranges."""
     mixed = anchors.where("mixed").select("anchor")
     path = shared_dir(spark, "substring-mixed")
-    (found.where("bytes is not null").select("anchor", "piece", "rel", "bytes").join(mixed, "anchor", "left_semi")
-     .dropDuplicates(["anchor", "piece"]).write.parquet(path))
+    (found.where("bytes is not null").select("anchor", "piece", "rel", "bytes").dropDuplicates(["anchor", "piece"])
+     .join(mixed, "anchor", "left_semi").write.parquet(path))
     kinds = spark.read.parquet(path)
     many = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).select("anchor")
     cold = kinds.join(many, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor")
