@@ -65,6 +65,42 @@ def delete_jobs(tables: dict[str, DataFrame], tombstones: DataFrame, key: str =
     return {name: df.join(t, key, "left_anti") for name, df in tables.items()}
 
 
+BUCKET = "_bucket"
+
+
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> None:
+    """A table in folders by a hash of ``key``, so that a later deletion rewrites
+    only the folders it touches. A hot key's folder is written by many tasks."""
+    at = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    df.withColumn(BUCKET, at).write.partitionBy(BUCKET).parquet(path)
+
+
+def delete_in_place(spark: SparkSession, path: str, tombstones: DataFrame, key: str, buckets: int) -> int:
+    """SNK-2 on a bucketed table: the folders that hold tombstoned keys are
+    written anew beside the table and then swapped in, one by one; the others are
+    not read. Deleting again after a failure gives the same table. Returns the
+    number of folders swapped."""
+    gone = tombstones.select(key).distinct()
+    hit = [r[0] for r in gone.select(F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).distinct().collect()]  # at most ``buckets``
+    old = spark.read.parquet(path).filter(F.col(BUCKET).isin(hit))
+    new = shared_dir(spark, "deletion")
+    old.join(gone, key, "left_anti").write.partitionBy(BUCKET).parquet(new)
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    swapped = 0
+    for b in hit:
+        here, there, aside = (Path(f"{x}/{BUCKET}={b}") for x in (path, new, new + "-old"))
+        if not fs.exists(here):
+            continue
+        fs.mkdirs(aside.getParent())
+        fs.rename(here, aside)
+        if fs.exists(there):
+            fs.rename(there, here)
+        swapped += 1
+    fs.delete(Path(new + "-old"), True)
+    return swapped
+
+
 def compact(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as a fresh folder and read it back (cuts the lineage too)."""
     w = df.write.mode("overwrite")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sparksweep.functions import user as UF
 from sparksweep.operators import jobs as J
+from sparksweep.operators import experiments as EX
 from sparksweep.operators import sinks as SK
 from sparksweep.operators.metrics import observations
 from sparksweep.plans import sweep as S
@@ -149,17 +150,21 @@ UNION ALL SELECT 'logs', job, count(*) FROM v_containers WHERE job NOT IN {_GONE
 UNION ALL SELECT 'trials', job, count(*) FROM v_resources WHERE job NOT IN {_GONE} GROUP BY job""",
                                          "v_steps", "v_jobs", "v_containers", "v_resources"))
 def snk2_delete_jobs(spark, sf_dir):
-    """Jobs of priority 5-LOW deleted with all that hangs off them: every table
-    is compacted and read back, shown as rows per table and job."""
+    """Jobs of priority 5-LOW deleted with all that hangs off them, from four
+    bucketed tables in place; shown as rows per table and job."""
     steps = V.steps(spark, sf_dir)
     jobs = V.jobs(spark, sf_dir).select("job", "priority")
     tables = {"jobs": jobs, "steps": steps.select("job", "name", "status"),
               "logs": V.containers(spark, sf_dir, steps).select("job", "name", "state"),
               "trials": V.resources(spark, sf_dir, steps).select("job", "res_key", "quantity")}
     tomb = jobs.filter(F.col("priority") == "5-LOW").select("job")
-    kept = SK.delete_jobs(tables, tomb, known=jobs)
-    parts = [SK.compact(df, shared_dir(spark, f"{name}-compacted")).groupBy("job").agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit(name).alias("tbl"), "job", "n") for name, df in kept.items()]
+    parts = []
+    for name, df in tables.items():
+        path = shared_dir(spark, f"{name}-table")
+        SK.write_bucketed(df, path, "job", 8)
+        SK.delete_in_place(spark, path, tomb, "job", 8)
+        left = spark.read.parquet(path).groupBy("job").agg(F.count(F.lit(1)).alias("n"))
+        parts.append(left.select(F.lit(name).alias("tbl"), "job", "n"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -212,6 +217,39 @@ _TRIAL_OBS_SQL = """SELECT job, concat('m', kind) AS metric, min(quantity) AS mn
 FROM v_steps GROUP BY job, kind"""
 
 
+@register("jon3_experiment_documents", """
+SELECT concat('exp-', c_custkey) AS experiment, CASE WHEN c_custkey % 7 <> 0 THEN 1 + c_custkey % 20 END AS num_trials,
+       1 + c_custkey % 3 AS parallel_trials, CASE c_nationkey % 2 WHEN 0 THEN 'loss:minimize;accuracy:minimize' ELSE 'loss:maximize' END AS objectives,
+       CASE c_nationkey % 3 WHEN 0 THEN 'grid' WHEN 1 THEN 'random' END AS algorithm,
+       CASE WHEN c_nationkey % 3 = 1 THEN 'random_state=' || c_nationkey ELSE '' END AS settings,
+       CASE WHEN c_custkey % 5 = 0 THEN 0 ELSE 2 END AS parameters,
+       CASE WHEN c_custkey % 5 = 0 THEN 'missing parameters' WHEN c_nationkey % 3 = 2 THEN 'missing algorithm'
+            WHEN c_custkey % 7 = 0 THEN 'missing trial count' WHEN c_custkey % 11 = 0 THEN 'missing creation time' END AS error
+FROM customer""")
+def jon3_experiment_documents(spark, sf_dir):
+    """Experiment documents (JSON, one per customer) flattened, with their missing fields."""
+    k, n = F.col("c_custkey"), F.col("c_nationkey")
+    double = F.struct(F.lit("lr").alias("name"), F.lit("double").alias("parameterType"),
+                      F.struct(F.lit("0.1").alias("min"), F.lit("0.9").alias("max"), F.lit("uniform").alias("distribution")).alias("feasibleSpace"))
+    other = F.struct(F.lit("n").alias("name"), F.lit("int").alias("parameterType"),
+                     F.struct(F.lit("1").alias("min"), F.lit("9").alias("max"), F.lit("uniform").alias("distribution")).alias("feasibleSpace"))
+    setting = F.struct(F.lit("random_state").alias("name"), n.cast("string").alias("value"))
+    none = F.lit(None)
+    doc = F.struct(
+        F.struct(F.concat(F.lit("exp-"), k).alias("name"), F.lit("lab").alias("namespace"),
+                 F.when(k % 11 != 0, F.lit("2024-01-02T03:04:05Z")).alias("creationTimestamp")).alias("metadata"),
+        F.struct(F.when(k % 5 != 0, F.array(double, other)).alias("parameters"),
+                 F.struct(F.when(n % 2 == 0, F.lit("minimize")).otherwise(F.lit("maximize")).alias("type"), F.lit("loss").alias("objectiveMetricName"),
+                          F.when(n % 2 == 0, F.array(F.lit("accuracy"))).alias("additionalMetricNames")).alias("objective"),
+                 F.when(n % 3 == 0, F.struct(F.lit("grid").alias("algorithmName"), none.cast("array<struct<name:string,value:string>>").alias("algorithmSettings")))
+                 .when(n % 3 == 1, F.struct(F.lit("random").alias("algorithmName"), F.array(setting).alias("algorithmSettings"))).alias("algorithm"),
+                 F.when(k % 7 != 0, F.lit(1) + k % 20).alias("maxTrialCount"), (F.lit(1) + k % 3).alias("parallelTrialCount")).alias("spec"))
+    x = EX.parse_experiment_documents(table(spark, sf_dir, "customer").select(F.to_json(doc).alias("doc")))
+    shown = F.array_join(F.transform("objectives", lambda o: F.concat(o["metric"], F.lit(":"), o["direction"])), ";")
+    return x.select("experiment", "num_trials", "parallel_trials", shown.alias("objectives"), "algorithm",
+                    options_text(F.col("settings")).alias("settings"), F.coalesce(F.size("parameters"), F.lit(0)).alias("parameters"), "error")
+
+
 @register("jon3_nested_trials", with_views("""
 SELECT j.experiment, j.job AS trial, js.status AS trial_status, coalesce(p.parameters, '') AS parameters, m.metric_no,
        m.metric, m.mn AS min, m.mx AS max, m.latest

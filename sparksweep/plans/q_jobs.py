@@ -268,6 +268,22 @@ def agg7_containers_to_jobs(spark, sf_dir):
     return x.withColumn("steps", F.array_join(F.transform("steps", lambda s: F.concat(s["name"], F.lit("="), s["status"])), ","))
 
 
+@register("agg7_jobs_of_runtime", with_views(f"""
+SELECT c.job, c.num_nodes, c.created, s.status, c.steps FROM (
+  SELECT job, count(*) AS num_nodes, arg_min(created, idx) AS created,
+         string_agg(concat(name, '=', {_CSTAT}), ',' ORDER BY name) AS steps
+  FROM v_containers GROUP BY job) c JOIN cj s ON s.job = c.job
+WHERE c.job IN (SELECT job FROM v_jobs WHERE runtime_ref = '{RUNTIME}')""", "v_containers", "v_jobs", ctes={"cj": _CJOB_SQL}))
+def agg7_jobs_of_runtime(spark, sf_dir):
+    """Containers of one runtime (by the network's label) grouped into jobs."""
+    cont = V.containers(spark, sf_dir)
+    nets = V.jobs(spark, sf_dir).select(F.col("job").alias("network"), F.col("runtime_ref").alias("runtime"),
+                                        F.concat(F.lit("/workdir/"), F.col("job")).alias("workdir"))
+    mine = J.with_network(cont, nets).filter(F.col("runtime") == RUNTIME)
+    x = S.containers_to_jobs(mine)
+    return x.withColumn("steps", F.array_join(F.transform("steps", lambda s: F.concat(s["name"], F.lit("="), s["status"])), ","))
+
+
 @register("top3_step_order", with_views("""
 SELECT job, name, idx, row_number() OVER (PARTITION BY job ORDER BY name) - 1 AS step_rank FROM v_steps""", "v_steps"))
 def top3_step_order(spark, sf_dir):

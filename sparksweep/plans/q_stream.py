@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sparksweep.operators.steps import log_steps
 from sparksweep.plans import views as V
 from sparksweep.plans.q_jobs import TIMEOUT_S
 from sparksweep.plans.q_logs import _OBS_SQL
@@ -37,20 +38,26 @@ _FIRST_CREATED = """SELECT job FROM (SELECT job, status, row_number() OVER (PART
                    FROM v_status_events) f WHERE rn = 1 AND status = 'Created'"""
 
 
-@register("str1_follow_log", with_views(
-    "SELECT l.job, l.seq, l.line FROM v_job_log l WHERE l.job IN (SELECT job FROM req)",
-    "v_job_log", "v_status_events", ctes={"req": _FIRST_CREATED}))
+@register("str1_follow_log", with_views("""
+SELECT l.job, l.seq, l.line FROM v_job_log l
+WHERE l.seq % 3 = 0 AND l.job IN (SELECT job FROM req) AND l.job NOT IN (SELECT job FROM pending)""",
+    "v_job_log", "v_status_events", ctes={"req": _FIRST_CREATED, "pending": """
+SELECT job FROM (SELECT job, status, row_number() OVER (PARTITION BY job ORDER BY ts DESC, seq DESC) AS rn
+                 FROM v_status_events WHERE seq % 3 = 0) x WHERE rn = 1 AND status = 'Created'"""}))
 def str1_follow_log(spark, sf_dir):
-    """Log lines of the jobs whose first status was Created, followed as they land."""
+    """Log lines of step node-0 of the jobs whose first status was Created,
+    followed as they land; a step that is still pending has no log."""
     se = V.status_events(spark, sf_dir)
     req = se.groupBy("job").agg(F.min_by("status", F.struct("ts", "seq")).alias("first")).filter(
-        F.col("first") == "Created").select("job")
+        F.col("first") == "Created").select("job", F.lit("node-0").alias("step"))
+    last = step_events(se).groupBy("job", F.col("step").alias("name")).agg(F.max_by("status", F.struct("ts", "seq")).alias("status"))
+    steps = last.withColumn("status", F.when(F.col("status") == "Created", F.lit("Pending")).otherwise(F.col("status")))
     path = shared_dir(spark, "str1-requests")
-    req.write.parquet(path)  # once, not in every micro-batch
-    req = spark.read.parquet(path)
+    log_steps(steps, req).select("job", "step").distinct().write.parquet(path)  # once, not in every micro-batch
     stream = _events_stream(spark, sf_dir, "str1")
     lines = V.job_log(spark, sf_dir, V.status_events(spark, sf_dir, stream))
-    out = R.run_to_parquet(SL.follow(lines, req).select("job", "seq", "line"), "str1", state_partitions=STATE_PARTITIONS)
+    lines = lines.withColumn("step", F.concat(F.lit("node-"), F.col("seq") % 3))
+    out = R.run_to_parquet(SL.follow(lines, spark.read.parquet(path)).select("job", "seq", "line"), "str1", state_partitions=STATE_PARTITIONS)
     return spark.read.parquet(out)
 
 

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from sparksweep.operators.metrics import observations
 
 
-def follow(lines: DataFrame, requests: DataFrame, job: str = "job") -> DataFrame:
-    """STR-1: new lines of the chosen jobs as they arrive (stream-static join).
+def follow(lines: DataFrame, requests: DataFrame, keys: tuple = ("job", "step")) -> DataFrame:
+    """STR-1: new lines of the chosen steps (FLT-5) as they arrive (stream-static join).
     ``requests`` is a written table, so a micro-batch reads it and computes nothing."""
-    return lines.join(requests.select(job), job, "left_semi")
+    return lines.join(requests.select(*keys), list(keys), "left_semi")
 
 
 def deliver_once(lines: DataFrame, keys: list[str], ts_col: str, delay: str) -> DataFrame:
