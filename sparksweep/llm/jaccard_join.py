@@ -50,7 +50,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 32, 4
 STEP = 16
 TOLERANCE = 1e-9
-BLOCK = 512
+BLOCK = 256
 BROADCAST_ROWS = 500_000  # of 40 bytes: up to so many class ids are broadcast to fetch their texts
 
 

@@ -129,7 +129,7 @@ def near_rows():
     return [*rows, rows[0], rows[0], (4000, rows[3][1].upper())]
 
 
-@pytest.mark.parametrize("block", [512, 4])
+@pytest.mark.parametrize("block", [256, 4])
 def test_links_and_groups(spark, block):
     rows = near_rows()
     df = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id long, text string, class_id string").repartition(5)
