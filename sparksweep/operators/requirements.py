@@ -85,16 +85,15 @@ def merge(runtime_reqs: DataFrame, job_reqs: DataFrame, job: str = "job") -> Dat
     requirement. A runtime row without a readable name can't be overridden: it
     stays, at its position, and is listed by ``merge_rejects``.
     """
-    jr = with_names(job_reqs)
-    has_list = jr.select(job).distinct()
-    rt_dedup = last_wins(runtime_reqs, job)
-    overridden = jr.filter(F.col("name").isNotNull()).select(job, "name").distinct()
-    kept = (rt_dedup.join(has_list, job, "left_semi").join(overridden, [job, "name"], "left_anti")
-            .select(job, "pos", "requirement"))
-    unnamed = (with_names(runtime_reqs).filter(F.col("name").isNull()).join(has_list, job, "left_semi")
-               .select(job, "pos", "requirement"))
-    verbatim = runtime_reqs.join(has_list, job, "left_anti").select(job, "pos", "requirement")
-    runtime_part = kept.unionByName(unnamed).unionByName(verbatim).withColumn("section", F.lit(0))
+    keys = with_names(job_reqs).groupBy(job, "name").agg(F.count(F.lit(1)).alias("_n")).drop("_n")
+    has_list = keys.select(job).distinct().withColumn("_has", F.lit(True))
+    rows = with_names(runtime_reqs).join(has_list, job, "left")
+    merged = F.coalesce(F.col("_has"), F.lit(False)) & F.col("name").isNotNull()
+    last = rows.filter(merged).groupBy(job, "name").agg(
+        F.max("pos").alias("pos"), F.max_by("requirement", "pos").alias("requirement"))
+    kept = last.join(keys, [job, "name"], "left_anti").select(job, "pos", "requirement")
+    as_is = rows.filter(~merged).select(job, "pos", "requirement")
+    runtime_part = kept.unionByName(as_is).withColumn("section", F.lit(0))
     job_part = job_reqs.select(job, "pos", "requirement").withColumn("section", F.lit(1))
     return runtime_part.unionByName(job_part).select(job, "section", "pos", "requirement")
 
