@@ -15,10 +15,13 @@ see exactly the same partitions, also after an executor loss.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sparksweep.session import checkpoint_root, shared_dir
+from sparksweep.session import checkpoint_root, shared_dir, ship_package
 
 _PID = "_ss_pid"
 _LOCAL = "_ss_local"
@@ -77,6 +80,17 @@ def with_row_index(df: DataFrame, order_cols: list[str], index_col: str = "row_i
     return out
 
 
+def _before(batches):
+    """The sum of the values before each row of a partition, in the partition's order."""
+    total = 0.0
+    for batch in batches:
+        v = batch.column("_ss_v").to_numpy(zero_copy_only=False)
+        sums = total + np.cumsum(v)
+        if len(v):
+            total = sums[-1]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sums - v)], [*batch.schema.names, "_ss_in"])
+
+
 def with_running_sum(df: DataFrame, order_cols: list[str], value_col: str, out_col: str,
                      group_cols: list[str] | tuple = (), num_partitions: int | None = None) -> DataFrame:
     """Add the sum of ``value_col`` over the rows before each row inside its
@@ -84,7 +98,7 @@ def with_running_sum(df: DataFrame, order_cols: list[str], value_col: str, out_c
 
     Skew-safe segmented prefix sum: rows are range partitioned on
     (group, order) and checkpointed; a running sum inside each range partition
-    (a window keyed by the partition id: balanced, never a hot group) plus the
+    (as the rows lie, without another shuffle) plus the
     partition's offset (from one total per partition) gives a global exclusive
     prefix; subtracting the prefix at the group's first row gives the sum within
     the group.
@@ -104,8 +118,9 @@ def with_running_sum(df: DataFrame, order_cols: list[str], value_col: str, out_c
         offsets.append(acc)
         acc += totals.get(pid, 0.0) or 0.0
     off = F.element_at(F.array(*[F.lit(float(o)) for o in offsets]), F.col(_PID) + 1) if offsets else F.lit(0.0)
-    w = Window.partitionBy(_PID).orderBy(_LOCAL).rowsBetween(Window.unboundedPreceding, -1)
-    x = ranged.withColumn("_ss_cum", off + F.coalesce(F.sum("_ss_v").over(w), F.lit(0.0)))
+    ship_package(df.sparkSession)
+    inside = T.StructType([*ranged.schema.fields, T.StructField("_ss_in", T.DoubleType())])
+    x = ranged.mapInArrow(_before, inside).withColumn("_ss_cum", off + F.col("_ss_in")).drop("_ss_in")
     if group_cols:
         ren = {c: f"_ss_g{i}" for i, c in enumerate(group_cols)}
         side = _written(x.groupBy(*[F.col(c).alias(ren[c]) for c in group_cols]).agg(F.min("_ss_cum").alias("_ss_start")))
