@@ -137,6 +137,9 @@ def dependency_status(deps: DataFrame, job: str = "job_no", depends_on: str = "d
         "j", F.when(F.col("many").isNull() & F.col("d_ok").isNotNull(), F.col("d")).alias("up"),
         F.when(F.col("many"), F.col("d")).alias("stop"), F.coalesce(~F.col("d_ok"), F.lit(False)).alias("skipped"))
     chains = _chains(jobs.filter("n is null").select("j"), single)
+    status = F.when(F.col("skipped"), F.lit("Skipped")).when(F.col("ok"), F.lit("Complete")).otherwise(F.lit("Failed"))
+    if not jobs.filter("n > 1").limit(1).count():  # nothing but chains
+        return jobs.select("j", "ok").join(chains.select("j", "skipped"), "j").select(F.col("j").alias(job), status.alias("status"))
     state = chains.select(F.col("j").alias("d"), "stop", F.col("skipped").alias("above"))
     links = (edges.join(jobs.filter("n > 1").select("j"), "j", "left_semi").join(fine, "d", "left").join(state, "d", "left")
              .join(several, "d", "left").select(
@@ -154,7 +157,6 @@ def dependency_status(deps: DataFrame, job: str = "job_no", depends_on: str = "d
     rows = (chains.join(bad_stop, "stop", "left").select("j", (F.col("skipped") | F.coalesce("stop_bad", F.lit(False))).alias("skipped"))
             .union(jobs.filter("n > 1").select("j").join(hit.withColumn("skipped", F.lit(True)), "j", "left")
                    .select("j", F.coalesce("skipped", F.lit(False)))))
-    status = F.when(F.col("skipped"), F.lit("Skipped")).when(F.col("ok"), F.lit("Complete")).otherwise(F.lit("Failed"))
     return jobs.select("j", "ok").join(rows, "j").select(F.col("j").alias(job), status.alias("status"))
 
 
