@@ -9,12 +9,15 @@ writes (1) the exact unigram counts and (2) its part of the filter.
 
 Filter. A count c is quantised to q = 1 + floor(log_b c); the n-gram is inserted
 with each level 1..q. A probe asks for levels 1, 2, ... until one is missing.
-The filter has 4 bits per byte of training text (12 or more per n-gram), at most
-``FILTER_BYTES``, which bounds what is broadcast; above that bound its rate of
-false positives rises. The model is
+Its keys are the segment and 40 more bits of the hash. A segment's part has ``BITS`` bits for each level of its n-grams, so the filter grows with
+the n-grams and its rate of false positives is the same at any size. The model is
 P(w|v) = (c(vw) + MU * P(w)) / (c(v) + MU) with P(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)),
 all counts from the filter, applied from order 1 up.
 
+Probes. No task holds the whole filter and it is not broadcast: the texts to score are cut into units
+of at most ``UNIT_BYTES`` (or one text), each unit's distinct n-grams are shuffled to their
+segments, which answer with their levels, and the levels are shuffled back to the unit.
+
 Exact unigram base. The ``TOP`` most frequent token types are broadcast (12 bytes
 each); the tokens of a text that aren't among them are looked up by a join with all others.
 
@@ -25,6 +28,7 @@ column names of the input are replaced by the operator's, other columns pass thr
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -42,7 +46,8 @@ ORDER = 2
 BASE = 2.0
 MU = 20.0
 PROBES = 5
-FILTER_BYTES = 64 << 20
+BITS = 24  # of the filter per n-gram and level
+UNIT_BYTES = 4 << 20
 SEGMENT_BYTES = 8 << 20
 TOP = 1 << 18
 HELD = 2 << 20  # n-grams that a task gathers before it sums them up
@@ -52,12 +57,12 @@ ADDED = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 @dataclass
 class Model:
-    filter: np.ndarray  # one row of bytes per segment
+    segments: int  # of the filter
     top_hash: np.ndarray  # sorted
     top_count: np.ndarray
     tokens: int
     types: int
-    path: str  # of the counts
+    path: str  # of the counts and the filter's parts
 
 
 def with_ends(words: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -100,6 +105,60 @@ def summed(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return hashes[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
+def planes(numbers: np.ndarray) -> bytes:
+    """The numbers' bytes, first the lowest of all, so that the high ones compress."""
+    return numbers.view(np.uint8).reshape(len(numbers), numbers.dtype.itemsize).T.tobytes()
+
+
+def from_planes(data: bytes, dtype) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).reshape(-1)
+
+
+def squeeze(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unsqueeze(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+
+
+def spare(segments: int) -> np.uint64:
+    """The low bits that the filter's keys leave out: 40 are kept below those that name the segment."""
+    return np.uint64(max(0, 24 - (segments.bit_length() - 1)))
+
+
+def short(hashes: np.ndarray, segments: int) -> np.ndarray:
+    return hashes >> spare(segments) << spare(segments)
+
+
+def pack(hashes: np.ndarray, drop: np.uint64) -> bytes:
+    """Sorted hashes, whose ``drop`` low bits are 0, by their differences."""
+    return squeeze(planes(np.diff(hashes >> drop, prepend=np.uint64(0))))
+
+
+def unpack(data: bytes, drop: np.uint64) -> np.ndarray:
+    return np.cumsum(from_planes(unsqueeze(data), np.uint64), dtype=np.uint64) << drop
+
+
+def pack_texts(tokens: np.ndarray) -> tuple[bytes, bytes]:
+    """The tokens' kinds, the most frequent first, and the place of each token among them."""
+    kinds, which, n = np.unique(tokens, return_inverse=True, return_counts=True)
+    order = np.argsort(-n, kind="stable")
+    rank = np.empty(len(kinds), np.uint32)
+    rank[order] = np.arange(len(kinds), dtype=np.uint32)
+    return kinds[order].tobytes(), squeeze(planes(rank[which]))
+
+
+def unpack_texts(kinds: bytes, which: bytes) -> np.ndarray:
+    return np.frombuffer(kinds, np.uint64)[from_planes(unsqueeze(which), np.uint32)]
+
+
+def wanted_keys(tokens: np.ndarray, rows: np.ndarray, order: int, segments: int) -> np.ndarray:
+    """The filter's keys of the distinct n-grams and contexts of a unit, sorted. The contexts of order 2 are tokens."""
+    found = [tokens, *[ngrams(tokens, rows, n) for n in range(2, order + 1)], *[contexts(tokens, rows, n) for n in range(3, order + 1)]]
+    return np.unique(np.concatenate([np.unique(short(x, segments)) for x in found]))
+
+
 def levels(counts: np.ndarray, base: float) -> np.ndarray:
     return 1 + np.floor(np.log(np.maximum(counts, 1)) / np.log(base) + 1e-9).astype(np.int64)
 
@@ -136,7 +195,12 @@ def fill(keys: np.ndarray, counts: np.ndarray, size: int, base: float) -> np.nda
 
 
 def probe(parts: np.ndarray, keys: np.ndarray, base: float, top_level: int = 64) -> np.ndarray:
-    """The typical count of every key's level: levels are asked for until one is missing."""
+    """The typical count of every key's level."""
+    return typical(probe_levels(parts, keys, top_level), base)
+
+
+def probe_levels(parts: np.ndarray, keys: np.ndarray, top_level: int = 64) -> np.ndarray:
+    """Every key's level: levels are asked for until one is missing."""
     segments, size = parts.shape
     flat = parts.reshape(-1)
     shift = np.uint64(64 - (segments.bit_length() - 1))
@@ -152,17 +216,17 @@ def probe(parts: np.ndarray, keys: np.ndarray, base: float, top_level: int = 64)
         level[live] = step
         if not len(live):
             break
-    return typical(level, base)
+    return level
 
 
 def train(docs: DataFrame, text: str = "text", order: int = ORDER, base: float = BASE,
-          filter_bytes: int = FILTER_BYTES, top: int = TOP) -> Model:
+          bits: int = BITS, top: int = TOP) -> Model:
     spark = docs.sparkSession
     docs = docs.select(F.col(text).alias("text"))
     total = int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     segments = 1 << max(3, (total // SEGMENT_BYTES).bit_length())
-    part_bytes = max(64, min(filter_bytes, total // 2) // segments)
     shift = np.uint64(64 - (segments.bit_length() - 1))
+    drop = {n: np.uint64(0) if n == 1 else spare(segments) for n in range(1, order + 1)}  # unigram counts are exact
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = RollingHash()
@@ -181,13 +245,14 @@ def train(docs: DataFrame, text: str = "text", order: int = ORDER, base: float =
                 part = full[at: at + 64]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(part, pa.int32()), pa.array([n] * len(part), pa.int32()),
-                     pa.array([hs[i].tobytes() for i in part], pa.binary()),
+                     pa.array([pack(hs[i], drop[n]) for i in part], pa.binary()),
                      pa.array([cs[i].astype(np.int64).tobytes() for i in part], pa.binary())], ["segment", "n", "hashes", "counts"])
 
         for batch in slices(batches, "text"):
             tokens, rows = with_ends(*word_hashes(hasher, batch.column(0), WHITE))
             for n in range(1, order + 1):
-                h, c = summed(ngrams(tokens, rows, n), np.ones(len(tokens), np.int64))
+                h = ngrams(tokens, rows, n)
+                h, c = summed(h if n == 1 else short(h, segments), np.ones(len(tokens), np.int64))
                 held[n][0].append(h)
                 held[n][1].append(c)
                 if sum(map(len, held[n][0])) > HELD:
@@ -200,11 +265,13 @@ def train(docs: DataFrame, text: str = "text", order: int = ORDER, base: float =
         keys, out = [], {}
         for n in range(1, order + 1):
             mine = table.filter(pc.equal(table.column("n"), n))
-            h = np.frombuffer(b"".join(mine.column("hashes").to_pylist()), np.uint64)
+            h = np.concatenate([np.zeros(0, np.uint64), *[unpack(x, drop[n]) for x in mine.column("hashes").to_pylist()]])
             c = np.frombuffer(b"".join(mine.column("counts").to_pylist()), np.int64)
             out[n] = summed(h, c)
             keys.append(out[n])
-        parts = fill(np.concatenate([k for k, _ in keys]), np.concatenate([c for _, c in keys]), part_bytes, base)
+        counts = np.concatenate([c for _, c in keys])
+        size = max(64, int(levels(counts, base).sum()) * bits // 8)
+        parts = fill(short(np.concatenate([k for k, _ in keys]), segments), counts, size, base)
         h, c = out[1]
         bucket, n = np.unique(levels(c, 1.1), return_counts=True)
         return pa.table({"segment": pa.array([key[0].as_py()], pa.int32()), "hashes": pa.array([h.tobytes()], pa.binary()),
@@ -225,14 +292,11 @@ def train(docs: DataFrame, text: str = "text", order: int = ORDER, base: float =
         if r["n"] > room:
             break
         least, room = r["b"], room - r["n"]
-    parts = np.zeros((segments, part_bytes), np.uint8)
-    for r in got.select("segment", "filter").toLocalIterator():  # at most filter_bytes
-        parts[r["segment"]] = np.frombuffer(r["filter"], np.uint8)
     most = got.select("hashes", "counts").mapInArrow(_types(lambda c: levels(c, 1.1) >= least), "h long, c long").toArrow()
     h, c = (np.asarray(most.column(i)) for i in (0, 1))  # at most ``top`` rows
     h = h.view(np.uint64)
     by = np.argsort(h)
-    return Model(parts, h[by], c[by], int(sizes["tokens"] or 0), int(sizes["types"] or 0), path)
+    return Model(segments, h[by], c[by], int(sizes["tokens"] or 0), int(sizes["types"] or 0), path)
 
 
 def _types(wanted):
@@ -246,48 +310,120 @@ def _types(wanted):
     return run
 
 
+def _scores(units: DataFrame, model: Model, order: int, base: float, mu: float) -> DataFrame:
+    """(_row, score) of the texts of the units."""
+    segments, names, drop = model.segments, units.columns, spare(model.segments)
+    cuts = np.arange(1, segments, dtype=np.uint64) << np.uint64(64 - (segments.bit_length() - 1))
+    denominator = model.tokens + 0.5 * (model.types + 1)
+
+    def texts(row: dict) -> tuple[np.ndarray, np.ndarray]:
+        rows = np.frombuffer(row["rows"], np.int64)
+        return unpack_texts(row["kinds"], row["which"]), rows
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                keys = wanted_keys(*texts(row), order, segments)
+                parts = np.split(keys, np.searchsorted(keys, cuts))
+                full = [j for j in range(segments) if len(parts[j])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(full, pa.int32()), pa.array([row["id"]] * len(full), pa.string()),
+                     pa.array([pack(parts[j], drop) for j in full], pa.binary())], ["segment", "id", "keys"])
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        segment, part = None, None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {n: batch.column(n)[i].as_py() for n in ("segment", "id", "keys", "filter")}
+                if row["filter"] is not None:  # stands before its segment's questions
+                    segment, part = row["segment"], np.frombuffer(row["filter"], np.uint8)[None, :]
+                    continue
+                keys = unpack(row["keys"], drop)
+                found = probe_levels(part, keys) if segment == row["segment"] else np.zeros(len(keys), np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["id"]], pa.string()), pa.array([row["segment"]], pa.int32()),
+                     pa.array([squeeze(found.astype(np.uint8).tobytes())], pa.binary())], ["id", "segment", "levels"])
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, held = None, []
+
+        def done() -> pa.RecordBatch:
+            tokens, rows = texts(unit)
+            keys = wanted_keys(tokens, rows, order, segments)
+            counts = typical(np.frombuffer(b"".join(held), np.uint8).astype(np.int64), base)
+
+            def look(hashes: np.ndarray) -> np.ndarray:
+                found, of = np.unique(short(hashes, segments), return_inverse=True)
+                return counts[np.searchsorted(keys, found)][of]
+
+            p = (look(tokens) + 0.5) / denominator
+            for n in range(2, order + 1):
+                both = look(ngrams(tokens, rows, n))
+                p = (both + mu * p) / (np.maximum(look(contexts(tokens, rows, n)), both) + mu)
+            total = np.add.reduceat(np.log10(np.minimum(p, 1.0)), rows[:-1])
+            return pa.RecordBatch.from_arrays([pa.array(np.frombuffer(unit["ids"], np.int64)), pa.array(total)], ["_row", "score"])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                if (found := batch.column("levels")[i].as_py()) is not None:
+                    held.append(unsqueeze(found))
+                    continue
+                if unit:  # the unit stands before its answers, which follow by segment
+                    yield done()
+                unit, held = {n: batch.column(n)[i].as_py() for n in names}, []
+        if unit:
+            yield done()
+
+    parts = units.sparkSession.read.parquet(model.path).select("segment", "filter")
+    asked = units.mapInArrow(ask, "segment int, id string, keys binary")
+    answers = parts.unionByName(asked, allowMissingColumns=True).repartition("segment").sortWithinPartitions(
+        "segment", F.col("filter").isNull()).mapInArrow(answer, "id string, segment int, levels binary")
+    both = units.unionByName(answers, allowMissingColumns=True)
+    return both.repartition("id").sortWithinPartitions("id", F.col("segment").asc_nulls_first()).mapInArrow(finish, "_row long, score double")
+
+
 def score(docs: DataFrame, model: Model, text: str = "text", order: int = ORDER, base: float = BASE, mu: float = MU) -> DataFrame:
     """Add n_tokens, n_known, train_tokens (long), base_score and score (log10)."""
     spark = docs.sparkSession
     docs = drop_columns(docs, ADDED)
     plain = [c for c in docs.columns if c != text]
+    unit_type = "struct<id: string, ids: binary, rows: binary, kinds: binary, which: binary>"
     schema = T.StructType([f for f in docs.schema.fields if f.name != text] + [
         T.StructField("_row", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("_known", T.LongType()),
-        T.StructField("_base", T.DoubleType()), T.StructField("score", T.DoubleType()), T.StructField("_rest", T.ArrayType(T.LongType()))])
-    sent = spark.sparkContext.broadcast((model.filter, model.top_hash, model.top_count))  # bounded: filter_bytes and top
+        T.StructField("_base", T.DoubleType()), T.StructField("_rest", T.ArrayType(T.LongType())),
+        T.StructField("_unit", T._parse_datatype_string(unit_type))])
+    sent = spark.sparkContext.broadcast((model.top_hash, model.top_count))  # at most ``top``
     n_all, v_all = model.tokens, model.types
     denominator = n_all + 0.5 * (v_all + 1)
+    sums = lambda x, rows: np.add.reduceat(x, rows[:-1]) if len(rows) > 1 else x[:0]  # noqa: E731  no row is empty
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, top_hash, top_count = sent.value
+        top_hash, top_count = sent.value
         hasher = RollingHash()
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, UNIT_BYTES):
             tokens, rows = with_ends(*word_hashes(hasher, batch.column(text), WHITE))
             kinds, which = np.unique(tokens, return_inverse=True)
             place = np.minimum(np.searchsorted(top_hash, kinds), max(0, len(top_hash) - 1))
             is_top = top_hash[place] == kinds if len(top_hash) else np.zeros(len(kinds), bool)
             exact = np.where(is_top, top_count[place] if len(top_hash) else 0, 0)
             log_base = np.where(is_top, np.log10((exact + 0.5) / denominator), 0.0)
-            sums = lambda x: np.add.reduceat(x, rows[:-1]) if len(rows) > 1 else x[:0]  # noqa: E731  no row is empty
-            approx = probe(parts, kinds, base)
-            p = ((approx + 0.5) / denominator)[which]
-            for n in range(2, order + 1):
-                grams, of = np.unique(ngrams(tokens, rows, n), return_inverse=True)
-                both = probe(parts, grams, base)[of]
-                heads, of = np.unique(contexts(tokens, rows, n), return_inverse=True)
-                head = np.maximum(probe(parts, heads, base)[of], both)
-                p = (both + mu * p) / (head + mu)
             rest = ~is_top[which]
             at = np.concatenate([[0], np.cumsum(rest)])[rows]
             lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(tokens[rest].view(np.int64)))
+            packed = pack_texts(tokens)
+            ids = batch.column("_row").to_numpy(zero_copy_only=False).astype(np.int64)
+            unit = {"id": uuid.uuid4().hex, "ids": ids.tobytes(), "rows": rows.astype(np.int64).tobytes(), "kinds": packed[0], "which": packed[1]}
+            fields = pa.struct([("id", pa.string()), *[(f, pa.binary()) for f in ("ids", "rows", "kinds", "which")]])
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in plain], batch.column("_row"), pa.array(np.diff(rows)),
-                 pa.array(sums(is_top[which].astype(np.int64))), pa.array(sums(log_base[which])),
-                 pa.array(sums(np.log10(np.minimum(p, 1.0)))), lists], schema.names)
+                 pa.array(sums(is_top[which].astype(np.int64), rows)), pa.array(sums(log_base[which], rows)), lists,
+                 pa.array([unit] + [None] * (batch.num_rows - 1), fields)], schema.names)
 
     path = shared_dir(spark, "lm-scores")
     docs.withColumn("_row", F.monotonically_increasing_id()).mapInArrow(run, schema).write.parquet(path)
     got = spark.read.parquet(path)
+    scores = _scores(got.where("_unit is not null").select("_unit.*"), model, order, base, mu)
     low = model.top_count.min() if len(model.top_count) else 1 << 62
     others = spark.read.parquet(model.path).select("hashes", "counts").mapInArrow(
         _types(lambda c: c < low), "h long, c long")
@@ -295,7 +431,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", order: int = ORDER,
     log = F.log10((F.coalesce(F.col("c"), F.lit(0)) + 0.5) / float(denominator))
     rare = look.join(others, "h", "left").groupBy("_row").agg(
         F.sum(F.col("m") * log).alias("_more"), F.sum(F.when(F.col("c") > 0, F.col("m")).otherwise(0)).alias("_found"))
-    out = got.drop("_rest").join(rare, "_row", "left")
+    out = got.drop("_rest", "_unit").join(scores, "_row").join(rare, "_row", "left")
     return out.select(*plain, "n_tokens", (F.col("_known") + F.coalesce("_found", F.lit(0))).alias("n_known"),
                       F.lit(n_all).cast("long").alias("train_tokens"),
                       (F.col("_base") + F.coalesce("_more", F.lit(0.0))).alias("base_score"), "score")

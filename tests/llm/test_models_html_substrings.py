@@ -100,6 +100,22 @@ def test_filter_never_forgets_and_seldom_invents():
     assert (language_model.probe(parts, others, 2.0) > 0).mean() < 0.1
 
 
+def test_filter_keeps_its_density_as_the_input_grows(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "SEGMENT_BYTES", 1 << 14)  # more segments with more input
+    rng, seen = random.Random(23), []
+    for n in (100, 1000):
+        rows = [(i, " ".join(f"w{int(rng.paretovariate(0.5)) % 50_000}" for _ in range(60)), i % 5 == 1) for i in range(n)]
+        df = spark.createDataFrame(rows, "doc_id int, text string, held boolean").repartition(3)
+        model = language_model.train(df.where("not held"))
+        parts = [np.frombuffer(r["filter"], np.uint8) for r in spark.read.parquet(model.path).select("filter").collect()]
+        got = {r["doc_id"]: r["score"] for r in language_model.score(df, model).collect()}
+        off = [abs(got[d] - s) / -s for (d, _, _), (*_, s) in zip(rows, plain_scores(rows), strict=True)]
+        seen.append((np.unpackbits(np.concatenate(parts)).mean(), sum(map(len, parts)), sum(off) / n, model.segments))
+    (density, size, error, segments), (density10, size10, error10, segments10) = seen
+    assert 0.1 < density < 0.25 and abs(density - density10) < 0.02 and segments10 > segments
+    assert size10 > 5 * size and error < 1e-3 and error10 < 1e-3
+
+
 PAGE = """<!DOCTYPE html><html lang=en><head><title>No</title><style>p{x:"</p>"}</style><script>var t="<p>no</p>";</script></head>
 <body class="with-sidebar"><header><div>Site name</div></header><div id="cookie-notice"><p>We use cookies a lot here</p></div>
 <nav><ul><li><a href="/a">Home page</a></li></ul></nav><!-- <p>no</p> --><div class="ad">Buy it now today</div>
