@@ -2,7 +2,10 @@
 
 A page is a sequence of tags and words. Subtrees that are never article text (menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments
-of readers, hidden parts) are set aside by their tag, role, class or id. Every
+of readers, hidden parts) are set aside by their tag, role, class or id: a class or id that consists of
+marks only; inside an article, and on headings and sections, a class only. An element with a mark as a
+part of a longer name ("related-work") is not set aside: outside an article its words score
+like those of links, unless it holds more than half of the page's words. Every
 word scores positive, every tag negative, and one linear scan finds the
 contiguous run with the largest sum: the content region. Its text is cut into
 blocks at block-level tags.
@@ -65,7 +68,13 @@ MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 
 
-def _set_aside(name: str, rest: str, in_content: bool) -> bool:
+def _marks(value: str) -> list[set[str]]:
+    """The parts of each name in a class or id."""
+    return [set(re.split(r"[^a-z0-9]+", re.sub(r"([a-z0-9])([A-Z])", r"\1-\2", v).lower())) - {""} for v in value.split()]
+
+
+def _set_aside(name: str, rest: str, in_content: bool) -> bool | None:
+    """Whether the element is furniture; None if only a part of a name says so, outside an article."""
     if name in FURNITURE or name == "header" and not in_content:
         return True
     if not rest.strip(" \t\r\n/") or name in ("html", "body"):
@@ -75,24 +84,45 @@ def _set_aside(name: str, rest: str, in_content: bool) -> bool:
         return True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", at.get("style", ""), re.I):
         return True
-    marks = set(re.split(r"[^a-z0-9]+", re.sub(r"([a-z0-9])([A-Z])", r"\1 \2", at.get("class", "") + " " + at.get("id", "")).lower()))
-    marks &= MARKS
-    if name in CONTENT:  # its class may name parts that it stands beside
-        return bool(marks - LAYOUT)
-    return bool(marks - {"header"} if in_content or re.fullmatch("h[1-6]", name) else marks)
+    heading = re.fullmatch("h[1-6]", name)
+    names = _marks(at.get("class", ""))
+    if not (in_content or heading or name == "section" or name in CONTENT):
+        names += _marks(at.get("id", ""))  # elsewhere it may be made from a title
+    beside = LAYOUT if name in CONTENT else {"header"} if in_content or heading else set()  # may stand beside or be a part of it
+    if any(parts and parts <= MARKS and parts - beside for parts in names):
+        return True
+    if in_content or heading or name in CONTENT:
+        return False
+    return None if any(parts & MARKS for parts in names) else False
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
-    """The page's tags and texts outside what is set aside: (kind, value,
-    inside article or main, inside a link). Kinds: ``tag``, ``text``."""
+    """The page's tags and texts outside what is set aside: (kind, value, inside article or main,
+    inside a link or an element that may be furniture). Kinds: ``tag``, ``text``.
+    An element that holds more than half of the words is no furniture by a part of its name."""
+    items = list(_tokens(page))
+    held: Counter = Counter()
+    for kind, value, _, _, doubtful in items:
+        if kind == "text":
+            held.update(dict.fromkeys((*doubtful, 0), len(value.split())))
+    for kind, value, inside, link, doubtful in items:
+        yield kind, value, inside, link or any(2 * held[d] <= held[0] for d in doubtful)
+
+
+def _tokens(page: str) -> Iterator[tuple[str, str, bool, bool, tuple[int, ...]]]:
+    """As ``tokens``, with the numbers (from 1) of the open elements that may be furniture."""
     stack: list[str] = []
+    doubtful: list[tuple[int, int]] = []  # (depth, number)
+    seen = 0
     aside = None  # depth of the open subtree that is set aside
     content = links = 0
     at, n = 0, len(page)
     while at < n:
+        while doubtful and doubtful[-1][0] > len(stack):
+            doubtful.pop()
         m = MARKUP.search(page, at)
         if aside is None and (m is None or m.start() > at):
-            yield "text", page[at: m.start() if m else n], content > 0, links > 0
+            yield "text", page[at: m.start() if m else n], content > 0, links > 0, tuple(k for _, k in doubtful)
         if m is None:
             return
         at = m.end()
@@ -102,7 +132,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
         if m["end"]:
             if name not in stack:
                 if aside is None:
-                    yield "tag", name, content > 0, links > 0
+                    yield "tag", name, content > 0, links > 0, tuple(k for _, k in doubtful)
                 continue
             while stack:  # closes what was left open inside, too
                 top = stack.pop()
@@ -114,14 +144,14 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
                 if len(stack) < aside:
                     aside = None
             else:
-                yield "tag", name, content > 0, links > 0
+                yield "tag", name, content > 0, links > 0, tuple(k for _, k in doubtful)
             if aside is None and name in FURNITURE:
-                yield "tag", name, content > 0, links > 0
+                yield "tag", name, content > 0, links > 0, tuple(k for _, k in doubtful)
             continue
         rest = m["rest"]
         if name in VOID:
             if aside is None:
-                yield "tag", name, content > 0, links > 0
+                yield "tag", name, content > 0, links > 0, tuple(k for _, k in doubtful)
             continue
         if aside is not None and name in CONTENT and not _set_aside(name, rest, False):
             while len(stack) >= aside:  # an unclosed menu or box ends where the article begins
@@ -132,18 +162,24 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
         for top in IMPLIED.get(name, ()):
             if stack and stack[-1] == top and (aside is None or len(stack) > aside):
                 stack.pop()
+        while doubtful and doubtful[-1][0] > len(stack):
+            doubtful.pop()
         if rest.endswith("/") and name not in BLOCKS and name not in RAW:
             continue  # closes itself
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\s*(?:>|\Z)", re.I).search(page, at)
             if aside is None:
-                yield "tag", name, content > 0, links > 0
+                yield "tag", name, content > 0, links > 0, tuple(k for _, k in doubtful)
             at = end.end() if end else n
             continue
         if aside is None:
-            yield "tag", name, content > 0, links > 0
-            if _set_aside(name, rest, content > 0):
+            yield "tag", name, content > 0, links > 0, tuple(k for _, k in doubtful)
+            found = _set_aside(name, rest, content > 0)
+            if found:
                 aside = len(stack) + 1
+            elif found is None:
+                seen += 1
+                doubtful.append((len(stack) + 1, seen))
         stack.append(name)
         content += name in CONTENT
         links += name == "a"

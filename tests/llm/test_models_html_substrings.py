@@ -135,6 +135,20 @@ def test_article_of_many_layouts(box):
     assert html_extraction.extract(page.replace("<nav>", "<nav><div>").replace("</nav>", ""), weights).endswith("two") or box[0] not in ("<article>", "<main>")
 
 
+@pytest.mark.parametrize(("start", "end"), [
+    ("<article>", "</article>"), ('<article class="post tag-social">', "</article>"), ('<main class="search-open">', "</main>"),
+    ('<div id="page" class="has-sidebar"><div>', "</div></div>")])
+def test_names_made_from_titles_lose_nothing(start, end):
+    words = "It says here what others found out before. " * 4
+    parts = [("h1", "", "Title"), ("p", "", words), ("section", ' id="related-work"', words), ("h2", ' id="search-results"', "Results"),
+             ("section", ' id="how-to-share-data"', words), ("p", "", words)]
+    inner = "".join(f"<{n}{a}>{t}</{n}>" for n, a, t in parts)
+    page = f'<html><body><nav>Home</nav><div class="site-menu">Home</div>{start}{inner}<div class="social-share">Share</div>{end}<footer>Us</footer></body></html>'
+    weights = html_extraction.weights_from(html_extraction.count_features(PAGE % ("<article>", "</article>")))
+    for w in (weights, html_extraction.DEFAULT):
+        assert html_extraction.extract(page, w) == "\n\n".join(t.strip() for _, _, t in parts)
+
+
 def test_region_is_the_best_run():
     rng = random.Random(19)
     for _ in range(200):
