@@ -10,8 +10,8 @@ from it than the centroid's radius (its farthest member in the sample, times
 
 Only the fit works on a sample: at most ``PER_LANG`` labelled texts per
 language, those with the smallest hashes of their ids. Predictions read whole texts.
-The model (languages x CENTROIDS x DIMS x 4 bytes) is sent to the tasks; more
-than ``MODEL_BYTES`` is refused.
+The model (languages x CENTROIDS x DIMS x 4 bytes) is sent to the tasks in blocks of languages
+of at most ``MODEL_BYTES``, each in a pass of its own over the texts that keeps the nearest centroid so far.
 
 Defined results: a null text, or one without letters, is ``und`` with score 0;
 so is every text if nothing was learned. Rows without id hash as the empty id.
@@ -52,6 +52,8 @@ class Model:
     centroids: np.ndarray
     radius: np.ndarray
     idf: np.ndarray
+    path: str = ""  # of all centroids
+    later: tuple[tuple[str, str], ...] = ()  # first and last language of each further block
 
 
 def remainder(doc_id: Column, divisor: int) -> Column:
@@ -149,33 +151,63 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
     path = shared_dir(spark, "lang-centroids")
     found.write.parquet(path)
     found = spark.read.parquet(path)
-    if (n := found.count()) * DIMS * 4 > MODEL_BYTES:
-        raise ValueError(f"{n} centroids make a model above {MODEL_BYTES} bytes; lower k")
-    got = found.orderBy("lang", "near", "centroid").collect()
+    most, bounds, held = MODEL_BYTES // (DIMS * 4), [], 0
+    for r in found.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").collect():  # a row per language
+        if bounds and held + r["n"] <= most:
+            bounds[-1] = (bounds[-1][0], r["lang"])
+        else:
+            bounds.append((r["lang"], r["lang"]))
+            held = 0
+        held += r["n"]
+    model = _block(found, bounds[0] if bounds else ("", ""), idf)
+    model.path, model.later = path, tuple(bounds[1:])
+    return model
+
+
+def _block(found: DataFrame, bounds: tuple[str, str], idf: np.ndarray) -> Model:
+    got = found.where(F.col("lang").between(*map(F.lit, bounds))).orderBy("lang", "near", "centroid").collect()  # at most MODEL_BYTES
     return Model([r["lang"] for r in got], np.array([np.frombuffer(r["centroid"], np.float32) for r in got]).reshape(-1, DIMS),
                  np.array([(1 - r["near"]) * SLACK + 1e-3 for r in got]), idf)
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Add lang_pred, score (cosine with the nearest centroid, 0 to 1) and rejected."""
-    docs = drop_columns(docs, ADDED)
+    spark, docs = docs.sparkSession, drop_columns(docs, ADDED)
+    out = _pass(docs, model, text)
+    for bounds in model.later:
+        path = shared_dir(spark, "lang-pass")
+        out.write.parquet(path)
+        out = _pass(spark.read.parquet(path), _block(spark.read.parquet(model.path), bounds, model.idf), text, True)
+    return out
+
+
+def _pass(docs: DataFrame, model: Model, text: str, again: bool = False) -> DataFrame:
+    """The nearest of the model's centroids, or what an earlier pass found if that is as near."""
+    held = docs
+    if again:
+        docs = drop_columns(docs, ADDED)
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
     sent = docs.sparkSession.sparkContext.broadcast(model)  # at most MODEL_BYTES
-    block = 128
+    block, plain = 128, len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         for batch in slices(batches, text):
             texts = batch.column(text).to_pylist()
             lang, score, far = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
+            if again:
+                lang = batch.column("lang_pred").to_pylist()
+                score, far = (np.array(batch.column(n).to_pylist()) for n in ("score", "rejected"))
             for at in range(0, len(texts) if m.langs else 0, block):
                 rows = [(i, c) for i in range(at, min(at + block, len(texts))) if (c := counts(texts[i])) is not None]
                 if not rows:
                     continue
                 near = vectors(np.stack([c for _, c in rows]), m.idf) @ m.centroids.T
                 for (i, _), j, s in zip(rows, near.argmax(axis=1).tolist(), near.max(axis=1).tolist(), strict=True):
+                    if again and s <= score[i]:
+                        continue
                     lang[i], score[i], far[i] = m.langs[j], min(1.0, max(0.0, s)), 1 - s > m.radius[j]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score), pa.array(far)], schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:plain], pa.array(lang, pa.string()), pa.array(score), pa.array(far)], schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return held.mapInArrow(run, schema)

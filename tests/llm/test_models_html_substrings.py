@@ -39,6 +39,24 @@ def test_languages_of_odd_texts(spark):
     assert language_id.predict(df.where("false"), model).count() == 0
 
 
+def test_more_languages_than_fit_one_block(spark, monkeypatch):
+    rng = random.Random(31)
+    names = [f"l{i}" for i in range(5)]
+    words = {x: ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(20)] for x in names}
+    text = lambda x: " ".join(rng.choice(words[x]) for _ in range(12))
+    train = docs(spark, [(10 * i + j, text(x), "s", x) for i, x in enumerate(names) for j in range(6)])
+    df = spark.createDataFrame([(i, text(names[i % 5]) if i else None, "old") for i in range(20)], "doc_id int, text string, SCORE string")
+    whole = language_id.fit(train)
+    expected = language_id.predict(df, whole).orderBy("doc_id").collect()
+    monkeypatch.setattr(language_id, "MODEL_BYTES", 8 * language_id.DIMS * 4)
+    model = language_id.fit(train)
+    assert len(model.later) >= 1 and len(model.langs) <= 8 and set(whole.langs) == set(names)
+    got = language_id.predict(df, model).orderBy("doc_id").collect()
+    assert [r["lang_pred"] for r in got] == ["und"] + [names[i % 5] for i in range(1, 20)]
+    for a, b in zip(got, expected, strict=True):
+        assert (a["lang_pred"], a["rejected"], a["text"]) == (b["lang_pred"], b["rejected"], b["text"]) and abs(a["score"] - b["score"]) < 1e-6
+
+
 def plain_scores(rows, order_two=True):
     end = b"\x00end"
     tokens = [re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower()) + [end] for _, t, _ in rows]
