@@ -14,7 +14,8 @@ words are runs of letters, digits and non-ASCII) have a Jaccard similarity of
    every candidate pair lies in some group; it is compared in the group of the
    smallest pivot that both know.
 4. A group is cut into blocks of ``BLOCK`` classes and each pair of blocks is one
-   unit of work of bounded memory. Within it pairs are compared by MinHash values, 16 at
+   unit of work of bounded memory. A member is sent to each unit of its block, so a group of n classes
+   makes n * n / ``BLOCK`` rows with signatures and shingles. Within it pairs are compared by MinHash values, 16 at
    a time; a pair whose posterior probability (uniform prior) of reaching the
    threshold falls below ``TOLERANCE`` is dropped; the rest is verified exactly on the shingle sets. No
    pair leaves the task: a class gets its number of linked documents and one
