@@ -19,6 +19,7 @@ from sparksweep.llm import (
     line_dedup,
     mixing,
     quality_rules,
+    simhash_dedup,
     substring_dedup,
     url_filters,
 )
@@ -228,3 +229,8 @@ def op4_jaccard_join(spark, sf_dir):
 def op10_substring_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring_dedup.remove_repeats(docs, keep_text=False).drop("removed")
+
+
+@query("op12_simhash_dedup")
+def op12_simhash_dedup(spark, sf_dir):
+    return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
