@@ -17,6 +17,7 @@ from sparksweep.llm import (
     language_id,
     language_model,
     line_dedup,
+    merkle_manifest,
     mixing,
     quality_rules,
     simhash_dedup,
@@ -234,3 +235,56 @@ def op10_substring_dedup(spark, sf_dir):
 @query("op12_simhash_dedup")
 def op12_simhash_dedup(spark, sf_dir):
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def _tree_ctes(name: str, key: str, levels: int) -> str:
+    """CTEs of a tree above {name}0(key, pos, m, d): nodes {name}1.. and siblings {name}s0.. left (l) and right (r)."""
+    out = ""
+    for i in range(levels):
+        run = f"OVER (PARTITION BY {key}, pos // 8 ORDER BY pos ROWS BETWEEN"
+        out += f"""
+{name}{i + 1} AS MATERIALIZED (SELECT {key}, pos // 8 AS pos, (m + 7) // 8 AS m,
+    CASE WHEN m > 1 THEN sha256(string_agg(d, '' ORDER BY pos)) ELSE min(d) END AS d FROM {name}{i} GROUP BY {key}, pos // 8, m),
+{name}s{i} AS MATERIALIZED (SELECT {key}, pos, m, coalesce(string_agg(d, '') {run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(d, '') {run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{i}),"""
+    return out
+
+
+def _walk_ctes(name: str, tree: str, key: str, levels: int) -> str:
+    """CTEs {name}1.. that lift {name}0(rid, key, pos, d, p) one level each: d folded, p with the siblings."""
+    return "".join(f"""
+{name}{i + 1} AS (SELECT rid, w.{key}, w.pos // 8 AS pos, CASE WHEN m > 1 THEN sha256(l || w.d || r) ELSE w.d END AS d, p || l || r AS p
+    FROM {name}{i} w JOIN {tree}s{i} s ON s.{key} IS NOT DISTINCT FROM w.{key} AND s.pos = w.pos),""" for i in range(levels))
+
+
+_TREE, _TOP = 9, 5  # levels that the SQL spells out: 8**9 rows of a language, 8**5 languages
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}::VARCHAR) || ':' || {0}::VARCHAR END"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+MERKLE_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, *, translate(text,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM DOCS),
+crc AS (SELECT *, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+        string_split(doc_id::VARCHAR, ''), lambda c: list_concat([ord(c)::BIGINT], list_transform(range(8), lambda k: -1::BIGINT))))),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) % 3 = 0 AS hit FROM docs),
+leaves AS (SELECT rid, doc_id, lang, {_LEAF.format(text="text")} AS leaf,
+    CASE WHEN hit THEN {_LEAF.format(text="low")} ELSE {_LEAF.format(text="text")} END AS found FROM crc),
+t AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY lang) AS m FROM leaves),
+n0 AS (SELECT lang, pos, m, leaf AS d FROM t),{_tree_ctes("n", "lang", _TREE)}
+u0 AS MATERIALIZED (SELECT 1 AS one, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS m, d, lang FROM n{_TREE}),
+{_tree_ctes("u", "one", _TOP).strip()}
+f0 AS (SELECT rid, lang, pos, found AS d, '' AS p FROM t),{_walk_ctes("f", "n", "lang", _TREE)}
+g0 AS (SELECT rid, 1 AS one, u0.pos, f.d, p FROM f{_TREE} f JOIN u0 ON u0.lang IS NOT DISTINCT FROM f.lang),{_walk_ctes("g", "u", "one", _TOP)}
+x AS (SELECT doc_id, leaf, u0.d AS subroot, u{_TOP}.d AS root, sha256(p) AS proof_sha256, g.d AS folded_root
+    FROM t JOIN g{_TOP} g USING (rid) JOIN u0 ON u0.lang IS NOT DISTINCT FROM t.lang JOIN u{_TOP} ON true)
+SELECT *, folded_root = root AS verified FROM x
+"""
+
+
+@query("op13_merkle_manifest", MERKLE_SQL)
+def op13_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.translate(
+        "text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).otherwise(F.col("text"))
+    found = tuple(tampered if f == "text" else F.col(f) for f in merkle_manifest.FIELDS)
+    return merkle_manifest.manifest(docs, suspect=found).drop("lang")
