@@ -22,6 +22,7 @@ from sparksweep.llm import (
     quality_rules,
     simhash_dedup,
     substring_dedup,
+    token_alignment,
     url_filters,
 )
 
@@ -288,3 +289,8 @@ def op13_merkle_manifest(spark, sf_dir):
         "text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).otherwise(F.col("text"))
     found = tuple(tampered if f == "text" else F.col(f) for f in merkle_manifest.FIELDS)
     return merkle_manifest.manifest(docs, suspect=found).drop("lang")
+
+
+@query("op11_token_alignment")
+def op11_token_alignment(spark, sf_dir):
+    return token_alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"))
