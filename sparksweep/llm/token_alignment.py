@@ -1,6 +1,6 @@
 """Cross-tokenizer alignment with exact-text deduplication.
 
-Two tokenizers, A (byte-level BPE of the ``tokenizers`` library) and B (a ``sentencepiece`` BPE with byte
+Two tokenizers, A (byte-level BPE from a ``tokenizers`` file) and B (a ``sentencepiece`` BPE with byte
 fallback), cut the same bytes, a space and the text. Where an A and a B token end at the same byte, a group ends; the A and
 the B token that end there are linked.
 
@@ -26,7 +26,10 @@ long. Only the id and text columns are read, so other columns can't clash.
 from __future__ import annotations
 
 import hashlib
+import json
+from array import array
 from collections.abc import Iterator
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -49,34 +52,71 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Vocabulary:
+    """The bytes of the tokens of one tokenizer, by id."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.tokens = tokens
+        self.size = np.array([len(t) for t in tokens])
+        self.start = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def spell(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of a sequence of tokens."""
+        size = self.size[ids]
+        return self.flat[np.repeat(self.start[ids] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+
+
 class Tokenizers:
-    """Both tokenizers and the bytes of their tokens by id."""
+    """Both tokenizers and their vocabularies.
 
-    def __init__(self, folder: str = FOLDER, a_file: str = A_FILE, b_file: str = B_FILE):
-        import os
+    A's file is read as a vocabulary with merges in the order of their ids (checked), so that its byte-pair
+    encoding is run by ``tiktoken``, whose ranks are these ids: the same tokens in a third of the time."""
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        import sentencepiece
-        from tokenizers import Tokenizer
+    # fixed value: the words of byte-level vocabularies
+    PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-        self.a = Tokenizer.from_file(f"{folder}/{a_file}")
-        self.a.encode_special_tokens = True
+    def __init__(self, folder: str = FOLDER, a_file: str = A_FILE, b_file: str = B_FILE):
+        import sentencepiece
+        import tiktoken
+
+        with open(f"{folder}/{a_file}", encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        vocab, alphabet = model["vocab"], byte_alphabet()
+        merged = [vocab["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+        if any(x >= y for x, y in zip(merged, merged[1:], strict=False)) or len(vocab) - len(merged) != 256:
+            raise ValueError(f"{a_file}: not a byte-level vocabulary with its merges in the order of their ids")
+        ranks = {bytes(alphabet[c] for c in token): i for token, i in vocab.items()}
+        self.a = tiktoken.Encoding("a", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.a_words = Vocabulary([t for t, _ in sorted(ranks.items(), key=lambda x: x[1])])
         self.b = sentencepiece.SentencePieceProcessor(model_file=f"{folder}/{b_file}")
-        alphabet = byte_alphabet()
-        self.a_bytes = [b""] * self.a.get_vocab_size(with_added_tokens=True)
-        for token, i in self.a.get_vocab(with_added_tokens=True).items():
-            self.a_bytes[i] = bytes(alphabet[c] for c in token) if all(c in alphabet for c in token) else token.encode()
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
-                        for i, p in enumerate(self.b.id_to_piece(i) for i in range(self.b.get_piece_size()))]
-
-    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
-        """Ids of A and B for each text, and whether both spell space and text."""
-        from_a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        from_b = self.b.encode(texts, num_threads=1)
-        for text, x, y in zip(texts, from_a, from_b, strict=True):
-            x, raw = x.ids, (" " + text).encode()
-            whole = (b"".join(map(self.a_bytes.__getitem__, x)) == raw and b"".join(map(self.b_bytes.__getitem__, y)) == raw)
-            yield np.array(x, np.int64), np.array(y, np.int64), whole
+        self.b_words = Vocabulary([bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
+                                   for i, p in enumerate(self.b.id_to_piece(i) for i in range(self.b.get_piece_size()))])
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of A and B of all texts, one after the other, and their bounds by text. Texts that
+        either doesn't spell as space and text have none."""
+        raw = [(" " + t).encode() for t in texts]
+        sides = [(self.a_words, [self.a.encode_ordinary(" " + t) for t in texts]), (self.b_words, self.b.encode(texts, num_threads=1))]
+        size = np.array([len(r) for r in raw])
+        whole = np.ones(len(texts), bool)
+        found = []
+        for words, held in sides:
+            ids = np.frombuffer(array("i", chain.from_iterable(held)), np.int32).astype(np.int64)
+            bounds = np.concatenate([[0], np.cumsum([len(x) for x in held])])
+            spelt = np.concatenate([[0], np.cumsum(words.size[ids])])[bounds]
+            whole &= np.diff(spelt) == size
+            found.append((words, ids, bounds))
+        for words, ids, bounds in found:  # of equal length: compare the bytes
+            text = np.frombuffer(b"".join(compress(raw, whole.tolist())), np.uint8)
+            wrong = np.flatnonzero(words.spell(ids[np.repeat(whole, np.diff(bounds))]) != text)
+            at = np.flatnonzero(whole)
+            whole[at[np.searchsorted(np.cumsum(size[at]), wrong, "right")]] = False
+        out = []
+        for _, ids, bounds in found:
+            count = np.diff(bounds)
+            out += [ids[np.repeat(whole, count)], np.concatenate([[0], np.cumsum(np.where(whole, count, 0))])]
+        return tuple(out)
 
 
 def pair_bound(a_bytes: list[bytes], b_bytes: list[bytes]) -> int:
@@ -95,27 +135,32 @@ def pair_bound(a_bytes: list[bytes], b_bytes: list[bytes]) -> int:
 class Aligner:
     """Groups and links of two token sequences over the same bytes."""
 
-    def __init__(self, a_bytes: list[bytes], b_bytes: list[bytes]):
-        self.a_size = np.array([len(t) for t in a_bytes])
-        self.b_size = np.array([len(t) for t in b_bytes])
-        self.width = len(b_bytes)
+    def __init__(self, a_words: Vocabulary, b_words: Vocabulary):
+        self.a, self.b = a_words.size, b_words.size
+        self.width = len(self.b)
         # decimal ids with what follows them: within a group, at the end of its A part, at the end of its B part
-        self.words = [f"{i}{end}" for n, end in ((len(a_bytes), ","), (len(a_bytes), "|"), (len(b_bytes), ","), (len(b_bytes), ";")) for i in range(n)]
-
-    def align(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, str]:
-        """Places of the linked tokens (the last ones of each group) in both sequences, and the groups as text."""
-        a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
-        _, i, j = np.intersect1d(a_end, b_end, assume_unique=True, return_indices=True)
-        a_code, b_code = a.copy(), b + 2 * len(self.a_size)
-        a_code[i] += len(self.a_size)
-        b_code[j] += self.width
+        words = [f"{i}{end}".encode() for n, end in ((len(self.a), ","), (len(self.a), "|"), (len(self.b), ","), (len(self.b), ";")) for i in range(n)]
+        self.word_size = np.array([len(w) for w in words])
+        self.words = np.array(words).view(np.uint8).reshape(len(words), -1)
+        self.inside = np.arange(self.words.shape[1]) < self.word_size[:, None]
+
+    def align(self, a: np.ndarray, a_bounds: np.ndarray, b: np.ndarray, b_bounds: np.ndarray):
+        """For the texts in these bounds: the linked pairs (the last tokens of each group) with their
+        bounds by text, and the SHA-256 of each text's groups ('' without tokens)."""
+        a_end, b_end = np.cumsum(self.a[a]), np.cumsum(self.b[b])
+        stop = np.zeros((2, int(a_end[-1]) + 1 if len(a) else 1), bool)
+        stop[0, a_end], stop[1, b_end] = True, True
+        a_last, b_last = stop[1, a_end], stop[0, b_end]
+        i, j = np.flatnonzero(a_last), np.flatnonzero(b_last)
+        a_code, b_code = a + a_last * len(self.a), b + 2 * len(self.a) + b_last * self.width
         # A tokens come behind the B tokens of earlier groups, B tokens behind the A tokens of their own group too
-        before_a = np.concatenate([[0], j + 1])[np.searchsorted(i, np.arange(len(a)))]
-        before_b = (i + 1)[np.searchsorted(j, np.arange(len(b)))]
         merged = np.empty(len(a) + len(b), np.int64)
-        merged[np.arange(len(a)) + before_a] = a_code
-        merged[np.arange(len(b)) + before_b] = b_code
-        return i, j, "".join(map(self.words.__getitem__, merged.tolist()))[:-1]
+        merged[np.arange(len(a)) + np.concatenate([[0], j + 1])[np.cumsum(a_last) - a_last]] = a_code
+        merged[np.arange(len(b)) + (i + 1)[np.cumsum(b_last) - b_last]] = b_code
+        chars = memoryview(self.words[merged][self.inside[merged]].tobytes())
+        ends = np.concatenate([[0], np.cumsum(self.word_size[merged])])[a_bounds + b_bounds].tolist()
+        digests = [hashlib.sha256(chars[x: y - 1]).hexdigest() if y > x else "" for x, y in zip(ends, ends[1:], strict=False)]
+        return a[i] * self.width + b[j], np.searchsorted(i, a_bounds), digests
 
 
 def _aligned(docs: DataFrame, folder: str, a_file: str, b_file: str) -> tuple[DataFrame, DataFrame]:
@@ -127,21 +172,17 @@ def _aligned(docs: DataFrame, folder: str, a_file: str, b_file: str) -> tuple[Da
         for batch in slices(batches, "text", BATCH):
             if both is None:
                 both = Tokenizers(folder, a_file, b_file)
-                aligner = Aligner(both.a_bytes, both.b_bytes)
-            out = []
-            for a, b, whole in both.encode(batch.column("text").to_pylist()):
-                if whole:
-                    i, j, groups = aligner.align(a, b)
-                    pairs, times = np.unique(a[i] * aligner.width + b[j], return_counts=True)
-                    out.append((len(a), len(b), len(i), hashlib.sha256(groups.encode()).hexdigest(), pairs, times))
-                else:
-                    out.append((0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64)))
-            n_a, n_b, n_groups, digest, pairs, times = zip(*out, strict=True)
-            ends = pa.array(np.cumsum([0] + [len(p) for p in pairs]), pa.int32())
+                aligner = Aligner(both.a_words, both.b_words)
+                pairs_of_a_text = len(aligner.a) * aligner.width
+            a, a_bounds, b, b_bounds = both.encode(batch.column("text").to_pylist())
+            links, bounds, digests = aligner.align(a, a_bounds, b, b_bounds)
+            text = np.repeat(np.arange(len(digests)), np.diff(bounds))
+            pairs, times = np.unique(text * pairs_of_a_text + links, return_counts=True)
+            ends = pa.array(np.searchsorted(pairs, np.arange(len(digests) + 1) * pairs_of_a_text), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("copies"), *[pa.array(x, pa.int64()) for x in (n_a, n_b, n_groups)], pa.array(digest, pa.string()),
-                 pa.ListArray.from_arrays(ends, pa.array(np.concatenate(pairs), pa.int64())),
-                 pa.ListArray.from_arrays(ends, pa.array(np.concatenate(times), pa.int64()))], names)
+                [batch.column("key"), batch.column("copies"), *[pa.array(np.diff(x), pa.int64()) for x in (a_bounds, b_bounds, bounds)],
+                 pa.array(digests, pa.string()), pa.ListArray.from_arrays(ends, pa.array(pairs % pairs_of_a_text, pa.int64())),
+                 pa.ListArray.from_arrays(ends, pa.array(times, pa.int64()))], names)
 
     key = F.unhex(F.sha2("text", 256))
     texts = docs.where("text != ''").groupBy("text").agg(F.count(F.lit(1)).alias("copies")).select("text", key.alias("key"), "copies")
@@ -160,7 +201,7 @@ def _counts(texts: DataFrame) -> DataFrame:
 def pair_counts(docs: DataFrame, text: str = "text", folder: str = FOLDER, a_file: str = A_FILE, b_file: str = B_FILE) -> DataFrame:
     """(a_id, b_id, count): how often A and B tokens end together, over all rows."""
     _, texts = _aligned(docs.select(F.lit(None).cast("long").alias("doc_id"), F.col(text).alias("text")), folder, a_file, b_file)
-    width = len(Tokenizers(folder, a_file, b_file).b_bytes)
+    width = len(Tokenizers(folder, a_file, b_file).b_words.tokens)
     return _counts(texts).select(F.expr(f"pair div {width}").alias("a_id"), F.expr(f"pair % {width}").alias("b_id"), "count")
 
 
@@ -170,7 +211,7 @@ def align(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", folder: s
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows, texts = _aligned(docs, folder, a_file, b_file)
     both = Tokenizers(folder, a_file, b_file)
-    bound, width = pair_bound(both.a_bytes, both.b_bytes), len(both.b_bytes)
+    bound, width = pair_bound(both.a_words.tokens, both.b_words.tokens), len(both.b_words.tokens)
     path = shared_dir(spark, "alignment-pairs")
     _counts(texts).write.parquet(path)
     found = spark.read.parquet(path).toArrow()  # at most ``bound`` rows, whatever the corpus

@@ -5,13 +5,17 @@ import random
 from collections import Counter
 
 import pytest
+from tokenizers import Tokenizer
 
 from sparksweep.llm import queries, token_alignment
 
 
 @pytest.fixture(scope="module")
 def both():
-    return token_alignment.Tokenizers()
+    found = token_alignment.Tokenizers()
+    found.plain = Tokenizer.from_file(f"{token_alignment.FOLDER}/{token_alignment.A_FILE}")  # A by the library of its file
+    found.plain.encode_special_tokens = True
+    return found
 
 
 def ends(sizes):
@@ -25,11 +29,11 @@ def ends(sizes):
 def plain(rows, both):
     """The contract, one token at a time."""
     a_char = token_alignment.byte_alphabet()
-    names = {i: t for t, i in both.a.get_vocab().items()}
+    names = {i: t for t, i in both.plain.get_vocab().items()}
     docs = []
     for d, text in rows:
         raw = b" " + (text or "").encode()
-        a = both.a.encode(raw.decode(), add_special_tokens=False).ids if text else []
+        a = both.plain.encode(raw.decode(), add_special_tokens=False).ids if text else []
         b = both.b.encode(text) if text else []
         a_raw = [bytes(a_char[c] for c in names[i]) for i in a]
         pieces = [both.b.id_to_piece(i) for i in b]
@@ -84,7 +88,7 @@ def test_alignment(spark, both):
     same(token_alignment.align(df), rows, both)
     assert token_alignment.align(df.where("false")).count() == 0
     pairs = token_alignment.pair_counts(df.where("doc_id in (1010, 1011)")).collect()
-    assert [(both.a_bytes[p["a_id"]], both.b_bytes[p["b_id"]], p["count"]) for p in pairs] == [(b" the", b" the", 2)]
+    assert [(both.a_words.tokens[p["a_id"]], both.b_words.tokens[p["b_id"]], p["count"]) for p in pairs] == [(b" the", b" the", 2)]
 
 
 def test_query(spark, sf_dir, both):
@@ -94,4 +98,17 @@ def test_query(spark, sf_dir, both):
 
 def test_bound_of_pairs(both):
     assert token_alignment.pair_bound([b"a", b"ba", b"c"], [b"a", b"cba", b"x"]) == 4  # a-a, ba-a, a-cba, ba-cba
-    assert token_alignment.pair_bound(both.a_bytes, both.b_bytes) < 1_000_000
+    assert token_alignment.pair_bound(both.a_words.tokens, both.b_words.tokens) < 1_000_000
+
+
+def test_every_character_is_cut_alike(both):
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 50000):
+        texts = [f"a{chr(c)} {chr(c)}1{chr(c)}{chr(c)}b  {chr(c)}  " for c in points[at: at + 50000]]
+        for text, ids in zip(texts, both.plain.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            assert both.a.encode_ordinary(text) == ids.ids, ascii(text)
+
+
+def test_every_token_is_one_token(both):
+    # so that ranks and merges agree: no token is ever merged from other parts than its own merge's
+    assert all(both.a._encode_single_piece(t) == [i] for i, t in enumerate(both.a_words.tokens))
