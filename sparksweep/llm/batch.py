@@ -153,3 +153,29 @@ def shingles(words: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, n
         total[ok] += words[at[ok] + j] * factor[j + 1]
     keep = at - np.repeat(rows[:-1], size) < np.repeat(count, size)
     return mix(total[keep]), bounds
+
+
+class Forest:
+    """Union-find over positions, with many links joined at once."""
+
+    def __init__(self, n: int):
+        self.root = np.arange(n)
+
+    def find(self, x: np.ndarray) -> np.ndarray:
+        x = self.root[x]
+        while True:
+            up = self.root[x]
+            if (up == x).all():
+                return x
+            x = up
+
+    def link(self, a: np.ndarray, b: np.ndarray) -> None:
+        while True:
+            x, y = self.find(a), self.find(b)
+            apart = x != y
+            if not apart.any():
+                return
+            a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+            high, low = np.maximum(x, y), np.minimum(x, y)
+            root, at = np.unique(high, return_index=True)  # each root gets one smaller parent a round
+            self.root[root] = low[at]

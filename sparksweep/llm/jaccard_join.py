@@ -13,9 +13,9 @@ words are runs of letters, digits and non-ASCII) have a Jaccard similarity of
    pivot form its group, so a bucket of any size costs one row per member, and
    every candidate pair lies in some group; it is compared in the group of the
    smallest pivot that both know.
-4. A group is cut into blocks of ``BLOCK`` classes and each pair of blocks is one
-   unit of work of bounded memory. A member is sent to each unit of its block, so a group of n classes
-   makes n * n / ``BLOCK`` rows with signatures and shingles. Within it pairs are compared by MinHash values, 16 at
+4. A group is cut by hash into blocks of ``BLOCK`` bytes of signatures and shingles (thousands of
+   classes), and each pair of blocks is one unit of work of bounded memory. A member is sent to each unit of its block:
+   one row if the group is one block. Within a unit pairs are compared by MinHash values, 16 at
    a time; a pair whose posterior probability (uniform prior) of reaching the
    threshold falls below ``TOLERANCE`` is dropped; the rest is verified exactly on the shingle sets. No
    pair leaves the task: a class gets its number of linked documents and one
@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparksweep.llm.batch import NOT_ALNUM, RollingHash, mix, powers, shingles, slices, word_hashes
+from sparksweep.llm.batch import NOT_ALNUM, Forest, RollingHash, mix, powers, shingles, slices, word_hashes
 from sparksweep.session import shared_dir
 
 WORDS = 5
@@ -51,8 +51,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 32, 4
 STEP = 16
 TOLERANCE = 1e-9
-BLOCK = 256
-BROADCAST_ROWS = 500_000  # of 40 bytes: up to so many class ids are broadcast to fetch their texts
+BLOCK = 8 << 20
 
 
 class MinHash:
@@ -111,33 +110,37 @@ def least_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE, n:
     return out
 
 
-def _overlap(a: np.ndarray, b: np.ndarray) -> int:
-    if len(a) > len(b):
-        a, b = b, a
-    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-    return int((b[at] == a).sum())
+class Sets:
+    """The sets of a unit's members as dense numbers, to intersect one with many at once."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        size = np.array([len(x) for x in sets])
+        _, ids = np.unique(np.concatenate(sets), return_inverse=True)
+        self.sets = np.split(ids, np.cumsum(size)[:-1])
+        self.mark = np.zeros(int(ids.max()) + 1 if len(ids) else 1, np.int32)
+
+    def shared(self, i: int, others: np.ndarray) -> np.ndarray:
+        """How many values set i shares with each of the others."""
+        self.mark[self.sets[i]] = 1
+        rest = [self.sets[x] for x in others.tolist()]
+        sums = np.concatenate([[0], np.cumsum(self.mark[np.concatenate(rest)])])
+        self.mark[self.sets[i]] = 0
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in rest])])
+        return np.diff(sums[ends])
 
 
 def compare(group: list[dict], pivot: int, same: bool, a: int, threshold: float, least: dict[int, int]) -> list[tuple]:
-    """Links among the members of one unit of work, as (node, smallest node of
+    """Links among the members of one unit of work, as (node, a node of
     its local component, linked documents). ``same``: all pairs, else those
     between block ``a`` and the other one."""
     found = {m["node"]: m for m in group}  # a class whose text was fetched twice counts once
     members = [found[k] for k in sorted(found)]
     sig = np.stack([np.frombuffer(m["signature"], np.uint32) for m in members])
-    sets = [np.frombuffer(m["shingles"], np.uint64) for m in members]
-    sizes = np.array([len(s) for s in sets])
-    block = np.array([m["block"] for m in members])
-    known = [set(m["pivots"]) for m in members]
-    links = [0] * len(members)
-    root = list(range(len(members)))
-
-    def top(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
+    sets = Sets([np.frombuffer(m["shingles"], np.uint64) for m in members])
+    earlier = Sets([np.array([p for p in m["pivots"] if p < pivot], np.int64) for m in members])
+    sizes = np.array([len(s) for s in sets.sets])
+    block, copies = np.array([m["block"] for m in members]), np.array([m["size"] for m in members])
+    links, forest = np.zeros(len(members), np.int64), Forest(len(members))
     for i in range(len(members) - 1):
         j = np.arange(i + 1, len(members))
         if not same:
@@ -150,20 +153,20 @@ def compare(group: list[dict], pivot: int, same: bool, a: int, threshold: float,
             matches += (sig[j, k - STEP: k] == sig[i, k - STEP: k]).sum(axis=1)
             alive = matches >= least[k]
             j, matches = j[alive], matches[alive]
-        for x in j.tolist():
-            if min(known[i] & known[x]) != pivot:
-                continue
-            both = _overlap(sets[i], sets[x])
-            if both >= threshold * (sizes[i] + sizes[x] - both) - 1e-9:
-                links[i] += members[x]["size"]
-                links[x] += members[i]["size"]
-                p, q = top(i), top(x)
-                root[max(p, q)] = min(p, q)
-    return [(m["node"], members[top(i)]["node"], n) for i, (m, n) in enumerate(zip(members, links, strict=True)) if n]
+        if len(j):
+            j = j[earlier.shared(i, j) == 0]  # others are compared in the group of a smaller pivot
+        if len(j):
+            both = sets.shared(i, j)
+            j = j[both >= threshold * (sizes[i] + sizes[j] - both) - 1e-9]
+            links[i] += copies[j].sum()
+            links[j] += copies[i]
+            forest.link(np.full(len(j), i), j)
+    at = np.flatnonzero(links)
+    return [(members[i]["node"], members[r]["node"], n) for i, r, n in zip(at.tolist(), forest.find(at).tolist(), links[at].tolist(), strict=True)]
 
 
 def _classes(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows (_doc, _id, _th, fp) and classes (node, fp, first, first_doc, size, bands), both written."""
+    """Rows (_doc, _id, _th, fp) and classes (node, fp, first, first_doc, size, bands, weight in bytes), both written."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, minhash = RollingHash(), MinHash()
         for batch in slices(batches, "_text"):
@@ -172,17 +175,18 @@ def _classes(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame
             sh, bounds = shingles(words, rows, WORDS)
             keys = band_keys(minhash.signatures(sh, bounds)).view(np.int64)
             flat = pa.ListArray.from_arrays(pa.array(np.arange(len(fp) + 1, dtype=np.int32) * BANDS), pa.array(keys.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([batch.column("_doc"), batch.column("_id"), batch.column("_th"), pa.array(fp, pa.binary()), flat],
-                                             ["_doc", "_id", "_th", "fp", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column("_doc"), batch.column("_id"), batch.column("_th"), pa.array(fp, pa.binary()), flat,
+                                              pa.array(minhash.a.size * 4 + 8 * np.diff(bounds), pa.int64())],
+                                             ["_doc", "_id", "_th", "fp", "bands", "weight"])
 
     path = shared_dir(spark, "jaccard-rows")
-    docs.mapInArrow(run, "_doc long, _id long, _th long, fp binary, bands array<long>").write.parquet(path)
+    docs.mapInArrow(run, "_doc long, _id long, _th long, fp binary, bands array<long>, weight long").write.parquet(path)
     rows = spark.read.parquet(path)
     path = shared_dir(spark, "jaccard-classes")
     rows.where("fp is not null").groupBy("fp").agg(
         F.min(F.struct("_id", "_th")).alias("first"), F.min("_doc").alias("first_doc"), F.count(F.lit(1)).alias("size"),
-        F.first("bands").alias("bands")).withColumn("node", F.monotonically_increasing_id()).write.parquet(path)
-    return rows.drop("bands"), spark.read.parquet(path)
+        F.first("bands").alias("bands"), F.first("weight").alias("weight")).withColumn("node", F.monotonically_increasing_id()).write.parquet(path)
+    return rows.drop("bands", "weight"), spark.read.parquet(path)
 
 
 def _groups(spark: SparkSession, classes: DataFrame) -> DataFrame:
@@ -201,8 +205,6 @@ def _units(spark: SparkSession, docs: DataFrame, classes: DataFrame, groups: Dat
     known.join(classes.drop("bands", "first_doc"), "node").write.parquet(path)
     members = spark.read.parquet(path)
     wanted = members.select(F.col("first._id").alias("_id"), F.col("fp").alias("want"), "node")
-    if members.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, minhash = RollingHash(), MinHash()
@@ -219,7 +221,8 @@ def _units(spark: SparkSession, docs: DataFrame, classes: DataFrame, groups: Dat
     texts = docs.select("_id", "_text").join(wanted, "_id")
     found = texts.mapInArrow(run, "node long, signature binary, shingles binary")
     path = shared_dir(spark, "jaccard-blocks")  # a table of its own, so that the join with a hot pivot can be split
-    groups.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")).write.parquet(path)
+    groups.join(classes.select("node", "weight"), "node").groupBy("pivot").agg(
+        F.ceil(F.sum("weight") / block).cast("int").alias("blocks")).write.parquet(path)
     mine = groups.join(spark.read.parquet(path), "pivot").withColumn("block", F.pmod(F.xxhash64("node", "pivot"), "blocks").cast("int"))
     mine = mine.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     mine = mine.select("pivot", "node", "block", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"))

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparksweep.llm.batch import LOWER, WHITE, slices, utf8, word_bounds
+from sparksweep.llm.batch import LOWER, WHITE, Forest, slices, utf8, word_bounds
 from sparksweep.llm.jaccard_join import components
 from sparksweep.session import shared_dir
 
@@ -115,32 +115,6 @@ def tiles(prints: np.ndarray, size: int = TILE) -> list[np.ndarray]:
     return [prints[i: i + size] for i in range(0, len(prints), size)]
 
 
-class Forest:
-    """Union-find over positions, with many links joined at once."""
-
-    def __init__(self, n: int):
-        self.root = np.arange(n)
-
-    def find(self, x: np.ndarray) -> np.ndarray:
-        x = self.root[x]
-        while True:
-            up = self.root[x]
-            if (up == x).all():
-                return x
-            x = up
-
-    def link(self, a: np.ndarray, b: np.ndarray) -> None:
-        while True:
-            x, y = self.find(a), self.find(b)
-            apart = x != y
-            if not apart.any():
-                return
-            a, b, x, y = a[apart], b[apart], x[apart], y[apart]
-            high, low = np.maximum(x, y), np.minimum(x, y)
-            root, at = np.unique(high, return_index=True)  # each root gets one smaller parent a round
-            self.root[root] = low[at]
-
-
 def compare(left: list[np.ndarray], right: list[np.ndarray] | None, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
     """Edges (fingerprint, fingerprint of its local component) of all pairs within
     ``radius`` between the tiles of two chunks, or within one (``right`` is None)."""

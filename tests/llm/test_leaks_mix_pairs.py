@@ -129,7 +129,7 @@ def near_rows():
     return [*rows, rows[0], rows[0], (4000, rows[3][1].upper())]
 
 
-@pytest.mark.parametrize("block", [256, 4])
+@pytest.mark.parametrize("block", [jaccard_join.BLOCK, 4096])
 def test_links_and_groups(spark, block):
     rows = near_rows()
     df = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id long, text string, class_id string").repartition(5)
@@ -138,6 +138,19 @@ def test_links_and_groups(spark, block):
     assert got == sorted((d, plain[i][0], plain[i][1]) for i, (d, _) in enumerate(rows))
 
 
+def test_rows_of_units_grow_with_the_group(spark, monkeypatch):
+    rng = random.Random(17)
+    base = [f"w{rng.randrange(9999)}" for _ in range(60)]
+    seen = []
+    real = jaccard_join._units
+    monkeypatch.setattr(jaccard_join, "_units", lambda *a: seen.append(real(*a)) or seen[-1])
+    for n in (500, 2000):  # near copies of one text: each differs in its last word
+        df = spark.createDataFrame([(i, " ".join([*base, f"x{i}"])) for i in range(n)], "doc_id long, text string")
+        assert {tuple(r) for r in jaccard_join.link(df).select("class_id", "n_links").distinct().collect()} == {(0, n - 1)}
+    few, many = (u.count() for u in seen)
+    assert many <= 5 * few and many < 20_000
+
+
 def test_one_of_each_group_stays(spark):
     rows = near_rows() + [(None, rows_text := "only nulls here " * 9), (None, rows_text)]
     df = docs(spark, rows)
