@@ -59,14 +59,16 @@ def jon5_default_fallback(spark, sf_dir):
     return C.with_defaults(found, defaults)
 
 
-@register("src6_catalog_from_files", with_views("""
+_SRC6_SQL = with_views("""
 SELECT name, framework, num_nodes, image, prio FROM (
   SELECT *, row_number() OVER (PARTITION BY name ORDER BY prio, pos) AS rn FROM prj2 WHERE error IS NULL) x
 WHERE rn = 1
 UNION ALL
 SELECT name, NULL, NULL, NULL, NULL FROM v_catalog_defaults
-WHERE name NOT IN (SELECT name FROM prj2 WHERE error IS NULL)""", "v_catalog", "v_catalog_defaults",
-                                                ctes={"prj2": _PRJ2_SQL}))
+WHERE name NOT IN (SELECT name FROM prj2 WHERE error IS NULL)""", "v_catalog", "v_catalog_defaults", ctes={"prj2": _PRJ2_SQL})
+
+
+@register("src6_catalog_from_files", _SRC6_SQL)
 def src6_catalog_from_files(spark, sf_dir):
     """Catalog documents landed as files in three source folders, read back in
     one scan, bad documents skipped, first source wins, defaults filled in."""
@@ -77,6 +79,15 @@ def src6_catalog_from_files(spark, sf_dir):
     return runtimes.select("name", "framework", "num_nodes", "image", "prio")
 
 
+@register("src6_catalog_from_yaml", _SRC6_SQL)
+def src6_catalog_from_yaml(spark, sf_dir):
+    """The same catalog landed as YAML files of many documents, cut at their markers in many tasks."""
+    docs = C.runtime_documents(V.catalog(spark, sf_dir))
+    sources = SC.write_catalog_sources(docs, shared_dir(spark, "catalog-yaml"), style="yaml")
+    runtimes, _ = SC.load_catalog(spark, sources, V.catalog_defaults(spark, sf_dir))
+    return runtimes.select("name", "framework", "num_nodes", "image", "prio")
+
+
 def _shown(df):
     """Positions are long decimals: shown as text."""
     return df.withColumn("pos", F.col("pos").cast("string"))
