@@ -1,113 +1,25 @@
-"""Sinks (SNK-1, SNK-2) and dependency skipping (JON-8).
-
-Tables are folders of parquet in the shared folder. Registration appends only
-rows whose key is new (existing rows are kept, new duplicates ignored and
-counted). Deletion writes a compacted copy without the tombstoned jobs and
-everything hanging off them; the old copy is left for readers in flight.
-"""
+"""First rows per key (SNK-1) and dependency skipping (JON-8)."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparksweep.session import shared_dir
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
-
-
-def first_rows(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def first_rows(rows: DataFrame, keys: list[str], order: list[str], count: str | None = None) -> DataFrame:
     """Per key the row with the smallest ``order`` (ties: the smallest of the
-    other atomic columns), the same on every run: one mergeable ``min_by``."""
+    other atomic columns), the same on every run: one mergeable ``min_by``. ``count`` names a
+    column for the number of rows of the key."""
     kinds = dict(rows.dtypes)
     rest = [c for c in rows.columns if c not in keys]
     ties = [c for c in rest if c not in order and not kinds[c].startswith(("map", "array", "struct"))]
-    best = rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order, *ties)).alias("_first"))
-    return best.select(*keys, "_first.*").select(*rows.columns)
-
-
-def register_rows(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], order: list[str]) -> int:
-    """SNK-1: append ``rows`` whose ``keys`` are not in the table yet; of several
-    new rows with one key the first by ``order`` is taken. Returns how many rows
-    of the batch were ignored because the table already holds their key."""
-    ignored = 0
-    fresh = rows
-    if _exists(spark, path):
-        existing = spark.read.parquet(path).select(*keys).distinct()
-        ignored = rows.join(existing, keys, "left_semi").count()
-        fresh = rows.join(existing, keys, "left_anti")
-    first_rows(fresh, keys, order).write.mode("append").parquet(path)
-    return ignored
-
-
-def ignored_rows(spark: SparkSession, path: str, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The rows of a batch that ``register_rows`` would ignore (for the warning)."""
-    if not _exists(spark, path):
-        return rows.limit(0)
-    return rows.join(spark.read.parquet(path).select(*keys).distinct(), keys, "left_semi")
-
-
-def delete_jobs(tables: dict[str, DataFrame], tombstones: DataFrame, key: str = "job",
-                strict: bool = True, known: DataFrame | None = None) -> dict[str, DataFrame]:
-    """SNK-2: every table without the tombstoned jobs. With ``strict``, a
-    tombstone naming no known job is an error (``known`` = the jobs table)."""
-    t = tombstones.select(F.col(key)).distinct()
-    if strict and known is not None:
-        unknown = t.join(known.select(key), key, "left_anti").limit(1).collect()
-        if unknown:
-            raise ValueError(f"no job named {unknown[0][key]!r}")
-    return {name: df.join(t, key, "left_anti") for name, df in tables.items()}
-
-
-BUCKET = "_bucket"
-
-
-def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> None:
-    """A table in folders by a hash of ``key``, so that a later deletion rewrites
-    only the folders it touches. A hot key's folder is written by many tasks."""
-    at = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-    df.withColumn(BUCKET, at).write.partitionBy(BUCKET).parquet(path)
-
-
-def delete_in_place(spark: SparkSession, path: str, tombstones: DataFrame, key: str, buckets: int) -> int:
-    """SNK-2 on a bucketed table: the folders that hold tombstoned keys are
-    written anew beside the table and then swapped in, one by one; the others are
-    not read. Deleting again after a failure gives the same table. Returns the
-    number of folders swapped."""
-    gone = tombstones.select(key).distinct()
-    hit = [r[0] for r in gone.select(F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).distinct().collect()]  # at most ``buckets``
-    old = spark.read.parquet(path).filter(F.col(BUCKET).isin(hit))
-    new = shared_dir(spark, "deletion")
-    old.join(gone, key, "left_anti").write.partitionBy(BUCKET).parquet(new)
-    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    swapped = 0
-    for b in hit:
-        here, there, aside = (Path(f"{x}/{BUCKET}={b}") for x in (path, new, new + "-old"))
-        if not fs.exists(here):
-            continue
-        fs.mkdirs(aside.getParent())
-        fs.rename(here, aside)
-        if fs.exists(there):
-            fs.rename(there, here)
-        swapped += 1
-    fs.delete(Path(new + "-old"), True)
-    return swapped
-
-
-def compact(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` as a fresh folder and read it back (cuts the lineage too)."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    best = rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order, *ties)).alias("_first"),
+                                   *([F.count(F.lit(1)).alias(count)] if count else []))
+    return best.select(*keys, "_first.*", *([count] if count else [])).select(*rows.columns, *([count] if count else []))
 
 
 def _settled(df: DataFrame, name: str) -> DataFrame:

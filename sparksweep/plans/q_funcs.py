@@ -16,6 +16,7 @@ from sparksweep.operators import jobs as J
 from sparksweep.operators import experiments as EX
 from sparksweep.operators import sinks as SK
 from sparksweep.operators.metrics import observations
+from sparksweep.operators.snapshots import Snapshots
 from sparksweep.plans import sweep as S
 from sparksweep.plans import views as V
 from sparksweep.plans.q_jobs import _STATUS_CTES, job_statuses
@@ -134,10 +135,10 @@ def snk1_register_steps(spark, sf_dir):
     b1 = steps.filter(F.col("ts") < F.lit(T2)).select("job", "name", "status", F.lit(1).alias("batch"))
     b2 = steps.filter(F.col("ts") >= F.lit(T1)).select("job", "name", F.lit("Updated").alias("status"),
                                                        F.lit(2).alias("batch"))
-    path = shared_dir(spark, "steps-table")
-    SK.register_rows(spark, path, b1, ["job", "name"], ["status"])
-    SK.register_rows(spark, path, b2, ["job", "name"], ["status"])
-    return spark.read.parquet(path)
+    held = Snapshots(spark, shared_dir(spark, "steps-table"), 8)
+    held.register("steps", b1, ["job", "name"], ["status"])
+    held.register("steps", b2, ["job", "name"], ["status"])
+    return held.read("steps")
 
 
 _GONE = "(SELECT job FROM v_jobs WHERE priority = '5-LOW')"
@@ -151,20 +152,17 @@ UNION ALL SELECT 'trials', job, count(*) FROM v_resources WHERE job NOT IN {_GON
                                          "v_steps", "v_jobs", "v_containers", "v_resources"))
 def snk2_delete_jobs(spark, sf_dir):
     """Jobs of priority 5-LOW deleted with all that hangs off them, from four
-    bucketed tables in place; shown as rows per table and job."""
+    tables in one commit; shown as rows per table and job."""
     steps = V.steps(spark, sf_dir)
     jobs = V.jobs(spark, sf_dir).select("job", "priority")
     tables = {"jobs": jobs, "steps": steps.select("job", "name", "status"),
               "logs": V.containers(spark, sf_dir, steps).select("job", "name", "state"),
               "trials": V.resources(spark, sf_dir, steps).select("job", "res_key", "quantity")}
     tomb = jobs.filter(F.col("priority") == "5-LOW").select("job")
-    parts = []
-    for name, df in tables.items():
-        path = shared_dir(spark, f"{name}-table")
-        SK.write_bucketed(df, path, "job", 8)
-        SK.delete_in_place(spark, path, tomb, "job", 8)
-        left = spark.read.parquet(path).groupBy("job").agg(F.count(F.lit(1)).alias("n"))
-        parts.append(left.select(F.lit(name).alias("tbl"), "job", "n"))
+    held = Snapshots(spark, shared_dir(spark, "job-tables"), 8)
+    held.create({name: (df, "job") for name, df in tables.items()})
+    held.delete(tomb, "job", list(tables), known="jobs")
+    parts = [held.read(name).groupBy("job").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("tbl"), "job", "n") for name in tables]
     return reduce(DataFrame.unionByName, parts)
 
 

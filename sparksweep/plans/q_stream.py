@@ -107,8 +107,7 @@ def snk1_register_stream(spark, sf_dir):
     """Jobs registered by a stream of status events: the first event of a job is kept."""
     stream = _events_stream(spark, sf_dir, "snk1")
     ev = V.status_events(spark, sf_dir, stream).select("job", "status", "ts", "seq")
-    out = R.register_stream(ev, shared_dir(spark, "registered"), ["job"], ["ts", "seq"])
-    return spark.read.parquet(out).select("job", "status", "ts")
+    return R.register_stream(ev, shared_dir(spark, "registered"), ["job"], ["ts", "seq"], buckets=8).select("job", "status", "ts")
 
 
 _STEP_EVENTS_SQL = """

@@ -164,17 +164,17 @@ def latest_from_changelog(spark: SparkSession, path: str, keys: list[str]) -> Da
     return last.select(*keys, "v.*")
 
 
-def register_stream(df: DataFrame, path: str, keys: list[str], order: list[str], name: str = "register") -> str:
+def register_stream(df: DataFrame, path: str, keys: list[str], order: list[str], name: str = "register", buckets: int = 64) -> DataFrame:
     """SNK-1 as a stream: every micro-batch appends only rows whose key the
-    table does not hold yet (the first registration wins). The checkpoint
-    makes a restarted query resume after the last committed batch."""
-    from sparksweep.operators.sinks import register_rows
-    spark = df.sparkSession
-    ckpt = shared_dir(spark, f"{name}-ckpt")
+    table does not hold yet (the first registration wins), reading only the files that may hold
+    its keys. The checkpoint makes a restarted query resume after the last committed batch; a batch that runs twice adds
+    nothing the second time. Returns the table."""
+    from sparksweep.operators.snapshots import Snapshots
+    ckpt = shared_dir(df.sparkSession, f"{name}-ckpt")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        register_rows(batch.sparkSession, path, batch, keys, order)
+        Snapshots(batch.sparkSession, path, buckets).register(name, batch, keys, order)
 
     _start(df, lambda: (df.writeStream.foreachBatch(write).option("checkpointLocation", ckpt)
                         .trigger(availableNow=True).start()), None)
-    return path
+    return Snapshots(df.sparkSession, path, buckets).read(name)
