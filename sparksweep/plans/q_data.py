@@ -12,6 +12,7 @@ from sparksweep.plans import views as V
 from sparksweep.plans.registry import register
 from sparksweep.plans.views import table, with_views
 from sparksweep.session import shared_dir
+from sparksweep.sources import files as FL
 from sparksweep.sources import formats as FM
 
 DOC_COLS = ["doc_id", "lang", "source", "n_chars", "text"]
@@ -57,6 +58,48 @@ def src3_choose_files(spark, sf_dir):
     return D.choose_files(V.files(spark, sf_dir)).select("page_id", "file_name")
 
 
+_EXT = {0: ".bin", 1: ".h5", 2: ".pt", 3: "", 4: ".msgpack", 5: ".safetensors", 6: ".json"}
+_EXT_SQL = "CASE page_id % 7 " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in _EXT.items()) + " END"
+_FILE_SQL = f"""SELECT concat(page_id % 16, '/', page_id % 3, '/', page_id, {_EXT_SQL}) AS path, page_id, coalesce(html, '') AS html,
+       page_id % 7 NOT IN (0, 1, 4) AS chosen FROM pages"""
+
+
+def _page_files(spark, sf_dir):
+    pg = table(spark, sf_dir, "pages").select("page_id", F.coalesce("html", F.lit("")).alias("html"))
+    pid = F.col("page_id")
+    ext = V._case(pid % 7, _EXT)
+    return pg.select(F.concat(pid % 16, F.lit("/"), pid % 3, F.lit("/"), pid, ext).alias("path"), "page_id", "html")
+
+
+@register("src3_file_manifest", f"""
+SELECT path, strlen(html) AS size, sha256(html) AS sha256 FROM ({_FILE_SQL}) f WHERE chosen""")
+def src3_file_manifest(spark, sf_dir):
+    """Pages landed as a tree of files, listed and hashed in tasks, without the ignored ones."""
+    path = shared_dir(spark, "page-files")
+    FL.write_files(_page_files(spark, sf_dir).select("path", F.encode("html", "utf-8").alias("content")), path)
+    return FL.file_manifest(spark, path).select("path", "size", "sha256")
+
+
+@register("src3_manifest_diff", f"""
+SELECT CASE WHEN page_id % 5 = 2 THEN 'new/' || path ELSE path END AS path,
+       CASE page_id % 5 WHEN 0 THEN 'gone' WHEN 1 THEN 'changed' ELSE 'added' END AS change,
+       CASE WHEN page_id % 5 IN (0, 1) THEN strlen(html) END AS old_size,
+       CASE page_id % 5 WHEN 1 THEN strlen(html) + 1 WHEN 2 THEN strlen(html) END AS size
+FROM ({_FILE_SQL}) f WHERE chosen AND page_id % 5 IN (0, 1, 2)
+UNION ALL SELECT path, 'gone', strlen(html), NULL FROM ({_FILE_SQL}) f WHERE chosen AND page_id % 5 = 2""")
+def src3_manifest_diff(spark, sf_dir):
+    """What changed between two manifests: of five pages one is gone, one is longer, one has moved."""
+    old, new = shared_dir(spark, "page-files"), shared_dir(spark, "page-files-later")
+    files = _page_files(spark, sf_dir)
+    FL.write_files(files.select("path", F.encode("html", "utf-8").alias("content")), old)
+    m = F.col("page_id") % 5
+    later = files.where(m != 0).select(F.when(m == 2, F.concat(F.lit("new/"), "path")).otherwise(F.col("path")).alias("path"),
+                                       F.encode(F.when(m == 1, F.concat("html", F.lit("+"))).otherwise(F.col("html")), "utf-8").alias("content"))
+    FL.write_files(later, new)
+    found = FL.manifest_diff(FL.file_manifest(spark, old), FL.file_manifest(spark, new))
+    return found.select("path", "change", "old_size", "size")
+
+
 @register("src4_cached_table", with_views("""
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders"""))
 def src4_cached_table(spark, sf_dir):

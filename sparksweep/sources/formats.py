@@ -1,7 +1,7 @@
 """Read and write a data set by declared format (SRC-1).
 
 json, csv, parquet, text and xml are Spark's own readers; ``arrow`` (Arrow IPC
-files) is read through Spark's ``binaryFile`` source and written by every task
+files) is listed by Spark, read by ranges of record batches and written by every task
 in parallel. Any other format is an error.
 """
 
@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import re
 import uuid
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparksweep.session import ship_package
@@ -115,26 +117,37 @@ def write_arrow(df: DataFrame, path: str) -> None:
         yield pa.RecordBatch.from_pydict({"file": [final], "rows": [rows]})
 
     ship_package(spark)
-    df = df if df.rdd.getNumPartitions() else df.repartition(1)
-    df.mapInArrow(write_part, "file string, rows long").collect()  # one small row per task
+    if not df.mapInArrow(write_part, "file string, rows long").collect():  # one small row per task; none without partitions
+        spark.range(1, numPartitions=1).mapInArrow(lambda _: write_part(()), "file string, rows long").collect()
     for old in before:
         fs.delete(old, False)
 
 
 def read_arrow(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """The Arrow files of a folder (or one file), read through Spark's
-    ``binaryFile`` source, so on any file system that Spark knows; a file is one
-    unit of work. Without a schema, that of one file is taken, in a task."""
+    """The Arrow files of a folder (or one file). Tasks read the files' footers and cut them into ranges of
+    record batches of about ``spark.sql.files.maxPartitionBytes``; each range is a row that another task reads
+    through ``pyarrow.fs``, only its bytes and batch by batch. So a file of any size is read by many
+    tasks, and none is held as a whole. Without a schema, that of one file is taken, in a task."""
     from pyspark.sql.pandas.types import from_arrow_schema
     ship_package(spark)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.arrow").load(path).select("content")
+    # only names and lengths: the content is not read by this scan
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.arrow").load(path).select("path", "length")
+    target = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes"))
+
+    def open_file(name: str):
+        import pyarrow as pa
+        from pyarrow import fs as pafs
+        scheme, rest = name.split(":", 1)
+        host, _, tail = rest[2:].partition("/") if rest.startswith("//") else ("", "", rest.lstrip("/"))
+        filesystem, at = pafs.FileSystem.from_uri(f"{re.sub('^s3a$', 's3', scheme)}://{host}/{quote(tail)}")
+        return pa.ipc.open_file(filesystem.open_input_file(at))
 
     def schema_of(batches):
         import pyarrow as pa
         for b in batches:
-            for content in b.column(0):
-                found = pa.ipc.open_file(content.as_buffer()).schema
-                yield pa.RecordBatch.from_pydict({"schema": [found.serialize().to_pybytes()]})
+            for name in b.column(0).to_pylist():
+                yield pa.RecordBatch.from_pydict({"schema": [open_file(name).schema.serialize().to_pybytes()]})
 
     if schema is None:
         import pyarrow as pa
@@ -143,12 +156,23 @@ def read_arrow(spark: SparkSession, path: str, schema: T.StructType | str | None
             raise ValueError(f"no arrow files under {path}")
         schema = from_arrow_schema(pa.ipc.read_schema(pa.py_buffer(bytes(one[0]["schema"]))))
 
-    def read(batches):
+    def cut(batches):
         import pyarrow as pa
         for b in batches:
-            for content in b.column(0):
-                reader = pa.ipc.open_file(content.as_buffer())
-                for i in range(reader.num_record_batches):
+            for name, length in zip(b.column("path").to_pylist(), b.column("length").to_pylist(), strict=True):
+                n = open_file(name).num_record_batches
+                step = max(1, -(-n // max(1, -(-length // target))))
+                first = list(range(0, n, step))
+                yield pa.RecordBatch.from_pydict({"path": pa.array([name] * len(first), pa.string()), "first": pa.array(first, pa.int64()),
+                                                  "last": pa.array([min(n, f + step) for f in first], pa.int64())})
+
+    def read(batches):
+        for b in batches:
+            for row in b.to_pylist():
+                reader = open_file(row["path"])
+                for i in range(row["first"], row["last"]):
                     yield reader.get_batch(i)
 
-    return files.mapInArrow(read, schema)
+    size = files.agg(F.sum(F.ceil(F.col("length") / target))).first()[0] or 1  # at least as many ranges as files
+    ranges = files.mapInArrow(cut, "path string, first long, last long")
+    return ranges.repartition(int(size)).mapInArrow(read, schema)

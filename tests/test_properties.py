@@ -130,16 +130,6 @@ def test_glob_regex_matches_fnmatch(pattern, name):
     assert bool(rx.match(name)) == fnmatch.fnmatchcase(name, pattern)
 
 
-def test_file_manifest(spark):
-    root = tempfile.mkdtemp(prefix="manifest-")
-    for n in ["a.bin", "b.safetensors", "c.pt", ".pt", "sub/d.h5", "sub/e.json"]:
-        os.makedirs(os.path.dirname(os.path.join(root, n)), exist_ok=True)
-        with open(os.path.join(root, n), "w") as f:
-            f.write(n)
-    got = sorted(r["name"] for r in D.file_manifest(spark, root, with_hash=True).collect())
-    assert got == ["b.safetensors", "c.pt", "e.json"]
-
-
 def test_dependency_frontier_and_chain_paths_agree(spark):
     rnd = random.Random(5)
     edges, oks = [], {}
