@@ -8,31 +8,49 @@ in partition``. The offsets come from per-partition counts: one row per
 partition, so the only thing that reaches the driver is bounded by the
 partition count, never by the data.
 
-The sorted, numbered rows are cut from their lineage with a reliable
-``checkpoint()`` (into ``spark.checkpoint.dir``) so that counting and numbering
-see exactly the same partitions, also after an executor loss.
+The sorted rows are written once, each with its place in its partition, so that counting and numbering see
+exactly the same partitions, also after an executor loss; the counts come from that one column of the written
+files. The number of partitions follows the plan's own size estimate: nothing of the input runs before the write.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparksweep.session import checkpoint_root, shared_dir, ship_package
+from sparksweep.session import shared_dir, ship_package
 
-_PID = "_ss_pid"
-_LOCAL = "_ss_local"
+_ROW = "_ss_row"
+PARTITION_BYTES = 128 << 20
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    """At least as many as the session shuffles to and as the input has splits,
-    which follow its size: the partitions of the index can't be split later."""
+    """At least as many as the session shuffles to, more if the optimizer's estimate of the
+    input says so: the partitions of the index can't be split later."""
     if num_partitions:
         return num_partitions
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions(), 1)
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(size // PARTITION_BYTES, 1 << 16), 1)
+
+
+def _ranged(df: DataFrame, keys: list[str], num_partitions: int | None, inside=None) -> DataFrame:
+    """``df`` in range partitions, sorted, after ``inside``; written with ``_ROW``: partition number times 2**33 plus place."""
+    rows = df.repartitionByRange(_partitions(df, num_partitions), *keys).sortWithinPartitions(*keys)
+    if inside:
+        rows = inside(rows)
+    return _written(rows.withColumn(_ROW, F.monotonically_increasing_id()))
+
+
+def _part(column=_ROW):
+    return F.shiftright(column, 33).cast("int")
+
+
+def _per_part(values: list) -> Column:
+    """The value of each row's partition, from a list by partition number."""
+    return F.element_at(F.array(*[F.lit(v) for v in values]), _part() + 1) if values else F.lit(0)
 
 
 def _written(df: DataFrame) -> DataFrame:
@@ -50,23 +68,13 @@ def with_row_index(df: DataFrame, order_cols: list[str], index_col: str = "row_i
     ``order_cols`` should make the order total (add a unique tie-break); rows
     that tie completely get distinct but arbitrary consecutive numbers.
     """
-    keys = list(group_cols) + list(order_cols)
-    checkpoint_root(df.sparkSession)  # make sure a reliable folder is set
-    n = _partitions(df, num_partitions)
-    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-              .withColumn(_PID, F.spark_partition_id())
-              .withColumn(_LOCAL, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("bigint"), 33)))
-    ranged = ranged.checkpoint(eager=True)
-    counts = {r[_PID]: r["n"] for r in ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("n")).collect()}
-    offsets, acc = [], 0
-    for pid in range(max(counts) + 1 if counts else 0):
-        offsets.append(acc)
-        acc += counts.get(pid, 0)
-    if offsets:
-        off = F.element_at(F.array(*[F.lit(o) for o in offsets]), F.col(_PID) + 1)
-    else:
-        off = F.lit(0)
-    out = ranged.withColumn(index_col, (off + F.col(_LOCAL)).cast("bigint")).drop(_PID, _LOCAL)
+    held = _ranged(df, list(group_cols) + list(order_cols), num_partitions)
+    counts = {r["p"]: r["n"] for r in held.groupBy(_part().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    shifts, acc = [], 0  # what to add to a row's number to get its index
+    for p in range(max(counts, default=-1) + 1):
+        shifts.append(acc - (p << 33))
+        acc += counts.get(p, 0)
+    out = held.withColumn(index_col, (F.col(_ROW) + _per_part(shifts)).cast("bigint")).drop(_ROW)
     if group_index_col and group_cols:
         ren = {c: f"_ss_g{i}" for i, c in enumerate(group_cols)}
         # one row per group, written: Spark knows its size and broadcasts it when
@@ -97,30 +105,26 @@ def with_running_sum(df: DataFrame, order_cols: list[str], value_col: str, out_c
     group, in ``order_cols`` order (values must be >= 0; NULL counts as 0).
 
     Skew-safe segmented prefix sum: rows are range partitioned on
-    (group, order) and checkpointed; a running sum inside each range partition
-    (as the rows lie, without another shuffle) plus the
+    (group, order); a running sum inside each range partition
+    (as the rows lie, without another shuffle), written with them, plus the
     partition's offset (from one total per partition) gives a global exclusive
     prefix; subtracting the prefix at the group's first row gives the sum within
     the group.
     """
-    keys = list(group_cols) + list(order_cols)
-    checkpoint_root(df.sparkSession)
-    n = _partitions(df, num_partitions)
     v = F.coalesce(F.col(value_col).cast("double"), F.lit(0.0))
-    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-              .withColumn(_PID, F.spark_partition_id())
-              .withColumn(_LOCAL, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("bigint"), 33))
-              .withColumn("_ss_v", v))
-    ranged = ranged.checkpoint(eager=True)
-    totals = {r[_PID]: r["t"] for r in ranged.groupBy(_PID).agg(F.sum("_ss_v").alias("t")).collect()}
+    ship_package(df.sparkSession)
+
+    def inside(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("_ss_v", v)
+        return rows.mapInArrow(_before, T.StructType([*rows.schema.fields, T.StructField("_ss_in", T.DoubleType())]))
+
+    held = _ranged(df, list(group_cols) + list(order_cols), num_partitions, inside)
+    totals = {r["p"]: r["t"] for r in held.groupBy(_part().alias("p")).agg(F.sum("_ss_v").alias("t")).collect()}
     offsets, acc = [], 0.0
-    for pid in range(max(totals) + 1 if totals else 0):
+    for p in range(max(totals, default=-1) + 1):
         offsets.append(acc)
-        acc += totals.get(pid, 0.0) or 0.0
-    off = F.element_at(F.array(*[F.lit(float(o)) for o in offsets]), F.col(_PID) + 1) if offsets else F.lit(0.0)
-    ship_package(df.sparkSession)
-    inside = T.StructType([*ranged.schema.fields, T.StructField("_ss_in", T.DoubleType())])
-    x = ranged.mapInArrow(_before, inside).withColumn("_ss_cum", off + F.col("_ss_in")).drop("_ss_in")
+        acc += totals.get(p, 0.0) or 0.0
+    x = held.withColumn("_ss_cum", _per_part(offsets).cast("double") + F.col("_ss_in")).drop("_ss_in")
     if group_cols:
         ren = {c: f"_ss_g{i}" for i, c in enumerate(group_cols)}
         side = _written(x.groupBy(*[F.col(c).alias(ren[c]) for c in group_cols]).agg(F.min("_ss_cum").alias("_ss_start")))
@@ -129,4 +133,4 @@ def with_running_sum(df: DataFrame, order_cols: list[str], value_col: str, out_c
             "_ss_start", *ren.values())
     else:
         x = x.withColumn(out_col, F.col("_ss_cum"))
-    return x.drop(_PID, _LOCAL, "_ss_v", "_ss_cum")
+    return x.drop(_ROW, "_ss_v", "_ss_cum")

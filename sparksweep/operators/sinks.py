@@ -1,14 +1,10 @@
-"""First rows per key (SNK-1) and dependency skipping (JON-8)."""
+"""First rows per key (SNK-1)."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparksweep.session import shared_dir
-
 
 def first_rows(rows: DataFrame, keys: list[str], order: list[str], count: str | None = None) -> DataFrame:
     """Per key the row with the smallest ``order`` (ties: the smallest of the
@@ -20,77 +16,3 @@ def first_rows(rows: DataFrame, keys: list[str], order: list[str], count: str |
     best = rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order, *ties)).alias("_first"),
                                    *([F.count(F.lit(1)).alias(count)] if count else []))
     return best.select(*keys, "_first.*", *([count] if count else [])).select(*rows.columns, *([count] if count else []))
-
-
-def _settled(df: DataFrame, name: str) -> DataFrame:
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def dependency_status(deps: DataFrame, job: str = "job_no", depends_on: str = "depends_on", ok: str = "ok") -> DataFrame:
-    """JON-8: a job runs only when every dependency succeeded; otherwise it is
-    Skipped, and so are its dependants. ``deps`` has one row per (job,
-    dependency) edge (NULL dependency = none) and the job's own outcome ``ok``.
-
-    Chains are contracted first: a job with one dependency follows it up to the
-    nearest job with none or several (pointer jumping, log2(depth) rounds). What
-    is left is the graph of the jobs with several dependencies, where the newly
-    skipped ones mark their dependants until nothing is new.
-    """
-    edges = deps.select(F.col(job).alias("j"), F.col(depends_on).alias("d")).filter(F.col("d").isNotNull()).distinct()
-    degree = edges.groupBy("j").agg(F.count(F.lit(1)).alias("n"), F.min("d").alias("d"))
-    jobs = deps.groupBy(F.col(job).alias("j")).agg(F.bool_and(F.col(ok)).alias("ok"))
-    jobs = _settled(jobs.join(degree, "j", "left"), "deps-jobs")
-    several = jobs.filter("n > 1").select(F.col("j").alias("d"), F.lit(True).alias("many"))
-    fine = jobs.select(F.col("j").alias("d"), F.col("ok").alias("d_ok"))
-    # up: the next job to look at; stop: the job with several dependencies that was reached
-    single = jobs.filter("n = 1").select("j", "d").join(fine, "d", "left").join(several, "d", "left").select(
-        "j", F.when(F.col("many").isNull() & F.col("d_ok").isNotNull(), F.col("d")).alias("up"),
-        F.when(F.col("many"), F.col("d")).alias("stop"), F.coalesce(~F.col("d_ok"), F.lit(False)).alias("skipped"))
-    chains = _chains(jobs.filter("n is null").select("j"), single)
-    status = F.when(F.col("skipped"), F.lit("Skipped")).when(F.col("ok"), F.lit("Complete")).otherwise(F.lit("Failed"))
-    if not jobs.filter("n > 1").limit(1).count():  # nothing but chains
-        return jobs.select("j", "ok").join(chains.select("j", "skipped"), "j").select(F.col("j").alias(job), status.alias("status"))
-    state = chains.select(F.col("j").alias("d"), "stop", F.col("skipped").alias("above"))
-    links = (edges.join(jobs.filter("n > 1").select("j"), "j", "left_semi").join(fine, "d", "left").join(state, "d", "left")
-             .join(several, "d", "left").select(
-                 "j", F.when(F.col("many"), F.col("d")).otherwise(F.col("stop")).alias("stop"),
-                 (~F.coalesce("d_ok", F.lit(True)) | F.coalesce("above", F.lit(False))).alias("bad")))
-    links = _settled(links, "deps-links")
-    failed = jobs.filter("n > 1 and not ok").select(F.col("j").alias("stop"))
-    hit = links.filter("bad").select("j").union(links.join(failed, "stop", "left_semi").select("j")).distinct()
-    hit = frontier = _settled(hit, "deps-skipped")
-    while frontier.limit(1).count():
-        new = links.join(frontier.select(F.col("j").alias("stop")), "stop", "left_semi").select("j").distinct()
-        frontier = _settled(new.join(hit, "j", "left_anti"), "deps-skipped")
-        hit = hit.union(frontier)
-    bad_stop = hit.select(F.col("j").alias("stop")).union(failed).distinct().withColumn("stop_bad", F.lit(True))
-    rows = (chains.join(bad_stop, "stop", "left").select("j", (F.col("skipped") | F.coalesce("stop_bad", F.lit(False))).alias("skipped"))
-            .union(jobs.filter("n > 1").select("j").join(hit.withColumn("skipped", F.lit(True)), "j", "left")
-                   .select("j", F.coalesce("skipped", F.lit(False)))))
-    return jobs.select("j", "ok").join(rows, "j").select(F.col("j").alias(job), status.alias("status"))
-
-
-def _chains(roots: DataFrame, single: DataFrame) -> DataFrame:
-    """(j, stop, skipped) of the jobs with at most one dependency. After round k
-    a job knows whether one of its 2^k nearest ancestors failed. Rows that have
-    arrived leave the loop; only the open ones are joined and written again. In a
-    cycle no row ever arrives, which is an error."""
-    done = [roots.select("j", F.lit(None).cast(dict(single.dtypes)["stop"]).alias("stop"), F.lit(False).alias("skipped"))]
-    rows = _settled(single, "deps-chains")
-    left = rows.filter("up is not null").count()
-    done.append(rows.filter("up is null").select("j", "stop", "skipped"))
-    now = rows.filter("up is not null")
-    while left:
-        arrived = reduce(DataFrame.unionByName, done)
-        above = arrived.withColumn("up", F.lit(None).cast(dict(now.dtypes)["up"])).unionByName(now).select(
-            F.col("j").alias("up"), F.col("up").alias("up2"), F.col("stop").alias("stop2"), F.col("skipped").alias("more"))
-        rows = _settled(now.drop("stop").join(above, "up").select(
-            "j", F.col("up2").alias("up"), F.col("stop2").alias("stop"), (F.col("skipped") | F.col("more")).alias("skipped")), "deps-chains")
-        done.append(rows.filter("up is null").select("j", "stop", "skipped"))
-        now = rows.filter("up is not null")
-        before, left = left, now.count()
-        if left == before:
-            raise ValueError("dependency graph has a cycle")
-    return reduce(DataFrame.unionByName, done)

@@ -103,12 +103,23 @@ def src3_manifest_diff(spark, sf_dir):
 @register("src4_cached_table", with_views("""
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders"""))
 def src4_cached_table(spark, sf_dir):
-    """Orders cached over 3 data nodes (cache://tpch/orders) and read from the cache."""
+    """Orders saved as the catalog table of cache://tpch/orders, bucketed by key, and read from it."""
     src = D.CacheSource("cache://tpch/orders", 3)
     cached = D.cached_table(table(spark, sf_dir, "orders"), src, key="o_orderkey")
     return cached.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
 
 
+@register("src4_cached_join", """
+SELECT o_orderkey, o_orderstatus, count(l_orderkey) AS lines, coalesce(sum(l_quantity), 0) AS quantity
+FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey, o_orderstatus""")
+def src4_cached_join(spark, sf_dir):
+    """Orders and their lines from two cached tables, joined and grouped bucket by bucket."""
+    orders = D.cached_table(table(spark, sf_dir, "orders"), D.CacheSource("cache://tpch/orders", 3), key="o_orderkey")
+    lines = D.cached_table(table(spark, sf_dir, "lineitem"), D.CacheSource("cache://tpch/lineitem", 3), key="l_orderkey")
+    return orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").groupBy("o_orderkey", "o_orderstatus").agg(
+        F.count("l_orderkey").alias("lines"), F.coalesce(F.sum("l_quantity"), F.lit(0.0)).alias("quantity"))
+
+
 @register("dat1_column_map", with_views(
     "SELECT conv_id, turn, prompt AS input, answer AS output FROM v_pairs", "v_pairs"))
 def dat1_column_map(spark, sf_dir):

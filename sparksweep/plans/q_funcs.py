@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sparksweep.functions import user as UF
 from sparksweep.operators import jobs as J
 from sparksweep.operators import experiments as EX
-from sparksweep.operators import sinks as SK
+from sparksweep.operators import dependencies as DP
 from sparksweep.operators.metrics import observations
 from sparksweep.operators.snapshots import Snapshots
 from sparksweep.plans import sweep as S
@@ -285,7 +285,7 @@ def jon8_dependency_graph(spark, sf_dir):
     d = V.deps(spark, sf_dir).select("job_no", "ok", F.when(F.col("depends_on") < F.col("job_no"), F.col("depends_on")).alias("depends_on"))
     keys = d.select(F.col("job_no").alias("k"))
     more = d.filter("job_no % 3 = 0").join(keys, F.col("k") == F.col("job_no") - 7).select("job_no", "ok", F.col("k").alias("depends_on"))
-    return SK.dependency_status(d.unionByName(more))
+    return DP.dependency_status(d.unionByName(more))
 
 
 @register("jon8_dependency_skip", with_views("""
@@ -299,4 +299,4 @@ FROM v_deps""", "v_deps").replace("WITH v_deps AS", "WITH RECURSIVE v_deps AS").
     ")\nWITH RECURSIVE bad(job_no) AS (", "),\nbad(job_no) AS ("))
 def jon8_dependency_skip(spark, sf_dir):
     """Chains of jobs per customer: a job after a failed or skipped one is skipped."""
-    return SK.dependency_status(V.deps(spark, sf_dir))
+    return DP.dependency_status(V.deps(spark, sf_dir))

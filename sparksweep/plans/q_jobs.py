@@ -391,8 +391,8 @@ def top2_trial_cap(spark, sf_dir):
     """Each experiment capped at num_trials = 5 by trial number. Spark keeps the
     first rows of each group in every task before the shuffle (WindowGroupLimit),
     so a hot experiment sends a few rows per task."""
-    number = F.row_number().over(Window.partitionBy("experiment").orderBy("job_no")) - 1
-    x = V.jobs(spark, sf_dir).select("experiment", "job", "job_no").withColumn("trial_no", number)
-    return x.filter(F.col("trial_no") < CAP).select("experiment", "job", "trial_no")
+    number = F.row_number().over(Window.partitionBy("experiment").orderBy("job_no"))
+    x = V.jobs(spark, sf_dir).select("experiment", "job", "job_no").withColumn("number", number)
+    return x.filter(F.col("number") <= CAP).select("experiment", "job", (F.col("number") - 1).alias("trial_no"))
 
 

@@ -176,14 +176,18 @@ def trial_table_sql(space: dict, num_trials: int, algorithm, parallel_trials: in
 
 # ---------------------------------------------------------------- scoring
 
+SPLIT_BYTES = 4 << 20  # Spark's default cost of opening a file: splits aren't smaller
+
+
 def spread(data: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin the rows over at least ``min_partitions`` tasks (default: the
-    cluster's parallelism) when the input has fewer splits than that. Used
+    cluster's parallelism) when the input, by the optimizer's estimate of its size, has fewer splits than that. Used
     before work that is multiplied per row (every trial), where a small input
     read as one split would otherwise keep one core busy. On large inputs,
     which already have more splits than cores, it adds nothing."""
     want = min_partitions or data.sparkSession.sparkContext.defaultParallelism
-    return data.repartition(want) if data.rdd.getNumPartitions() < want else data
+    size = int(data._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return data.repartition(want) if size < want * SPLIT_BYTES else data
 
 
 TRIALS_AT_ONCE = 128  # rows of the error matrix that a task holds: this many x the rows of a batch
