@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparksweep.operators.ordinal import with_row_index
-from sparksweep.session import shared_dir
+from sparksweep.session import plan_bytes, shared_dir
 
 # fixed value: the model initializer's default ignore patterns (".pt" has no "*": kept as is)
 DEFAULT_IGNORE_PATTERNS = ["*.msgpack", "*.h5", "*.bin", ".pt", ".pth"]
@@ -79,10 +79,9 @@ class CacheSource:
 
 
 def buckets_for(df: DataFrame, source: CacheSource, bucket_bytes: int = BUCKET_BYTES) -> int:
-    """A power of two that gives buckets of about ``bucket_bytes`` by the optimizer's estimate of the size, and at
-    least one bucket per data node. Of two powers of two one divides the other, so
-    tables of different size can still be joined bucket by bucket."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    """A power of two that gives buckets of about ``bucket_bytes`` by the size of the tables that ``df`` reads, and at
+    least one bucket per data node. Tables to be joined bucket by bucket need the same number: pass the largest to all."""
+    size = plan_bytes(df)
     return 1 << min(16, (max(source.num_data_nodes, -(-size // bucket_bytes)) - 1).bit_length())
 
 

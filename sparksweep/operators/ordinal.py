@@ -21,19 +21,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparksweep.session import shared_dir, ship_package
+from sparksweep.session import plan_bytes, shared_dir, ship_package
 
 _ROW = "_ss_row"
 PARTITION_BYTES = 128 << 20
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    """At least as many as the session shuffles to, more if the optimizer's estimate of the
-    input says so: the partitions of the index can't be split later."""
+    """At least as many as the session shuffles to, more if the size of the
+    tables it reads says so: the partitions of the index can't be split later."""
     if num_partitions:
         return num_partitions
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(size // PARTITION_BYTES, 1 << 16), 1)
+    size = plan_bytes(df)
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(size // PARTITION_BYTES, 1 << 14), 1)
 
 
 def _ranged(df: DataFrame, keys: list[str], num_partitions: int | None, inside=None) -> DataFrame:

@@ -114,8 +114,10 @@ SELECT o_orderkey, o_orderstatus, count(l_orderkey) AS lines, coalesce(sum(l_qua
 FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey, o_orderstatus""")
 def src4_cached_join(spark, sf_dir):
     """Orders and their lines from two cached tables, joined and grouped bucket by bucket."""
-    orders = D.cached_table(table(spark, sf_dir, "orders"), D.CacheSource("cache://tpch/orders", 3), key="o_orderkey")
-    lines = D.cached_table(table(spark, sf_dir, "lineitem"), D.CacheSource("cache://tpch/lineitem", 3), key="l_orderkey")
+    sources = [("orders", "o_orderkey"), ("lineitem", "l_orderkey")]
+    held = [(table(spark, sf_dir, t), D.CacheSource(f"cache://tpch/{t}", 3), key) for t, key in sources]
+    n = max(D.buckets_for(df, source) for df, source, _ in held)
+    orders, lines = (D.cached_table(df, source, key, buckets=n) for df, source, key in held)
     return orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").groupBy("o_orderkey", "o_orderstatus").agg(
         F.count("l_orderkey").alias("lines"), F.coalesce(F.sum("l_quantity"), F.lit(0.0)).alias("quantity"))
 

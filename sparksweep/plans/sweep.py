@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparksweep.functions.search import Choice, LogUniform, Uniform, unit_draw, unit_draw_sql
-from sparksweep.session import ship_package
+from sparksweep.session import plan_bytes, ship_package
 
 TRIALS_PER_PASS = 50_000        # trials whose parameters are shipped to the tasks at once
 TRIALS_PER_PARTITION = 100_000
@@ -186,7 +186,7 @@ def spread(data: DataFrame, min_partitions: int | None = None) -> DataFrame:
     read as one split would otherwise keep one core busy. On large inputs,
     which already have more splits than cores, it adds nothing."""
     want = min_partitions or data.sparkSession.sparkContext.defaultParallelism
-    size = int(data._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = plan_bytes(data)
     return data.repartition(want) if size < want * SPLIT_BYTES else data
 
 

@@ -39,15 +39,14 @@ def status(spark, deps, ok, **kw):
 
 
 @pytest.mark.parametrize("deps", [
-    {1: [2], 2: [1]}, {1: [1], 2: [1]}, {1: [2, 3], 2: [1], 3: []}, {1: [2], 2: [3], 3: [1], 4: [3, 5], 5: [], 6: [4]},
-    {1: [2], 2: [1], 3: [2], 4: [3, 5], 5: [4], 6: [5], 7: [], 1000: [7, 4]}, {1: [99], 2: [1, 99]}])
-@pytest.mark.parametrize("local", [DP.LOCAL, 0])
-def test_cycles_are_rows(spark, deps, local):
+    {1: [2], 2: [1]}, {1: [1], 2: [1]}, {1: [2, 3], 2: [1], 3: []}, {1: [99], 2: [1, 99]},
+    {1: [2], 2: [1], 3: [2], 4: [3, 5], 5: [4], 6: [5], 7: [], 1000: [7, 4], 1001: [1002], 1002: [1003], 1003: [1001], 1004: [1003, 7]}])
+def test_cycles_are_rows(spark, deps):
     ok = {j: True for j in deps}
-    assert status(spark, deps, ok, local=local) == plain(deps, ok)
+    assert status(spark, deps, ok) == plain(deps, ok)
 
 
-@pytest.mark.parametrize("seed,local", [(1, DP.LOCAL), (2, DP.LOCAL), (3, 0), (4, 25)])
+@pytest.mark.parametrize("seed,local", [(1, DP.LOCAL), (3, 25)])
 def test_random_graphs_with_cycles(spark, seed, local):
     rnd = random.Random(seed)
     n = 60
@@ -82,7 +81,7 @@ def test_a_ladder_ends_in_tens_of_rounds(spark, monkeypatch):
     assert not rounds  # 10,000 jobs are solved in one task
     want = {j: "Failed" if j == 4000 else "Skipped" if j > 4001 else "Complete" for j in deps}
     assert got == want
-    deps = ladder(400)
-    got = status(spark, deps, {j: j != 300 for j in deps}, local=200)
-    assert got == {j: "Failed" if j == 300 else "Skipped" if j > 301 else "Complete" for j in deps}
-    assert 1 <= len(rounds) <= 20  # depth 400 in a few rounds, each taking out a part of all jobs
+    deps = ladder(150)
+    got = status(spark, deps, {j: j != 100 for j in deps}, local=150)
+    assert got == {j: "Failed" if j == 100 else "Skipped" if j > 101 else "Complete" for j in deps}
+    assert 1 <= len(rounds) <= 20  # depth 150 in a few rounds, each taking out a part of all jobs
