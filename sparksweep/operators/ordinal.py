@@ -100,9 +100,9 @@ def _before(batches):
 
 
 def with_running_sum(df: DataFrame, order_cols: list[str], value_col: str, out_col: str,
-                     group_cols: list[str] | tuple = (), num_partitions: int | None = None) -> DataFrame:
+                     group_cols: list[str] | tuple = (), num_partitions: int | None = None, index_col: str | None = None) -> DataFrame:
     """Add the sum of ``value_col`` over the rows before each row inside its
-    group, in ``order_cols`` order (values must be >= 0; NULL counts as 0).
+    group, in ``order_cols`` order (NULL counts as 0), and with ``index_col`` the number of these rows.
 
     Skew-safe segmented prefix sum: rows are range partitioned on
     (group, order); a running sum inside each range partition
@@ -119,18 +119,24 @@ def with_running_sum(df: DataFrame, order_cols: list[str], value_col: str, out_c
         return rows.mapInArrow(_before, T.StructType([*rows.schema.fields, T.StructField("_ss_in", T.DoubleType())]))
 
     held = _ranged(df, list(group_cols) + list(order_cols), num_partitions, inside)
-    totals = {r["p"]: r["t"] for r in held.groupBy(_part().alias("p")).agg(F.sum("_ss_v").alias("t")).collect()}
-    offsets, acc = [], 0.0
+    found = held.groupBy(_part().alias("p")).agg(F.sum("_ss_v").alias("t"), F.count(F.lit(1)).alias("n")).collect()
+    totals = {r["p"]: (r["t"], r["n"]) for r in found}
+    offsets, shifts, acc, rows = [], [], 0.0, 0
     for p in range(max(totals, default=-1) + 1):
         offsets.append(acc)
-        acc += totals.get(p, 0.0) or 0.0
+        shifts.append(rows - (p << 33))
+        acc, rows = acc + (totals.get(p, (0.0, 0))[0] or 0.0), rows + totals.get(p, (0.0, 0))[1]
     x = held.withColumn("_ss_cum", _per_part(offsets).cast("double") + F.col("_ss_in")).drop("_ss_in")
+    x = x.withColumn("_ss_at", (F.col(_ROW) + _per_part(shifts)).cast("bigint"))
+    start, first = F.lit(0.0), F.lit(0)
     if group_cols:
         ren = {c: f"_ss_g{i}" for i, c in enumerate(group_cols)}
-        side = _written(x.groupBy(*[F.col(c).alias(ren[c]) for c in group_cols]).agg(F.min("_ss_cum").alias("_ss_start")))
+        side = _written(x.groupBy(*[F.col(c).alias(ren[c]) for c in group_cols]).agg(
+            F.min_by("_ss_cum", "_ss_at").alias("_ss_start"), F.min("_ss_at").alias("_ss_first")))
         cond = [x[c].eqNullSafe(side[ren[c]]) for c in group_cols]
-        x = x.join(side, cond).withColumn(out_col, F.col("_ss_cum") - F.col("_ss_start")).drop(
-            "_ss_start", *ren.values())
-    else:
-        x = x.withColumn(out_col, F.col("_ss_cum"))
-    return x.drop(_ROW, "_ss_v", "_ss_cum")
+        x, start, first = x.join(side, cond), F.col("_ss_start"), F.col("_ss_first")
+        x = x.drop(*ren.values())
+    x = x.withColumn(out_col, F.col("_ss_cum") - start)
+    if index_col:
+        x = x.withColumn(index_col, F.col("_ss_at") - first)
+    return x.drop(_ROW, "_ss_v", "_ss_cum", "_ss_at", "_ss_start", "_ss_first")

@@ -27,4 +27,4 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from sparksweep.plans import q_catalog, q_data, q_funcs, q_jobs, q_logs, q_stream, q_sweep  # noqa: F401
+    from sparksweep.plans import q_catalog, q_data, q_funcs, q_jobs, q_logs, q_stopping, q_stream, q_sweep  # noqa: F401

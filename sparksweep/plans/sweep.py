@@ -238,6 +238,39 @@ def score(data: DataFrame, trials: DataFrame, partials, names: list[str], metric
     return trials.select(*keep).join(scored, trial_key)
 
 
+def score_series(data: DataFrame, trials: DataFrame, partials, names: list[str], metrics: dict[str, Column], num_trials: int,
+                 params: list[str], step: str, trial_key: str = "trial_no") -> DataFrame:
+    """Score every trial at every step in one pass (a function that reports a metric per step): the column ``step`` of
+    ``data``, a whole number, says to which step a row belongs. ``partials`` as in ``score``; the partial sums are keyed by
+    (trial, step), added up in each task before the shuffle. A row per trial and step: trial_key, step, the metrics.
+    Tasks hold trials x steps sums: steps are the reports of a run (days, epochs), not rows."""
+    if trials.limit(num_trials + 1).count() > num_trials:
+        raise ValueError(f"the trial table has more than the declared num_trials={num_trials} rows")
+    ship_package(data.sparkSession)
+    rows = trials.select(trial_key, *params).toArrow()  # num_trials rows
+    spec = {c: rows.column(c).to_numpy() for c in rows.column_names}
+
+    def run(batches):
+        keys, sums = spec[trial_key], {}
+        for batch in batches:
+            cols = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names}
+            steps = cols[step]
+            for value in np.unique(steps):
+                some = {c: v[steps == value] for c, v in cols.items()}
+                held = sums.setdefault(int(value), {n: np.zeros(len(keys)) for n in names})
+                for at in range(0, len(keys), TRIALS_AT_ONCE):
+                    part = slice(at, at + TRIALS_AT_ONCE)
+                    for n, s in partials(some, {p: spec[p][part] for p in params}).items():
+                        held[n][part] += s
+        for value, held in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array([value] * len(keys), pa.int64()), *[pa.array(held[n]) for n in names]],
+                                             [trial_key, step, *names])
+
+    schema = f"{trial_key} long, {step} long, " + ", ".join(f"{n} double" for n in names)
+    summed = spread(data.where(F.col(step).isNotNull())).mapInArrow(run, schema).groupBy(trial_key, step).agg(*[F.sum(n).alias(n) for n in names])
+    return summed.select(trial_key, step, *[m.alias(k) for k, m in metrics.items()])
+
+
 def best_trial(scores: DataFrame, objectives, group_cols: list[str] | tuple = (),
                order_key: str = "trial_no") -> DataFrame:
     """Best trial per group, direction-aware on the first objective (TOP-1).
