@@ -7,10 +7,12 @@ here run with ``availableNow``: they drain what has landed and stop.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from sparksweep.session import shared_dir
 
@@ -22,33 +24,58 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_PROVIDER)
 
 
-def _start(df: DataFrame, writer_fn, state_partitions: int | None):
-    """Start a query with ``state_partitions`` state partitions (fixed in the
-    checkpoint at the first start) and put the session's setting back."""
+class _Totals(StreamingQueryListener):
+    """Adds up every progress report of the queries that run while it listens (``recentProgress`` keeps the last hundred)."""
+
+    def __init__(self):
+        self.found: dict[str, dict] = {}
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        t = self.found.setdefault(str(p.runId), {"rows_read": 0, "rows_dropped_late": 0, "batches": 0})
+        t["rows_read"] += int(p.numInputRows or 0)
+        t["rows_dropped_late"] += sum(int(op.numRowsDroppedByWatermark or 0) for op in p.stateOperators or [])
+        t["batches"] += 1
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.runId))
+
+
+def _start(df: DataFrame, writer_fn, state_partitions: int | None) -> dict:
+    """Run a query to its end with ``state_partitions`` state partitions (fixed in the
+    checkpoint at the first start) and put the session's setting back. Returns the rows read and
+    the rows dropped as late, over all of its micro-batches."""
     spark = df.sparkSession
     key = "spark.sql.shuffle.partitions"
     old = spark.conf.get(key)
-    if state_partitions:
-        spark.conf.set(key, str(state_partitions))
+    totals = _Totals()
+    spark.streams.addListener(totals)
     try:
-        q = writer_fn()
+        if state_partitions:
+            spark.conf.set(key, str(state_partitions))
+        try:
+            q = writer_fn()
+        finally:
+            spark.conf.set(key, old)
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+        run = str(q.runId)
+        end = time.monotonic() + 60
+        while run not in totals.ended:  # reports come in order, the end last
+            if time.monotonic() > end:
+                raise RuntimeError("the stream's progress reports did not arrive")
+            time.sleep(0.01)
     finally:
-        spark.conf.set(key, old)
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
-    return run_stats(q)
-
-
-def run_stats(q) -> dict:
-    """Rows read and rows a stateful operator dropped as late (behind the
-    watermark), summed over the query's recent progress reports."""
-    read = dropped = 0
-    for p in q.recentProgress:
-        read += int(p.numInputRows or 0)
-        for op in p.stateOperators or []:
-            dropped += int(op.numRowsDroppedByWatermark or 0)
-    return {"rows_read": read, "rows_dropped_late": dropped, "batches": len(q.recentProgress)}
+        spark.streams.removeListener(totals)
+    return totals.found.get(run, {"rows_read": 0, "rows_dropped_late": 0, "batches": 0})
 
 
 @dataclass(frozen=True)
@@ -89,10 +116,12 @@ def land_in_order(df: DataFrame, path: str, ts_col: str = "ts", buckets: int = 6
     if not sizes:
         df.limit(0).write.mode("append").parquet(path)
         return Landed(k, rejects, rejected)
-    k = max(1, min(k, *sizes.values()))
     for i in sorted(sizes):
+        n = min(k, sizes[i])
         for _ in range(copies):
-            rows.filter(F.col("_bucket") == i).drop("_bucket").repartition(k).write.mode("append").parquet(path)
+            rows.filter(F.col("_bucket") == i).drop("_bucket").repartition(n).write.mode("append").parquet(path)
+            for _ in range(k - n):  # a small bucket is filled up with empty files, so that all have as many
+                df.limit(0).write.mode("append").parquet(path)
     return Landed(k, rejects, rejected)
 
 
@@ -128,11 +157,11 @@ def file_stream(spark: SparkSession, path: str, schema, files_per_trigger: int =
 
 
 def run_to_parquet(df: DataFrame, name: str, mode: str = "append", state_partitions: int | None = None,
-                   stats: dict | None = None) -> str:
+                   stats: dict | None = None, checkpoint: str | None = None) -> str:
     """Drain ``df`` into a parquet folder (exactly once via the checkpoint).
     ``stats``, when given, receives rows read and rows dropped as late."""
     spark = df.sparkSession
-    out, ckpt = shared_dir(spark, f"{name}-out"), shared_dir(spark, f"{name}-ckpt")
+    out, ckpt = shared_dir(spark, f"{name}-out"), checkpoint or shared_dir(spark, f"{name}-ckpt")
     got = _start(df, lambda: (df.writeStream.format("parquet").option("path", out)
                               .option("checkpointLocation", ckpt).outputMode(mode)
                               .trigger(availableNow=True).start()), state_partitions)

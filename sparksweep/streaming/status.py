@@ -32,11 +32,16 @@ def fold_process_status(statuses) -> str:
 class JobStatusProcessor(StatefulProcessor):
     """STR-4: per job, the last status of each step by event time (a late row
     never moves a step backwards); emits (job, status, version) when the
-    folded job status changes."""
+    folded job status changes. With ``idle_s`` a timer drops the state of a job whose last row
+    lies so far behind the watermark."""
+
+    def __init__(self, idle_s: float | None = None):
+        self.idle_ms = None if idle_s is None else int(idle_s * 1000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.steps = handle.getMapState("steps", "step string", "ts_us long, seq long, status string")
-        self.last = handle.getValueState("last", "status string, version long")
+        self.last = handle.getValueState("last", "status string, version long, due_ms long")
 
     def handleInputRows(self, key, rows, timerValues):
         newest: dict = {}  # one state access per step and batch, not per row
@@ -51,24 +56,44 @@ class JobStatusProcessor(StatefulProcessor):
             if cur is None or new[:2] > (cur[0], cur[1]):
                 self.steps.updateValue((step,), new)
         st = fold_process_status(v[2] for v in self.steps.values())
-        prev = self.last.get()
-        if prev is None or prev[0] != st:
-            version = 0 if prev is None else prev[1] + 1
-            self.last.update((st, version))
+        prev, due = self.last.get(), 0
+        seen_ms = max(new[0] for new in newest.values()) // 1000
+        if self.idle_ms is not None:
+            due = max(seen_ms + self.idle_ms + 1, prev[2] if prev else 0)
+            if not prev or due > prev[2]:
+                if prev:
+                    self.handle.deleteTimer(prev[2])
+                self.handle.registerTimer(due)
+        changed = prev is None or prev[0] != st
+        version = prev[1] if prev else -1
+        if changed:  # with timers above the event time, so that a job that was dropped goes on above its earlier versions
+            version = max(version + 1, 0 if self.idle_ms is None else seen_ms)
+        if changed or due > (prev[2] if prev else 0):
+            self.last.update((st, version, due))
+        if changed:
             yield pd.DataFrame({"job": [key[0]], "status": [st], "version": [version]})
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.steps.clear()
+        self.last.clear()
+        yield from ()
+
     def close(self) -> None:
         pass
 
 
-def live_job_status(step_events: DataFrame) -> DataFrame:
-    """``step_events``: job, step, ts (TIMESTAMP_NTZ or TIMESTAMP), seq, status."""
+def live_job_status(step_events: DataFrame, idle_s: float | None = None, delay: str = "1 hour") -> DataFrame:
+    """``step_events``: job, step, ts (TIMESTAMP_NTZ or TIMESTAMP), seq, status. ``idle_s`` bounds the state to the jobs
+    whose last row is at most so much older than the watermark (the latest event time less ``delay``; rows behind it are
+    dropped). A job that reports again after that starts anew: its steps that don't report are then unknown, so
+    choose it longer than a job may be silent. Without it every job is kept."""
     ship_package(step_events.sparkSession)
-    x = step_events.select("job", "step", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"),
-                           "seq", "status")
+    x = step_events.select("job", "step", F.col("ts").cast("timestamp").alias("event_ts"), "seq", "status")
+    x = x.withColumn("ts_us", F.unix_micros("event_ts"))
+    x = x.drop("event_ts") if idle_s is None else x.withWatermark("event_ts", delay)
     return x.groupBy("job").transformWithStateInPandas(
-        statefulProcessor=JobStatusProcessor(), outputStructType="job string, status string, version long",
-        outputMode="Append", timeMode="None")
+        statefulProcessor=JobStatusProcessor(idle_s), outputStructType="job string, status string, version long",
+        outputMode="Append", timeMode="None" if idle_s is None else "EventTime")
 
 
 WAITING = "waiting"
@@ -77,11 +102,12 @@ WAITING = "waiting"
 class WaitProcessor(StatefulProcessor):
     """STR-5: a job is ``waiting`` from its first row on; the first change into a wanted status or Failed before
     start + timeout decides (reached / failed); else an event-time timer at the
-    deadline emits timed_out. Each job is decided once."""
+    deadline emits timed_out. A decided job is kept until a second timer, ``keep_s`` after its deadline, drops its
+    state; until then its further rows are ignored."""
 
-    def __init__(self, wanted, timeout_s: float):
+    def __init__(self, wanted, timeout_s: float, keep_s: float):
         self.wanted = set(wanted)
-        self.timeout_us = int(timeout_s * 1_000_000)
+        self.timeout_us, self.keep_ms = int(timeout_s * 1_000_000), int(keep_s * 1000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -114,39 +140,47 @@ class WaitProcessor(StatefulProcessor):
         if decided or decision is None:
             return
         ts, _, status = decision
-        self.state.update((start, deadline, True))
+        self._decide(start, deadline)
         self.handle.deleteTimer(-(-deadline // 1000))
         if ts <= deadline:
             yield self._emit(key[0], start, "reached" if status in self.wanted else "failed", status, ts)
         else:  # the first deciding change came after the deadline
             yield self._emit(key[0], start, "timed_out", None, deadline)
 
+    def _decide(self, start, deadline):
+        self.state.update((start, deadline, True))
+        self.handle.registerTimer(-(-deadline // 1000) + self.keep_ms + 1)
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         st = self.state.get()
-        if st is not None and not st[2]:
-            self.state.update((st[0], st[1], True))
+        if st is not None and st[2]:
+            self.state.clear()
+        elif st is not None:
+            self._decide(st[0], st[1])
             yield self._emit(key[0], st[0], "timed_out", None, st[1])
 
     def close(self) -> None:
         pass
 
 
-def wait_for_status(events: DataFrame, wanted=(COMPLETE,), timeout_s: float = 600, delay: str = "1 hour"):
+def wait_for_status(events: DataFrame, wanted=(COMPLETE,), timeout_s: float = 600, delay: str = "1 hour", keep_s: float = 86400):
     """``events``: job, ts, seq, status. Event time drives both the stream's
-    watermark and the time-out timers."""
+    watermark and the time-out timers. State holds the open jobs and those decided whose deadline lies less
+    than ``keep_s`` behind the watermark; a job with rows after that waits anew, which ``wait_result`` leaves out."""
     ship_package(events.sparkSession)
     x = events.select("job", F.col("ts").cast("timestamp").alias("event_ts"), "seq", "status")
     x = x.withColumn("ts_us", F.unix_micros("event_ts")).withWatermark("event_ts", delay)
     out = x.groupBy("job").transformWithStateInPandas(
-        statefulProcessor=WaitProcessor(wanted, timeout_s),
+        statefulProcessor=WaitProcessor(wanted, timeout_s, keep_s),
         outputStructType="job string, start_us long, outcome string, status string, decided_us long",
         outputMode="Append", timeMode="EventTime")
     return out
 
 
 def wait_result(out: DataFrame) -> DataFrame:
-    """Every job once: its decision, or ``waiting``. Timestamps back to the tables' TIMESTAMP_NTZ."""
-    last = out.groupBy("job").agg(F.min("start_us").alias("start_us"), F.max_by(
-        F.struct("outcome", "status", "decided_us"), F.when(F.col("outcome") == WAITING, 0).otherwise(1)).alias("d"))
+    """Every job once: the decision of its first wait, or ``waiting``. Timestamps back to the tables' TIMESTAMP_NTZ."""
+    open_last = F.struct("start_us", F.when(F.col("outcome") == WAITING, 1).otherwise(0))
+    last = out.groupBy("job").agg(F.min("start_us").alias("start_us"), F.min_by(
+        F.struct("outcome", "status", "decided_us"), open_last).alias("d"))
     return last.select("job", F.timestamp_micros("start_us").cast("timestamp_ntz").alias("start"), "d.outcome",
                        "d.status", F.timestamp_micros("d.decided_us").cast("timestamp_ntz").alias("decided_at"))

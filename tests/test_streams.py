@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from sparksweep.session import shared_dir
 from sparksweep.streaming import runner as R
 from sparksweep.streaming import status as SS
@@ -73,3 +75,56 @@ def test_windowed_observations_emit_closed_windows(spark, sf_dir):
               for r in batch.collect() if r["window"]["end"] <= last - dt.timedelta(hours=1)}
     assert got and set(closed) <= set(got)
     assert all(got[key] == closed[key] for key in closed)
+
+
+def test_every_late_row_is_counted(spark):
+    """More micro-batches than the reports that a query keeps."""
+    R.prepare(spark)
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "3")
+    try:
+        batches = [[("j", T0 + dt.timedelta(hours=h), h, "Running")] + ([("j", T0, 100 + h, "Running")] if h > 2 else []) for h in range(12)]
+        stream = _land(spark, batches, EVENT_SCHEMA, "late-count")
+        from sparksweep.streaming import logs as SL
+        stats = {}
+        out = R.run_to_parquet(SL.deliver_once(SL.event_time(stream), ["job", "seq"], "event_ts", "1 hour"), "late-count", state_partitions=2, stats=stats)
+    finally:
+        spark.conf.set(key, before)
+    assert stats["rows_read"] == 21 and stats["batches"] >= 12
+    assert stats["rows_dropped_late"] == 9 and spark.read.parquet(out).count() == 12
+
+
+def _state(spark, ckpt, name):
+    return spark.read.format("statestore").option("path", ckpt).option("stateVarName", name).load()
+
+
+def test_decided_jobs_leave_the_state(spark):
+    R.prepare(spark)
+    hour = dt.timedelta(hours=1)
+    batches = [[(f"j{h}", T0 + h * hour, 2 * h, "Running"), (f"j{h}", T0 + h * hour + dt.timedelta(minutes=5), 2 * h + 1,
+                "Complete" if h % 2 else "Running")] for h in range(12)]
+    batches.append([("j0", T0 + 12 * hour, 99, "Complete")])  # a job that was decided and forgotten
+    ckpt = shared_dir(spark, "wait-ckpt")
+    out = R.run_to_parquet(SS.wait_for_status(_land(spark, batches, EVENT_SCHEMA, "wait-state"), ("Complete",), 1800, "1 minute", keep_s=3600),
+                           "wait-state", state_partitions=2, checkpoint=ckpt)
+    left = {r["key"]["job"] for r in _state(spark, ckpt, "wait").collect()}
+    # open or decided less than an hour ago: the rest is gone
+    assert left <= {"j0", "j10", "j11"} and "j11" in left
+    got = {r["job"]: r["outcome"] for r in SS.wait_result(spark.read.parquet(out)).collect()}
+    assert got == {f"j{h}": "reached" if h % 2 else "timed_out" for h in range(12)}
+
+
+def test_idle_jobs_leave_the_state(spark):
+    R.prepare(spark)
+    hour = dt.timedelta(hours=1)
+    batches = [[(f"j{b}", "node-0", T0 + b * hour, b, "Running")] for b in range(6)]
+    batches += [[("j0", "node-0", T0 + 7 * hour, 9, "Complete")], [("j9", "node-0", T0 + 8 * hour, 10, "Created")]]
+    for idle, kept in ((3600, {"j0", "j9"}), (36000, {"j0", "j1", "j2", "j3", "j4", "j5", "j9"})):
+        ckpt = shared_dir(spark, "idle-ckpt")
+        stream = _land(spark, batches, STEP_SCHEMA, "idle")
+        out = R.run_to_parquet(SS.live_job_status(stream, idle_s=idle, delay="1 minute"), "idle", state_partitions=1, checkpoint=ckpt)
+        assert {r["key"]["job"] for r in _state(spark, ckpt, "last").collect()} == kept
+        last = spark.read.parquet(out).groupBy("job").agg(F.max_by("status", "version").alias("status"))
+        assert {r["job"]: r["status"] for r in last.collect()} == {
+            "j0": "Complete", "j9": "Created", **{f"j{b}": "Running" for b in range(1, 6)}}
