@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparksweep.operators.jobs import document_time, last_wins_map
+
 EXPERIMENT_SCHEMA = """
 metadata struct<name: string, namespace: string, creationTimestamp: string>,
 spec struct<
@@ -26,7 +28,7 @@ def parse_experiment_documents(docs: DataFrame, doc_col: str = "doc") -> DataFra
     settings (MAP), parameters (list as documented), created, error."""
     d = docs.select(F.from_json(doc_col, EXPERIMENT_SCHEMA).alias("d"))
     meta, spec = F.col("d.metadata"), F.col("d.spec")
-    created = F.try_to_timestamp(meta["creationTimestamp"], F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    created = document_time(meta["creationTimestamp"])
     text = lambda c: F.coalesce(c, F.lit("")) == ""
     number = lambda c: F.coalesce(c, F.lit(0)) == 0
     required = [("name", text(meta["name"])), ("namespace", text(meta["namespace"])), ("spec", spec.isNull()),
@@ -42,7 +44,8 @@ def parse_experiment_documents(docs: DataFrame, doc_col: str = "doc") -> DataFra
         spec["parallelTrialCount"].alias("parallel_trials"), spec["maxFailedTrialCount"].alias("max_failed_trials"),
         F.transform(metrics, lambda m: F.struct(m.alias("metric"), goal["type"].alias("direction"))).alias("objectives"),
         spec["algorithm"]["algorithmName"].alias("algorithm"),
-        F.map_from_entries(F.coalesce(spec["algorithm"]["algorithmSettings"], F.array().cast("array<struct<name:string,value:string>>"))).alias("settings"),
+        last_wins_map(F.coalesce(spec["algorithm"]["algorithmSettings"], F.array().cast("array<struct<name:string,value:string>>")),
+                      "name", "value").alias("settings"),
         spec["parameters"].alias("parameters"), created.alias("created"), error.alias("error"))
 
 
@@ -52,4 +55,4 @@ def parameter_settings(experiments: DataFrame) -> DataFrame:
     space = F.col("p.feasibleSpace")
     return x.select("experiment", F.col("p.name").alias("param"), F.col("p.parameterType").alias("kind"),
                     space["min"].alias("min_text"), space["max"].alias("max_text"), space["distribution"].alias("distribution"),
-                    F.array_join(space["list"], ",").alias("choices_text"))
+                    space["list"].alias("choices"))

@@ -24,11 +24,12 @@ INITIALIZERS = ("dataset-initializer", "model-initializer")
 JOB_DOC_SCHEMA = T.StructType([
     T.StructField("metadata", T.StructType([
         T.StructField("name", T.StringType()),
+        T.StructField("namespace", T.StringType()),
         T.StructField("creationTimestamp", T.StringType()),
     ])),
     T.StructField("spec", T.StructType([
         T.StructField("runtimeRef", T.StructType([T.StructField("name", T.StringType())])),
-        T.StructField("trainer", T.StructType([T.StructField("numNodes", T.LongType())])),
+        T.StructField("trainer", T.StructType([T.StructField("numNodes", T.StringType())])),
     ])),
     T.StructField("status", T.StructType([
         T.StructField("conditions", T.ArrayType(T.StructType([
@@ -38,42 +39,64 @@ JOB_DOC_SCHEMA = T.StructType([
 
 
 def job_documents(jobs: DataFrame) -> DataFrame:
-    """Render job rows as JSON documents shaped like the cluster's job objects."""
+    """Render job rows as JSON documents shaped like the cluster's job objects; every second job's node count is
+    quoted, and each 23rd job has no namespace."""
     conds = F.when(F.col("cond_type").isNull(), F.array().cast(
         "array<struct<type:string,status:string>>")).otherwise(
         F.array(F.struct(F.col("cond_type").alias("type"), F.col("cond_status").alias("status"))))
-    doc = F.struct(
-        F.struct(F.col("job").alias("name"),
-                 F.date_format("created", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("creationTimestamp")).alias("metadata"),
-        F.struct(F.struct(F.col("runtime_ref").alias("name")).alias("runtimeRef"),
-                 F.struct(F.col("num_nodes").alias("numNodes")).alias("trainer")).alias("spec"),
-        F.struct(conds.alias("conditions")).alias("status"))
-    return jobs.select(F.to_json(doc).alias("doc"))
+    space = F.when(F.col("job_no") % 23 != 0, F.concat(F.lit("team-"), F.col("job_no") % 3))
+
+    def doc(num_nodes: Column) -> Column:
+        return F.to_json(F.struct(
+            F.struct(F.col("job").alias("name"), space.alias("namespace"),
+                     F.date_format("created", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("creationTimestamp")).alias("metadata"),
+            F.struct(F.struct(F.col("runtime_ref").alias("name")).alias("runtimeRef"),
+                     F.struct(num_nodes.alias("numNodes")).alias("trainer")).alias("spec"),
+            F.struct(conds.alias("conditions")).alias("status")))
+
+    count = F.col("num_nodes")
+    return jobs.select(F.when(F.col("job_no") % 2 == 0, doc(count)).otherwise(doc(count.cast("string"))).alias("doc"))
 
 
 DOC_TIMES = ("yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'",
              "yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
 
 
+def document_time(text: Column) -> Column:
+    """The time of a document in any of its spellings; NULL if it has none of them."""
+    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in DOC_TIMES])
+
+
+def last_wins_map(items: Column, key: str, value: str) -> Column:
+    """A list of named values as a MAP; of several with one name the last counts. Items without a name are left out."""
+    named = F.filter(items, lambda e: e[key].isNotNull())
+    names = F.array_distinct(F.transform(named, lambda e: e[key]))
+    return F.map_from_entries(F.transform(names, lambda k: F.struct(
+        k.alias("key"), F.element_at(F.filter(named, lambda e: e[key] == k), -1)[value].alias("value"))))
+
+
 def parse_job_documents(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
-    """Flatten job documents: job, runtime_ref, num_nodes (0 means unset),
+    """Flatten job documents: job, namespace, runtime_ref, num_nodes (quoted or not, 0 means unset),
     created, conditions, error (the first required field that is missing or
     unreadable; the reference raises there)."""
     d = F.from_json(F.col(doc_col), JOB_DOC_SCHEMA).alias("d")
     x = docs.select(d)
     text = F.col("d.metadata.creationTimestamp")
-    created = F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in DOC_TIMES])
+    created, nodes = document_time(text), F.col("d.spec.trainer.numNodes")
     return x.select(
         F.col("d.metadata.name").alias("job"),
+        F.col("d.metadata.namespace").alias("namespace"),
         F.col("d.spec.runtimeRef.name").alias("runtime_ref"),
-        F.nullif(F.col("d.spec.trainer.numNodes"), F.lit(0)).alias("job_num_nodes"),
+        F.nullif(F.trim(nodes).try_cast("bigint"), F.lit(0)).alias("job_num_nodes"),
         created.alias("created"),
         F.coalesce(F.col("d.status.conditions"),
                    F.array().cast("array<struct<type:string,status:string>>")).alias("conditions"),
         F.when(F.col("d.metadata.name").isNull(), F.lit("missing name"))
+        .when(F.coalesce(F.col("d.metadata.namespace"), F.lit("")) == "", F.lit("missing namespace"))
         .when(F.col("d.spec").isNull(), F.lit("missing spec"))
         .when(text.isNull(), F.lit("missing creation time"))
-        .when(created.isNull(), F.lit("unreadable creation time")).alias("error"),
+        .when(created.isNull(), F.lit("unreadable creation time"))
+        .when(nodes.isNotNull() & F.trim(nodes).try_cast("bigint").isNull(), F.lit("node count is not a number")).alias("error"),
     )
 
 
@@ -275,10 +298,11 @@ def experiment_trials(trials: DataFrame, assignments: DataFrame, job_status: Dat
 
 
 def nested_parameters(flat: DataFrame) -> DataFrame:
-    """The reference's shape: parameters as a MAP per trial."""
+    """The reference's shape: parameters as a MAP per trial. Of several values assigned to one name the largest
+    text counts (the flat rows have no order of their own)."""
     lists = nested_list(flat, ["experiment", "trial", "trial_status"], F.struct("param", "value"),
                         F.col("param").isNotNull(), "_items")
-    return lists.select("experiment", "trial", "trial_status", F.map_from_entries("_items").alias("parameters"))
+    return lists.select("experiment", "trial", "trial_status", last_wins_map(F.col("_items"), "param", "value").alias("parameters"))
 
 
 def with_metrics(trials: DataFrame, observations: DataFrame) -> DataFrame:

@@ -54,13 +54,15 @@ _STATUS_CTES = {"rn": _RN_SQL, "js": _STATUS_SQL}
 
 @register("prj1_job_documents", with_views(f"""
 SELECT j.job, j.runtime_ref, {_EFF} AS num_nodes, j.created,
-       CAST(CASE WHEN j.cond_type IS NULL THEN 0 ELSE 1 END AS INTEGER) AS n_conditions, r.name IS NOT NULL AS runtime_found
+       CAST(CASE WHEN j.cond_type IS NULL THEN 0 ELSE 1 END AS INTEGER) AS n_conditions, r.name IS NOT NULL AS runtime_found,
+       CASE WHEN job_no % 23 <> 0 THEN concat('team-', job_no % 3) END AS namespace,
+       CASE WHEN job_no % 23 = 0 THEN 'missing namespace' END AS error
 FROM v_jobs j LEFT JOIN v_runtimes r ON r.name = j.runtime_ref""", "v_jobs", "v_runtimes"))
 def prj1_job_documents(spark, sf_dir):
     """JSON job documents flattened; node count falls back to the runtime's (0 = unset)."""
     x = parsed_jobs(spark, sf_dir)
     return x.select("job", "runtime_ref", "num_nodes", F.col("created").cast("timestamp_ntz").alias("created"),
-                    F.size("conditions").alias("n_conditions"), "runtime_found")
+                    F.size("conditions").alias("n_conditions"), "runtime_found", "namespace", "error")
 
 
 @register("jon1_job_runtime", with_views("""

@@ -31,11 +31,15 @@ def convert_value(text: Column, kind: str) -> Column:
 
 
 def read_back_space(settings: DataFrame) -> DataFrame:
-    """Typed search-space rows with ``error`` (NULL when valid)."""
+    """Typed search-space rows with ``error`` (NULL when valid). Choices come as an array (``choices``), or as text
+    joined by commas (``choices_text``)."""
     lo, hi = convert_value(F.col("min_text"), "double"), convert_value(F.col("max_text"), "double")
     given = lambda c: F.coalesce(F.col(c) != "", F.lit(False))
     dist = F.col("distribution")
-    choices = F.when(given("choices_text"), F.split(F.col("choices_text"), ","))
+    if "choices" in settings.columns:
+        choices = F.when(F.size("choices") > 0, F.col("choices"))
+    else:
+        choices = F.when(given("choices_text"), F.split(F.col("choices_text"), ","))
     listed = F.coalesce(F.col("kind") == CATEGORICAL, F.lit(False))
     err = (F.when(listed & choices.isNull(), F.lit("no choices"))
            .when(~listed & ~(given("min_text") & given("max_text") & given("distribution")), F.lit("bounds or distribution missing"))

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparksweep.operators.jobs import last_wins_map
+
 # fixed values: where downloaded data lands and the catalog source schemes
 DATASET_PATH = "/workspace/dataset"
 MODEL_PATH = "/workspace/model"
@@ -66,8 +68,10 @@ def options_text(m: Column) -> Column:
 
 def option_map(raw: Column) -> Column:
     """Initializer options as the job sees them: keys upper-cased, NULL values
-    dropped (lists are joined with commas by the caller)."""
-    return F.map_filter(F.transform_keys(raw, lambda k, v: F.upper(k)), lambda k, v: v.isNotNull())
+    dropped (lists are joined with commas by the caller). Of keys that differ in case only the last one counts."""
+    items = F.transform(F.filter(F.map_entries(raw), lambda e: e["value"].isNotNull()),
+                        lambda e: F.struct(F.upper(e["key"]).alias("key"), e["value"].alias("value")))
+    return last_wins_map(items, "key", "value")
 
 
 def resolve(uri: Column, num_data_nodes: Column | None = None, mounts: dict | None = None):

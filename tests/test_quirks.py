@@ -228,16 +228,36 @@ def test_devices_from_the_limits_map(spark):
         ("c", "cpu", "12", None), ("d", "tpu", "10", None), ("e", "cpu", "500m", None)]
 
 
-def test_job_documents_with_odd_times_are_rejects(spark):
+def test_job_documents_with_odd_fields_are_rejects(spark):
+    t = '"creationTimestamp":"2024-01-02T03:04:05Z"'
     docs = spark.createDataFrame([(x,) for x in (
-        '{"metadata":{"name":"a","creationTimestamp":"2024-01-02T03:04:05.123Z"},"spec":{"runtimeRef":{"name":"r"}}}',
-        '{"metadata":{"name":"b","creationTimestamp":"yesterday"},"spec":{"runtimeRef":{"name":"r"}}}',
-        '{"metadata":{"creationTimestamp":"2024-01-02T03:04:05Z"},"spec":{"runtimeRef":{"name":"r"}}}',
-        '{"metadata":{"name":"d","creationTimestamp":"2024-01-02T03:04:05Z"}}', "nonsense")], "doc string")
-    got = J.parse_job_documents(docs).select("job", F.col("created").cast("string").alias("t"), "error").collect()
-    assert [(r["job"], r["t"], r["error"]) for r in got] == [
-        ("a", "2024-01-02 03:04:05.123", None), ("b", None, "unreadable creation time"),
-        (None, "2024-01-02 03:04:05", "missing name"), ("d", "2024-01-02 03:04:05", "missing spec"), (None, None, "missing name")]
+        '{"metadata":{"name":"a","namespace":"n","creationTimestamp":"2024-01-02T03:04:05.123Z"},"spec":{"trainer":{"numNodes":"2"}}}',
+        '{"metadata":{"name":"b","namespace":"n","creationTimestamp":"yesterday"},"spec":{"trainer":{"numNodes":3}}}',
+        '{"metadata":{"namespace":"n",' + t + '},"spec":{"runtimeRef":{"name":"r"}}}',
+        '{"metadata":{"name":"d","namespace":"n",' + t + '}}', "nonsense",
+        '{"metadata":{"name":"e",' + t + '},"spec":{}}', '{"metadata":{"name":"f","namespace":"n",' + t + '},"spec":{"trainer":{"numNodes":"two"}}}')], "doc string")
+    got = J.parse_job_documents(docs).select("job", F.col("created").cast("string").alias("t"), "job_num_nodes", "error").collect()
+    assert [tuple(r) for r in got] == [
+        ("a", "2024-01-02 03:04:05.123", 2, None), ("b", None, 3, "unreadable creation time"), (None, "2024-01-02 03:04:05", None, "missing name"),
+        ("d", "2024-01-02 03:04:05", None, "missing spec"), (None, None, None, "missing name"), ("e", "2024-01-02 03:04:05", None, "missing namespace"),
+        ("f", "2024-01-02 03:04:05", None, "node count is not a number")]
+
+
+def test_repeated_names_do_not_fail(spark):
+    from sparksweep.operators import experiments as EX
+    doc = ('{"metadata":{"name":"e","namespace":"n","creationTimestamp":"2024-01-02T03:04:05.5Z"},"spec":{"parameters":[{"name":"p","parameterType":"categorical",'
+           '"feasibleSpace":{"list":["1,2","3"]}}],"objective":{"type":"minimize","objectiveMetricName":"loss"},"algorithm":{"algorithmName":"random",'
+           '"algorithmSettings":[{"name":"random_state","value":"1"},{"name":"x","value":"0"},{"name":"random_state","value":"2"}]},'
+           '"maxTrialCount":1,"parallelTrialCount":1}}').replace(".5Z", ".500Z")
+    x = EX.parse_experiment_documents(spark.createDataFrame([(doc,)], "doc string"))
+    r = x.first()
+    assert r["error"] is None and r["settings"] == {"random_state": "2", "x": "0"} and r["created"].microsecond == 500_000
+    assert SP.read_back_space(EX.parameter_settings(x)).first()["choices"] == "1,2|3"  # two choices, one with a comma
+    flat = spark.createDataFrame([("e", "t", "Complete", "lr", "0.1"), ("e", "t", "Complete", "lr", "0.2"), ("e", "u", "Complete", None, None)],
+                                 "experiment string, trial string, trial_status string, param string, value string")
+    assert {r["trial"]: r["parameters"] for r in J.nested_parameters(flat).collect()} == {"t": {"lr": "0.2"}, "u": {}}
+    m = spark.range(1).select(U.option_map(F.create_map(F.lit("a"), F.lit("1"), F.lit("A"), F.lit("2"), F.lit("b"), F.lit(None))).alias("m"))
+    assert m.first()["m"] == {"A": "2"}
 
 
 def test_lines_end_as_in_splitlines(spark):
