@@ -279,9 +279,9 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     return now
 
 
-def _keyed(docs: DataFrame, text: str, doc_id: str) -> dict:
+def _keyed(docs: DataFrame, text: str, doc_id: str, prefix: str = "_") -> dict:
     th = F.xxhash64(F.col(text))
-    return {"_id": F.coalesce(F.col(doc_id).cast("long"), -F.shiftrightunsigned(th, 1) - 1), "_th": th}
+    return {f"{prefix}id": F.coalesce(F.col(doc_id).cast("long"), -F.shiftrightunsigned(th, 1) - 1), f"{prefix}th": th}
 
 
 def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
@@ -311,6 +311,11 @@ def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold:
 
 def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """The input's columns for one row of each group: the one with the smallest id."""
-    firsts = link(docs, text, doc_id, threshold).where("first").select("_id", "_th").distinct()
-    keyed = docs.withColumns(_keyed(docs, text, doc_id))
-    return keyed.join(firsts, ["_id", "_th"], "left_semi").dropDuplicates(["_id", "_th"]).select(*docs.columns)
+    names = {c.lower() for c in docs.columns}
+    prefix = "_"
+    while {f"{prefix}id", f"{prefix}th"} & names:  # a name that no column has
+        prefix += "_"
+    key = [f"{prefix}id", f"{prefix}th"]
+    firsts = link(docs, text, doc_id, threshold).where("first").select(F.col("_id").alias(key[0]), F.col("_th").alias(key[1])).distinct()
+    keyed = docs.withColumns(_keyed(docs, text, doc_id, prefix))
+    return keyed.join(firsts, key, "left_semi").dropDuplicates(key).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -161,6 +161,12 @@ def test_one_of_each_group_stays(spark):
     assert jaccard_join.one_of_each(df.where("false")).count() == 0
 
 
+def test_one_of_each_keeps_columns_of_any_name(spark):
+    rows = [(i, "the same text for all of them here", f"v{i}", i) for i in (3, 1, 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _id string, __TH int")
+    assert [tuple(r) for r in jaccard_join.one_of_each(df).collect()] == [(1, "the same text for all of them here", "v1", 1)]
+
+
 def test_components_of_a_long_chain(spark):
     n = 200
     edges = spark.createDataFrame([((i * 7919) % 1009, ((i + 1) * 7919) % 1009) for i in range(n)], "u long, v long")
