@@ -19,33 +19,38 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that the default policy rejects."""
+    """Drop the documents that the default policy rejects: null, empty and wordless texts among them. Each row is judged on its
+    own, so repeated rows stay or go together; columns beside those of documents are left out; an empty table stays empty."""
     ship_package(spark)
     return quality_rules.keep(docs.select(*COLUMNS))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut boilerplate lines; a document stays, also with little text left."""
+    """Cut boilerplate lines; a document stays, also with little or no text left. Null and empty texts stay as they are; of
+    rows with one line the smallest id keeps it, repeated rows of that id all do; n_chars is counted anew."""
     ship_package(spark)
     out = line_dedup.remove_boilerplate(docs)
     return out.withColumns({"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast("long")}).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near copies."""
+    """Keep the document with the smallest id of each group of near copies; of rows with equal id and text one. Texts
+    without words (null, empty) are no copies of each other and stay; a row without id is ordered by its text's hash."""
     ship_package(spark)
     return jaccard_join.one_of_each(docs).select(*COLUMNS)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that hold a window of a benchmark item."""
+    """Drop the documents that hold a window of a benchmark item. Null and empty texts hold none; repeated rows go together;
+    an empty benchmark drops nothing."""
     ship_package(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontamination.find_items(docs, benchmark).where("n_hit = 0").select(*COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat or thin the sources to their target weights, in shuffled order."""
+    """Repeat or thin the sources to their target weights, in shuffled order. A null source is a source; repeated rows
+    draw the same count; a row without id draws by its text; adds rate, copy_no and shuffle_key."""
     ship_package(spark)
     return mixing.mix_sources(docs)
 
