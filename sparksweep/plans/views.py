@@ -71,7 +71,7 @@ def jobs(spark, sf_dir) -> DataFrame:
 
 def steps(spark, sf_dir) -> DataFrame:
     """One step per line item. The window is per order, whose size the schema
-    bounds (seven lines here, up to some tens in other tables), so no window partition can grow with the data."""
+    bounds (some tens of lines at most), so no window partition can grow with the data."""
     li = table(spark, sf_dir, "lineitem")
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
     x = li.withColumn("idx", (F.row_number().over(w) - 1).cast("bigint"))
