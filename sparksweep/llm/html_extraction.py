@@ -64,7 +64,8 @@ IMPLIED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
 DEFAULT = {"word": 1.0, "link word": -0.5, "outside word": -1.0, "tag": -0.05}
 
 MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-                    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+                    # possessive, and a quote without a partner is a character: every tag matches at the first try
+                    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 
 
@@ -116,7 +117,14 @@ def _tokens(page: str) -> Iterator[tuple[str, str, bool, bool, tuple[int, ...]]]
     seen = 0
     aside = None  # depth of the open subtree that is set aside
     content = links = 0
+    opened: Counter = Counter()  # names on the stack
     at, n = 0, len(page)
+
+    def pop() -> str:
+        top = stack.pop()
+        opened[top] -= 1
+        return top
+
     while at < n:
         while doubtful and doubtful[-1][0] > len(stack):
             doubtful.pop()
@@ -130,12 +138,12 @@ def _tokens(page: str) -> Iterator[tuple[str, str, bool, bool, tuple[int, ...]]]
         if not name:
             continue
         if m["end"]:
-            if name not in stack:
+            if not opened[name]:
                 if aside is None:
                     yield "tag", name, content > 0, links > 0, tuple(k for _, k in doubtful)
                 continue
             while stack:  # closes what was left open inside, too
-                top = stack.pop()
+                top = pop()
                 content -= top in CONTENT
                 links -= top == "a"
                 if top == name:
@@ -155,13 +163,13 @@ def _tokens(page: str) -> Iterator[tuple[str, str, bool, bool, tuple[int, ...]]]
             continue
         if aside is not None and name in CONTENT and not _set_aside(name, rest, False):
             while len(stack) >= aside:  # an unclosed menu or box ends where the article begins
-                top = stack.pop()
+                top = pop()
                 content -= top in CONTENT
                 links -= top == "a"
             aside = None
         for top in IMPLIED.get(name, ()):
             if stack and stack[-1] == top and (aside is None or len(stack) > aside):
-                stack.pop()
+                pop()
         while doubtful and doubtful[-1][0] > len(stack):
             doubtful.pop()
         if rest.endswith("/") and name not in BLOCKS and name not in RAW:
@@ -181,6 +189,7 @@ def _tokens(page: str) -> Iterator[tuple[str, str, bool, bool, tuple[int, ...]]]
                 seen += 1
                 doubtful.append((len(stack) + 1, seen))
         stack.append(name)
+        opened[name] += 1
         content += name in CONTENT
         links += name == "a"
 

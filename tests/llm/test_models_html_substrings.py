@@ -275,3 +275,18 @@ def test_pipeline_stages_take_effect(spark, sf_dir):
     assert clean.columns == names and both.count() - clean.count() == leaked > 0
     for name, fn in corpus_pipeline.STAGES:
         assert fn(spark, both.where("false"), sf_dir).count() == 0, name
+
+
+@pytest.mark.parametrize("page", [
+    "<p class=\"a>" * 80_001, "<p class='a \">" * 70_001, "<a b='c>" * 100_001 + "\"", "<b>" * 200_000 + "</i>" * 100_000, "<!-- x " * 100_000, "<" * 900_000],
+    ids=["double", "both", "single", "unclosed", "comments", "brackets"])
+def test_odd_markup_of_a_megabyte_takes_seconds_at_most(page):
+    import time
+    start = time.process_time()
+    assert isinstance(html_extraction.extract(page, html_extraction.DEFAULT), str)
+    assert time.process_time() - start < 5
+
+
+def test_a_quote_without_a_partner_ends_with_its_tag():
+    page = "<html><body><article><p title=\"x>one two three four</p><p>five six seven eight</p></article></body></html>"
+    assert html_extraction.extract(page, html_extraction.DEFAULT) == "one two three four\n\nfive six seven eight"
