@@ -286,7 +286,9 @@ def fit(pages: DataFrame, html: str = "html", page_id: str = "page_id", sample:
     """Weights from at most ``sample`` labelled pages."""
     order = F.xxhash64(F.coalesce(F.col(page_id).cast("string"), F.lit("")), F.lit("html-sample"))
     labelled = pages.where(F.size(F.regexp_extract_all(F.lower(F.col(html)), F.lit(r"<(?:article|main)\b"), F.lit(0))) == 1)
-    rows = labelled.select(F.col(html).alias("html"), order.alias("o")).orderBy("o", "html").limit(sample)
+    # the hashes alone are sorted; only pages below the last one chosen go on
+    last = labelled.select(order.alias("o")).orderBy("o").limit(sample).agg(F.max("o")).first()[0]
+    rows = labelled.select(F.col(html).alias("html"), order.alias("o")).where(F.col("o") <= F.lit(last)).limit(sample)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
