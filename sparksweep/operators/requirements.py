@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparksweep.session import shared_dir
+
 # fixed value: the leading distribution name of a requirement string
 NAME_RE = r"^\s*([A-Za-z0-9][A-Za-z0-9._-]*)"
 REST_RE = r"^\s*[A-Za-z0-9][A-Za-z0-9._-]*(.*)$"
@@ -85,16 +87,25 @@ def merge(runtime_reqs: DataFrame, job_reqs: DataFrame, job: str = "job") -> Dat
     requirement. A runtime row without a readable name can't be overridden: it
     stays, at its position, and is listed by ``merge_rejects``.
     """
-    keys = with_names(job_reqs).groupBy(job, "name").agg(F.count(F.lit(1)).alias("_n")).drop("_n")
-    has_list = keys.select(job).distinct().withColumn("_has", F.lit(True))
-    rows = with_names(runtime_reqs).join(has_list, job, "left")
-    merged = F.coalesce(F.col("_has"), F.lit(False)) & F.col("name").isNotNull()
-    last = rows.filter(merged).groupBy(job, "name").agg(
-        F.max("pos").alias("pos"), F.max_by("requirement", "pos").alias("requirement"))
-    kept = last.join(keys, [job, "name"], "left_anti").select(job, "pos", "requirement")
-    as_is = rows.filter(~merged).select(job, "pos", "requirement")
+    side = lambda df, n: df.select(job, F.lit(n).alias("section"), "pos", "requirement")
+    return merge_sections(side(runtime_reqs, 0).unionByName(side(job_reqs, 1)), job)
+
+
+def merge_sections(reqs: DataFrame, job: str = "job") -> DataFrame:
+    """JON-6 for both lists in one table, marked by ``section`` (0 runtime, 1 job). The rows with their names are written
+    once, so that what they come from is computed once; the merge reads them by section."""
+    path = shared_dir(reqs.sparkSession, "requirements")
+    with_names(reqs.select(job, "section", "pos", "requirement")).write.partitionBy("section").parquet(path)
+    rows = reqs.sparkSession.read.schema(f"{job} {dict(reqs.dtypes)[job]}, pos {dict(reqs.dtypes)['pos']}, requirement string, name string, section int").parquet(path)
+    has_list = rows.where("section = 1").select(job).distinct().withColumn("_has", F.lit(True))
+    named = rows.where("name is not null").groupBy(job, "name").agg(
+        F.max("section").alias("_top"), F.max(F.when(F.col("section") == 0, F.col("pos"))).alias("pos"),
+        F.max_by(F.when(F.col("section") == 0, F.col("requirement")), F.when(F.col("section") == 0, F.col("pos"))).alias("requirement"))
+    kept = named.where("_top = 0").join(has_list, job).select(job, "pos", "requirement")
+    flagged = rows.where("section = 0").join(has_list, job, "left")
+    as_is = flagged.where("_has is null or name is null").select(job, "pos", "requirement")
     runtime_part = kept.unionByName(as_is).withColumn("section", F.lit(0))
-    job_part = job_reqs.select(job, "pos", "requirement").withColumn("section", F.lit(1))
+    job_part = rows.where("section = 1").select(job, "pos", "requirement").withColumn("section", F.lit(1))
     return runtime_part.unionByName(job_part).select(job, "section", "pos", "requirement")
 
 

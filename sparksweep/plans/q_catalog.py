@@ -127,7 +127,9 @@ UNION ALL SELECT job, 1, pos, requirement FROM jb) u""", "v_req_runtime", "v_req
         WHERE rn = 1"""}))
 def jon6_requirement_merge(spark, sf_dir):
     """Job requirement lists override runtime lists on canonical name, per job."""
-    return _shown(R.merge(V.req_runtime(spark, sf_dir), V.req_job(spark, sf_dir)))
+    both = V.req_all(spark, sf_dir).where(F.col("side").isin("F", "O"))
+    section = F.when(F.col("side") == "F", 0).otherwise(1)
+    return _shown(R.merge_sections(both.select("job", section.alias("section"), "pos", "requirement")))
 
 
 @register("jon6_requirement_rejects", with_views(f"""
