@@ -19,6 +19,18 @@ def drop_columns(df: DataFrame, names) -> DataFrame:
     return df.select(*[df[f"`{c}`"] for c in df.columns if c.lower() not in low])
 
 
+def free_names(columns, *names: str) -> list[str]:
+    """Names for helper columns that no column has (names are case-insensitive, as in Spark)."""
+    low = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name in low:
+            name = f"_{name}"
+        out.append(name)
+        low.add(name)
+    return out
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the texts of each stay below ``limit`` bytes, or are a single row."""
     for batch in batches:

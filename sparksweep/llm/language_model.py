@@ -9,17 +9,18 @@ writes (1) the exact unigram counts and (2) its part of the filter.
 
 Filter. A count c is quantised to q = 1 + floor(log_b c); the n-gram is inserted
 with each level 1..q. A probe asks for levels 1, 2, ... until one is missing.
-Its keys are the segment and 40 more bits of the hash. A segment's part has ``BITS`` bits for each level of its n-grams, so the filter grows with
-the n-grams and its rate of false positives is the same at any size. The model is
+Its keys are the segment and 36 more bits of the hash. A segment's part has ``BITS`` bits for each level of its
+n-grams, so the filter grows with the n-grams and its rate of false positives is the same at any size. The model is
 P(w|v) = (c(vw) + MU * P(w)) / (c(v) + MU) with P(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)),
-all counts from the filter, applied from order 1 up.
+all counts quantised, applied from order 1 up.
 
-Probes. No task holds the whole filter and it is not broadcast: the texts to score are cut into units
-of at most ``UNIT_BYTES`` (or one text), each unit's distinct n-grams are shuffled to their
-segments, which answer with their levels, and the levels are shuffled back to the unit.
+Probes. The texts to score are cut into units of at most ``UNIT_BYTES`` (or one text), written once. Consecutive
+segments make a block of at most ``BLOCK_BYTES``; the distinct n-grams of each unit are written as questions by block.
+One block after the other is broadcast to the workers, which read that block's questions, and no others, and write the
+levels found: no shuffle. The levels then meet their units in the one shuffle of the scoring.
 
-Exact unigram base. The ``TOP`` most frequent token types are broadcast (12 bytes
-each); the tokens of a text that aren't among them are looked up by a join with all others.
+Exact unigram base. The ``TOP`` most frequent token types are broadcast (16 bytes
+each); the other tokens' exact counts are answered with the levels, by the block that holds them.
 
 Defined results: a null or empty text is its end token; with no training texts every count is
 0; repeated rows are scored each on its own; an empty table gives an empty result. Clashing
@@ -39,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparksweep.llm.batch import WHITE, RollingHash, drop_columns, mix, slices, word_hashes
+from sparksweep.llm.batch import WHITE, RollingHash, drop_columns, free_names, mix, slices, utf8, word_hashes
 from sparksweep.session import shared_dir
 
 ORDER = 2
@@ -48,7 +49,8 @@ MU = 20.0
 PROBES = 5
 BITS = 24  # of the filter per n-gram and level
 UNIT_BYTES = 4 << 20
-SEGMENT_BYTES = 8 << 20
+SEGMENT_BYTES = 8 << 20  # of training text for each segment
+BLOCK_BYTES = 64 << 20  # of the model that are broadcast at once
 TOP = 1 << 18
 HELD = 2 << 20  # n-grams that a task gathers before it sums them up
 END = np.uint64(0x5851F42D4C957F2D)
@@ -123,8 +125,8 @@ def unsqueeze(data: bytes) -> bytes:
 
 
 def spare(segments: int) -> np.uint64:
-    """The low bits that the filter's keys leave out: 40 are kept below those that name the segment."""
-    return np.uint64(max(0, 24 - (segments.bit_length() - 1)))
+    """The low bits that the filter's keys leave out: 36 are kept below those that name the segment."""
+    return np.uint64(max(0, 28 - (segments.bit_length() - 1)))
 
 
 def short(hashes: np.ndarray, segments: int) -> np.ndarray:
@@ -140,23 +142,41 @@ def unpack(data: bytes, drop: np.uint64) -> np.ndarray:
     return np.cumsum(from_planes(unsqueeze(data), np.uint64), dtype=np.uint64) << drop
 
 
-def pack_texts(tokens: np.ndarray) -> tuple[bytes, bytes]:
-    """The tokens' kinds, the most frequent first, and the place of each token among them."""
-    kinds, which, n = np.unique(tokens, return_inverse=True, return_counts=True)
-    order = np.argsort(-n, kind="stable")
-    rank = np.empty(len(kinds), np.uint32)
-    rank[order] = np.arange(len(kinds), dtype=np.uint32)
-    return kinds[order].tobytes(), squeeze(planes(rank[which]))
+def pack_numbers(numbers: np.ndarray) -> bytes:
+    return squeeze(planes(np.ascontiguousarray(numbers)))
 
 
-def unpack_texts(kinds: bytes, which: bytes) -> np.ndarray:
-    return np.frombuffer(kinds, np.uint64)[from_planes(unsqueeze(which), np.uint32)]
+def pack_texts(column: pa.Array) -> tuple[bytes, bytes]:
+    """The texts' bytes and their bounds."""
+    buf, offs = utf8(column)
+    return squeeze(buf.tobytes()), pack_numbers(offs)
+
+
+def unpack_texts(data: bytes, bounds: bytes) -> pa.Array:
+    offs = from_planes(unsqueeze(bounds), np.int64)
+    return pa.StringArray.from_buffers(len(offs) - 1, pa.py_buffer(offs.astype(np.int32).tobytes()), pa.py_buffer(unsqueeze(data)))
+
+
+@dataclass
+class Unit:
+    """The n-grams of some texts: ``kinds`` of tokens (sorted) and ``keys`` of longer ones."""
+    tokens: np.ndarray
+    rows: np.ndarray
+    kinds: np.ndarray
+    which: np.ndarray
+    keys: np.ndarray
+
+    @staticmethod
+    def read(hasher: RollingHash, row: dict, order: int, segments: int) -> Unit:
+        tokens, rows = with_ends(*word_hashes(hasher, unpack_texts(row["texts"], row["bounds"]), WHITE))
+        kinds, which = np.unique(tokens, return_inverse=True)
+        return Unit(tokens, rows, kinds, which, wanted_keys(tokens, rows, order, segments))
 
 
 def wanted_keys(tokens: np.ndarray, rows: np.ndarray, order: int, segments: int) -> np.ndarray:
-    """The filter's keys of the distinct n-grams and contexts of a unit, sorted. The contexts of order 2 are tokens."""
-    found = [tokens, *[ngrams(tokens, rows, n) for n in range(2, order + 1)], *[contexts(tokens, rows, n) for n in range(3, order + 1)]]
-    return np.unique(np.concatenate([np.unique(short(x, segments)) for x in found]))
+    """The filter's keys of a unit's distinct n-grams and contexts of two tokens or more, sorted."""
+    found = [*[ngrams(tokens, rows, n) for n in range(2, order + 1)], *[contexts(tokens, rows, n) for n in range(3, order + 1)]]
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *[short(x, segments) for x in found]]))
 
 
 def levels(counts: np.ndarray, base: float) -> np.ndarray:
@@ -246,7 +266,7 @@ def train(docs: DataFrame, text: str = "text", order: int = ORDER, base: float =
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(part, pa.int32()), pa.array([n] * len(part), pa.int32()),
                      pa.array([pack(hs[i], drop[n]) for i in part], pa.binary()),
-                     pa.array([cs[i].astype(np.int64).tobytes() for i in part], pa.binary())], ["segment", "n", "hashes", "counts"])
+                     pa.array([pack_numbers(cs[i].astype(np.int64)) for i in part], pa.binary())], ["segment", "n", "hashes", "counts"])
 
         for batch in slices(batches, "text"):
             tokens, rows = with_ends(*word_hashes(hasher, batch.column(0), WHITE))
@@ -266,7 +286,7 @@ def train(docs: DataFrame, text: str = "text", order: int = ORDER, base: float =
         for n in range(1, order + 1):
             mine = table.filter(pc.equal(table.column("n"), n))
             h = np.concatenate([np.zeros(0, np.uint64), *[unpack(x, drop[n]) for x in mine.column("hashes").to_pylist()]])
-            c = np.frombuffer(b"".join(mine.column("counts").to_pylist()), np.int64)
+            c = np.concatenate([np.zeros(0, np.int64), *[from_planes(unsqueeze(x), np.int64) for x in mine.column("counts").to_pylist()]])
             out[n] = summed(h, c)
             keys.append(out[n])
         counts = np.concatenate([c for _, c in keys])
@@ -310,77 +330,130 @@ def _types(wanted):
     return run
 
 
-def _scores(units: DataFrame, model: Model, order: int, base: float, mu: float) -> DataFrame:
-    """(_row, score) of the texts of the units."""
-    segments, names, drop = model.segments, units.columns, spare(model.segments)
-    cuts = np.arange(1, segments, dtype=np.uint64) << np.uint64(64 - (segments.bit_length() - 1))
-    denominator = model.tokens + 0.5 * (model.types + 1)
+def frequent(kinds: np.ndarray, top_hash: np.ndarray, top_count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which kinds are among the most frequent, and their counts (0 for the others)."""
+    if not len(top_hash):
+        return np.zeros(len(kinds), bool), np.zeros(len(kinds), np.int64)
+    place = np.minimum(np.searchsorted(top_hash, kinds), len(top_hash) - 1)
+    found = top_hash[place] == kinds
+    return found, np.where(found, top_count[place], 0)
 
-    def texts(row: dict) -> tuple[np.ndarray, np.ndarray]:
-        rows = np.frombuffer(row["rows"], np.int64)
-        return unpack_texts(row["kinds"], row["which"]), rows
+
+def look_up(block: dict, tokens: np.ndarray, keys: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
+    """Exact counts of the tokens, and the levels of the tokens and then of the keys; both are sorted.
+    ``block``: segment -> (filter, sorted unigram hashes, their counts)."""
+    shift = np.uint64(64 - (segments.bit_length() - 1))
+    counts, level = np.zeros(len(tokens), np.int64), np.zeros(len(tokens) + len(keys), np.uint8)
+    of_tokens, of_keys = tokens >> shift, keys >> shift
+    for segment, (part, hashes, exact) in block.items():
+        ends = np.array([segment, segment + 1], np.uint64)
+        a, b = np.searchsorted(of_tokens, ends)
+        if a < b:
+            counts[a:b] = frequent(tokens[a:b], hashes, exact)[1]
+            level[a:b] = probe_levels(part[None, :], short(tokens[a:b], segments))
+        a, b = np.searchsorted(of_keys, ends)
+        if a < b:
+            level[len(tokens) + a: len(tokens) + b] = probe_levels(part[None, :], keys[a:b])
+    return counts, level
+
+
+def _levels(units: DataFrame, model: Model, top, order: int) -> DataFrame:
+    """(id, block, n, counts, levels): what the model's blocks say of each unit's n-grams; n: number of tokens asked for."""
+    spark, segments, drop = units.sparkSession, model.segments, spare(model.segments)
+    parts = spark.read.parquet(model.path).select("segment", "filter", "hashes", "counts")
+    largest = parts.agg(F.max(F.length("filter") + F.length("hashes") + F.length("counts"))).first()[0] or 1
+    width = min(segments, 1 << max(0, (BLOCK_BYTES // largest).bit_length() - 1))  # segments of a block
+    cuts = np.arange(width, segments, width, dtype=np.uint64) << np.uint64(64 - (segments.bit_length() - 1))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = RollingHash()
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                keys = wanted_keys(*texts(row), order, segments)
-                parts = np.split(keys, np.searchsorted(keys, cuts))
-                full = [j for j in range(segments) if len(parts[j])]
+                unit = Unit.read(hasher, row, order, segments)
+                rare = unit.kinds[~frequent(unit.kinds, *top.value)[0]]
+                words, keys = (np.split(x, np.searchsorted(x, cuts)) for x in (rare, unit.keys))
+                full = [j for j in range(len(keys)) if len(words[j]) or len(keys[j])]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(full, pa.int32()), pa.array([row["id"]] * len(full), pa.string()),
-                     pa.array([pack(parts[j], drop) for j in full], pa.binary())], ["segment", "id", "keys"])
-
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segment, part = None, None
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = {n: batch.column(n)[i].as_py() for n in ("segment", "id", "keys", "filter")}
-                if row["filter"] is not None:  # stands before its segment's questions
-                    segment, part = row["segment"], np.frombuffer(row["filter"], np.uint8)[None, :]
-                    continue
-                keys = unpack(row["keys"], drop)
-                found = probe_levels(part, keys) if segment == row["segment"] else np.zeros(len(keys), np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["id"]], pa.string()), pa.array([row["segment"]], pa.int32()),
-                     pa.array([squeeze(found.astype(np.uint8).tobytes())], pa.binary())], ["id", "segment", "levels"])
+                     pa.array([pack(words[j], np.uint64(0)) for j in full], pa.binary()),
+                     pa.array([pack(keys[j], drop) for j in full], pa.binary())], ["block", "id", "words", "keys"])
+
+    questions, answers = shared_dir(spark, "lm-questions"), shared_dir(spark, "lm-levels")
+    units.mapInArrow(ask, "block int, id string, words binary, keys binary").write.partitionBy("block").parquet(questions)
+    asked = spark.read.schema("id string, words binary, keys binary, block int").parquet(questions)
+
+    def answers_of(sent):
+        def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    words = unpack(batch.column("words")[i].as_py(), np.uint64(0))
+                    counts, level = look_up(sent.value, words, unpack(batch.column("keys")[i].as_py(), drop), segments)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("id").slice(i, 1), pa.array([len(words)], pa.int64()), pa.array([pack_numbers(counts)], pa.binary()),
+                         pa.array([squeeze(level.tobytes())], pa.binary())], ["id", "n", "counts", "levels"])
+        return answer
+
+    for j, first in enumerate(range(0, segments, width)):
+        rows = parts.where(F.col("segment").between(first, first + width - 1)).toArrow().to_pylist()  # at most BLOCK_BYTES
+        sent = spark.sparkContext.broadcast({r["segment"]: tuple(np.frombuffer(r[c], t) for c, t in (
+            ("filter", np.uint8), ("hashes", np.uint64), ("counts", np.int64))) for r in rows})
+        asked.where(F.col("block") == j).select("id", "words", "keys").mapInArrow(
+            answers_of(sent), "id string, n long, counts binary, levels binary").write.parquet(f"{answers}/block={j}")
+        sent.destroy()
+    return spark.read.schema("id string, n long, counts binary, levels binary, block int").parquet(answers)
+
+
+def _scores(units: DataFrame, model: Model, row: str, order: int, base: float, mu: float) -> DataFrame:
+    """(row, n_tokens, n_known, base_score, score) of the texts of the units."""
+    segments, names = model.segments, units.columns
+    denominator = model.tokens + 0.5 * (model.types + 1)
+    top = units.sparkSession.sparkContext.broadcast((model.top_hash, model.top_count))  # at most ``top`` types
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = RollingHash()
         unit, held = None, []
 
         def done() -> pa.RecordBatch:
-            tokens, rows = texts(unit)
-            keys = wanted_keys(tokens, rows, order, segments)
-            counts = typical(np.frombuffer(b"".join(held), np.uint8).astype(np.int64), base)
+            u = Unit.read(hasher, unit, order, segments)
+            found, exact = frequent(u.kinds, *top.value)
+            exact[~found] = np.concatenate([np.zeros(0, np.int64), *[c for c, _, _ in held]])
+            level = np.where(found, levels(exact, base), 0)
+            level[~found] = np.concatenate([np.zeros(0, np.uint8), *[w for _, w, _ in held]])
+            kinds = typical(level, base)
+            longer = typical(np.concatenate([np.zeros(0, np.uint8), *[k for _, _, k in held]]).astype(np.int64), base)
 
             def look(hashes: np.ndarray) -> np.ndarray:
                 found, of = np.unique(short(hashes, segments), return_inverse=True)
-                return counts[np.searchsorted(keys, found)][of]
+                return longer[np.searchsorted(u.keys, found)][of]
 
-            p = (look(tokens) + 0.5) / denominator
+            p = ((kinds + 0.5) / denominator)[u.which]
             for n in range(2, order + 1):
-                both = look(ngrams(tokens, rows, n))
-                p = (both + mu * p) / (np.maximum(look(contexts(tokens, rows, n)), both) + mu)
-            total = np.add.reduceat(np.log10(np.minimum(p, 1.0)), rows[:-1])
-            return pa.RecordBatch.from_arrays([pa.array(np.frombuffer(unit["ids"], np.int64)), pa.array(total)], ["_row", "score"])
+                both, before = look(ngrams(u.tokens, u.rows, n)), contexts(u.tokens, u.rows, n)
+                of = kinds[np.searchsorted(u.kinds, before)] if n == 2 else look(before)
+                p = (both + mu * p) / (np.maximum(of, both) + mu)
+            sums = lambda x: pa.array(np.add.reduceat(x, u.rows[:-1]))  # noqa: E731  every text has its end token
+            return pa.RecordBatch.from_arrays(
+                [pa.array(from_planes(unsqueeze(unit["ids"]), np.int64)), pa.array(np.diff(u.rows)), sums((exact > 0)[u.which].astype(np.int64)),
+                 sums(np.log10((exact + 0.5) / denominator)[u.which]), sums(np.log10(np.minimum(p, 1.0)))],
+                [row, "n_tokens", "n_known", "base_score", "score"])
 
         for batch in batches:
             for i in range(batch.num_rows):
-                if (found := batch.column("levels")[i].as_py()) is not None:
-                    held.append(unsqueeze(found))
+                at = {n: batch.column(n)[i].as_py() for n in batch.schema.names}
+                if at["block"] is not None:
+                    level = np.frombuffer(unsqueeze(at["levels"]), np.uint8)
+                    held.append((from_planes(unsqueeze(at["counts"]), np.int64), level[: at["n"]], level[at["n"]:]))
                     continue
-                if unit:  # the unit stands before its answers, which follow by segment
+                if unit:  # the unit stands before its answers, which follow by block
                     yield done()
-                unit, held = {n: batch.column(n)[i].as_py() for n in names}, []
+                unit, held = {n: at[n] for n in names}, []
         if unit:
             yield done()
 
-    parts = units.sparkSession.read.parquet(model.path).select("segment", "filter")
-    asked = units.mapInArrow(ask, "segment int, id string, keys binary")
-    answers = parts.unionByName(asked, allowMissingColumns=True).repartition("segment").sortWithinPartitions(
-        "segment", F.col("filter").isNull()).mapInArrow(answer, "id string, segment int, levels binary")
-    both = units.unionByName(answers, allowMissingColumns=True)
-    return both.repartition("id").sortWithinPartitions("id", F.col("segment").asc_nulls_first()).mapInArrow(finish, "_row long, score double")
+    both = units.unionByName(_levels(units, model, top, order), allowMissingColumns=True)
+    return both.repartition("id").sortWithinPartitions("id", F.col("block").asc_nulls_first()).mapInArrow(
+        finish, f"`{row}` long, n_tokens long, n_known long, base_score double, score double")
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", order: int = ORDER, base: float = BASE, mu: float = MU) -> DataFrame:
@@ -388,50 +461,24 @@ def score(docs: DataFrame, model: Model, text: str = "text", order: int = ORDER,
     spark = docs.sparkSession
     docs = drop_columns(docs, ADDED)
     plain = [c for c in docs.columns if c != text]
-    unit_type = "struct<id: string, ids: binary, rows: binary, kinds: binary, which: binary>"
+    row, unit = free_names(docs.columns, "row", "unit")
+    fields = [("id", "string"), ("ids", "binary"), ("texts", "binary"), ("bounds", "binary")]
     schema = T.StructType([f for f in docs.schema.fields if f.name != text] + [
-        T.StructField("_row", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("_known", T.LongType()),
-        T.StructField("_base", T.DoubleType()), T.StructField("_rest", T.ArrayType(T.LongType())),
-        T.StructField("_unit", T._parse_datatype_string(unit_type))])
-    sent = spark.sparkContext.broadcast((model.top_hash, model.top_count))  # at most ``top``
-    n_all, v_all = model.tokens, model.types
-    denominator = n_all + 0.5 * (v_all + 1)
-    sums = lambda x, rows: np.add.reduceat(x, rows[:-1]) if len(rows) > 1 else x[:0]  # noqa: E731  no row is empty
+        T.StructField(row, T.LongType()), T.StructField(unit, T._parse_datatype_string(f"struct<{', '.join(f'{n}: {t}' for n, t in fields)}>"))])
+    arrow = pa.struct([(n, pa.string() if t == "string" else pa.binary()) for n, t in fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        top_hash, top_count = sent.value
-        hasher = RollingHash()
         for batch in slices(batches, text, UNIT_BYTES):
-            tokens, rows = with_ends(*word_hashes(hasher, batch.column(text), WHITE))
-            kinds, which = np.unique(tokens, return_inverse=True)
-            place = np.minimum(np.searchsorted(top_hash, kinds), max(0, len(top_hash) - 1))
-            is_top = top_hash[place] == kinds if len(top_hash) else np.zeros(len(kinds), bool)
-            exact = np.where(is_top, top_count[place] if len(top_hash) else 0, 0)
-            log_base = np.where(is_top, np.log10((exact + 0.5) / denominator), 0.0)
-            rest = ~is_top[which]
-            at = np.concatenate([[0], np.cumsum(rest)])[rows]
-            lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(tokens[rest].view(np.int64)))
-            packed = pack_texts(tokens)
-            ids = batch.column("_row").to_numpy(zero_copy_only=False).astype(np.int64)
-            unit = {"id": uuid.uuid4().hex, "ids": ids.tobytes(), "rows": rows.astype(np.int64).tobytes(), "kinds": packed[0], "which": packed[1]}
-            fields = pa.struct([("id", pa.string()), *[(f, pa.binary()) for f in ("ids", "rows", "kinds", "which")]])
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in plain], batch.column("_row"), pa.array(np.diff(rows)),
-                 pa.array(sums(is_top[which].astype(np.int64), rows)), pa.array(sums(log_base[which], rows)), lists,
-                 pa.array([unit] + [None] * (batch.num_rows - 1), fields)], schema.names)
-
-    path = shared_dir(spark, "lm-scores")
-    docs.withColumn("_row", F.monotonically_increasing_id()).mapInArrow(run, schema).write.parquet(path)
-    got = spark.read.parquet(path)
-    scores = _scores(got.where("_unit is not null").select("_unit.*"), model, order, base, mu)
-    low = model.top_count.min() if len(model.top_count) else 1 << 62
-    others = spark.read.parquet(model.path).select("hashes", "counts").mapInArrow(
-        _types(lambda c: c < low), "h long, c long")
-    look = got.select("_row", F.explode("_rest").alias("h")).groupBy("_row", "h").agg(F.count(F.lit(1)).alias("m"))
-    log = F.log10((F.coalesce(F.col("c"), F.lit(0)) + 0.5) / float(denominator))
-    rare = look.join(others, "h", "left").groupBy("_row").agg(
-        F.sum(F.col("m") * log).alias("_more"), F.sum(F.when(F.col("c") > 0, F.col("m")).otherwise(0)).alias("_found"))
-    out = got.drop("_rest", "_unit").join(scores, "_row").join(rare, "_row", "left")
-    return out.select(*plain, "n_tokens", (F.col("_known") + F.coalesce("_found", F.lit(0))).alias("n_known"),
-                      F.lit(n_all).cast("long").alias("train_tokens"),
-                      (F.col("_base") + F.coalesce("_more", F.lit(0.0))).alias("base_score"), "score")
+            texts, bounds = pack_texts(batch.column(text))
+            ids = batch.column(row).to_numpy(zero_copy_only=False).astype(np.int64)
+            made = {"id": uuid.uuid4().hex, "ids": pack_numbers(ids), "texts": texts, "bounds": bounds}
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in plain], batch.column(row),
+                                              pa.array([made] + [None] * (batch.num_rows - 1), arrow)], schema.names)
+
+    path = shared_dir(spark, "lm-units")
+    docs.withColumn(row, F.monotonically_increasing_id()).mapInArrow(run, schema).write.parquet(path)
+    got = spark.read.schema(schema).parquet(path)
+    scores = _scores(got.where(F.col(f"`{unit}`").isNotNull()).select(f"`{unit}`.*"), model, row, order, base, mu)
+    out = got.drop(unit).join(scores, row)
+    return out.select(*[f"`{c}`" for c in plain], "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
+                      "base_score", "score")
