@@ -17,7 +17,7 @@ all counts quantised, applied from order 1 up.
 Probes. The texts to score are cut into units of at most ``UNIT_BYTES`` (or one text), written once. Consecutive
 segments make a block of at most ``BLOCK_BYTES``; the distinct n-grams of each unit are written as questions by block.
 One block after the other is broadcast to the workers, which read that block's questions, and no others, and write the
-levels found: no shuffle. The levels then meet their units in the one shuffle of the scoring.
+levels found: no shuffle. Answered questions are deleted. The levels then meet their units in the one shuffle of the scoring.
 
 Exact unigram base. The ``TOP`` most frequent token types are broadcast (16 bytes
 each); the other tokens' exact counts are answered with the levels, by the block that holds them.
@@ -401,6 +401,8 @@ def _levels(units: DataFrame, model: Model, top, order: int) -> DataFrame:
         asked.where(F.col("block") == j).select("id", "words", "keys").mapInArrow(
             answers_of(sent), "id string, n long, counts binary, levels binary").write.parquet(f"{answers}/block={j}")
         sent.destroy()
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(questions)  # all answers are written
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
     return spark.read.schema("id string, n long, counts binary, levels binary, block int").parquet(answers)
 
 

@@ -96,7 +96,7 @@ def test_language_model_scores(spark, top):
         assert (r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (d, n, known, all_tokens)
         assert abs(r["base_score"] - base) < 1e-6 * max(1, abs(base)) and r["score"] <= 0
         off += abs(r["score"] - s) > 1e-6 * max(1, abs(s))
-    assert off <= len(rows) // 4  # texts that met a false positive of the filter
+    assert off <= len(rows) // 20  # texts that met a false positive of the filter
 
 
 def test_language_model_of_nothing(spark):
@@ -107,6 +107,20 @@ def test_language_model_of_nothing(spark):
     assert language_model.score(df.where("false"), model).count() == 0
 
 
+def test_language_model_in_many_blocks(spark, monkeypatch):
+    rng = random.Random(41)
+    rows = [(i, " ".join(f"w{int(rng.paretovariate(0.5)) % 3000}" for _ in range(60)), i % 5 == 1, i) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, held boolean, row int").withColumns({"_row": F.lit("a"), "unit": F.lit("b"), "ID": F.lit("c")})
+    model = language_model.train(df.where("not held"), top=50)
+    whole = language_model.score(df, model)
+    assert whole.columns == ["doc_id", "held", "row", "_row", "unit", "ID", *language_model.ADDED]
+    monkeypatch.setattr(language_model, "BLOCK_BYTES", 1)  # each of the 8 segments is a block
+    monkeypatch.setattr(language_model, "UNIT_BYTES", 2000)
+    assert sorted(language_model.score(df.repartition(5), model).collect()) == sorted(whole.collect())
+    by = sorted(whole.collect())
+    assert [(r["row"], r["_row"], r["unit"], r["ID"]) for r in by] == [(i, "a", "b", "c") for i in range(120)]
+
+
 def test_filter_never_forgets_and_seldom_invents():
     rng = np.random.default_rng(1)
     keys = rng.integers(0, 1 << 63, 4000, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
