@@ -1,19 +1,21 @@
 """Main text of HTML pages as the maximum-scoring contiguous run of tokens.
 
-A page is a sequence of tags and words. Subtrees that are never article text (menus,
-headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments
-of readers, hidden parts) are set aside by their tag, role, class or id: a class or id that consists of
-marks only; inside an article, and on headings and sections, a class only. An element with a mark as a
-part of a longer name ("related-work") is not set aside: outside an article its words score
-like those of links, unless it holds more than half of the page's words. Every
-word scores positive, every tag negative, and one linear scan finds the
-contiguous run with the largest sum: the content region. Its text is cut into
-blocks at block-level tags.
-
-Weights come from labelled pages: those with exactly one ``article`` or
-``main`` element, whose words are content and whose other words are not. The
-weight of a tag or kind of word is the logarithm of how much more often it
-stands in content than elsewhere, held on its side of zero. They are fitted on
+A page is a sequence of tags and words. What is never shown (head, scripts, styles, controls, hidden parts) isn't part of it.
+Every text block (between block-level tags) has features: the element it stands in, whether its words are links, its length,
+and whether it lies in a box, an element that is furniture by its name, role, class or id. Words score by what the
+features say, positive but in links and boxes, and every tag negative; one linear scan finds the contiguous run with the largest sum. All
+of one box together costs no more than ``BOX``, so that a long box inside an article doesn't cut it. The run is
+then widened to the ``article`` or ``main`` around it, or else the smallest container, if the run holds most of that element's words; boxes inside it
+(menus, adverts, forms, comments of readers) are left out, and its text is cut into blocks at block-level tags.
+
+A class or id makes a box only if it consists of marks only; inside an article, and on headings and sections, a class only. An
+element with a mark as a part of a longer name ("related-work") is none: outside an article its words score
+like those of links, unless it holds more than half of the page's words.
+
+Weights come from labelled pages: those with exactly one ``article`` or ``main`` element, whose words outside boxes are content
+and whose other words are not. The label itself is no feature: words and tags score alike inside and outside of
+such an element. The weight of a feature is the logarithm of how much larger its share of the content's words is than its share of
+the other words; of a tag, of how much more often it stands in content, held below zero. They are fitted on
 at most ``SAMPLE`` labelled pages (those with the smallest hashes of their ids);
 extraction reads all pages whole.
 
@@ -28,8 +30,10 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -43,13 +47,15 @@ ADDED = ("text", "n_chars")
 
 # Element names of HTML, and words that mark page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe noframes xmp svg math".split())
-FURNITURE = frozenset("head nav footer aside form menu dialog button select object audio video canvas".split()) | RAW
+RAW = frozenset("script style textarea title noscript template iframe noframes xmp svg".split())
+UNSEEN = frozenset("head button select object audio video canvas".split()) | RAW  # never article text
+FURNITURE = frozenset("nav footer aside form menu dialog".split()) | UNSEEN
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table "
     "tbody td tfoot th thead tr ul".split())
 CONTENT = frozenset(("article", "main"))
+CONTAINERS = CONTENT | {"section", "div", "td"}
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
 MARKS = frozenset(
     "ad ads adsense advert adverts advertisement advertising advertorial sponsor sponsored promo promotion banner nav navbar "
@@ -61,11 +67,16 @@ LAYOUT = frozenset("header footer nav navbar navigation menu menubar sidebar asi
 # An end tag of one of these may be left out: a start tag of the same group ends it.
 IMPLIED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
            "th": {"td", "th"}, "option": {"option"}}
-DEFAULT = {"word": 1.0, "link word": -0.5, "outside word": -1.0, "tag": -0.05}
+DEFAULT = {"word": 1.0, "links: all": -1.5, "box: yes": -2.0, "tag": -0.05}
+BOX = 0.5  # what all of a box costs at most: less than a word, as it is left out in any case
+LEAST = 0.1  # of a word that is neither a link nor in a box
+ODDS = 2.0  # the largest weight of a feature
+LENGTHS = (2, 5, 10, 20, 40)  # words of a block: bounds of the classes
 
 MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                     # possessive, and a quote without a partner is a character: every tag matches at the first try
                     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(?:>|\Z)", re.S)
+HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 
 
@@ -97,156 +108,172 @@ def _set_aside(name: str, rest: str, in_content: bool) -> bool | None:
     return None if any(parts & MARKS for parts in names) else False
 
 
-def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
-    """The page's tags and texts outside what is set aside: (kind, value, inside article or main,
-    inside a link or an element that may be furniture). Kinds: ``tag``, ``text``.
-    An element that holds more than half of the words is no furniture by a part of its name."""
-    items = list(_tokens(page))
-    held: Counter = Counter()
-    for kind, value, _, _, doubtful in items:
-        if kind == "text":
-            held.update(dict.fromkeys((*doubtful, 0), len(value.split())))
-    for kind, value, inside, link, doubtful in items:
-        yield kind, value, inside, link or any(2 * held[d] <= held[0] for d in doubtful)
+@dataclass
+class Token:
+    kind: str  # ``tag`` or ``text``
+    value: str
+    inside: bool  # of article or main
+    link: bool
+    box: int  # number of the box it lies in, or 0
+    parent: str  # the innermost block-level element
+    doubtful: tuple[int, ...]  # numbers of the open elements that may be furniture
 
 
-def _tokens(page: str) -> Iterator[tuple[str, str, bool, bool, tuple[int, ...]]]:
-    """As ``tokens``, with the numbers (from 1) of the open elements that may be furniture."""
-    stack: list[str] = []
+def tokens(page: str) -> tuple[list[Token], list[tuple[int, int]]]:
+    """The page's tags and texts but what is never shown, and the bounds of each element outside boxes (its tags, too).
+    An element that holds more than half of the words is no furniture by a part of its name."""
+    items, spans = _tokens(page)
+    held: Counter = Counter()
+    for t in items:
+        if t.kind == "text" and not t.box:
+            held.update(dict.fromkeys((*t.doubtful, 0), len(t.value.split())))
+    for t in items:
+        t.link = t.link or any(2 * held[d] <= held[0] for d in t.doubtful)
+    return items, spans
+
+
+def _tokens(page: str) -> tuple[list[Token], list[tuple[int, int]]]:
+    items: list[Token] = []
+    spans: list[tuple[int, int]] = []
+    stack: list[tuple[str, int]] = []  # open elements and the places of their start tags
+    parents: list[str] = []  # the block-level ones
     doubtful: list[tuple[int, int]] = []  # (depth, number)
-    seen = 0
-    aside = None  # depth of the open subtree that is set aside
+    seen = boxes = 0
+    aside = None  # depth of the open box
+    unseen = None  # depth of the open element that is never shown
     content = links = 0
     opened: Counter = Counter()  # names on the stack
     at, n = 0, len(page)
 
+    def emit(kind: str, value: str) -> None:
+        if unseen is None:
+            items.append(Token(kind, value, content > 0, links > 0, boxes if aside is not None else 0,
+                               parents[-1] if parents else "", tuple(k for _, k in doubtful)))
+
     def pop() -> str:
-        top = stack.pop()
+        nonlocal content, links, aside, unseen
+        top, start = stack.pop()
         opened[top] -= 1
+        content -= top in CONTENT
+        links -= top == "a"
+        if top in BLOCKS:
+            parents.pop()
+        if aside is None and unseen is None:
+            spans.append((start, len(items)))
+        if aside is not None and len(stack) < aside:
+            aside = None
+        if unseen is not None and len(stack) < unseen:
+            unseen = None
+        while doubtful and doubtful[-1][0] > len(stack):
+            doubtful.pop()
         return top
 
     while at < n:
-        while doubtful and doubtful[-1][0] > len(stack):
-            doubtful.pop()
         m = MARKUP.search(page, at)
-        if aside is None and (m is None or m.start() > at):
-            yield "text", page[at: m.start() if m else n], content > 0, links > 0, tuple(k for _, k in doubtful)
+        if m is None or m.start() > at:
+            emit("text", page[at: m.start() if m else n])
         if m is None:
-            return
+            break
         at = m.end()
         name = (m["name"] or "").lower()
         if not name:
             continue
         if m["end"]:
-            if not opened[name]:
-                if aside is None:
-                    yield "tag", name, content > 0, links > 0, tuple(k for _, k in doubtful)
-                continue
-            while stack:  # closes what was left open inside, too
-                top = pop()
-                content -= top in CONTENT
-                links -= top == "a"
-                if top == name:
-                    break
-            if aside is not None:
-                if len(stack) < aside:
-                    aside = None
-            else:
-                yield "tag", name, content > 0, links > 0, tuple(k for _, k in doubtful)
-            if aside is None and name in FURNITURE:
-                yield "tag", name, content > 0, links > 0, tuple(k for _, k in doubtful)
+            if opened[name]:
+                while stack[-1][0] != name:  # closes what was left open inside, too
+                    pop()
+            emit("tag", name)
+            if opened[name]:
+                pop()
             continue
         rest = m["rest"]
         if name in VOID:
-            if aside is None:
-                yield "tag", name, content > 0, links > 0, tuple(k for _, k in doubtful)
+            emit("tag", name)
             continue
-        if aside is not None and name in CONTENT and not _set_aside(name, rest, False):
-            while len(stack) >= aside:  # an unclosed menu or box ends where the article begins
-                top = pop()
-                content -= top in CONTENT
-                links -= top == "a"
-            aside = None
+        if (aside is not None or unseen is not None) and name in CONTENT and not _set_aside(name, rest, False):
+            while aside is not None or unseen is not None:  # an unclosed menu or box ends where the article begins
+                pop()
         for top in IMPLIED.get(name, ()):
-            if stack and stack[-1] == top and (aside is None or len(stack) > aside):
+            if stack and stack[-1][0] == top and (aside is None or len(stack) > aside):
                 pop()
-        while doubtful and doubtful[-1][0] > len(stack):
-            doubtful.pop()
         if rest.endswith("/") and name not in BLOCKS and name not in RAW:
             continue  # closes itself
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\s*(?:>|\Z)", re.I).search(page, at)
-            if aside is None:
-                yield "tag", name, content > 0, links > 0, tuple(k for _, k in doubtful)
+            emit("tag", name)
             at = end.end() if end else n
             continue
-        if aside is None:
-            yield "tag", name, content > 0, links > 0, tuple(k for _, k in doubtful)
+        if aside is None and unseen is None:
             found = _set_aside(name, rest, content > 0)
             if found:
+                boxes += 1
                 aside = len(stack) + 1
             elif found is None:
                 seen += 1
                 doubtful.append((len(stack) + 1, seen))
-        stack.append(name)
+        emit("tag", name)
+        if unseen is None and (name in UNSEEN or HIDDEN.search(rest)):
+            unseen = len(stack) + 1
+        stack.append((name, len(items) - 1))
         opened[name] += 1
         content += name in CONTENT
         links += name == "a"
-
-
-def features(page: str) -> list[tuple[str, str, str, bool, int]]:
-    """(kind, feature, value, inside article or main, number of words). The
-    words of a link are ``link word`` only where their block is nothing but links."""
-    items = list(tokens(page))
-    labelled = any(inside for _, _, inside, _ in items)
-    out, block, own = [], [], 0  # of the open block: places of its links' texts, and its other words
-    for kind, value, inside, link in [*items, ("tag", "p", False, False)]:
-        if kind == "tag":
-            if value in BLOCKS or value in FURNITURE:
-                if not own:
-                    for i in block:
-                        out[i] = (out[i][0], "link word", *out[i][2:])
-                block, own = [], 0
-            out.append((kind, value, value, inside, 0))
-            continue
-        value = entities.unescape(value) if "&" in value else value
-        words = len(value.split())
-        if labelled and not inside:
-            out.append((kind, "outside word", value, inside, words))
-            continue
-        if link and not inside:
-            block.append(len(out))
-        else:
-            own += words
-        out.append((kind, "word", value, inside, words))
-    return out[:-1]
+        if name in BLOCKS:
+            parents.append(name)
+    if aside is None and unseen is None:  # elements left open end with the page
+        spans += [(start, len(items)) for _, start in stack]
+    return items, spans
+
+
+def features(items: list[Token]) -> list[tuple[str, ...]]:
+    """The features of each token; those of a text are its block's."""
+    out: list[tuple[str, ...]] = []
+    block: list[int] = []
+
+    def end() -> None:
+        words = [len(items[i].value.split()) for i in block]
+        total, linked = sum(words), sum(w for i, w in zip(block, words, strict=True) if items[i].link)
+        kind = "all" if linked == total else "most" if 2 * linked > total else "few"
+        for i in block:
+            out[i] = (f"in: {items[i].parent}", f"links: {kind}", f"length: {bisect_left(LENGTHS, total)}", f"box: {'yes' if items[i].box else 'no'}")
+        block.clear()
+
+    for i, t in enumerate(items):
+        out.append(("tag",) if t.kind == "text" or t.value in CONTENT else (t.value,))
+        if t.kind == "text":
+            t.value = entities.unescape(t.value) if "&" in t.value else t.value
+            block.append(i)
+        elif t.value in BLOCKS or t.value in UNSEEN:
+            end()
+    end()
+    return out
 
 
 def count_features(page: str) -> Counter:
-    """How often each feature stands inside and outside the one article of a labelled page."""
+    """How often each feature stands in the content of a labelled page and elsewhere; tags by themselves, others by words."""
     found: Counter = Counter()
     if len(re.findall(r"<(?:article|main)\b", page, re.I)) == 1:
-        for kind, name, _, inside, words in features(page):
-            found[name, inside] += 1 if kind == "tag" else words
+        items, _ = tokens(page)
+        for t, names in zip(items, features(items), strict=True):
+            for name in names if t.kind == "tag" else (*names, "word"):
+                found[name, t.inside and not t.box] += 1 if t.kind == "tag" else len(t.value.split())
     return found
 
 
 def weights_from(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
-    """Words at least +0.2 (-0.2 outside an article), tags at most -0.02."""
+    """Features within ``ODDS`` of zero, tags from -2 to -0.02."""
     if not any(inside for _, inside in counts):
         return dict(DEFAULT)
     out = dict(DEFAULT)
-    for name in {n for n, _ in counts}:
-        odds = math.log((counts.get((name, True), 0) + 1) / (counts.get((name, False), 0) + 1))
-        if name == "word":
-            out[name] = min(2.0, max(0.2, odds))
-        elif name == "link word":
-            out[name] = min(0.5, max(-0.5, odds))
-        elif name == "outside word":
-            out[name] = max(-2.0, min(-0.2, odds))
+    content, others = counts.get(("word", True), 0), counts.get(("word", False), 0)
+    for name in {n for n, _ in counts} - {"word", "tag"}:
+        a, b = counts.get((name, True), 0), counts.get((name, False), 0)
+        if ": " in name:
+            odds = math.log((a + 1) / (content + 2)) - math.log((b + 1) / (others + 2))
+            out[name] = max(-ODDS, min(ODDS, odds))
         else:
-            out[name] = max(-2.0, min(-0.02, odds))
-    out["word"] = max(out["word"], 0.2)
+            out[name] = max(-2.0, min(-0.02, math.log((a + 1) / (b + 1))))
+    out["box: yes"] = -ODDS  # is left out in any case
     return out
 
 
@@ -263,19 +290,46 @@ def region(scores: list[float]) -> tuple[int, int]:
     return bounds
 
 
+def scores_of(items: list[Token], weights: dict[str, float]) -> list[float]:
+    """Each token's score; a box's words and tags together at least -``BOX``."""
+    out, spent = [], {}
+    for t, names in zip(items, features(items), strict=True):
+        if t.kind == "tag":
+            score = weights.get(names[0], weights["tag"])
+        else:
+            score = weights["word"] + sum(weights.get(n, 0.0) for n in names)
+            score = len(t.value.split()) * (score if t.link or t.box else max(score, LEAST))
+        if t.box:
+            left = BOX - spent.get(t.box, 0.0)
+            score = max(min(score, 0.0), -left)
+            spent[t.box] = spent.get(t.box, 0.0) - score
+        out.append(score)
+    return out
+
+
+def widened(first: int, last: int, items: list[Token], spans: list[tuple[int, int]]) -> tuple[int, int]:
+    """The article or main around the run, or else the smallest container, if the run holds most of its words."""
+    around = [(items[a].value in CONTENT, a - b, a, b) for a, b in spans
+              if a <= first < last <= b and items[a].value in CONTAINERS and items[a].kind == "tag"]
+    if not around:
+        return first, last
+    *_, a, b = max(around)
+    words = lambda i, j: sum(len(t.value.split()) for t in items[i:j] if t.kind == "text" and not t.box)
+    return (a, b) if 2 * words(first, last) > words(a, b) else (first, last)
+
+
 def extract(page: str | None, weights: dict[str, float]) -> str:
-    items = features(page or "")
-    tag = weights["tag"]
-    scores = [weights.get(f, tag) if kind == "tag" else weights[f] * words for kind, f, _, _, words in items]
-    first, last = region(scores)
+    items, spans = tokens(page or "")
+    first, last = widened(*region(scores_of(items, weights)), items, spans)
     blocks, part = [], []
-    for kind, _, value, _, _ in items[first:last]:
-        if kind == "text":
-            part.append(value)
-        elif value in BLOCKS or value in FURNITURE:
+    for t in items[first:last]:
+        if t.kind == "text":
+            if not t.box:
+                part.append(t.value)
+        elif t.value in BLOCKS or t.value in UNSEEN:
             blocks.append("".join(part))
             part = []
-        elif value == "br":
+        elif t.value == "br":
             part.append(" ")
     blocks.append("".join(part))
     clean = (" ".join(b.split()) for b in blocks)

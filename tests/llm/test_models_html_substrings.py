@@ -181,6 +181,30 @@ def test_names_made_from_titles_lose_nothing(start, end):
         assert html_extraction.extract(page, w) == "\n\n".join(t.strip() for _, _, t in parts)
 
 
+def test_the_scan_finds_the_text_without_any_names(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    weights = html_extraction.fit(pages)
+    assert weights != html_extraction.DEFAULT and not {"article", "main"} & set(weights)
+    htmls = [r["html"] for r in pages.select("html").collect()]
+    bare = [re.sub(r' (?:class|id|role)="[^"]*"', "", re.sub(r"(</?)(?:article|main|nav|footer|header|aside)\b", r"\1div", h)) for h in htmls]
+    same = sum(html_extraction.extract(b, weights) == html_extraction.extract(h, weights) for b, h in zip(bare, htmls, strict=True))
+    assert same >= 0.9 * len(htmls) > 0
+
+
+def test_nothing_of_the_main_text_is_lost(spark, sf_dir):
+    words = ("It says here what others found out before. " * 50).strip()
+    fitted = html_extraction.fit(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    box = f'<aside>{"<p>Not this one at all</p>" * 20}</aside><div class="share">Share</div>'
+    for w in (fitted, html_extraction.DEFAULT):
+        teaser = html_extraction.extract(f"<body><div>{words}</div><article>Read more of this</article></body>", w)
+        assert teaser.startswith(words)
+        assert html_extraction.extract(f"<body><article><p>{words}</p>{box}<p>End.</p></article><nav>Home</nav></body>", w) == f"{words}\n\nEnd."
+        assert html_extraction.extract(f"<body><article>{box}<p>One.</p>{box}<p>{words}</p></article></body>", w) == f"One.\n\n{words}"
+        assert html_extraction.extract("<body><article><p>We see <math><mi>a</mi><mo>+</mo><mi>b</mi></math> here</p></article></body>", w) == "We see a+b here"
+    hidden = f"<body><article><p>{words}</p><p hidden>no</p><div aria-hidden='true'><p>no</p></div><span style='display: none'>no</span></article></body>"
+    assert html_extraction.extract(hidden, fitted) == words
+
+
 def test_region_is_the_best_run():
     rng = random.Random(19)
     for _ in range(200):
