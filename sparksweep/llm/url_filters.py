@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparksweep.llm.batch import drop_columns, slices, utf8
+from sparksweep.llm.batch import drop_columns, free_names, slices, utf8
 
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
          ("block", "net/es/"), ("block", "net/fr/")]
@@ -104,8 +104,9 @@ def judge(pages: DataFrame, url: str = "url", rules=RULES, globs=GLOBS, default:
     path = F.regexp_extract(u, r"://[^/?#]*([^?#]*)", 1)
     base = drop_columns(pages, ADDED).withColumns({
         "host": F.coalesce(F.translate(host, UPPER, LOWER), F.lit("")), "path": F.coalesce(path, F.lit(""))})
-    base = base.withColumn("_canonical", F.concat(F.lit("."), F.col("host"), F.col("path")))
-    schema = T.StructType([f for f in base.schema.fields if f.name != "_canonical"] + [
+    canonical, = free_names(base.columns, "canonical")
+    base = base.withColumn(canonical, F.concat(F.lit("."), F.col("host"), F.col("path")))
+    schema = T.StructType([f for f in base.schema.fields if f.name != canonical] + [
         T.StructField("rule", T.StringType()), T.StructField("globs", T.ArrayType(T.StringType())),
         T.StructField("verdict", T.StringType())])
     rules, globs = list(rules), list(globs)
@@ -113,8 +114,8 @@ def judge(pages: DataFrame, url: str = "url", rules=RULES, globs=GLOBS, default:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         masks = WildcardAutomaton([site_glob(r) for _, r in rules] + [g for _, g in globs])
         by_length = sorted(range(len(rules)), key=lambda i: len(rules[i][1]))
-        for batch in slices(batches, "_canonical"):
-            hits = masks.match(*utf8(batch.column("_canonical")))
+        for batch in slices(batches, canonical):
+            hits = masks.match(*utf8(batch.column(canonical)))
             best = np.full(len(hits), -1)
             for i in by_length:  # the longest comes last
                 best[hits[:, i]] = i

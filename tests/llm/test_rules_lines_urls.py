@@ -116,6 +116,13 @@ def test_automaton_agrees_with_patterns():
     assert url_filters.WildcardAutomaton([]).match(buf, np.array([0, 3])).shape == (1, 0)
 
 
+def test_urls_beside_columns_named_like_helpers(spark):
+    df = spark.createDataFrame([(1, "http://example.com/en/x", "a", "b", "c")], "page_id long, url string, canonical string, _canonical string, HOST string")
+    row = url_filters.judge(df).first().asDict()
+    assert list(row)[:4] == ["page_id", "url", "canonical", "_canonical"] and (row["canonical"], row["_canonical"], row["host"]) == ("a", "b", "example.com")
+    assert row["verdict"] == "block"
+
+
 def test_urls_of_all_kinds(spark):
     rows = [(None, "", "", None, "allow"), ("no scheme", "", "", None, "allow"), ("http://A.COM/En/?x", "a.com", "/En/", "com/", "allow"),
             ("http://com/", "com", "/", "com/", "allow"), ("http://xcom/", "xcom", "/", None, "allow"),
