@@ -22,7 +22,7 @@ from sparksweep.streaming import logs as SL
 from sparksweep.streaming import runner as R
 from sparksweep.streaming import status as SS
 
-STATE_PARTITIONS = 4  # of these small fixtures; a stream's own parameter, as the checkpoint keeps it
+STATE_PARTITIONS = 4  # at least; a stream's own parameter, as the checkpoint keeps it
 DELAY_S = 3600
 
 
@@ -34,6 +34,11 @@ def _events_stream(spark, sf_dir, name, copies=1, buckets_per_trigger=1):
     return R.file_stream(spark, path, events.schema, landed.files * buckets_per_trigger)
 
 
+def _state_partitions(spark):
+    """A task per core: the state of many jobs is worked on by all of them."""
+    return max(STATE_PARTITIONS, spark.sparkContext.defaultParallelism)
+
+
 _FIRST_CREATED = """SELECT job FROM (SELECT job, status, row_number() OVER (PARTITION BY job ORDER BY ts, seq) AS rn
                    FROM v_status_events) f WHERE rn = 1 AND status = 'Created'"""
 
@@ -57,7 +62,7 @@ def str1_follow_log(spark, sf_dir):
     stream = _events_stream(spark, sf_dir, "str1")
     lines = V.job_log(spark, sf_dir, V.status_events(spark, sf_dir, stream))
     lines = lines.withColumn("step", F.concat(F.lit("node-"), F.col("seq") % 3))
-    out = R.run_to_parquet(SL.follow(lines, spark.read.parquet(path)).select("job", "seq", "line"), "str1", state_partitions=STATE_PARTITIONS)
+    out = R.run_to_parquet(SL.follow(lines, spark.read.parquet(path)).select("job", "seq", "line"), "str1", state_partitions=_state_partitions(spark))
     return spark.read.parquet(out)
 
 
@@ -70,7 +75,7 @@ def str2_deliver_once(spark, sf_dir):
     lines = V.job_log(spark, sf_dir, V.status_events(spark, sf_dir, stream))
     once = SL.deliver_once(SL.event_time(lines), ["job", "seq"], "event_ts", f"{int(span) // 1_000_000 + 1} seconds")
     stats: dict = {}
-    out = R.run_to_parquet(once.select("job", "seq", "line"), "str2", state_partitions=STATE_PARTITIONS, stats=stats)
+    out = R.run_to_parquet(once.select("job", "seq", "line"), "str2", state_partitions=_state_partitions(spark), stats=stats)
     if stats["rows_dropped_late"]:
         raise RuntimeError(f"{stats['rows_dropped_late']} rows came behind the watermark")
     return spark.read.parquet(out)
@@ -83,7 +88,7 @@ def str3_live_observations(spark, sf_dir):
     stream = _events_stream(spark, sf_dir, "str3", buckets_per_trigger=2)
     log = SL.event_time(V.metric_log(spark, sf_dir, stream))
     obs = SL.live_observations(log, ["trial"])
-    path = R.run_to_changelog(obs, "str3", state_partitions=STATE_PARTITIONS)
+    path = R.run_to_changelog(obs, "str3", state_partitions=_state_partitions(spark))
     return R.latest_from_changelog(spark, path, ["trial", "metric"])
 
 
@@ -97,7 +102,7 @@ def str3_windowed_observations(spark, sf_dir):
     stream = _events_stream(spark, sf_dir, "str3w")
     log = SL.event_time(V.metric_log(spark, sf_dir, stream))
     obs = SL.windowed_observations(log, ["trial"], "1 day", delay=f"{DELAY_S} seconds")
-    got = spark.read.parquet(R.run_to_parquet(obs, "str3w", state_partitions=STATE_PARTITIONS))
+    got = spark.read.parquet(R.run_to_parquet(obs, "str3w", state_partitions=_state_partitions(spark)))
     return got.select("trial", "metric", F.col("window.start").cast("timestamp_ntz").alias("day"), "min", "max", "latest")
 
 
@@ -133,7 +138,7 @@ def str4_live_job_status(spark, sf_dir):
     the last emission per job equals the batch fold."""
     stream = _events_stream(spark, sf_dir, "str4", buckets_per_trigger=2)
     ev = step_events(V.status_events(spark, sf_dir, stream))
-    out = R.run_to_parquet(SS.live_job_status(ev), "str4", state_partitions=STATE_PARTITIONS)
+    out = R.run_to_parquet(SS.live_job_status(ev), "str4", state_partitions=_state_partitions(spark))
     changes = spark.read.parquet(out)
     return changes.groupBy("job").agg(F.max_by("status", "version").alias("status"))
 
@@ -153,5 +158,5 @@ def str5_wait_with_timeout(spark, sf_dir):
     stream = _events_stream(spark, sf_dir, "str5")
     ev = V.status_events(spark, sf_dir, stream)
     out = R.run_to_parquet(SS.wait_for_status(ev, ("Complete",), TIMEOUT_S, f"{DELAY_S} seconds"), "str5",
-                           state_partitions=STATE_PARTITIONS)
+                           state_partitions=_state_partitions(spark))
     return SS.wait_result(spark.read.parquet(out))
