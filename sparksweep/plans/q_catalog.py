@@ -68,11 +68,16 @@ SELECT name, NULL, NULL, NULL, NULL FROM v_catalog_defaults
 WHERE name NOT IN (SELECT name FROM prj2 WHERE error IS NULL)""", "v_catalog", "v_catalog_defaults", ctes={"prj2": _PRJ2_SQL})
 
 
+def _spread_documents(spark, sf_dir):
+    """Documents rendered by all tasks: a few small files hold many catalog rows."""
+    return C.runtime_documents(V.catalog(spark, sf_dir).repartition("pos"))
+
+
 @register("src6_catalog_from_files", _SRC6_SQL)
 def src6_catalog_from_files(spark, sf_dir):
     """Catalog documents landed as files in three source folders, read back in
     one scan, bad documents skipped, first source wins, defaults filled in."""
-    docs = C.runtime_documents(V.catalog(spark, sf_dir))
+    docs = _spread_documents(spark, sf_dir)
     base = shared_dir(spark, "catalog-sources")
     sources = SC.write_catalog_sources(docs, base)
     runtimes, _ = SC.load_catalog(spark, sources, V.catalog_defaults(spark, sf_dir))
@@ -82,7 +87,7 @@ def src6_catalog_from_files(spark, sf_dir):
 @register("src6_catalog_from_yaml", _SRC6_SQL)
 def src6_catalog_from_yaml(spark, sf_dir):
     """The same catalog landed as YAML files of many documents, cut at their markers in many tasks."""
-    docs = C.runtime_documents(V.catalog(spark, sf_dir))
+    docs = _spread_documents(spark, sf_dir)
     sources = SC.write_catalog_sources(docs, shared_dir(spark, "catalog-yaml"), style="yaml")
     runtimes, _ = SC.load_catalog(spark, sources, V.catalog_defaults(spark, sf_dir))
     return runtimes.select("name", "framework", "num_nodes", "image", "prio")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from sparksweep.operators.catalog import FRAMEWORK_LABEL, RUNTIME_DOC_SCHEMA, first_wins, parse_runtime_documents, with_defaults
 from sparksweep.operators.datasets import glob_to_regex
+from sparksweep.session import shared_dir
 from sparksweep.sources import yaml_docs
 
 # fixed values: schemes of landed folders
@@ -84,7 +85,10 @@ def load_catalog(spark: SparkSession, sources: list[str], defaults: DataFrame |
     rejects = parsed.filter(F.col("error").isNotNull()).select("prio", "source", "file_path", "doc", "error").unionByName(lost)
     winners = first_wins(valid.select("name", *order, "framework", "num_nodes", "image"), "name", order)
     runtimes = winners.select("name", "framework", "num_nodes", "image", "prio")
-    if defaults is not None:
+    if defaults is not None:  # which reads the winners twice: written, so that the documents are parsed once
+        path = shared_dir(spark, "catalog-winners")
+        runtimes.write.parquet(path)
+        runtimes = spark.read.schema(runtimes.schema).parquet(path)
         runtimes = with_defaults(runtimes, defaults)
     return runtimes, rejects
 
@@ -123,13 +127,12 @@ def yaml_text(doc: Column) -> Column:
 def write_catalog_sources(catalog_docs: DataFrame, base: str, style: str = "json") -> list[str]:
     """Land documents as JSON lines or as YAML files of many documents, one folder per priority,
     rows in position order across the sorted file names."""
-    if style == "yaml":
+    ordered = (catalog_docs.select("prio", "pos", "doc")
+               .repartitionByRange("prio", "pos").sortWithinPartitions("prio", "pos").select("prio", "doc"))
+    if style == "yaml":  # after the exchange, whose sampling would render the texts once more
         doc = yaml_text(F.from_json("doc", RUNTIME_DOC_SCHEMA))
-        catalog_docs = catalog_docs.withColumn("doc", F.concat(F.lit("---\n"), F.regexp_replace(doc, "\n$", "")))
-    out = (catalog_docs.select("prio", "pos", "doc")
-           .repartitionByRange("prio", "pos").sortWithinPartitions("prio", "pos")
-           .select("prio", "doc").write.partitionBy("prio").mode("overwrite"))
-    out.text(base)
+        ordered = ordered.withColumn("doc", F.concat(F.lit("---\n"), F.regexp_replace(doc, "\n$", "")))
+    ordered.write.partitionBy("prio").mode("overwrite").text(base)
     # the source folders are read back from the file system listing (metadata,
     # one entry per source), not collected from the data
     spark = catalog_docs.sparkSession
