@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparksweep.operators.sinks import first_rows
-from sparksweep.session import shared_dir
+from sparksweep.session import shared_dir, ship_package
 
 BUCKET = "_bucket"
 ENTRY = "tbl string, key string, schema string, file string, bucket int, low string, high string, n bigint"
@@ -34,6 +34,22 @@ class Conflict(RuntimeError):
     """Another writer has published the same version."""
 
 
+def _ranges(batches):
+    """File, bucket, range of keys and rows of each file in a batch: the aggregation behind it sorts a row per
+    batch and file (texts as minima are not aggregated by hash), not a row per key."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        found = []
+        for file in pc.unique(batch.column("file")).to_pylist():
+            part = batch.filter(pc.equal(batch.column("file"), file))
+            ends = pc.min_max(part.column("k")).as_py()
+            found.append({"file": file, "bucket": part.column("bucket")[0].as_py(), "low": ends["min"], "high": ends["max"], "n": part.num_rows})
+        yield pa.RecordBatch.from_pylist(found, schema=pa.schema([("file", pa.string()), ("bucket", pa.int32()), ("low", pa.string()),
+                                                                  ("high", pa.string()), ("n", pa.int64())]))
+
+
 class Snapshots:
     def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
         self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
@@ -84,10 +100,11 @@ class Snapshots:
         kind = T.StructType([rows.schema[key], T.StructField(BUCKET, T.IntegerType())])
         rows.withColumn(BUCKET, self._bucket(F.col(key))).hint("rebalance", F.col(BUCKET)).sortWithinPartitions(
             BUCKET, key).write.partitionBy(BUCKET).parquet(folder)
-        k = F.col(key).cast("string")
         name = F.concat(F.lit(f"{run}/{BUCKET}="), F.col(BUCKET), F.lit("/"), F.col("_metadata.file_name"))
-        return self.spark.read.schema(kind).parquet(folder).groupBy(name.alias("file"), F.col(BUCKET).alias("bucket")).agg(
-            F.min(k).alias("low"), F.max(k).alias("high"), F.count(F.lit(1)).alias("n")).select(
+        held = self.spark.read.schema(kind).parquet(folder).select(name.alias("file"), F.col(BUCKET).alias("bucket"), F.col(key).cast("string").alias("k"))
+        ship_package(self.spark)
+        return held.mapInArrow(_ranges, "file string, bucket int, low string, high string, n bigint").groupBy("file", "bucket").agg(
+            F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n")).select(
             F.lit(table).alias("tbl"), F.lit(key).alias("key"), F.lit(None).cast("string").alias("schema"), "file", "bucket", "low", "high", "n")
 
     def _head(self, table: str) -> tuple[str, T.StructType]:

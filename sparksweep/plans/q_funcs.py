@@ -153,7 +153,9 @@ UNION ALL SELECT 'trials', job, count(*) FROM v_resources WHERE job NOT IN {_GON
 def snk2_delete_jobs(spark, sf_dir):
     """Jobs of priority 5-LOW deleted with all that hangs off them, from four
     tables in one commit; shown as rows per table and job."""
-    steps = V.steps(spark, sf_dir)
+    path = shared_dir(spark, "job-steps")  # written once: three of the tables come from them
+    V.steps(spark, sf_dir).write.parquet(path)
+    steps = spark.read.parquet(path)
     jobs = V.jobs(spark, sf_dir).select("job", "priority")
     tables = {"jobs": jobs, "steps": steps.select("job", "name", "status"),
               "logs": V.containers(spark, sf_dir, steps).select("job", "name", "state"),

@@ -14,6 +14,10 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sparksweep.session import plan_bytes
+
+STEP_BYTES = 4 << 20  # of the line items' files in a task
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -71,8 +75,12 @@ def jobs(spark, sf_dir) -> DataFrame:
 
 def steps(spark, sf_dir) -> DataFrame:
     """One step per line item. The window is per order, whose size the schema
-    bounds (some tens of lines at most), so no window partition can grow with the data."""
+    bounds (some tens of lines at most), so no window partition can grow with the data; large
+    tables are dealt over more tasks, so that a task sorts about as many rows at any size."""
     li = table(spark, sf_dir, "lineitem")
+    tasks = plan_bytes(li) // STEP_BYTES
+    if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        li = li.repartition(tasks, "l_orderkey")
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
     x = li.withColumn("idx", (F.row_number().over(w) - 1).cast("bigint"))
     idx = F.col("idx")
