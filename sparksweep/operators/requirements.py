@@ -51,13 +51,21 @@ def merge_rejects(runtime_reqs: DataFrame, job_reqs: DataFrame, job: str = "job"
     """What makes the reference refuse a merge, as rows (job, section, pos,
     requirement, reason): text without a name in either list, and every
     occurrence but the first of a name that a job lists twice."""
-    both = runtime_reqs.select(job, F.lit(0).alias("section"), "pos", "requirement").unionByName(
-        job_reqs.select(job, F.lit(1).alias("section"), "pos", "requirement"))
-    bad = both.withColumn("reason", reject_reason(F.col("requirement"))).filter(F.col("reason").isNotNull())
-    named = with_names(job_reqs).filter(F.col("name").isNotNull()).select(job, "pos", "requirement", "name")
+    return reject_sections(runtime_reqs.select(job, F.lit(0).alias("section"), "pos", "requirement").unionByName(
+        job_reqs.select(job, F.lit(1).alias("section"), "pos", "requirement")), job)
+
+
+def reject_sections(reqs: DataFrame, job: str = "job") -> DataFrame:
+    """``merge_rejects`` for both lists in one table, marked by ``section`` (0 runtime, 1 job). The rows with their
+    names are written once, so that what they come from is computed once (a filter before would compute it again)."""
+    path = shared_dir(reqs.sparkSession, "rejects")
+    with_names(reqs.select(job, "section", "pos", "requirement")).drop("raw_name").write.parquet(path)
+    rows = reqs.sparkSession.read.parquet(path)
+    bad = rows.where("name is null").withColumn("reason", reject_reason(F.col("requirement"))).drop("name")
+    named = rows.where("section = 1 and name is not null")
     first = named.groupBy(job, "name").agg(F.min("pos").alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     twice = named.join(first, [job, "name"]).filter(F.col("pos") > F.col("_first")).select(
-        job, F.lit(1).alias("section"), "pos", "requirement", F.lit("listed twice").alias("reason"))
+        job, "section", "pos", "requirement", F.lit("listed twice").alias("reason"))
     return bad.unionByName(twice)
 
 

@@ -149,8 +149,9 @@ SELECT job, section, CAST(pos AS VARCHAR) AS pos, requirement, reason FROM (
 def jon6_requirement_rejects(spark, sf_dir):
     """What the merge refuses: text without a name, names a job lists twice."""
     bad = F.when(F.col("requirement").endswith("7"), F.concat(F.lit("@@"), F.col("requirement"))).otherwise(F.col("requirement"))
-    rt, jb = (v(spark, sf_dir).withColumn("requirement", bad) for v in (V.req_runtime, V.req_job))
-    return _shown(R.merge_rejects(rt, jb))
+    both = V.req_all(spark, sf_dir).where(F.col("side").isin("F", "O"))
+    section = F.when(F.col("side") == "F", 0).otherwise(1)
+    return _shown(R.reject_sections(both.select("job", section.alias("section"), "pos", bad.alias("requirement"))))
 
 
 @register("agg8_duplicate_requirements", with_views(f"""
